@@ -32,8 +32,9 @@ VIEWS = {
         SELECT CASE WHEN value < 100 THEN 'under 100' WHEN value < 200 THEN '100-199'
                     WHEN value < 300 THEN '200-299' ELSE '300+' END AS value_group,
                CASE WHEN event_type = 'error' THEN 'Failure' ELSE 'Normal' END AS outcome,
-               COUNT(*) AS event_count, ROUND(AVG(value), 6) AS avg_value,
-               ROUND(AVG(user_id), 6) AS avg_user
+               COUNT(*) AS event_count,
+               SUM(CAST(ROUND(value * 100) AS BIGINT))::DOUBLE / 100 / COUNT(*) AS avg_value,
+               SUM(CAST(ROUND(user_id * 100) AS BIGINT))::DOUBLE / 100 / COUNT(*) AS avg_user
         FROM silver GROUP BY 1, 2""",
     "cohort_base": """
         SELECT l_orderkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax,
@@ -96,7 +97,7 @@ COHORT = CohortSpec(
     bucket_column="value", edges=[100, 200, 300], labels=["under 100", "100-199", "200-299", "300+"],
     flag="event_type = 'error'", flag_labels=("Failure", "Normal"),
     averages={"avg_value": "value", "avg_user": "user_id"},
-    names=("value_group", "outcome", "event_count"), digits=6)
+    names=("value_group", "outcome", "event_count"), digits=None, scale=2)
 
 
 def intake_raw(spark: SparkSession, sf: str) -> DataFrame:

@@ -25,8 +25,8 @@ def document_features(spark, sf):
     base = table(spark, sf, "documents").select(
         "doc_id", "n_chars", occurrences(" ").alias("blanks"), occurrences("\n").alias("lines"))
     return feature_table(base, "doc_id", {
-        "chars_per_word": F.round(per_plus_one(F.col("n_chars"), F.col("blanks")), 6),
-        "lines_per_word": F.round(per_plus_one(F.col("lines"), F.col("blanks")), 6),
+        "chars_per_word": per_plus_one(F.col("n_chars"), F.col("blanks")),
+        "lines_per_word": per_plus_one(F.col("lines"), F.col("blanks")),
         "is_long": over(F.col("n_chars"), 2000),
         "word_lines": F.col("blanks") * F.col("lines")}, keep=["n_chars", "blanks", "lines"])
 
@@ -46,8 +46,8 @@ def estimators(rows):
 @query("ml_01_feature_table", r"""
     WITH base AS (SELECT doc_id, n_chars, LENGTH(text) - LENGTH(REPLACE(text, ' ', '')) AS blanks,
                          LENGTH(text) - LENGTH(REPLACE(text, CHR(10), '')) AS lines FROM documents)
-    SELECT doc_id, n_chars, blanks, lines, ROUND(n_chars / (blanks + 1)::DOUBLE, 6) AS chars_per_word,
-           ROUND(lines / (blanks + 1)::DOUBLE, 6) AS lines_per_word, CASE WHEN n_chars > 2000 THEN 1 ELSE 0 END AS is_long,
+    SELECT doc_id, n_chars, blanks, lines, n_chars / (blanks + 1)::DOUBLE AS chars_per_word,
+           lines / (blanks + 1)::DOUBLE AS lines_per_word, CASE WHEN n_chars > 2000 THEN 1 ELSE 0 END AS is_long,
            blanks * lines AS word_lines FROM base""")
 def features(spark, sf):
     return document_features(spark, sf)

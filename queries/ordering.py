@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from queries.base import query, table
 from queries.fixtures import score_log, with_views
+from shoreline.functions.numbers import mean
 from shoreline.functions.text import truncated
 from shoreline.operators.leaderboard import score_history
 from shoreline.operators.quality import column_report
@@ -17,11 +18,11 @@ def multi_key_sort(spark, sf):
 
 
 @query("ord_02_top_k", """
-    SELECT p_brand, ROUND(AVG(p_retailprice), 6) AS avg_price, COUNT(*) AS n_rows FROM part GROUP BY p_brand
+    SELECT p_brand, SUM(CAST(ROUND(p_retailprice * 100) AS BIGINT))::DOUBLE / 100 / COUNT(*) AS avg_price, COUNT(*) AS n_rows FROM part GROUP BY p_brand
     ORDER BY 2 DESC, 1 LIMIT 5""")
 def top_brands(spark, sf):
     brands = table(spark, sf, "part").groupBy("p_brand").agg(
-        F.round(F.avg("p_retailprice"), 6).alias("avg_price"), F.count("*").alias("n_rows"))
+        mean(F.col("p_retailprice"), None, scale=2).alias("avg_price"), F.count("*").alias("n_rows"))
     return top_k(brands, [F.desc("avg_price"), F.asc("p_brand")], 5)
 
 

@@ -119,11 +119,11 @@ def flattened(spark, sf):
     SELECT l_orderkey, l_linenumber, 220 - l_quantity - l_tax AS reserve,
            CASE WHEN l_quantity > 30 AND l_discount > 0.05 THEN 1 ELSE 0 END AS both_high,
            CASE WHEN l_discount > 0.05 THEN 1 ELSE 0 END AS one_high, l_quantity * l_extendedprice AS product,
-           ROUND(l_extendedprice / (l_quantity + 1), 6) AS ratio FROM lineitem""")
+           l_extendedprice / (l_quantity + 1) AS ratio FROM lineitem""")
 def arithmetic(spark, sf):
     quantity, discount = F.col("l_quantity"), F.col("l_discount")
     return table(spark, sf, "lineitem").select(
         "l_orderkey", "l_linenumber", reserve(quantity, F.col("l_tax")).alias("reserve"),
         both_over(quantity, 30, discount, 0.05).alias("both_high"), over(discount, 0.05).alias("one_high"),
         (quantity * F.col("l_extendedprice")).alias("product"),
-        F.round(per_plus_one(F.col("l_extendedprice"), quantity), 6).alias("ratio"))
+        per_plus_one(F.col("l_extendedprice"), quantity).alias("ratio"))

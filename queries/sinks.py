@@ -175,11 +175,12 @@ def materialized(spark, sf):
 
 
 @query("snk_13_view", """
-    SELECT p_brand, p_type, COUNT(*) AS part_count, ROUND(AVG(p_retailprice), 6) AS avg_price,
-           ROUND(AVG(p_size), 6) AS avg_size FROM part GROUP BY p_brand, p_type""")
+    SELECT p_brand, p_type, COUNT(*) AS part_count, 
+           SUM(CAST(ROUND(p_retailprice * 100) AS BIGINT))::DOUBLE / 100 / COUNT(*) AS avg_price,
+           SUM(CAST(ROUND(p_size * 100) AS BIGINT))::DOUBLE / 100 / COUNT(*) AS avg_size FROM part GROUP BY p_brand, p_type""")
 def view(spark, sf):
     define_view(cohort_table(table(spark, sf, "part"), {"p_brand": F.col("p_brand"), "p_type": F.col("p_type")},
-                             {"avg_price": "p_retailprice", "avg_size": "p_size"}, "part_count", 6),
+                             {"avg_price": "p_retailprice", "avg_size": "p_size"}, "part_count", digits=None, scale=2),
                 "shoreline_part_summary")
     return spark.table("shoreline_part_summary")
 

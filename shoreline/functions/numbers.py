@@ -22,6 +22,16 @@ def count_where(test: Column) -> Column:
     return F.count(F.when(test, F.lit(1)))
 
 
-def mean(value: Column, digits: int = 1) -> Column:
-    """Rounded average as double."""
-    return F.round(F.avg(value.cast("double")), digits)
+def mean(value: Column, digits: int | None = 1, scale: int | None = None) -> Column:
+    """Average as double, rounded unless ``digits`` is None.
+
+    With ``scale``, values are summed as whole units of ``10**-scale``: for measures kept
+    to that many decimals the result is the same for any order of rows, so a rerun on
+    another partitioning cannot round differently.
+    """
+    if scale is None:
+        average = F.avg(value.cast("double"))
+    else:
+        units = F.sum(F.round(value * F.lit(10.0**scale)).cast("long")).cast("double")
+        average = F.try_divide(units / F.lit(10.0**scale), F.count(value))
+    return average if digits is None else F.round(average, digits)

@@ -14,10 +14,10 @@ from shoreline.operators.ranking import top_k_per_group
 
 
 def cohort_table(df: DataFrame, groups: Mapping[str, Column], averages: Mapping[str, str],
-                 count_name: str = "row_count", digits: int = 1) -> DataFrame:
+                 count_name: str = "row_count", digits: int | None = 1, scale: int | None = None) -> DataFrame:
     """Count and rounded averages per cohort; ``averages`` maps output name to column."""
     return df.groupBy(*[c.alias(n) for n, c in groups.items()]).agg(
-        F.count("*").alias(count_name), *[mean(F.col(c), digits).alias(n) for n, c in averages.items()])
+        F.count("*").alias(count_name), *[mean(F.col(c), digits, scale).alias(n) for n, c in averages.items()])
 
 
 def rate_by(df: DataFrame, groups: Mapping[str, Column], hit: Column, digits: int = 1) -> DataFrame:

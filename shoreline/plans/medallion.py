@@ -43,7 +43,8 @@ class CohortSpec:
     flag_labels: tuple[str, str]
     averages: Mapping[str, str]
     names: tuple[str, str, str] = ("age_group", "diagnosis", "patient_count")
-    digits: int = 1
+    digits: int | None = 1
+    scale: int | None = None
 
 
 # The intake rules and cohort buckets of the clinical event table.
@@ -78,4 +79,4 @@ def rollup(clean_rows: DataFrame, spec: CohortSpec) -> DataFrame:
     group, label, count = spec.names
     groups = {group: bucketize(F.col(spec.bucket_column), spec.edges, spec.labels),
               label: flag_label(F.expr(spec.flag), *spec.flag_labels)}
-    return cohort_table(clean_rows, groups, spec.averages, count, spec.digits)
+    return cohort_table(clean_rows, groups, spec.averages, count, spec.digits, spec.scale)
