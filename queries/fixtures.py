@@ -133,9 +133,11 @@ def registered(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def answer_key(spark: SparkSession, sf: str) -> DataFrame:
-    """Rows per event type as the expected answers."""
-    return (table(spark, sf, "events").groupBy(F.col("event_type").alias("question_id"))
-            .agg(F.count("*").cast("string").alias("answer")))
+    """Rows per event type as the expected answers, stored as the answer key is."""
+    path = shared_folder(spark, "answer_key")
+    (table(spark, sf, "events").groupBy(F.col("event_type").alias("question_id"))
+     .agg(F.count("*").cast("string").alias("answer")).write.parquet(path))
+    return spark.read.parquet(path)
 
 
 def submissions(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from queries.base import query, table
 from queries.fixtures import CLEAN, answer_key, intake_raw, registered, score_log, submissions, with_views
-from shoreline.operators.joins import absent_keys, feature_lookup, grid, left_with_defaults, with_scalar
+from shoreline.operators.joins import absent_keys, feature_lookup, grid, left_with_defaults, with_scalars
 from shoreline.operators.leaderboard import best_scores, completion_rate, event_dimension, event_totals, team_totals
 from shoreline.operators.ranking import gap_to_leader
 from shoreline.operators.scoring import check_answers, latest_answers
@@ -67,8 +67,8 @@ def one_row_join(spark, sf):
 def scalar_subqueries(spark, sf):
     raw = intake_raw(spark, sf)
     cleaned = clean(raw, CLEAN)
-    return with_scalar(raw.agg(F.count("*").alias("raw_rows")), clean_rows=(cleaned, F.count("*")),
-                       event_types=(cleaned, F.count_distinct("event_type")))
+    return with_scalars(raw.agg(F.count("*").alias("raw_rows")), (
+        cleaned, {"clean_rows": F.count("*"), "event_types": F.count_distinct("event_type")}))
 
 
 @query("jn_07_absent_keys", """

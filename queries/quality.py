@@ -10,7 +10,7 @@ from shoreline.operators.governance import (metadata_report, set_column_comments
 from shoreline.operators.leaderboard import best_scores, event_totals, team_totals
 from shoreline.operators.quality import (Rule, apply_rules, artifact_report, domain_report, invalid_code, key_uniqueness,
                                          offending_keys, profile, quality_report, reconcile_layers, rule_metrics)
-from shoreline.plans.medallion import clean, rollup
+from shoreline.plans.medallion import build_layers, clean, rollup
 from shoreline.session import shared_folder
 from shoreline.sinks.tables import overwrite_table
 from queries.sinks import fresh_name
@@ -67,10 +67,8 @@ def profiled(spark, sf):
     FROM (SELECT COUNT(*) AS n FROM intake_raw) r, (SELECT COUNT(*) AS n FROM silver) s,
          (SELECT COUNT(*) AS n, COUNT(DISTINCT value_group) AS groups, COUNT(DISTINCT outcome) AS outcomes FROM gold) g"""))
 def reconciliation(spark, sf):
-    raw = intake_raw(spark, sf)
-    cleaned = clean(raw, CLEAN)
-    return reconcile_layers(raw, cleaned, rollup(cleaned, COHORT),
-                            {"groups": "value_group", "outcomes": "outcome"}, digits=6)
+    layers = build_layers(intake_raw(spark, sf), CLEAN, COHORT, shared_folder(spark, "layers"))
+    return reconcile_layers(*layers, {"groups": "value_group", "outcomes": "outcome"}, digits=6)
 
 
 ARTIFACTS = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents",

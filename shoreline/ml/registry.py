@@ -10,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.operators.ranking import top_k_per_group
+from shoreline.session import read_json_log
 
 RUN_COLUMNS = {"run_id": "string", "team": "string", "model_type": "string",
                "params": "map<string,string>", "f1_score": "double", "roc_auc": "double",
                "accuracy": "double", "logged_at": "timestamp"}
+REGISTRY_SCHEMA = "name string, version int, run_id string, path string"
 
 
 def run_row(spark: SparkSession, run_id: str, team: str, model_type: str, params: Mapping[str, object],
@@ -43,33 +45,22 @@ def final_metric(best: DataFrame, reported: DataFrame, by: Sequence[str] = ("tea
 
 def register_model(spark: SparkSession, model: PipelineModel, root: str, name: str, run_id: str) -> int:
     """Save a model as the next version of a name; the registry line is written last."""
-    version = (_registry(spark, root).filter(F.col("name") == name).agg(F.max("version")).collect()[0][0] or 0) + 1
+    version = (registered_models(spark, root).filter(F.col("name") == name).agg(F.max("version")).collect()[0][0] or 0) + 1
     path = os.path.join(root, name, f"v{version}")
     model.write().overwrite().save(path)
-    spark.createDataFrame([(name, version, run_id, path)], _REGISTRY).coalesce(1).write.mode("append").json(
+    spark.createDataFrame([(name, version, run_id, path)], REGISTRY_SCHEMA).coalesce(1).write.mode("append").json(
         os.path.join(root, "registry"))
     return version
 
 
-_REGISTRY = "name string, version int, run_id string, path string"
-
-
-def _registry(spark: SparkSession, root: str) -> DataFrame:
-    place = os.path.join(root, "registry")
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(place)
-    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-        return spark.createDataFrame([], _REGISTRY)
-    return spark.read.schema(_REGISTRY).json(place)
-
-
 def registered_models(spark: SparkSession, root: str) -> DataFrame:
     """All registered versions."""
-    return _registry(spark, root)
+    return read_json_log(spark, os.path.join(root, "registry"), REGISTRY_SCHEMA)
 
 
 def load_model(spark: SparkSession, root: str, name: str, version: int | None = None) -> PipelineModel:
     """The newest version of a name, or the one asked for."""
-    found = _registry(spark, root).filter(F.col("name") == name)
+    found = registered_models(spark, root).filter(F.col("name") == name)
     if version is not None:
         found = found.filter(F.col("version") == version)
     newest = found.orderBy(F.desc("version")).limit(1).collect()

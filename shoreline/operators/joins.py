@@ -8,15 +8,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SMALL_ROWS = 10_000
+SMALL_BYTES = 64 * 1024 * 1024
+LISTED_VALUES = 1_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint where the table has at most ``max_rows`` rows, else the table as is.
+def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS, max_bytes: int = SMALL_BYTES) -> DataFrame:
+    """Broadcast hint where the table is small in rows and bytes, else the table as is.
 
-    The check reads no more than ``max_rows + 1`` rows. Without the hint, the join is a
-    shuffle whose skewed partitions AQE splits, so both ways give the same rows.
+    The check measures at most ``max_rows + 1`` rows and brings one row to the driver.
+    Without the hint, the join is a shuffle whose skewed partitions AQE splits, so both
+    ways give the same rows.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = F.sum(F.octet_length(F.to_json(F.struct(*df.columns))))
+    rows, written = df.limit(max_rows + 1).agg(F.count("*"), F.coalesce(size, F.lit(0))).collect()[0]
+    return F.broadcast(df) if rows <= max_rows and written <= max_bytes else df
 
 
 def left_with_defaults(left: DataFrame, right: DataFrame, on: Sequence[str],
@@ -26,18 +31,19 @@ def left_with_defaults(left: DataFrame, right: DataFrame, on: Sequence[str],
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
-def grid(rows: DataFrame, dimension: DataFrame, column: str, chunk: int = SMALL_ROWS) -> DataFrame:
+def grid(rows: DataFrame, dimension: DataFrame, column: str, chunk: int = LISTED_VALUES) -> DataFrame:
     """Every row beside every distinct value of a dimension, without a cross join.
 
-    A dimension of at most ``chunk`` values travels as one array (a scalar subquery) that
-    each row explodes. A larger one is cut into arrays of about ``chunk`` values; the rows
-    are repeated per array number and meet it in an equi join.
+    A dimension of at most ``chunk`` values becomes a constant array that each row
+    explodes. A larger one is cut into arrays of about ``chunk`` values; the rows are
+    repeated per array number and meet it in an equi join.
     """
     values = dimension.select(column).distinct()
-    size = values.limit(chunk + 1).count()
-    if size <= chunk:
-        array = values.agg(F.array_sort(F.collect_list(column))).scalar()
-        return rows.withColumn("_values", array).withColumn(column, F.explode("_values")).drop("_values")
+    listed = [r[0] for r in values.limit(chunk + 1).collect()]
+    if len(listed) <= chunk:
+        kind = dimension.schema[column].dataType
+        array = F.array(*[F.lit(v).cast(kind) for v in sorted(listed, key=lambda v: (v is None, v))])
+        return rows.withColumn(column, F.explode(array))
     parts = values.count() // chunk + 1
     arrays = (values.groupBy(F.pmod(F.xxhash64(column), F.lit(parts)).alias("_chunk"))
               .agg(F.collect_list(column).alias("_values")))
@@ -46,8 +52,12 @@ def grid(rows: DataFrame, dimension: DataFrame, column: str, chunk: int = SMALL_
 
 
 def absent_keys(new: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Rows of ``new`` whose key does not occur in ``existing``."""
-    return new.join(existing.select(*key), list(key), "left_anti")
+    """Rows of ``new`` whose key does not occur in ``existing``.
+
+    Repeated existing keys are combined per task before they shuffle, so a frequent key
+    does not fill one partition.
+    """
+    return new.join(existing.select(*key).distinct(), list(key), "left_anti")
 
 
 def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -68,6 +78,13 @@ def feature_lookup(rows: DataFrame, features: DataFrame, key: Sequence[str], how
     return rows.join(features, list(key), how)
 
 
-def with_scalar(df: DataFrame, **aggregates: tuple[DataFrame, Column]) -> DataFrame:
-    """Add one-row aggregates of other tables as columns (scalar subqueries)."""
-    return df.withColumns({name: table.agg(agg).scalar() for name, (table, agg) in aggregates.items()})
+def with_scalars(df: DataFrame, *facts: tuple[DataFrame, Mapping[str, Column]]) -> DataFrame:
+    """Add one-row aggregates of other tables as columns.
+
+    Each pair of table and named aggregates becomes one scalar subquery, so a table is
+    read once however many aggregates are asked of it.
+    """
+    for i, (table, aggregates) in enumerate(facts):
+        row = table.agg(F.struct(*[a.alias(n) for n, a in aggregates.items()])).scalar()
+        df = df.withColumn(f"_fact_{i}", row).select("*", f"_fact_{i}.*").drop(f"_fact_{i}")
+    return df

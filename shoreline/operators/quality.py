@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.functions.numbers import count_where, percent
-from shoreline.operators.joins import duplicate_keys
+from shoreline.operators.joins import duplicate_keys, with_scalars
 
 DROP, WARN = "drop", "warn"
 
@@ -83,15 +83,10 @@ def reconcile_layers(raw: DataFrame, clean: DataFrame, rollup: DataFrame | None
 
     Each layer is scanned once: its counts are one aggregate, joined as scalar subqueries.
     """
-    report = raw.agg(F.count("*").alias("raw_rows")).withColumn(
-        "clean_rows", clean.agg(F.count("*")).scalar())
+    report = with_scalars(raw.agg(F.count("*").alias("raw_rows")), (clean, {"clean_rows": F.count("*")}))
     if rollup is not None:
-        keys = dict(rollup_keys or {})
-        facts = rollup.agg(F.struct(F.count("*").alias("rows"),
-                                    *[F.count_distinct(c).alias(n) for n, c in keys.items()])).scalar()
-        report = report.withColumn("_rollup", facts).select(
-            "*", F.col("_rollup.rows").alias("rollup_rows"),
-            *[F.col(f"_rollup.{n}").alias(n) for n in keys]).drop("_rollup")
+        keys = {n: F.count_distinct(c) for n, c in (rollup_keys or {}).items()}
+        report = with_scalars(report, (rollup, {"rollup_rows": F.count("*"), **keys}))
     return (report.withColumn("removed_rows", F.col("raw_rows") - F.col("clean_rows"))
             .withColumn("pass_rate_pct", percent(F.col("clean_rows"), F.col("raw_rows"), digits)))
 

@@ -34,7 +34,7 @@ def global_rank(df: DataFrame, order: Sequence[Column | str], name: str = "rank"
 
 
 def rank_in_hash_order(df: DataFrame, group: Sequence[str], key: Sequence[str], seed: int,
-                       buckets: int = 1024) -> DataFrame:
+                       buckets: int = 65_536) -> DataFrame:
     """Adds ``_rank`` and ``_size``: a seeded random order inside each group.
 
     A group as large as a third of the table is spread over ``buckets`` hash ranges.
@@ -89,13 +89,17 @@ def medal(rank: Column) -> Column:
 
 
 def change_from_previous(df: DataFrame, group: Sequence[str], period: str, value: str) -> DataFrame:
-    """Previous period's value inside the group and the difference to it."""
+    """Previous period's value inside the group and the difference to it.
+
+    The input holds one row per group and period, as an aggregate gives it, so a group is
+    as long as there are periods.
+    """
     window = Window.partitionBy(*group).orderBy(period)
     previous = F.lag(value).over(window)
     return df.withColumn("previous", previous).withColumn("change", F.col(value) - F.col("previous"))
 
 
 def dense_rank_within(df: DataFrame, period: Sequence[str], value: str, name: str = "rank") -> DataFrame:
-    """Dense rank by falling value inside each period."""
+    """Dense rank by falling value inside each period, over rows already aggregated per period."""
     window = Window.partitionBy(*period).orderBy(F.col(value).desc())
     return df.withColumn(name, F.dense_rank().over(window))

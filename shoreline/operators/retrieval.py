@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from shoreline.operators.joins import SMALL_ROWS
 from shoreline.operators.ranking import top_k_per_group
 
 QUERY_BLOCK = 512
@@ -39,7 +40,8 @@ def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: st
     best = top_k_per_group(candidates, [query_id], [F.desc("score"), F.asc(doc_id)], k)
     if not metadata:
         return best
-    return best.join(docs.select(doc_id, *metadata), doc_id)
+    found_rows = F.broadcast(best) if total * k <= SMALL_ROWS else best
+    return docs.select(doc_id, *metadata).join(found_rows, doc_id)
 
 
 def _candidates(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: str, query_id: str,

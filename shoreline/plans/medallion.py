@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
@@ -74,6 +75,23 @@ def clean_stamped(raw: DataFrame, spec: CleanSpec) -> DataFrame:
     return stamped(clean(raw, spec))
 
 
+def build_layers(raw: DataFrame, cleaning: CleanSpec, cohorts: CohortSpec, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Write raw, clean and cohort tables below a folder and give them back as stored.
+
+    Each layer is computed once from the stored layer before it.
+    """
+    spark, layers = raw.sparkSession, []
+    steps = (("raw", lambda df: df), ("clean", lambda df: clean_stamped(df, cleaning)),
+             ("cohort", lambda df: rollup(df, cohorts)))
+    current = raw
+    for name, step in steps:
+        path = os.path.join(folder, name)
+        step(current).write.mode("overwrite").parquet(path)
+        current = spark.read.parquet(path)
+        layers.append(current)
+    return tuple(layers)
+
+
 def rollup(clean_rows: DataFrame, spec: CohortSpec) -> DataFrame:
     """Cohort table: one row per bucket and label."""
     group, label, count = spec.names

@@ -6,7 +6,8 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(app: str = "shoreline", master: str | None = None, **conf: str) -> SparkSession:
@@ -50,6 +51,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+def read_json_log(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Lines of a log folder; empty where nothing was written yet."""
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def shared_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh path below the shared folder, for tables a job writes and reads back."""
     return os.path.join(checkpoint_root(spark), f"{purpose}-{uuid.uuid4().hex[:12]}")

@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.operators.joins import absent_keys, require_unique
+from shoreline.session import read_json_log
 
 COMMIT_SCHEMA = "version int, committed_at timestamp, operation string, rows long, path string"
 
@@ -27,9 +28,7 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """All commits: version, time, operation, rows, snapshot path."""
-        if not self._started():
-            return self.spark.createDataFrame([], COMMIT_SCHEMA)
-        return self.spark.read.schema(COMMIT_SCHEMA).json(self._log)
+        return read_json_log(self.spark, self._log, COMMIT_SCHEMA)
 
     def read(self, version: int | None = None) -> DataFrame:
         """The newest version, or the one asked for."""
@@ -67,10 +66,6 @@ class VersionedTable:
         """Remove the rows where the predicate holds."""
         return self.write(deleted(self.read(), where), "DELETE")
 
-    def _started(self) -> bool:
-        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self._log)
-        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
     def _last(self) -> int:
         last = self.history().agg(F.max("version")).collect()[0][0]
         return -1 if last is None else last
