@@ -41,6 +41,18 @@ VIEWS = {
                CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS flag,
                CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END AS code
         FROM lineitem""",
+    "clinical": """
+        SELECT l_orderkey, l_linenumber, CAST(l_quantity AS INT) + 25 AS age, l_linenumber % 2 AS sex,
+               CAST(l_partkey % 4 AS INT) AS cp, CAST(90 + l_suppkey % 100 AS INT) AS trestbps,
+               CAST(150 + l_partkey % 200 AS INT) AS chol, CAST(100 + l_orderkey % 80 AS INT) AS thalach,
+               CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS target
+        FROM lineitem""",
+    "clinical_gold": """
+        SELECT CASE WHEN age < 40 THEN 'Under 40' WHEN age < 50 THEN '40-49' WHEN age < 60 THEN '50-59' ELSE '60+' END AS age_group,
+               CASE WHEN target = 1 THEN 'Heart Disease' ELSE 'Healthy' END AS diagnosis, COUNT(*) AS patient_count,
+               ROUND(AVG(chol), 1) AS avg_cholesterol, ROUND(AVG(trestbps), 1) AS avg_blood_pressure,
+               ROUND(AVG(thalach), 1) AS avg_max_heart_rate
+        FROM clinical GROUP BY 1, 2""",
     "score_log": """
         SELECT user_id AS team, event_type AS event, CAST(event_id % 4 AS INT) AS category,
                value AS points, CAST(500 AS DOUBLE) AS max_points, ts AS scored_at, event_id
@@ -67,7 +79,7 @@ VIEWS = {
                     WHEN LOWER(text) LIKE '%ung%' THEN 'c' ELSE 'other' END AS topic
         FROM conversations""",
 }
-_NEEDS = {"silver": ["intake_raw"], "gold": ["silver"], "submissions": ["answer_key"], "best": ["score_log"],
+_NEEDS = {"clinical_gold": ["clinical"], "silver": ["intake_raw"], "gold": ["silver"], "submissions": ["answer_key"], "best": ["score_log"],
           "totals": ["best"]}
 
 TOPICS = {"a": ["the"], "b": ["eau"], "c": ["ung"]}
@@ -119,6 +131,19 @@ def cohort_base(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("l_returnflag") == "R", 2).alias("code"))
 
 
+def clinical(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items shaped like patients."""
+    def whole(column):
+        return column.cast("int")
+
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (whole(F.col("l_quantity")) + 25).alias("age"),
+        (F.col("l_linenumber") % 2).alias("sex"), whole(F.col("l_partkey") % 4).alias("cp"),
+        whole(90 + F.col("l_suppkey") % 100).alias("trestbps"), whole(150 + F.col("l_partkey") % 200).alias("chol"),
+        whole(100 + F.col("l_orderkey") % 80).alias("thalach"),
+        F.when(F.col("l_returnflag") == "R", 1).otherwise(0).alias("target"))
+
+
 def score_log(spark: SparkSession, sf: str) -> DataFrame:
     """Events as leaderboard entries."""
     return table(spark, sf, "events").select(

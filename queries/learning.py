@@ -3,7 +3,8 @@
 from pyspark.sql import functions as F
 
 from queries.base import query, table
-from shoreline.ml.features import feature_table, fill_missing, over, per_plus_one
+from queries.fixtures import clinical, with_views
+from shoreline.ml.features import clinical_features, feature_table, fill_missing, over, per_plus_one
 from shoreline.ml.metrics import class_report, classification_metrics, roc_auc
 from shoreline.ml.models import (BOOSTED, FOREST, LOGISTIC, cross_validate, fit, gradient_boosting, importances,
                                  logistic_regression, random_forest, scored, soft_vote)
@@ -53,6 +54,14 @@ def features(spark, sf):
     return document_features(spark, sf)
 
 
+@query("ml_01_clinical_features", with_views("clinical", """
+    SELECT *, 220 - age - thalach AS hr_reserve, CASE WHEN age > 55 AND chol > 240 THEN 1 ELSE 0 END AS high_risk,
+           CASE WHEN chol > 240 THEN 1 ELSE 0 END AS chol_risk, age * chol AS age_chol,
+           trestbps / (thalach + 1)::DOUBLE AS bp_hr_ratio FROM clinical"""))
+def patient_features(spark, sf):
+    return clinical_features(clinical(spark, sf))
+
+
 @query("ml_02_stratified_split", """
     SELECT quality, s.is_train, CASE WHEN s.is_train THEN CAST(CEIL(n * 0.8::DOUBLE) AS BIGINT) ELSE n - CAST(CEIL(n * 0.8::DOUBLE) AS BIGINT) END AS n_rows
     FROM (SELECT quality, COUNT(*) AS n FROM labels GROUP BY quality), (VALUES (TRUE), (FALSE)) AS s(is_train)""")

@@ -3,12 +3,14 @@
 from pyspark.sql import functions as F
 
 from queries.base import query, table
-from queries.fixtures import answer_key, registered, score_log, submissions, with_views
+from queries.fixtures import answer_key, clinical, registered, score_log, submissions, with_views
 from shoreline.operators.dedup import keep_latest
 from shoreline.operators.leaderboard import (best_scores, completion_grid, completion_rate, event_dimension, event_totals,
                                              kpi_tiles, leaderboard, timeline)
 from shoreline.operators.reshape import wide_to_long
-from shoreline.operators.scoring import (channel_points, check_answers, judge_unknown, validate_submissions)
+from shoreline.operators.scoring import channel_points, check_answers, f1_points, judge_unknown, validate_submissions
+from shoreline.plans import quiz
+from shoreline.plans.medallion import INTAKE_COHORT, rollup
 
 NORMAL = r"REPLACE(REPLACE(REPLACE(LOWER(REGEXP_REPLACE(COALESCE({0}, ''), '^\s+|\s+$', '', 'g')), '%', ''), ',', ''), ';', ' ')"
 NUMBERS = r"""LIST_TRANSFORM(LIST_FILTER(REGEXP_SPLIT_TO_ARRAY({0}, '\s+'),
@@ -70,6 +72,31 @@ def best_channel(spark, sf):
         F.col("assistant_right"), F.col("direct_right"), F.lit(False)).alias("points"))
 
 
+QUIZ_SQL = {
+    "Q1": "SELECT CAST(COUNT(*) AS VARCHAR) FROM clinical WHERE target = 1",
+    "Q2": """SELECT 'Heart Disease: ' || ROUND(AVG(CASE WHEN target = 1 THEN age END), 1) || ', Healthy: '
+                    || ROUND(AVG(CASE WHEN target = 0 THEN age END), 1) FROM clinical""",
+    "Q3": "SELECT ROUND(SUM(target) * 100.0::DOUBLE / COUNT(*), 1) || '%' FROM clinical WHERE sex = 0",
+    "Q4": """SELECT cp || ' (' || CASE cp WHEN 0 THEN 'typical angina' WHEN 1 THEN 'atypical angina'
+                    WHEN 2 THEN 'non-anginal pain' ELSE 'asymptomatic' END || ')'
+             FROM clinical WHERE target = 1 GROUP BY cp ORDER BY COUNT(*) DESC, cp LIMIT 1""",
+    "Q5": "SELECT STRING_AGG(CAST(avg_cholesterol AS VARCHAR), ', ' ORDER BY diagnosis) FROM clinical_gold WHERE age_group = '60+'",
+    "Q6": "SELECT CAST(COUNT(*) AS VARCHAR) FROM clinical WHERE chol > 240 AND trestbps > 140",
+    "Q7": """SELECT age_group || ' (' || rate || '%)' FROM (
+                SELECT age_group, ROUND(SUM(CASE WHEN diagnosis = 'Heart Disease' THEN patient_count ELSE 0 END) * 100.0::DOUBLE
+                       / SUM(patient_count), 1) AS rate FROM clinical_gold GROUP BY age_group) ORDER BY rate DESC, age_group LIMIT 1""",
+    "Q8": "SELECT CAST(ROUND(AVG(thalach), 1) AS VARCHAR) FROM clinical WHERE target = 0 AND age < 50",
+}
+
+
+@query("sco_00_quiz_answer_key", with_views("clinical_gold", " UNION ALL ".join(f"""
+    SELECT '{q}' AS question_id, '{quiz.QUESTIONS[q][1]}' AS difficulty, '{quiz.QUESTIONS[q][2]}' AS table_used, ({sql}) AS answer"""
+    for q, sql in QUIZ_SQL.items())))
+def quiz_answer_key(spark, sf):
+    silver = clinical(spark, sf)
+    return quiz.answer_key(silver, rollup(silver, INTAKE_COHORT)).drop("question")
+
+
 KINDS = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -134,6 +161,15 @@ def minutes(spark, sf):
     return timeline(score_log(spark, sf)).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))
 
 
+@query("sco_07_f1_points", """
+    SELECT event_id, ROUND(value / 500, 6) AS f1, CASE WHEN ROUND(value / 500, 6) >= 0.9 THEN 15 WHEN ROUND(value / 500, 6) >= 0.85 THEN 12
+           WHEN ROUND(value / 500, 6) >= 0.8 THEN 10 WHEN ROUND(value / 500, 6) >= 0.7 THEN 7 WHEN ROUND(value / 500, 6) > 0 THEN 4 ELSE 0 END AS points
+    FROM events""")
+def performance_points(spark, sf):
+    return table(spark, sf, "events").select("event_id", F.round(F.col("value") / 500, 6).alias("f1")).withColumn(
+        "points", f1_points(F.col("f1")))
+
+
 @query("sco_08_kpi_tiles", with_views("best registered", """
     SELECT (SELECT ROUND(SUM(points), 6) FROM best) AS points_awarded, (SELECT COUNT(DISTINCT event) FROM score_log) AS events_scored,
            (SELECT MAX(scored_at) FROM score_log) AS last_submission, (SELECT COUNT(DISTINCT team) FROM registered) AS total_teams"""))

@@ -35,7 +35,7 @@ def flag_label(test: Column, yes: str, no: str) -> Column:
     return F.when(test, F.lit(yes)).otherwise(F.lit(no))
 
 
-def tier_points(value: Column, tiers: Sequence[tuple[float, float]], otherwise: float = 0,
+def tier_points(value: Column, tiers: Sequence[tuple[float, float]], otherwise: float | Column = 0,
                 strict: bool = False) -> Column:
     """Points of the highest tier reached; ``tiers`` holds (threshold, points) pairs.
 
@@ -45,4 +45,5 @@ def tier_points(value: Column, tiers: Sequence[tuple[float, float]], otherwise:
     for threshold, points in sorted(tiers, reverse=True):
         reached = value > F.lit(threshold) if strict else value >= F.lit(threshold)
         case = F.when(reached, F.lit(points)) if case is None else case.when(reached, F.lit(points))
-    return F.lit(otherwise) if case is None else case.otherwise(F.lit(otherwise))
+    rest = otherwise if isinstance(otherwise, Column) else F.lit(otherwise)
+    return rest if case is None else case.otherwise(rest)

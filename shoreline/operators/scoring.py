@@ -8,11 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoreline.functions.answers import answer_verdict
+from shoreline.functions.labels import tier_points
 from shoreline.operators.dedup import keep_latest
 from shoreline.operators.joins import broadcast_if_small
 from shoreline.operators.model_calls import score_rows
 
 
+# Points by F1 score; any score above zero earns the last value.
+F1_TIERS = [(0.90, 15), (0.85, 12), (0.80, 10), (0.70, 7)]
+F1_ANY = 4
+
+
+def f1_points(f1: Column) -> Column:
+    """Points for a model's F1 score."""
+    return tier_points(f1, F1_TIERS, otherwise=F.when(f1 > 0, F1_ANY).otherwise(F.lit(0)))
+
+
 def validate_submissions(df: DataFrame, question_ids: Sequence[str], methods: Sequence[str]) -> DataFrame:
     """Upper-case id and method, and give a ``reason`` where either is unknown (else NULL)."""
     fixed = df.withColumns({"question_id": F.upper("question_id"), "method": F.upper("method")})
