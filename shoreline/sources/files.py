@@ -55,6 +55,7 @@ def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFr
     """Path, size and time of the files under a landing folder; contents are not read.
 
     Only the listing columns of the binary scan are selected, so no file body is loaded.
+    Empty files hold no records, and Spark leaves them out.
     """
     return (spark.read.format("binaryFile").option("pathGlobFilter", pattern)
             .option("recursiveFileLookup", True).load(path)
