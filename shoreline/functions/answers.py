@@ -13,15 +13,19 @@ FAILED_PREFIXES = ("error", "failed")
 
 def answer_verdict(answer: Column, expected: Column, tolerance: float = 0.5,
                    strict: bool = False) -> Column:
-    """True, false, or NULL for "cannot tell".
+    """True, false, or NULL for "cannot tell", from the two raw texts."""
+    given, wanted = normalize(answer), normalize(expected)
+    return verdict(given, numeric_tokens(given), wanted, numeric_tokens(wanted), tolerance, strict)
+
+
+def verdict(given: Column, given_numbers: Column, wanted: Column, wanted_numbers: Column,
+            tolerance: float = 0.5, strict: bool = False) -> Column:
+    """True, false, or NULL for "cannot tell", from normalised texts and their numbers.
 
     Empty and failed answers are false and equal texts true. Where both sides hold
     numbers, any pair within the tolerance decides; ``strict`` asks instead that every
     expected number be met. Without numbers, either text holding the other is true.
     """
-    given, wanted = normalize(answer), normalize(expected)
-    given_numbers, wanted_numbers = numeric_tokens(given), numeric_tokens(wanted)
-
     def near(x: Column) -> Column:
         return F.exists(given_numbers, lambda y: F.abs(x - y) <= F.lit(tolerance))
 

@@ -9,8 +9,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # A token that reads as a number, after lower-casing.
-NUMBER_TOKEN = r"^[+-]?([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)(e[+-]?[0-9]+)?$"
-NOT_FINITE_TOKEN = r"^[+-]?(inf|infinity|nan)$"
+NUMBER_TOKEN = (r"^[+-]?(([0-9]+(_[0-9]+)*\.?([0-9]+(_[0-9]+)*)?|\.[0-9]+(_[0-9]+)*)(e[+-]?[0-9]+)?"
+                r"|inf|infinity|nan)$")
 
 
 def normalize(text: Column) -> Column:
@@ -22,14 +22,10 @@ def normalize(text: Column) -> Column:
 def numeric_tokens(text: Column) -> Column:
     """Blank-separated tokens of a normalised text that read as numbers, as array<double>.
 
-    Infinities and NaN are numbers too, but lie within no tolerance of anything; both
-    are kept as NaN so that they count as present and never match.
+    Infinities and NaN are numbers too; they lie within no tolerance of anything.
     """
-    kept = F.filter(F.split(text, r"\s+"),
-                    lambda t: t.rlike(NUMBER_TOKEN) | t.rlike(NOT_FINITE_TOKEN))
-    return F.transform(kept, lambda t: F.when(
-        t.rlike(NUMBER_TOKEN), F.regexp_replace(t, "_", "").cast("double")
-    ).otherwise(F.lit(float("nan"))))
+    kept = F.filter(F.split(text, r"\s+"), lambda t: t.rlike(NUMBER_TOKEN))
+    return F.transform(kept, lambda t: F.translate(t, "_", "").cast("double"))
 
 
 def contains_any(text: Column, words: Sequence[str], whole_words: bool = False) -> Column:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from shoreline.functions.numbers import percent
 from shoreline.operators.joins import grid, left_with_defaults
 from shoreline.operators.ranking import gap_to_leader, global_rank, medal, top_k
+from shoreline.session import checkpoint_root
 
 DONE, OPEN = "Submitted", "Not Started"
 
@@ -44,8 +45,12 @@ def max_possible(best: DataFrame) -> DataFrame:
 
 
 def standings(log: DataFrame, teams: DataFrame, digits: int = 1) -> DataFrame:
-    """Every registered team with its total (0 if none), share of the maximum and last time."""
-    best = best_scores(log)
+    """Every registered team with its total (0 if none), share of the maximum and last time.
+
+    The best scores are checkpointed, since totals and maximum would each read the log.
+    """
+    checkpoint_root(log.sparkSession)
+    best = best_scores(log).checkpoint()
     totals = team_totals(event_totals(best), digits)
     board = left_with_defaults(teams.select("team").distinct(), totals, ["team"],
                                {"total_points": 0.0, "events_done": 0})

@@ -17,17 +17,21 @@ Client = Callable[[list[str]], list[str]]
 
 
 def score_rows(df: DataFrame, prompt: str, client: Client, output: str = "response",
-               error: str | None = None, batch: int = 64, attempts: int = 3, pause: float = 0.0) -> DataFrame:
+               error: str | None = None, batch: int = 64, attempts: int = 3, pause: float = 0.0,
+               parallelism: int | None = None) -> DataFrame:
     """Add the model's answer to every row.
 
     The model sees each distinct prompt once, in batches, and the answers are
     checkpointed, so a lost executor does not pay for finished calls again. The join back
     meets a table that is unique in its prompt; AQE splits a prompt that many rows share.
+    Prompts are spread over ``parallelism`` tasks (all cores unless given), because AQE sizes
+    partitions by bytes and would put many short, slow prompts into one task.
     ``client`` maps a list of prompts to a list of answers and must be picklable. A batch
     that keeps failing gives NULL answers; name ``error`` to keep the reason.
     """
     checkpoint_root(df.sparkSession)
     asked = df.select(F.col(prompt).alias("_asked")).filter(F.col("_asked").isNotNull()).distinct()
+    asked = asked.repartition(parallelism or df.sparkSession.sparkContext.defaultParallelism)
 
     def call(texts: list[str]) -> tuple[list[str | None], str | None]:
         failure = None

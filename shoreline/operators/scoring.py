@@ -7,13 +7,16 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoreline.functions.answers import answer_verdict
+from shoreline.functions.answers import verdict
 from shoreline.functions.labels import tier_points
+from shoreline.functions.text import normalize, numeric_tokens
 from shoreline.operators.dedup import keep_latest
 from shoreline.operators.joins import broadcast_if_small
 from shoreline.operators.model_calls import score_rows
 
 
+HELPERS = ("_given", "_given_numbers", "_wanted", "_wanted_numbers")
+
 # Points by F1 score; any score above zero earns the last value.
 F1_TIERS = [(0.90, 15), (0.85, 12), (0.80, 10), (0.70, 7)]
 F1_ANY = 4
@@ -44,11 +47,17 @@ def check_answers(submissions: DataFrame, key: DataFrame, tolerance: float = 0.5
     """Adds ``expected`` and the three-valued ``verdict``.
 
     The key (question_id, answer) is broadcast if it is small; a question that draws a
-    third of the submissions then costs nothing extra.
+    third of the submissions then costs nothing extra. Expected answers are normalised
+    and split into numbers once per question, given ones once per row.
     """
-    expected = key.select("question_id", F.col("answer").alias("expected"))
-    joined = submissions.join(broadcast_if_small(expected), "question_id")
-    return joined.withColumn("verdict", answer_verdict(F.col("answer"), F.col("expected"), tolerance, strict))
+    wanted = normalize(F.col("answer"))
+    expected = key.select("question_id", F.col("answer").alias("expected"), wanted.alias("_wanted"),
+                          numeric_tokens(wanted).alias("_wanted_numbers"))
+    rows = submissions.withColumn("_given", normalize(F.col("answer")))
+    rows = rows.withColumn("_given_numbers", numeric_tokens(F.col("_given")))
+    joined = rows.join(broadcast_if_small(expected), "question_id")
+    decision = verdict(*[F.col(c) for c in HELPERS], tolerance, strict)
+    return joined.withColumn("verdict", decision).drop(*HELPERS)
 
 
 def judge_prompt(question: Column, expected: Column, answer: Column) -> Column:

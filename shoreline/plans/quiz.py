@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shoreline.functions.labels import bucketize, code_label
 from shoreline.functions.numbers import count_where, percent, ratio
 from shoreline.plans.medallion import INTAKE_COHORT
+from shoreline.session import checkpoint_root
 
 # Names of the chest pain codes, limits of the double risk.
 PAIN_NAMES = {0: "typical angina", 1: "atypical angina", 2: "non-anginal pain", 3: "asymptomatic"}
@@ -39,8 +40,12 @@ def patient_cube(silver: DataFrame) -> DataFrame:
 
 
 def answer_key(silver: DataFrame, gold: DataFrame) -> DataFrame:
-    """(question_id, question, answer, difficulty, table_used), one row per question."""
-    cube = patient_cube(silver)
+    """(question_id, question, answer, difficulty, table_used), one row per question.
+
+    The cube is checkpointed: it is small, and the clean table is read once for all answers.
+    """
+    checkpoint_root(silver.sparkSession)
+    cube = patient_cube(silver).checkpoint()
     sick, healthy = F.col("target") == 1, F.col("target") == 0
     female, young = F.col("sex") == 0, F.col("age_group").isin(*INTAKE_COHORT.labels[:2])
 
