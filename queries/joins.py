@@ -84,8 +84,9 @@ def anti(spark, sf):
         SELECT *, ROW_NUMBER() OVER (PARTITION BY team, question_id ORDER BY submitted_at DESC, event_id DESC) AS rn
         FROM submissions) s JOIN answer_key k ON s.question_id = k.question_id WHERE rn = 1"""))
 def key_lookup(spark, sf):
-    latest = latest_answers(submissions(spark, sf), tie_break=["event_id"])
-    return check_answers(latest, answer_key(spark, sf)).select("team", "question_id", "answer", "expected")
+    key = answer_key(spark, sf)
+    latest = latest_answers(submissions(spark, sf, key), tie_break=["event_id"])
+    return check_answers(latest, key).select("team", "question_id", "answer", "expected")
 
 
 @query("jn_09_feature_lookup", """

@@ -33,7 +33,8 @@ EVERY_KEY = "LEN(LIST_FILTER(kn, lambda y: LEN(LIST_FILTER(an, lambda x: ABS(x -
 
 
 def checked(spark, sf, **options):
-    return check_answers(submissions(spark, sf), answer_key(spark, sf), **options)
+    key = answer_key(spark, sf)
+    return check_answers(submissions(spark, sf, key), key, **options)
 
 
 @query("sco_01_answer_check", with_views("submissions", verdict_views(ANY_PAIR) + " SELECT event_id, answer, expected, verdict FROM checked"))

@@ -79,7 +79,8 @@ def incremental_files(spark, sf):
 @query("src_05_named_table_scan", f"""
     SELECT 'batch' AS mode, * FROM ({PER_TYPE}) UNION ALL SELECT 'stream' AS mode, * FROM ({PER_TYPE})""")
 def named_table_scan(spark, sf):
-    name, path = "shoreline_events", shared_folder(spark, "named")
+    path = shared_folder(spark, "named")
+    name = f"shoreline_named_{path[-12:]}"
     table(spark, sf, "events").write.mode("overwrite").option("path", path).saveAsTable(name)
     out, mark = shared_folder(spark, "drained"), shared_folder(spark, "mark")
     land(stream_table(spark, name), out, mark)

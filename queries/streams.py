@@ -22,6 +22,10 @@ def landing_stream(spark, df, schema):
     return stream_files(spark, path, schema, files_per_batch=per_batch)
 
 
+def cores(spark):
+    return spark.sparkContext.defaultParallelism
+
+
 def folders(spark, *names):
     return [shared_folder(spark, n) for n in names]
 
@@ -52,7 +56,8 @@ def compacted_silver(spark, sf):
 def first_arrival(spark, sf):
     out, mark = folders(spark, "arrival", "mark")
     warned = [r for r in INTAKE_RULES if r.action == "warn"]
-    land(arrival_dedup(landing_stream(spark, intake_raw(spark, sf), INTAKE_SCHEMA), CLEAN.key, warned), out, mark)
+    stream = landing_stream(spark, intake_raw(spark, sf), INTAKE_SCHEMA)
+    land(arrival_dedup(stream, CLEAN.key, warned), out, mark, state_partitions=cores(spark))
     return spark.read.parquet(out).select("event_id")
 
 
@@ -61,7 +66,7 @@ def bounded(spark, sf):
     out, mark = folders(spark, "bounded", "mark")
     stream = landing_stream(spark, intake_raw(spark, sf), INTAKE_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
     warned = [r for r in INTAKE_RULES if r.action == "warn"]
-    land(bounded_dedup(stream, CLEAN.key, CLEAN.time, "60 days", warned), out, mark)
+    land(bounded_dedup(stream, CLEAN.key, CLEAN.time, "60 days", warned), out, mark, state_partitions=cores(spark))
     return spark.read.parquet(out).select("event_id")
 
 
@@ -116,5 +121,5 @@ def resumed_content(spark, sf):
 def activity_timeline(spark, sf):
     out, mark = folders(spark, "activity", "mark")
     stream = landing_stream(spark, table(spark, sf, "events"), EVENT_SCHEMA).withColumn("ts", F.col("ts").cast("timestamp"))
-    keep_current(activity(stream, "ts", "1 hour"), out, mark)
+    keep_current(activity(stream, "ts", "1 hour"), out, mark, state_partitions=cores(spark))
     return read_current(spark, out).withColumn("bucket", F.col("bucket").cast("timestamp_ntz"))

@@ -92,7 +92,8 @@ def dense(spark, sf):
         SELECT *, ROW_NUMBER() OVER (PARTITION BY question_id ORDER BY submitted_at, team) AS rn FROM submissions
         WHERE event_id % 6 IN (0, 1, 2)) WHERE rn = 1"""))
 def first_right(spark, sf):
-    return first_correct(check_answers(submissions(spark, sf), answer_key(spark, sf)))
+    key = answer_key(spark, sf)
+    return first_correct(check_answers(submissions(spark, sf, key), key))
 
 
 @query("win_09_medals", with_views("totals registered", f"""

@@ -49,11 +49,13 @@ def score_rows(df: DataFrame, prompt: str, client: Client, output: str = "respon
     def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts = frame["_asked"].tolist()
+            answers, failures = [], []
             for start in range(0, len(texts), batch):
                 part = texts[start:start + batch]
-                answers, failure = call(part)
-                yield pd.DataFrame({"_asked": part, "_answer": answers,
-                                    "_error": pd.Series([failure] * len(part), dtype="object")})
+                given, failure = call(part)
+                answers += given
+                failures += [failure] * len(part)
+            yield pd.DataFrame({"_asked": texts, "_answer": answers, "_error": failures}, dtype="object")
 
     answered = asked.mapInPandas(answer, "_asked string, _answer string, _error string").checkpoint()
     joined = df.join(answered, df[prompt] == answered["_asked"], "left").withColumn(output, F.col("_answer"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from shoreline.streaming.ingest import _start
+from shoreline.streaming.ingest import start
 
 
 def activity(stream: DataFrame, time: str, width: str = "1 minute", delay: str | None = None) -> DataFrame:
@@ -24,7 +24,8 @@ def activity(stream: DataFrame, time: str, width: str = "1 minute", delay: str |
             .select(F.col("_window.start").alias("bucket"), "entries"))
 
 
-def keep_current(aggregate: DataFrame, path: str, checkpoint: str, drain: bool = True) -> StreamingQuery:
+def keep_current(aggregate: DataFrame, path: str, checkpoint: str, drain: bool = True,
+                 state_partitions: int | None = None) -> StreamingQuery:
     """Store the complete state of a streaming aggregate after each micro-batch.
 
     Every micro-batch has a folder of its own, so a reader never meets a half-written one
@@ -35,7 +36,7 @@ def keep_current(aggregate: DataFrame, path: str, checkpoint: str, drain: bool =
 
     writer = (aggregate.writeStream.outputMode("complete").foreachBatch(write)
               .option("checkpointLocation", checkpoint))
-    return _start(writer, drain)
+    return start(aggregate.sparkSession, writer, drain, state_partitions=state_partitions)
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
@@ -52,4 +53,5 @@ def refresh_on_batch(stream: DataFrame, refresh: Callable[[], None], checkpoint:
         if not batch.isEmpty():
             refresh()
 
-    return _start(stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint), drain)
+    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    return start(stream.sparkSession, writer, drain)

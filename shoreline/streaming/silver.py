@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoreline.operators.dedup import keep_earliest
 from shoreline.operators.quality import Rule, apply_rules
-from shoreline.streaming.ingest import _start
+from shoreline.streaming.ingest import start
 
 
 def arrival_dedup(stream: DataFrame, key: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
@@ -42,7 +42,7 @@ def log_earliest(stream: DataFrame, path: str, checkpoint: str, key: Sequence[st
         winners.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
-    return _start(writer, drain)
+    return start(stream.sparkSession, writer, drain)
 
 
 def read_earliest(spark: SparkSession, path: str, key: Sequence[str], time: str, rules: Sequence[Rule],
