@@ -57,7 +57,7 @@ def _candidates(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector
         for batch in batches:
             if batch.num_rows == 0 or not ids:
                 continue
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False)
+            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("float64")
             matrix = flat.reshape(batch.num_rows, -1)
             length = np.linalg.norm(matrix, axis=1)
             scores = np.round((matrix @ wanted.T) / np.where(length == 0, 1.0, length)[:, None], digits)
@@ -80,7 +80,7 @@ def _candidates(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector
                            T.StructField(doc_id, docs.schema[doc_id].dataType),
                            T.StructField("score", T.DoubleType())])
     schema = to_arrow_schema(result)
-    prepared = docs.select(doc_id, F.col(vector).cast("array<double>").alias("v")).filter(F.col("v").isNotNull())
+    prepared = docs.select(doc_id, vector).filter(F.col(vector).isNotNull())
     return prepared.mapInArrow(score, result)
 
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.operators.joins import absent_keys, require_unique
@@ -42,8 +42,9 @@ class VersionedTable:
         """Store the rows as the next version."""
         version = self._last() + 1
         path = os.path.join(self.root, f"v={version}")
-        df.write.mode("overwrite").parquet(path)
-        rows = self.spark.read.parquet(path).count()
+        counted = Observation()
+        df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(path)
+        rows = counted.get["rows"]
         line = self.spark.range(1).select(
             F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"),
             F.lit(operation).alias("operation"), F.lit(rows).alias("rows"), F.lit(path).alias("path"))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shoreline.streaming.ingest import start
+from shoreline.streaming.silver import BATCH
 
 
 def activity(stream: DataFrame, time: str, width: str = "1 minute", delay: str | None = None) -> DataFrame:
@@ -32,7 +33,7 @@ def keep_current(aggregate: DataFrame, path: str, checkpoint: str, drain: bool =
     and a retried batch replaces only itself.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
+        batch.write.mode("overwrite").parquet(os.path.join(path, f"{BATCH}={batch_id}"))
 
     writer = (aggregate.writeStream.outputMode("complete").foreachBatch(write)
               .option("checkpointLocation", checkpoint))
@@ -42,8 +43,8 @@ def keep_current(aggregate: DataFrame, path: str, checkpoint: str, drain: bool =
 def read_current(spark: SparkSession, path: str) -> DataFrame:
     """The state after the newest micro-batch."""
     states = spark.read.parquet(path)
-    newest = states.agg(F.max("batch")).scalar()
-    return states.filter(F.col("batch") == newest).drop("batch")
+    newest = states.agg(F.max(BATCH)).scalar()
+    return states.filter(F.col(BATCH) == newest).drop(BATCH)
 
 
 def refresh_on_batch(stream: DataFrame, refresh: Callable[[], None], checkpoint: str,

@@ -18,6 +18,8 @@ from shoreline.operators.dedup import keep_earliest
 from shoreline.operators.quality import Rule, apply_rules
 from shoreline.streaming.ingest import start
 
+BATCH = "micro_batch"
+
 
 def arrival_dedup(stream: DataFrame, key: Sequence[str], rules: Sequence[Rule]) -> DataFrame:
     """First arrival per key, then the rules."""
@@ -39,7 +41,7 @@ def log_earliest(stream: DataFrame, path: str, checkpoint: str, key: Sequence[st
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         winners = keep_earliest(batch, key, time, tie_break)
-        winners.write.mode("overwrite").parquet(os.path.join(path, f"batch={batch_id}"))
+        winners.write.mode("overwrite").parquet(os.path.join(path, f"{BATCH}={batch_id}"))
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return start(stream.sparkSession, writer, drain)
@@ -48,13 +50,13 @@ def log_earliest(stream: DataFrame, path: str, checkpoint: str, key: Sequence[st
 def read_earliest(spark: SparkSession, path: str, key: Sequence[str], time: str, rules: Sequence[Rule],
                   tie_break: Sequence[str] = ()) -> DataFrame:
     """Clean table from the candidate log: earliest per key first, rules after."""
-    candidates = spark.read.parquet(path).drop("batch")
+    candidates = spark.read.parquet(path).drop(BATCH)
     return apply_rules(keep_earliest(candidates, key, time, tie_break), rules)
 
 
 def compact_log(spark: SparkSession, path: str, into: str, key: Sequence[str], time: str,
                 tie_break: Sequence[str] = ()) -> None:
     """Rewrite a candidate log with one row per key, as batch -1 of a new log folder."""
-    candidates = spark.read.parquet(path).drop("batch")
+    candidates = spark.read.parquet(path).drop(BATCH)
     keep_earliest(candidates, key, time, tie_break).write.mode("overwrite").parquet(
-        os.path.join(into, "batch=-1"))
+        os.path.join(into, f"{BATCH}=-1"))
