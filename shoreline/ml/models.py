@@ -9,12 +9,12 @@ from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shoreline.ml.metrics import classification_metrics
 from shoreline.ml.split import stratified_folds
-from shoreline.session import checkpoint_root
+from shoreline.session import checkpoint_root, shared_folder
 
 LOGISTIC, FOREST, BOOSTED = "logistic_regression", "random_forest", "gradient_boosting"
 
@@ -56,11 +56,28 @@ def fit(estimator: Pipeline, train: DataFrame) -> PipelineModel:
     checkpoint_root(train.sparkSession)
     train = train.persist()
     try:
-        return estimator.fit(train)
+        return without_summary(estimator.fit(train))
     finally:
         train.unpersist()
 
 
+def without_summary(model: PipelineModel) -> PipelineModel:
+    """The model without the training summaries of its stages.
+
+    A logistic regression summary holds the training rows and the session, and a session
+    that has run an Observation cannot be sent to tasks. A saved copy leaves it behind.
+    """
+    spark = SparkSession.active()
+    stages = []
+    for stage in model.stages:
+        if getattr(stage, "hasSummary", False):
+            path = shared_folder(spark, "stage")
+            stage.write().save(path)
+            stage = type(stage).load(path)
+        stages.append(stage)
+    return PipelineModel(stages)
+
+
 def scored(model: Model, df: DataFrame, keep: Sequence[str] | None = None) -> DataFrame:
     """Rows with ``probability`` of class 1 and ``prediction``; batch scoring is a narrow map."""
     kept = list(keep or df.columns)
@@ -87,7 +104,7 @@ def cross_validate(estimator: Pipeline, df: DataFrame, label: str, key: Sequence
     try:
         lines = []
         for fold in range(folds):
-            model = estimator.fit(marked.filter(F.col("fold") != fold))
+            model = without_summary(estimator.fit(marked.filter(F.col("fold") != fold)))
             tested = scored(model, marked.filter(F.col("fold") == fold), [label])
             f1 = classification_metrics(tested, label, "prediction").select("f1_score").collect()[0][0]
             lines.append((fold, f1))

@@ -4,6 +4,7 @@ import glob
 import os
 
 import pytest
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from shoreline.ml.features import clinical_features, store_features
@@ -115,6 +116,16 @@ def test_models_vote_and_registry(spark, points):
         load_model(spark, root, "other")
 
 
+def test_logistic_regression_scores_in_a_session_that_observed(spark, points):
+    seen = Observation()
+    points.observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 600}
+    model = fit(logistic_regression(["a", "b"], "y", 600, max_iter=20), points)
+    both = scored(model, points, ["id"]).join(scored(model, points, ["id"]).withColumnRenamed("prediction", "again"), "id")
+    assert both.filter("prediction <> again").count() == 0 and both.count() == 600
+    assert soft_vote({"lr": model}, points).count() == 600
+
+
 def test_cross_validation(spark, points):
     results = cross_validate(random_forest(["a", "b"], "y", trees=5, depth=3), points, "y", ["id"], folds=3).cache()
     assert [r["fold"] for r in results.orderBy("fold").collect()] == [0, 1, 2]
