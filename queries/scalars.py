@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from queries.base import query, table
-from queries.fixtures import answer_key, cohort_base, score_log, submissions, with_views
+from queries.fixtures import score_log, submissions, with_views
 from queries.aggregates import QUANTITY_CASE, quantity_group
 from shoreline.functions.labels import tier_points
 from shoreline.functions.numbers import percent

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from queries.base import query, table
 from queries.fixtures import (CLEAN, COHORT, INTAKE_SCHEMA, cohort_base, intake_raw, score_log, waves, with_views)
-from shoreline.functions.labels import bucketize
 from shoreline.operators.cohort import cohort_table
 from shoreline.operators.reshape import align_schema
 from shoreline.plans.medallion import clean, rollup

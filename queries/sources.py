@@ -7,7 +7,7 @@ from queries.fixtures import EVENT_SCHEMA, intake_raw, waves, with_views
 from shoreline.session import shared_folder
 from shoreline.sources.files import file_inventory, read_corpus, read_csv, read_json_array, read_ndjson, rows_per_file
 from shoreline.sources.generate import Choice, DoubleRange, IntRange, RiskFlag, generate_over
-from shoreline.sources.tables import inline_rows, rows_per_table, scan_table, stream_table
+from shoreline.sources.tables import inline_rows, scan_table, stream_table
 from shoreline.streaming.ingest import land, stream_files
 
 PER_TYPE = """SELECT event_type, COUNT(*) AS n_rows, ROUND(SUM(value), 6) AS value_sum, MAX(event_id) AS last_id

@@ -10,13 +10,14 @@ import pyarrow as pa
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from shoreline.operators.joins import SMALL_ROWS
 from shoreline.operators.ranking import top_k_per_group
+from shoreline.session import checkpoint_root
 
 QUERY_BLOCK = 512
 
@@ -31,11 +32,20 @@ def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: st
     Scores are rounded before ranking and equal ones rank by document id. A zero vector
     has score 0.
     """
-    total = queries.count()
-    passes = max(1, -(-total // block))
-    parts = [queries] if passes == 1 else [
-        queries.filter(F.pmod(F.xxhash64(query_id), F.lit(passes)) == i) for i in range(passes)]
-    found = [_candidates(docs, part, k, doc_id, vector, query_id, digits) for part in parts]
+    queries = queries.select(query_id, F.col(vector).cast("array<double>").alias("v"))
+    blocks = [queries.limit(block + 1).collect()]
+    total = len(blocks[0])
+    if total > block:
+        checkpoint_root(docs.sparkSession)
+        queries = queries.checkpoint()
+        total = queries.count()
+        passes = -(-total // block)
+        numbered = F.pmod(F.xxhash64(query_id), F.lit(passes))
+        blocks = (queries.filter(numbered == i).collect() for i in range(passes))
+    schema = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType),
+                           T.StructField(doc_id, docs.schema[doc_id].dataType),
+                           T.StructField("score", T.DoubleType())])
+    found = [_candidates(docs, rows, k, doc_id, vector, schema, digits) for rows in blocks]
     candidates = reduce(DataFrame.unionByName, found)
     best = top_k_per_group(candidates, [query_id], [F.desc("score"), F.asc(doc_id)], k)
     if not metadata:
@@ -44,9 +54,9 @@ def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: st
     return docs.select(doc_id, *metadata).join(found_rows, doc_id)
 
 
-def _candidates(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: str, query_id: str,
-                digits: int) -> DataFrame:
-    rows = queries.select(query_id, F.col(vector).cast("array<double>").alias("v")).collect()
+def _candidates(docs: DataFrame, rows: Sequence[Row], k: int, doc_id: str, vector: str,
+                result: T.StructType, digits: int) -> DataFrame:
+    schema = to_arrow_schema(result)
     ids = [r[0] for r in rows]
     wanted = np.array([r[1] for r in rows], dtype="float64")
     if len(rows):
@@ -73,13 +83,9 @@ def _candidates(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector
                 take_ids.extend([query] * len(rows_))
                 take_docs.extend(names[rows_].tolist())
                 take_scores.extend(column[rows_].tolist())
-            yield pa.RecordBatch.from_pydict(
-                {query_id: take_ids, doc_id: take_docs, "score": take_scores}, schema=schema)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, f.type) for x, f in zip((take_ids, take_docs, take_scores), schema)], schema=schema)
 
-    result = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType),
-                           T.StructField(doc_id, docs.schema[doc_id].dataType),
-                           T.StructField("score", T.DoubleType())])
-    schema = to_arrow_schema(result)
     prepared = docs.select(doc_id, vector).filter(F.col(vector).isNotNull())
     return prepared.mapInArrow(score, result)
 

@@ -9,17 +9,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoreline.functions.numbers import count_where, percent
+from shoreline.session import checkpoint_root
 
 
 def metric_answers(answers: Mapping[str, tuple[DataFrame, Column, str]]) -> DataFrame:
     """(topic, answer, source) from one-row metric tables.
 
     ``answers`` maps a topic to its metric table, the sentence over its columns and the
-    name of the source. All metrics are computed once, however many questions there are.
+    name of the source. The sentences are checkpointed, so all metrics are computed once,
+    however many questions there are and however often the result is read.
     """
     lines = [metrics.select(F.lit(topic).alias("topic"), sentence.alias("answer"), F.lit(source).alias("source"))
              for topic, (metrics, sentence, source) in answers.items()]
-    return reduce(DataFrame.unionByName, lines)
+    checkpoint_root(lines[0].sparkSession)
+    return reduce(DataFrame.unionByName, lines).checkpoint()
 
 
 def executive_briefing(rows: DataFrame, hit: Column, team: str, headline: str, digits: int = 1) -> DataFrame:
