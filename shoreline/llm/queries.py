@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import chat, licenses
+from shoreline.llm import chat, licenses, rules, topk
 from shoreline.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -63,3 +63,19 @@ def chat_prefixes(spark: SparkSession, sf_dir: str) -> DataFrame:
                                   F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                   F.lit(HOSTILE).alias("text"))
     return chat.conversation_digests(chat.expand_prefixes(given.unionByName(added)))
+
+
+@query("op9_exact_top_k", """
+    WITH v AS (SELECT vec_id, [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q FROM embeddings
+               WHERE embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT a.vec_id AS query_id, b.vec_id, list_sum([x[1] * x[2] FOR x IN list_zip(a.q, b.q)])::BIGINT AS score
+          FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 50 = 0),
+    r AS (SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s)
+    SELECT * FROM r WHERE rank <= 5""")
+def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op8_quality_rules")
+def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge_quality(table(spark, sf_dir, "documents"), [F.col("doc_id")])
