@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import chat, licenses, rules, topk
+from shoreline.llm import chat, jaccard, licenses, rules, topk
 from shoreline.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -79,3 +79,8 @@ def exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_quality_rules")
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge_quality(table(spark, sf_dir, "documents"), [F.col("doc_id")])
+
+
+@query("op10_jaccard_join")
+def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_groups(table(spark, sf_dir, "documents"))
