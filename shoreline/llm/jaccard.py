@@ -3,11 +3,12 @@
 Two sets of sizes a and b whose Jaccard similarity is 3/4 or more differ in at most
 (a + b) / 7 shingles. The universe of shingles is cut into segments by hash, with more
 segments than that for every band of sizes, so a linked pair must agree on whole segments.
-Each set indexes the subsets that fall into its segments. What a set spends on them is
-allocated by cost: of its subsets only as many as can differ, plus one, are indexed, the
-most selective (largest) first; small sets, whose subsets are few, also index every subset
-with one shingle deleted, so that a segment that differs by one still meets. Candidates are
-then verified exactly.
+Each set indexes subsets that fall into its segments. What it spends on them is allocated by
+cost: only as many subsets as can differ, plus one, are indexed, in one order that holds for
+all sets and puts subsets with more uncommon shingles first. (If the first so many subsets of
+two sets had none in common, more subsets would differ than can.) A set with fewer subsets
+than that also indexes each subset with one shingle deleted, so that a segment that differs
+by one still meets. Candidates are then verified exactly.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ WIDTH = 5
 #: Similarity 3/4: linked when 4 * intersection >= 3 * union.
 SMALL_SET = 64
 SMALL_IDS = 2_000_000
+#: A shingle that tasks meet this often, counting only tasks that meet it twice, is common.
+COMMON_COUNT, COMMON_BITS, COUNTED_TOKENS = 8, 24, 1 << 22
 
 
 def _bands() -> list[tuple[int, int]]:
@@ -44,39 +47,46 @@ BANDS = _bands()
 _HIGHS = np.array([high for _, high in BANDS])
 
 
-def segment_keys(tokens: np.ndarray) -> np.ndarray:
-    """Index keys of one set: its own band's and, if a partner can be that large, the next one's."""
+def segment_keys(tokens: np.ndarray, common: np.ndarray | None = None) -> np.ndarray:
+    """Index keys of one set: its own band's and, if a partner can be that large, the next one's.
+
+    ``common`` is a bitmap over the top bits of a shingle; a set bit makes it count as common.
+    Any bitmap gives the same links, as long as all sets use the same one.
+    """
     size = len(tokens)
+    rare = np.ones(size, np.int64)
+    if common is not None:
+        bit = (tokens >> np.uint64(64 - COMMON_BITS)).astype(np.int64)
+        rare = 1 - ((common[bit >> 3] >> (bit & 7)) & 1).astype(np.int64)
     own = int(np.searchsorted(_HIGHS, size))
-    keys = [_band_keys(tokens, own)]
+    keys = [_band_keys(tokens, rare, own)]
     if size * 4 // 3 > BANDS[own][1]:
-        keys.append(_band_keys(tokens, own + 1))
+        keys.append(_band_keys(tokens, rare, own + 1))
     return np.concatenate(keys)
 
 
-def _band_keys(tokens: np.ndarray, band: int) -> np.ndarray:
-    high = BANDS[band][1]
-    segments = 16 * high if high <= SMALL_SET else high // 2 + 8
+def _band_keys(tokens: np.ndarray, rare: np.ndarray, band: int) -> np.ndarray:
+    high, wanted = BANDS[band][1], len(tokens) // 3 + 1
+    segments = 16 * high if high <= SMALL_SET else high + 16
     place = ((tokens >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
     # tokens are sorted, and the place follows the high bits, so segments are runs
     heads = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
-    counts = np.diff(np.r_[heads, len(tokens)])
     spread = mixed(tokens)
-    sums = np.add.reduceat(spread, heads)
-    salt = place[heads] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band + 1)
-    full = _ordered(mixed(sums ^ mixed(salt)), counts)
-    if high > SMALL_SET:
-        wanted = len(tokens) // 3 + 1
-        return np.partition(full, wanted - 1)[:wanted] if len(full) > wanted else full
+    sums, rares = np.add.reduceat(spread, heads), np.add.reduceat(rare, heads)
+    salt = mixed(place[heads] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band + 1))
+    full = _ordered(mixed(sums ^ salt), rares)
+    if len(full) >= wanted:
+        return np.partition(full, wanted - 1)[:wanted]
+    counts = np.diff(np.r_[heads, len(tokens)])
     several = np.repeat(counts > 1, counts)
-    rest = np.repeat(sums, counts)[several] - spread[several]
-    deleted = _ordered(mixed(rest ^ mixed(np.repeat(salt, counts)[several])), np.repeat(counts, counts)[several] - 1)
+    rest = (np.repeat(sums, counts) - spread)[several]
+    deleted = _ordered(mixed(rest ^ np.repeat(salt, counts)[several]), (np.repeat(rares, counts) - rare)[several])
     return np.unique(np.r_[full, deleted])
 
 
-def _ordered(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Keys that sort by falling subset size, the same everywhere for the same subset."""
-    rank = np.uint64(31) - np.minimum(counts, 31).astype(np.uint64)
+def _ordered(hashes: np.ndarray, rares: np.ndarray) -> np.ndarray:
+    """Keys that sort by falling number of uncommon shingles, the same for the same subset."""
+    rank = np.uint64(31) - np.minimum(rares, 31).astype(np.uint64)
     return (rank << np.uint64(59)) | (hashes >> np.uint64(5))
 
 
@@ -84,30 +94,68 @@ _KEYED = pa.schema([("key", pa.int64()), ("doc", pa.int64()), ("tag", pa.int64()
 _GROUPED = pa.schema([("key", pa.int64()), ("center", pa.int64()), ("doc", pa.int64()), ("n", pa.int32())])
 
 
-def _index_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Index rows (tag 0) of each set, and one row per document keyed by its set's fingerprint.
+def _repeated_tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Shingles that occur in several different sets among those at hand, with counts."""
+    known: set[bytes] = set()
+    held, size = [], 0
+
+    def counted() -> pa.RecordBatch:
+        tokens, counts = np.unique(np.concatenate(held), return_counts=True)
+        return pa.record_batch([pa.array(tokens[counts > 1].view(np.int64)), pa.array(counts[counts > 1])], ["token", "n"])
 
-    A set that the task has met before is not indexed again.
-    """
-    known: dict[bytes, int] = {}
     for batch in batches:
-        keys, docs, tags, sizes = [], [], [], []
-        for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+        for text in batch.column(1):
             tokens = shingle_set(text.as_py(), WIDTH)
             print_ = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
-            first, second = np.frombuffer(print_, np.int64)
-            keys.append(np.array([first]))
-            docs.append(np.array([doc]))
-            tags.append(np.array([second | 1]))
-            sizes.append(np.array([len(tokens)], np.int32))
-            if len(tokens) and known.setdefault(print_, doc) == doc:
-                own = segment_keys(tokens).view(np.int64)
-                keys.append(own)
-                docs.append(np.full(len(own), doc))
-                tags.append(np.zeros(len(own), np.int64))
-                sizes.append(np.full(len(own), len(tokens), np.int32))
-        if keys:
-            yield pa.record_batch([pa.array(np.concatenate(x)) for x in (keys, docs, tags, sizes)], schema=_KEYED)
+            if print_ in known:
+                continue
+            known.add(print_)
+            held.append(tokens)
+            size += len(tokens)
+            if size > COUNTED_TOKENS:
+                yield counted()
+                held, size = [], 0
+    if held:
+        yield counted()
+
+
+def common_tokens(given: DataFrame) -> np.ndarray:
+    """Bitmap of fixed size over the top bits of shingles, set where a shingle is common.
+
+    Counted over all documents. It only steers which subsets are indexed first; at any
+    corpus size, however full it gets, the links found are the same.
+    """
+    bit = F.shiftrightunsigned("token", 64 - COMMON_BITS)
+    frequent = given.mapInArrow(_repeated_tokens, "token long, n long").groupBy("token").agg(F.sum("n").alias("n")).filter(
+        F.col("n") >= COMMON_COUNT).select(F.shiftright(bit, 15).alias("part"), bit.bitwiseAND(32767).alias("bit"))
+    bitmap = np.zeros(1 << (COMMON_BITS - 3), np.uint8)
+    for row in frequent.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
+        bitmap[row["part"] * 4096:(row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
+    return bitmap
+
+
+def _index_rows(common: np.ndarray):
+    """Index rows (tag 0) of each set, and one row per document keyed by its set's fingerprint.
+
+    A set that the task has met before is not indexed again.
+    """
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[bytes, int] = {}
+        for batch in batches:
+            keys, docs, tags, sizes = [], [], [], []
+            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+                tokens = shingle_set(text.as_py(), WIDTH)
+                print_ = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+                first, second = np.frombuffer(print_, np.int64)
+                own = segment_keys(tokens, common).view(np.int64) if len(tokens) and known.setdefault(print_, doc) == doc else np.empty(0, np.int64)
+                keys.append(np.r_[first, own])
+                docs.append(np.full(len(own) + 1, doc))
+                tags.append(np.r_[second | 1, np.zeros(len(own), np.int64)])
+                sizes.append(np.full(len(own) + 1, len(tokens), np.int32))
+            if keys:
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in (keys, docs, tags, sizes)], schema=_KEYED)
+
+    return rows
 
 
 def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +257,8 @@ def linked_groups(documents: DataFrame) -> DataFrame:
     pairs across components are compared too. No link between different texts is lost.
     """
     given = documents.select("doc_id", "text")
-    indexed = given.filter(F.col("doc_id").isNotNull()).mapInArrow(_index_rows, "key long, doc long, tag long, n int")
+    known = given.filter(F.col("doc_id").isNotNull())
+    indexed = known.mapInArrow(_index_rows(common_tokens(known)), "key long, doc long, tag long, n int")
     grouped = stored(indexed.repartition("key").sortWithinPartitions("key", "tag", "doc").mapInArrow(
         _shared_runs, "key long, center long, doc long, n int"), "jaccard-index")
     sets = grouped.filter(F.col("key").isNull()).select(F.col("doc").alias("doc_id"), F.col("center").alias("copy_of"), "n")

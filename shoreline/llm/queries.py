@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import chat, jaccard, licenses, rules, topk
+from shoreline.llm import bpe, chat, jaccard, licenses, rules, topk
 from shoreline.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
+TOKENIZER = "word_bpe_49k.json"
+
 __all__ = ["ORACLES", "QUERIES"]
 
 
@@ -84,3 +87,8 @@ def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_jaccard_join")
 def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.linked_groups(table(spark, sf_dir, "documents"))
+
+
+@query("op2_bpe_round_trip")
+def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))

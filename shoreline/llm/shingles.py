@@ -34,6 +34,14 @@ def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def byte_sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums whose differences, times the inverse power of their start, hash any span of bytes."""
+    power, inverse = _power_tables(len(data) + 1)
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTES[data] * power[:len(data)], out=sums[1:])
+    return sums, inverse
+
+
 def lowered_words(text: str | None) -> list[bytes]:
     """Words of a text between ASCII white space, with A-Z lower-cased."""
     return (text or "").encode("utf-8", "surrogatepass").lower().split()
@@ -54,9 +62,7 @@ def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
         sizes = np.fromiter(map(len, block), np.int64, len(block))
         ends = np.cumsum(sizes + 1) - 1
         starts = ends - sizes
-        power, inverse = _power_tables(len(data) + 1)
-        sums = np.zeros(len(data) + 1, np.uint64)
-        np.cumsum(_BYTES[data] * power[:len(data)], out=sums[1:])
+        sums, inverse = byte_sums(data)
         first, last = starts[:len(block) - width + 1], ends[width - 1:]
         parts.append(mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)))
     return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
