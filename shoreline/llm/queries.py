@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import bpe, chat, jaccard, licenses, rules, topk
+from shoreline.llm import bpe, chat, jaccard, licenses, rules, topk, warc
 from shoreline.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -92,3 +92,30 @@ def jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_bpe_round_trip")
 def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+@query("op7_warc_revisits", r"""
+    WITH page AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest,
+                         1600000000 + page_id * 60 AS ts FROM pages),
+    record AS (SELECT page_id * 3 AS record_id, 'response' AS kind, url, ts, digest, '"' || digest[:12] || '"' AS etag,
+                      NULL AS stale FROM page
+               UNION ALL SELECT page_id * 3 + 1, 'revisit', url, ts + 30, digest, '"' || digest[:12] || '"', NULL FROM page
+               UNION ALL SELECT page_id * 3 + 2, 'revisit', url, ts + 2592000, NULL,
+                      CASE WHEN page_id % 3 = 0 THEN '"stale"' ELSE '"' || digest[:12] || '"' END, NULL FROM page),
+    part AS (SELECT *, regexp_replace(url, '#.*$', '') AS bare FROM record),
+    cut AS (SELECT *, lower(regexp_extract(bare, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//(?:[^/?@]*@)?([^/?]*)', 1)) AS host,
+                   regexp_replace(regexp_replace(bare, '^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?]*', ''),
+                                  '([?&])(?:utm_[a-z]+|ref|gclid|fbclid)=[^&]*&?', '\1', 'g') AS path FROM part),
+    named AS (SELECT *, regexp_replace(regexp_replace(host, ':(80|443)$', ''), '^(?:www|m)\.', '') ||
+                     regexp_replace(regexp_replace(path, '[?&]+$', ''), '/+(\?|$)', '\1') AS canonical FROM cut),
+    pair AS (SELECT v.*, r.record_id AS response_id, r.digest AS digest_r, r.etag AS etag_r,
+                    row_number() OVER (PARTITION BY v.record_id ORDER BY r.ts DESC NULLS LAST, r.record_id DESC) AS no
+             FROM (SELECT * FROM named WHERE kind = 'revisit') v
+             LEFT JOIN (SELECT * FROM named WHERE kind = 'response') r ON v.canonical = r.canonical AND v.canonical <> '' AND r.ts < v.ts)
+    SELECT record_id, canonical, response_id,
+           CASE WHEN response_id IS NULL THEN 'missing' WHEN coalesce(digest = digest_r, etag = etag_r) THEN 'resolved'
+                ELSE 'mismatch' END AS status
+    FROM pair WHERE no = 1""")
+def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.captures(table(spark, sf_dir, "pages")))
+    return found.select("record_id", "canonical", "response_id", "status")
