@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import bpe, chat, jaccard, licenses, rules, topk, warc
+from shoreline.llm import bpe, chat, jaccard, licenses, mixing, quality, rules, topk, toxicity, warc
 from shoreline.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -119,3 +119,19 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.resolve_revisits(warc.captures(table(spark, sf_dir, "pages")))
     return found.select("record_id", "canonical", "response_id", "status")
+
+
+@query("op3_source_mixing")
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mixing.mix(table(spark, sf_dir, "documents"), [F.col("doc_id")])
+    return mixed.toDF("doc_id", *[c.removeprefix("_mix_") for c in mixed.columns[1:]])
+
+
+@query("op4_co_training")
+def co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), [F.col("doc_id")])
+
+
+@query("op6_toxic_spans")
+def toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
