@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shoreline.llm.base import text_or_empty
 from shoreline.llm.logistic import Logistic, fit_logistic
+from shoreline.llm.shingles import shingle_set
 
 WORD = re.compile(r"[^\W\d_]+")
 FEATURE_BITS = 18
@@ -154,6 +155,17 @@ def _expected_steps(emissions: np.ndarray, follows: np.ndarray, transitions: np.
     return pair[follows.T].sum(0)
 
 
+def without_copies(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
+    """Training rows without most copies: one per smallest shingle hash.
+
+    Many near copies of one toxic document would make each of its words look toxic.
+    """
+    kept: dict[tuple[int, ...], tuple[str, int]] = {}
+    for text, label in rows:
+        kept.setdefault(tuple(shingle_set(text)[:1].tolist()), (text, label))
+    return list(kept.values())
+
+
 def train(labelled: DataFrame) -> ChainField:
     """Fit on a bounded sample of labelled documents (doc_id, text, toxic).
 
@@ -165,6 +177,7 @@ def train(labelled: DataFrame) -> ChainField:
     for label in (0, 1):
         part = labelled.filter(F.col("toxic") == label).select(order.alias("_order"), "doc_id", text_or_empty().alias("text"))
         rows += [(r["text"], label) for r in part.orderBy("_order", "doc_id").limit(TRAINING_DOCS).collect()]
+    rows = without_copies(rows)
     documents, labels = [WORD.findall(t.lower()) for t, _ in rows], [y for _, y in rows]
     toxic = toxic_forms(documents, labels) if 0 < sum(labels) < len(labels) else set()
     numbers: dict[str, int] = {}
