@@ -273,8 +273,9 @@ def linked_groups(documents: DataFrame) -> DataFrame:
             pairs = pairs.join(first, side, "left").withColumn(side, F.coalesce("_first", side)).drop("_first")
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
-    members = broadcast_if_small(index.select(F.col("doc").alias("doc_id")).distinct(), max_rows=SMALL_IDS)
-    texts = stored(given.join(members, "doc_id", "left_semi"), "jaccard-texts")
+    members = index.select("doc").distinct().join(copies.select(F.col("b").alias("doc"), "a"), "doc", "left").select(
+        F.coalesce("a", "doc").alias("doc_id")).distinct()
+    texts = stored(given.join(broadcast_if_small(members, max_rows=SMALL_IDS), "doc_id", "left_semi"), "jaccard-texts")
     tested = stored(verify(one_per_set(index.filter("center <> doc").select(
         F.col("center").alias("a"), F.col("doc").alias("b")).distinct()), texts), "jaccard-links")
     links = stored(copies.unionByName(tested.filter("linked").select("a", "b")), "jaccard-edges")
