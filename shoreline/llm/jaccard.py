@@ -29,6 +29,9 @@ WIDTH = 5
 #: Similarity 3/4: linked when 4 * intersection >= 3 * union.
 SMALL_SET = 64
 SMALL_IDS = 2_000_000
+#: Places of the parity sketch of a set.
+SKETCH_BITS = 1024
+SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
 #: A shingle that tasks meet this often, counting only tasks that meet it twice, is common.
 COMMON_COUNT, COMMON_BITS, COUNTED_TOKENS = 8, 24, 1 << 22
 
@@ -192,29 +195,31 @@ def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, tag, center = keys[-1], tags[-1], centers[-1]
 
 
-_CHECKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_())])
+_CHECKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("distance", pa.float64())])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Exact test of candidate pairs from their whole texts; the last left set is kept."""
     seen, left = None, None
     for batch in batches:
-        linked = []
+        linked, apart = [], []
         for a, one, other in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
             one = one.as_py()
             if seen != one or left is None:
                 seen, left = one, shingle_set(one, WIDTH)
             right = shingle_set(other.as_py(), WIDTH)
             both = len(np.intersect1d(left, right, assume_unique=True))
-            linked.append(100 * both >= 75 * (len(left) + len(right) - both) > 0)
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], schema=_CHECKED)
+            either = len(left) + len(right) - both
+            linked.append(100 * both >= 75 * either > 0)
+            apart.append(1 - both / max(either, 1))
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(apart)], schema=_CHECKED)
 
 
 def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Test candidate pairs (a, b): a, b, linked. Each text moves once per pair it is in."""
+    """Test candidate pairs (a, b): a, b, linked, distance (one less similarity). Each text moves once per pair it is in."""
     right = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("_right")), "b")
     both = right.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("_left")), "a")
-    return both.select("a", "b", "_left", "_right").mapInArrow(_verified, "a long, b long, linked boolean")
+    return both.select("a", "b", "_left", "_right").mapInArrow(_verified, "a long, b long, linked boolean, distance double")
 
 
 def smallest_reachable(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -281,7 +286,7 @@ def linked_groups(documents: DataFrame) -> DataFrame:
     links = stored(copies.unionByName(tested.filter("linked").select("a", "b")), "jaccard-edges")
     labels = smallest_reachable(links)
 
-    rest = stored(remaining_pairs(index, labels, tested, one_per_set), "jaccard-rest")
+    rest = stored(remaining_pairs(index, labels, tested, copies, texts), "jaccard-rest")
     if not rest.isEmpty():
         more = stored(verify(rest, texts).filter("linked").select("a", "b"), "jaccard-more")
         if not more.isEmpty():
@@ -298,18 +303,45 @@ def _sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([len(shingle_set(t.as_py(), WIDTH)) for t in batch.column(1)], pa.int64())], ["n_shingles"])
 
 
-def remaining_pairs(index: DataFrame, labels: DataFrame, tested: DataFrame, one_per_set) -> DataFrame:
+def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each set, whether an odd number of its shingles falls to each of SKETCH_BITS places."""
+    for batch in batches:
+        sketches = [np.packbits((np.bincount((shingle_set(t.as_py(), WIDTH) % np.uint64(SKETCH_BITS)).astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)).view(np.int64)
+                    for t in batch.column(1)]
+        if sketches:
+            yield pa.record_batch([batch.column(0), *map(pa.array, np.ascontiguousarray(np.array(sketches).T))], ["doc", *SKETCH])
+
+
+def remaining_pairs(index: DataFrame, labels: DataFrame, tested: DataFrame, copies: DataFrame, texts: DataFrame) -> DataFrame:
     """Pairs of documents that share an index key but neither a component nor a test so far.
 
-    Only keys with three or more members of at least two components have any.
+    Only keys with three or more members of at least two components have any; of keys with the
+    same members one is looked at. Both members' distances to the key's center are known, and
+    one less similarity is a metric, so distances that differ by more than a link's rule a
+    pair out without a test. So do parity sketches of the sets: places whose parity differs are
+    no more than the shingles that differ, of which a linked pair has few.
     """
     label = labels.select(F.col("node").alias("doc"), "label")
     placed = index.join(label, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    mixed_keys = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")).filter(
-        "low <> high AND members > 2").select("key")
-    inside = placed.join(mixed_keys, "key", "left_semi").filter("center <> doc").select("key", "doc", "n", "label")
-    other = inside.select("key", F.col("doc").alias("b"), F.col("n").alias("_n"), F.col("label").alias("_label"))
-    pairs = inside.withColumnRenamed("doc", "a").join(other, "key").filter(
+    member = F.xxhash64("doc", F.lit(1)), F.xxhash64("doc", F.lit(2))
+    groups = placed.groupBy("key").agg(
+        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"),
+        *[F.bit_xor(m).alias(f"m{i}") for i, m in enumerate(member)]).filter("low <> high AND members > 2")
+    looked_at = groups.groupBy("members", "m0", "m1").agg(F.min("key").alias("key")).select("key")
+    first = copies.select(F.col("b").alias("doc"), F.col("a").alias("_first"))
+    inside = placed.join(looked_at, "key", "left_semi").join(first, "doc", "left").withColumn("doc", F.coalesce("_first", "doc")).drop("_first")
+    inside = inside.join(first.withColumnRenamed("doc", "center"), "center", "left").withColumn("center", F.coalesce("_first", "center"))
+    apart = tested.select(F.col("a").alias("center"), F.col("b").alias("doc"), "distance")
+    both = stored(inside.select("key", "center", "doc", "n", "label").distinct().join(
+        apart.unionByName(apart.select(F.col("doc").alias("center"), F.col("center").alias("doc"), "distance")), ["center", "doc"]), "jaccard-mixed")
+    sketches = stored(texts.select("doc_id", "text").join(both.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
+        _sketch_rows, "doc long, " + ", ".join(f"{c} long" for c in SKETCH)), "jaccard-sketches")
+    both = both.join(sketches, "doc")
+    other = both.select("key", F.col("doc").alias("b"), *[F.col(c).alias(f"_{c}") for c in ("n", "label", "distance", *SKETCH)])
+    differing = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"_{c}"))) for c in SKETCH), F.lit(0))
+    pairs = both.withColumnRenamed("doc", "a").join(other, "key").filter(
         (F.col("a") < F.col("b")) & (F.col("label") != F.col("_label"))
-        & (4 * F.least("n", "_n") >= 3 * F.greatest("n", "_n"))).select("a", "b").distinct()
-    return one_per_set(pairs).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        & (4 * F.least("n", "_n") >= 3 * F.greatest("n", "_n"))
+        & (F.abs(F.col("distance") - F.col("_distance")) < 0.25 + 1e-9)
+        & (7 * differing <= F.col("n") + F.col("_n"))).select("a", "b").distinct()
+    return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")
