@@ -22,8 +22,8 @@ from shoreline.llm.shingles import byte_sums, mixed
 
 #: Bytes of the rolling window; spaces between cuts on average; bits of the map of shared chunks.
 WINDOW, SPACING, SHARED_BITS = 24, 64, 24
-#: Encoded words that a worker remembers.
-REMEMBERED_WORDS = 500_000
+#: Encoded words that a worker remembers, and texts whose words it holds at a time.
+REMEMBERED_WORDS, TEXTS_AT_ONCE = 400_000, 128
 
 
 class Codec:
@@ -127,6 +127,12 @@ def chunk_ends(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return ends, mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
+            yield batch.slice(at, TEXTS_AT_ONCE)
+
+
 def _bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8")
 
@@ -176,7 +182,7 @@ def _encode_alone(path: str, shared: np.ndarray):
     once per task the chunk itself."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, texts_seen, chunks_seen = codec(path), set(), set()
-        for batch in batches:
+        for batch in _parts(batches):
             out: list[tuple] = []
             alone: list[tuple] = []
             for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -221,7 +227,7 @@ def _shared_texts(shared: np.ndarray):
 
 def _encode_chunks(path: str):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             yield pa.record_batch([batch.column(0), pa.array(codec(path).encode(batch.column(1).to_pylist()), pa.binary())], ["chunk_key", "ids"])
     return rows
 
@@ -233,7 +239,7 @@ def _assemble(path: str):
     """Digests of texts (key, text, encoded chunks by place)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
-        for batch in batches:
+        for batch in _parts(batches):
             out = []
             for key, text, chunks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
                 data = _bytes(text.as_py())
