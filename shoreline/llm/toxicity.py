@@ -17,7 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoreline.llm.base import text_or_empty
@@ -166,17 +166,17 @@ def without_copies(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
     return list(kept.values())
 
 
-def train(labelled: DataFrame) -> ChainField:
-    """Fit on a bounded sample of labelled documents (doc_id, text, toxic).
+def train(documents: DataFrame, marks: DataFrame) -> ChainField:
+    """Fit on a bounded sample of the labelled documents (doc_id, text) with ``marks`` (doc_id, toxic).
 
-    At most TRAINING_DOCS documents of each class are taken, the first by a hash of their id.
-    Without labels of both classes the field knows no toxic form, and every score is the same.
+    At most TRAINING_DOCS ids of each class are taken, the first by a hash of the id; they are
+    chosen from the labels alone, and so few can be broadcast to fetch their texts. Without
+    labels of both classes the field knows no toxic form, and every score is the same.
     """
     order = F.xxhash64("doc_id")
-    rows = []
-    for label in (0, 1):
-        part = labelled.filter(F.col("toxic") == label).select(order.alias("_order"), "doc_id", text_or_empty().alias("text"))
-        rows += [(r["text"], label) for r in part.orderBy("_order", "doc_id").limit(TRAINING_DOCS).collect()]
+    chosen_ids = [marks.filter(F.col("toxic") == label).orderBy(order, "doc_id").limit(TRAINING_DOCS) for label in (0, 1)]
+    found = documents.join(F.broadcast(chosen_ids[0].unionByName(chosen_ids[1])), "doc_id").select("doc_id", "toxic", text_or_empty().alias("text")).collect()
+    rows = [(r["text"], r["toxic"]) for r in sorted(found, key=lambda r: (r["toxic"], r["doc_id"], r["text"]))]
     rows = without_copies(rows)
     documents, labels = [WORD.findall(t.lower()) for t, _ in rows], [y for _, y in rows]
     toxic = toxic_forms(documents, labels) if 0 < sum(labels) < len(labels) else set()
@@ -269,6 +269,11 @@ def _score(field: ChainField):
     return rows
 
 
+def held_out() -> Column:
+    """Whether a document's label must not be learnt from."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 4 == 2
+
+
 def score_toxicity(documents: DataFrame, labels: DataFrame, threshold: float = 0.3) -> DataFrame:
     """doc_id, held_out, score, predicted and spans (offsets of toxic words) of every document row.
 
@@ -282,9 +287,8 @@ def score_toxicity(documents: DataFrame, labels: DataFrame, threshold: float = 0
     The trained field has a fixed size and travels with the tasks; no document moves but the
     bounded training sample.
     """
-    given = documents.select("doc_id", (F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)) % 4 == 2).alias("held_out"),
-                             text_or_empty().alias("text"))
+    given = documents.select("doc_id", held_out().alias("held_out"), text_or_empty().alias("text"))
     marks = labels.filter(F.col("toxic").isin(0, 1)).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    field = train(given.filter(~F.col("held_out")).join(marks, "doc_id"))
+    field = train(given, marks.filter(~held_out()))
     scored = given.mapInArrow(_score(field), "doc_id long, held_out boolean, score double, spans array<struct<start:int,end:int>>")
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= threshold).cast("int").alias("predicted"), "spans")
