@@ -105,8 +105,9 @@ def test_expectation_maximisation_against_plain_python(spark):
 
 
 def test_rules_reject_junk_and_keep_prose(documents):
-    prose = [(i, "The cat of the house is in a garden and it sat by the tree %d. " % i * 1 + " ".join(
-        f"The word{i}x{j} is in the garden of house{j}." for j in range(12))) for i in range(60)]
+    def name(i, j):
+        return "".join("abcdefghij"[int(d)] for d in f"{i}{j}")
+    prose = [(i, "The cat of the house sat in the garden. " + " ".join(f"The {name(i, j)} is in the garden of {name(j, i)}." for j in range(12))) for i in range(60)]
     junk = [(100 + i, " ".join(f"X{i}Y{j}*** ZZ{j}$$$" for j in range(60))) for i in range(6)]
     got = {r.doc_id: r.kept for r in rules.judge_quality(documents(prose + junk), [F.col("doc_id")]).collect()}
     assert all(got[i] for i, _ in prose) and not any(got[i] for i, _ in junk)
