@@ -161,7 +161,8 @@ def answer_key(spark: SparkSession, sf: str) -> DataFrame:
     """Rows per event type as the expected answers, stored as the answer key is."""
     path = shared_folder(spark, "answer_key")
     (table(spark, sf, "events").groupBy(F.col("event_type").alias("question_id"))
-     .agg(F.count("*").cast("string").alias("answer")).write.parquet(path))
+     .agg(F.count("*").cast("string").alias("answer"))
+     .withColumn("question", F.concat(F.lit("How many events are of type "), "question_id", F.lit("?"))).write.parquet(path))
     return spark.read.parquet(path)
 
 

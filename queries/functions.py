@@ -1,5 +1,7 @@
 """SQL functions and model functions."""
 
+import os
+
 from pyspark.sql import functions as F
 
 from queries.base import query
@@ -9,6 +11,7 @@ from shoreline.functions.risk import register_cohort_summary, register_risk_func
 from shoreline.operators.model_calls import rule_client, score_rows
 from shoreline.plans.briefing import risk_prompt
 from shoreline.plans.medallion import clean, rollup
+from shoreline.session import shared_folder
 
 
 @query("udf_01_sql_function", f"SELECT l_orderkey, l_linenumber, {RISK_SQL} AS risk FROM ({VITALS_SQL})")
@@ -20,9 +23,12 @@ def sql_function(spark, sf):
 @query("udf_02_table_function", with_views("gold", """
     SELECT value_group, outcome, 'Group: ' || value_group || ' | Label: ' || outcome || ' | Rows: ' || event_count AS summary FROM gold"""))
 def table_function(spark, sf):
-    rollup(clean(intake_raw(spark, sf), CLEAN), COHORT).createOrReplaceTempView("shoreline_gold")
-    name = register_cohort_summary(spark, "shoreline_gold", "value_group", "outcome", "event_count", {})
-    return spark.sql(f"SELECT s.* FROM (SELECT DISTINCT value_group FROM shoreline_gold) g, LATERAL {name}(g.value_group) s")
+    path = shared_folder(spark, "gold")
+    rollup(clean(intake_raw(spark, sf), CLEAN), COHORT).write.parquet(path)
+    view = "gold_" + os.path.basename(path).replace("-", "_")
+    spark.read.parquet(path).createOrReplaceTempView(view)
+    name = register_cohort_summary(spark, view, "value_group", "outcome", "event_count", {})
+    return spark.sql(f"SELECT s.* FROM (SELECT DISTINCT value_group FROM {view}) g, LATERAL {name}(g.value_group) s")
 
 
 @query("udf_03_model_function", f"SELECT risk, COUNT(*) AS n_rows FROM (SELECT {RISK_SQL} AS risk FROM ({VITALS_SQL})) GROUP BY risk")

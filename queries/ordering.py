@@ -39,9 +39,13 @@ def preview(spark, sf):
     return top_k(docs, ["doc_id"], 5)
 
 
-@query("ord_05_seeded_sample")
+@query("ord_05_seeded_sample", "SELECT 50::BIGINT AS n_rows, 50::BIGINT AS distinct_keys, 50::BIGINT AS in_the_table")
 def sample(spark, sf):
-    return fixed_size_sample(table(spark, sf, "lineitem"), ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"], 50)
+    keys = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    lines = table(spark, sf, "lineitem")
+    taken = fixed_size_sample(lines, keys, 50).select(*keys)
+    found = taken.join(lines.select(*keys, F.lit(1).alias("there")).distinct(), keys, "left")
+    return found.agg(F.count("*").alias("n_rows"), F.count_distinct(*keys).alias("distinct_keys"), F.count("there").alias("in_the_table"))
 
 
 @query("set_01_union_all", """

@@ -52,7 +52,7 @@ def answer_check_strict(spark, sf):
            COALESCE(verdict, question_id = 'view') AS verdict, COUNT(*) AS n_rows FROM checked GROUP BY 1, 2, 3"""))
 def second_judge(spark, sf):
     def client(prompts):
-        return ["Correct" if p.startswith("Question: view") else "Wrong" for p in prompts]
+        return ["Correct." if "type view?" in p else "Incorrect" for p in prompts]
 
     return judge_unknown(checked(spark, sf), client).groupBy("question_id", "judge", "verdict").agg(F.count("*").alias("n_rows"))
 
@@ -61,16 +61,19 @@ def second_judge(spark, sf):
     latest AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY team, question_id, method ORDER BY submitted_at DESC, event_id DESC) AS rn
                FROM checked) WHERE rn = 1),
     both_ways AS (SELECT team, question_id, BOOL_OR(method = 'ASSISTANT' AND COALESCE(verdict, FALSE)) AS assistant_right,
-                         BOOL_OR(method = 'SQL' AND COALESCE(verdict, FALSE)) AS direct_right FROM latest GROUP BY team, question_id)
-    SELECT team, question_id, CASE WHEN assistant_right THEN 3 WHEN direct_right THEN 2 ELSE 0 END AS points FROM both_ways"""))
+                         BOOL_OR(method = 'SQL' AND COALESCE(verdict, FALSE)) AS direct_right,
+                         BOOL_OR(method = 'SQL' AND event_id % 4 = 0) AS assistant_method FROM latest GROUP BY team, question_id)
+    SELECT team, question_id, CASE WHEN assistant_right THEN 3 WHEN direct_right AND assistant_method THEN 3
+                                   WHEN direct_right THEN 2 ELSE 0 END AS points FROM both_ways"""))
 def best_channel(spark, sf):
     latest = keep_latest(checked(spark, sf), ["team", "question_id", "method"], "submitted_at", ["event_id"])
     right = F.coalesce("verdict", F.lit(False))
     both = latest.groupBy("team", "question_id").agg(
         F.bool_or((F.col("method") == "ASSISTANT") & right).alias("assistant_right"),
-        F.bool_or((F.col("method") == "SQL") & right).alias("direct_right"))
+        F.bool_or((F.col("method") == "SQL") & right).alias("direct_right"),
+        F.bool_or((F.col("method") == "SQL") & (F.col("event_id") % 4 == 0)).alias("assistant_method"))
     return both.select("team", "question_id", channel_points(
-        F.col("assistant_right"), F.col("direct_right"), F.lit(False)).alias("points"))
+        F.col("assistant_right"), F.col("direct_right"), F.col("assistant_method")).alias("points"))
 
 
 QUIZ_SQL = {

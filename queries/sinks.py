@@ -197,11 +197,15 @@ def schema_alignment(spark, sf):
         align_schema(new, target, {"state": "o_orderstatus", "price": "o_totalprice"}))
 
 
+#: Rows of a clustered file.
+CLUSTERED_ROWS = 7_500
+
+
 @query("snk_15_clustered_layout", "SELECT COUNT(*) AS n_rows, 0::BIGINT AS overlapping_files FROM lineitem")
 def clustered_layout(spark, sf):
     path = shared_folder(spark, "clustered")
     keys = ["l_shipdate", "l_returnflag"]
-    write_clustered(table(spark, sf, "lineitem"), path, keys, files=8)
+    write_clustered(table(spark, sf, "lineitem"), path, keys, files=max(1, table(spark, sf, "lineitem").count() // CLUSTERED_ROWS))
     ranges = spark.read.parquet(path).groupBy(F.col("_metadata.file_path").alias("file")).agg(
         F.count("*").alias("n"), F.min(F.struct(*keys)).alias("low"), F.max(F.struct(*keys)).alias("high"))
     previous = F.lag("high").over(Window.orderBy("low"))

@@ -100,12 +100,12 @@ def inventory(spark, sf):
                     F.bool_and(F.col("bytes") > 0).alias("has_bytes"))
 
 
-@query("src_07_document_corpus", "SELECT item_id, LENGTH(text) AS n_chars, MD5(text) AS digest FROM benchmark")
+@query("src_07_document_corpus", "SELECT doc_id, LENGTH(text) AS n_chars, MD5(text) AS digest FROM documents")
 def document_corpus(spark, sf):
     path = shared_folder(spark, "corpus")
-    table(spark, sf, "benchmark").select("item_id", "text").write.partitionBy("item_id").text(path)
+    table(spark, sf, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(path)
     docs = read_corpus(spark, path).withColumn("text", F.regexp_replace("text", r"\n\z", ""))
-    return docs.select(F.col("item_id").cast("long").alias("item_id"),
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                        F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("digest"))
 
 
@@ -121,15 +121,22 @@ def inline_dimension(spark, sf):
     return dimension.join(counts, "event_type", "left").withColumn("n_rows", F.coalesce("n_rows", F.lit(0)))
 
 
-@query("src_09_generated_table")
+@query("src_09_generated_table", """
+    SELECT COUNT(*) AS n_rows, 0::BIGINT AS out_of_range, 0::BIGINT AS changed_on_repeat, 3::BIGINT AS kinds, 2::BIGINT AS targets FROM events""")
 def generated_table(spark, sf):
     spec = {"age": IntRange(29, 78), "chol": IntRange(126, 565), "oldpeak": DoubleRange(0.0, 6.2),
             "kind": Choice(["a", "b", "c"], [0.4, 0.35, 0.25]),
             "target": RiskFlag({"age": (55, 0.3), "chol": (240, 0.3), "oldpeak": (2.0, 0.3)})}
-    made = generate_over(table(spark, sf, "events").select("event_id"), spec, 42, "event_id")
-    return made.groupBy("kind", "target").agg(
-        F.count("*").alias("n_rows"), F.min("age").alias("min_age"), F.max("age").alias("max_age"),
-        F.min("oldpeak").alias("min_oldpeak"), F.max("oldpeak").alias("max_oldpeak"))
+    ids = table(spark, sf, "events").select("event_id")
+    columns = ["age", "chol", "oldpeak", "kind", "target"]
+    made = generate_over(ids, spec, 42, "event_id")
+    again = generate_over(ids.repartition(3), spec, 42, "event_id").select("event_id", F.xxhash64(*columns).alias("_again"))
+    good = (F.col("age").between(29, 78) & F.col("chol").between(126, 565) & F.col("oldpeak").between(0, 6.2)
+            & F.col("kind").isin("a", "b", "c") & F.col("target").isin(0, 1))
+    return made.join(again, "event_id").agg(
+        F.count("*").alias("n_rows"), F.count_if(~F.coalesce(good, F.lit(False))).alias("out_of_range"),
+        F.count_if(F.xxhash64(*columns) != F.col("_again")).alias("changed_on_repeat"),
+        F.count_distinct("kind").alias("kinds"), F.count_distinct("target").alias("targets"))
 
 
 @query("src_10_inject_defects", with_views("intake_raw", """

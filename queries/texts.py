@@ -137,11 +137,15 @@ def nearest_vectors(spark, sf):
     return nearest(table(spark, sf, "embeddings"), centroids(spark, sf), 3, "vec_id", "embedding", "query_label", ["label"])
 
 
-@query("txt_08_text_search")
+@query("txt_08_text_search", """
+    SELECT item_id, 3::BIGINT AS hits, TRUE AS ranked, TRUE AS scores_in_range FROM benchmark""")
 def text_search(spark, sf):
     documents, questions = table(spark, sf, "documents"), table(spark, sf, "benchmark")
     docs, asked = text_vectors(documents, [documents, questions], "text")
-    return nearest(docs, asked, 3, "doc_id", "embedding", "item_id", ["lang", "source"])
+    found = nearest(docs, asked, 3, "doc_id", "embedding", "item_id", ["lang", "source"])
+    return found.groupBy("item_id").agg(
+        F.count_distinct("doc_id").alias("hits"), (F.array_sort(F.collect_list("rank")) == F.expr("array(1, 2, 3)")).alias("ranked"),
+        F.bool_and(F.col("score").between(-1, 1.000001)).alias("scores_in_range"))
 
 
 @query("txt_09_prompt_column", with_views("gold", """

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shoreline.ml.metrics import classification_metrics
 from shoreline.ml.split import stratified_folds
+from shoreline.operators.ranking import rank_in_hash_order
 from shoreline.session import checkpoint_root, shared_folder
 
 LOGISTIC, FOREST, BOOSTED = "logistic_regression", "random_forest", "gradient_boosting"
@@ -98,7 +99,7 @@ def soft_vote(models: Mapping[str, Model], df: DataFrame, cut: float = 0.5) -> D
 
 def cross_validate(estimator: Pipeline, df: DataFrame, label: str, key: Sequence[str], folds: int = 5,
                    seed: int = 42) -> DataFrame:
-    """(fold, f1_score): one fit per stratified fold."""
+    """(fold, f1_score), folds from 1: one fit per stratified fold of the given (training) rows."""
     checkpoint_root(df.sparkSession)
     marked = stratified_folds(df, label, key, folds, seed).persist()
     try:
@@ -107,7 +108,7 @@ def cross_validate(estimator: Pipeline, df: DataFrame, label: str, key: Sequence
             model = without_summary(estimator.fit(marked.filter(F.col("fold") != fold)))
             tested = scored(model, marked.filter(F.col("fold") == fold), [label])
             f1 = classification_metrics(tested, label, "prediction").select("f1_score").collect()[0][0]
-            lines.append((fold, f1))
+            lines.append((fold + 1, f1))
     finally:
         marked.unpersist()
     return df.sparkSession.createDataFrame(lines, "fold int, f1_score double")
@@ -128,3 +129,25 @@ def importances(models: Mapping[str, PipelineModel], features: Sequence[str], df
     lines = [(f, float(v)) for f, v in zip(features, means)]
     return df.sparkSession.createDataFrame(lines, "feature string, importance double").orderBy(
         F.desc("importance"), "feature")
+
+
+def permutation_importances(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str, key: Sequence[str],
+                            seed: int = 42) -> DataFrame:
+    """(feature, importance) of any model: the accuracy it loses when one feature is shuffled.
+
+    A feature is shuffled by giving each row the value of the row at its place in another
+    hash order; both places come from ``rank_in_hash_order``, so a rerun shuffles alike.
+    """
+    base = rank_in_hash_order(df.withColumn("_all", F.lit(1)), ["_all"], key, seed).withColumnRenamed("_rank", "_place").drop("_size")
+    other = rank_in_hash_order(df.withColumn("_all", F.lit(1)), ["_all"], key, seed + 1).select(
+        F.col("_rank").alias("_place"), F.struct(*features).alias("_other"))
+    both = base.join(other, "_place").drop("_place", "_all").persist()
+    try:
+        def accuracy(rows: DataFrame) -> float:
+            return classification_metrics(scored(model, rows, [label]), label, "prediction").select("accuracy").collect()[0][0]
+
+        whole = accuracy(both)
+        lines = [(f, float(whole - accuracy(both.withColumn(f, F.col("_other")[f])))) for f in features]
+    finally:
+        both.unpersist()
+    return df.sparkSession.createDataFrame(lines, "feature string, importance double").orderBy(F.desc("importance"), "feature")

@@ -14,14 +14,14 @@ from shoreline.session import read_json_log
 
 RUN_COLUMNS = {"run_id": "string", "team": "string", "model_type": "string",
                "params": "map<string,string>", "f1_score": "double", "roc_auc": "double",
-               "accuracy": "double", "logged_at": "timestamp"}
+               "accuracy": "double", "n_features": "int", "logged_at": "timestamp"}
 REGISTRY_SCHEMA = "name string, version int, run_id string, path string"
 
 
 def run_row(spark: SparkSession, run_id: str, team: str, model_type: str, params: Mapping[str, object],
-            f1_score: float, roc_auc: float, accuracy: float) -> DataFrame:
+            f1_score: float, roc_auc: float, accuracy: float, n_features: int) -> DataFrame:
     """One run as a row for the log."""
-    row = (run_id, team, model_type, {k: str(v) for k, v in params.items()}, f1_score, roc_auc, accuracy)
+    row = (run_id, team, model_type, {k: str(v) for k, v in params.items()}, f1_score, roc_auc, accuracy, n_features)
     schema = ", ".join(f"{n} {k}" for n, k in RUN_COLUMNS.items() if n != "logged_at")
     return spark.createDataFrame([row], schema).withColumn("logged_at", F.current_timestamp())
 

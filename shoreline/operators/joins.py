@@ -31,24 +31,22 @@ def left_with_defaults(left: DataFrame, right: DataFrame, on: Sequence[str],
     return joined.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
 
 
-def grid(rows: DataFrame, dimension: DataFrame, column: str, chunk: int = LISTED_VALUES) -> DataFrame:
-    """Every row beside every distinct value of a dimension, without a cross join.
+def grid(rows: DataFrame, dimension: DataFrame, column: str, chunk: int = LISTED_VALUES, salts: int = 16) -> DataFrame:
+    """Every row beside every distinct value of a dimension, NULL included, without a cross join.
 
-    A dimension of at most ``chunk`` values becomes a constant array that each row
-    explodes. A larger one is cut into arrays of about ``chunk`` values; the rows are
-    repeated per array number and meet it in an equi join.
+    The dimension is cut into arrays of about ``chunk`` values. Rows are repeated per array
+    and meet it in an equi join; each array is there once per salt, so that the rows of one
+    array spread over that many partitions. One path serves all sizes.
     """
     values = dimension.select(column).distinct()
-    listed = [r[0] for r in values.limit(chunk + 1).collect()]
-    if len(listed) <= chunk:
-        kind = dimension.schema[column].dataType
-        array = F.array(*[F.lit(v).cast(kind) for v in sorted(listed, key=lambda v: (v is None, v))])
-        return rows.withColumn(column, F.explode(array))
     parts = values.count() // chunk + 1
-    arrays = (values.groupBy(F.pmod(F.xxhash64(column), F.lit(parts)).alias("_chunk"))
-              .agg(F.collect_list(column).alias("_values")))
-    repeated = rows.withColumn("_chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-    return repeated.join(arrays, "_chunk").withColumn(column, F.explode("_values")).drop("_chunk", "_values")
+    arrays = (values.groupBy(F.pmod(F.xxhash64(column), F.lit(parts)).cast("int").alias("_chunk"))
+              .agg(F.collect_list(F.struct(column)).alias("_values"))
+              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
+    kept = [c for c in rows.columns if c != column]
+    repeated = rows.select(*kept, F.pmod(F.xxhash64(*kept), F.lit(salts)).cast("int").alias("_salt"),
+                           F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_chunk"))
+    return repeated.join(arrays, ["_chunk", "_salt"]).select(*kept, F.inline("_values"))
 
 
 def absent_keys(new: DataFrame, existing: DataFrame, key: Sequence[str]) -> DataFrame:

@@ -18,55 +18,59 @@ Client = Callable[[list[str]], list[str]]
 
 def score_rows(df: DataFrame, prompt: str, client: Client, output: str = "response",
                error: str | None = None, batch: int = 64, attempts: int = 3, pause: float = 0.0,
-               parallelism: int | None = None) -> DataFrame:
+               tasks: int | None = None, strict: bool = False) -> DataFrame:
     """Add the model's answer to every row.
 
-    The model sees each distinct prompt once, in batches, and the answers are
-    checkpointed, so a lost executor does not pay for finished calls again. The join back
-    meets a table that is unique in its prompt; AQE splits a prompt that many rows share.
-    Prompts are spread over ``parallelism`` tasks (all cores unless given), because AQE sizes
-    partitions by bytes and would put many short, slow prompts into one task.
-    ``client`` maps a list of prompts to a list of answers and must be picklable. A batch
-    that keeps failing gives NULL answers; name ``error`` to keep the reason.
+    The model sees each distinct prompt once, in batches. Prompts are known by two 64-bit
+    hashes, so the answers join back without their texts; they are checkpointed, so a lost
+    executor does not pay for finished calls again. Prompts are dealt over ``tasks`` tasks
+    (the session's shuffle partitions unless given), whatever their bytes.
+
+    ``client`` maps a list of prompts to a list of answers and must be picklable. A batch that
+    keeps failing is halved until single prompts fail: those alone have a NULL answer, and
+    their reason in the column ``error``, if one is named. ``strict`` raises instead.
     """
     checkpoint_root(df.sparkSession)
-    asked = df.select(F.col(prompt).alias("_asked")).filter(F.col("_asked").isNotNull()).distinct()
-    asked = asked.repartition(parallelism or df.sparkSession.sparkContext.defaultParallelism)
+    hashes = {"_h1": F.xxhash64(prompt), "_h2": F.xxhash64(F.lit(1), F.col(prompt))}
+    count = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    asked = df.filter(F.col(prompt).isNotNull()).select(F.col(prompt).alias("_asked"), *[h.alias(n) for n, h in hashes.items()])
+    asked = asked.repartition(count, *hashes).dropDuplicates(list(hashes))
 
-    def call(texts: list[str]) -> tuple[list[str | None], str | None]:
-        failure = None
+    def call(texts: list[str]) -> list[tuple[str | None, str | None]]:
+        failure = ""
         for attempt in range(attempts):
             try:
                 answers = list(client(texts))
                 if len(answers) == len(texts):
-                    return answers, None
+                    return [(a, None) for a in answers]
                 failure = f"{len(answers)} answers to {len(texts)} prompts"
             except Exception as problem:
                 failure = f"{type(problem).__name__}: {problem}"
             time.sleep(pause * 2**attempt)
-        return [None] * len(texts), failure
+        if len(texts) > 1:
+            middle = len(texts) // 2
+            return call(texts[:middle]) + call(texts[middle:])
+        if strict:
+            raise RuntimeError(f"no answer to a prompt: {failure}")
+        return [(None, failure)]
 
     def answer(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             texts = frame["_asked"].tolist()
-            answers, failures = [], []
-            for start in range(0, len(texts), batch):
-                part = texts[start:start + batch]
-                given, failure = call(part)
-                answers += given
-                failures += [failure] * len(part)
-            yield pd.DataFrame({"_asked": texts, "_answer": answers, "_error": failures}, dtype="object")
-
-    answered = asked.mapInPandas(answer, "_asked string, _answer string, _error string").checkpoint()
-    joined = df.join(answered, df[prompt] == answered["_asked"], "left").withColumn(output, F.col("_answer"))
+            given = [x for start in range(0, len(texts), batch) for x in call(texts[start:start + batch])]
+            yield pd.DataFrame({"_h1": frame["_h1"], "_h2": frame["_h2"], "_answer": [a for a, _ in given], "_error": [e for _, e in given]})
+
+    answered = asked.select("_h1", "_h2", "_asked").mapInPandas(answer, "_h1 long, _h2 long, _answer string, _error string").checkpoint()
+    keyed = df.withColumns({n: F.when(F.col(prompt).isNotNull(), h) for n, h in hashes.items()})
+    joined = keyed.join(answered, list(hashes), "left").withColumn(output, F.col("_answer"))
     if error is not None:
         joined = joined.withColumn(error, F.col("_error"))
-    return joined.drop("_asked", "_answer", "_error")
+    return joined.drop("_answer", "_error", *hashes)
 
 
 def rule_client(limits: RiskLimits = RiskLimits()) -> Client:
     """Client that needs no network: reads the measures out of a risk prompt, applies the rule."""
-    pattern = r"(Age|Cholesterol|Resting BP|Max Heart Rate)=(-?[0-9.]+)"
+    pattern = r"\b(age|chol|bp|pulse)=(-?[0-9.]+)"
     high, medium = (limits.high_age, limits.high_chol, limits.high_bp), (
         limits.medium_age_from, limits.medium_age_to, limits.medium_chol, limits.medium_bp,
         limits.medium_hr, limits.medium_markers)
@@ -74,8 +78,8 @@ def rule_client(limits: RiskLimits = RiskLimits()) -> Client:
     def one(prompt: str) -> str:
         seen = {name: float(value) for name, value in re.findall(pattern, prompt)}
         low = float("-inf")
-        age, chol = seen.get("Age", low), seen.get("Cholesterol", low)
-        bp, hr = seen.get("Resting BP", low), seen.get("Max Heart Rate", low)
+        age, chol = seen.get("age", low), seen.get("chol", low)
+        bp, hr = seen.get("bp", low), seen.get("pulse", low)
         if age > high[0] and (chol > high[1] or bp > high[2]):
             return "HIGH"
         markers = (chol > medium[2]) + (bp > medium[3]) + (hr > medium[4])

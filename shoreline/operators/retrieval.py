@@ -2,92 +2,74 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
+import pandas as pd
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from shoreline.operators.joins import SMALL_ROWS
 from shoreline.operators.ranking import top_k_per_group
-from shoreline.session import checkpoint_root
 
-QUERY_BLOCK = 512
+QUERY_BLOCK, ROW_BLOCK = 512, 16_384
+
+
+def _usable(vector: str) -> Column:
+    broken = F.exists(vector, lambda x: x.isNull() | F.isnan(x.cast("double")))
+    return F.coalesce(F.col(vector).isNotNull() & ~broken, F.lit(False))
+
+
+def unusable_vectors(df: DataFrame, vector: str) -> DataFrame:
+    """Rows that a search leaves out: their vector is NULL or holds a NULL or NaN."""
+    return df.filter(~_usable(vector))
 
 
 def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: str, query_id: str,
-            metadata: Sequence[str] = (), digits: int = 6, block: int = QUERY_BLOCK) -> DataFrame:
+            metadata: Sequence[str] = (), digits: int = 6, block: int = QUERY_BLOCK, rows: int = ROW_BLOCK) -> DataFrame:
     """The k documents nearest to each query by cosine: exact, no index.
 
-    Every task scores its batches against a block of queries with one matrix product and
-    passes on k rows per query and batch, so the shuffle holds candidates, not pairs. At
-    most ``block`` queries travel to the tasks; more are worked off in several passes.
-    Scores are rounded before ranking and equal ones rank by document id. A zero vector
-    has score 0.
+    Queries and documents are cut into blocks by a hash of their ids. Every block of queries
+    meets every block of documents in one task of bounded size, which scores them with one
+    matrix product and passes on k rows per query; nothing goes through the driver but two
+    counts. Scores are rounded before ranking and equal ones rank by document id. A zero
+    vector has score 0. Vectors that are NULL or hold a NULL or NaN take no part (see
+    ``unusable_vectors``), and only vectors of one length meet.
     """
-    queries = queries.select(query_id, F.col(vector).cast("array<double>").alias("v"))
-    blocks = [queries.limit(block + 1).collect()]
-    total = len(blocks[0])
-    if total > block:
-        checkpoint_root(docs.sparkSession)
-        queries = queries.checkpoint()
-        total = queries.count()
-        passes = -(-total // block)
-        numbered = F.pmod(F.xxhash64(query_id), F.lit(passes))
-        blocks = (queries.filter(numbered == i).collect() for i in range(passes))
-    schema = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType),
-                           T.StructField(doc_id, docs.schema[doc_id].dataType),
+    asked = queries.filter(_usable(vector)).select(F.col(query_id).alias("_q"), F.col(vector).cast("array<double>").alias("_v"))
+    given = docs.filter(_usable(vector)).select(F.col(doc_id).alias("_d"), F.col(vector).cast("array<double>").alias("_v"))
+    query_blocks, row_blocks = -(-asked.count() // block) or 1, -(-given.count() // rows) or 1
+
+    def beside(count: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
+
+    size = F.size("_v").alias("_n")
+    left = given.select("_d", "_v", size, F.pmod(F.xxhash64("_d"), F.lit(row_blocks)).cast("int").alias("_rows"), beside(query_blocks).alias("_block"))
+    right = asked.select("_q", "_v", size, F.pmod(F.xxhash64("_q"), F.lit(query_blocks)).cast("int").alias("_block"), beside(row_blocks).alias("_rows"))
+    result = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(doc_id, docs.schema[doc_id].dataType),
                            T.StructField("score", T.DoubleType())])
-    found = [_candidates(docs, rows, k, doc_id, vector, schema, digits) for rows in blocks]
-    candidates = reduce(DataFrame.unionByName, found)
+
+    def unit(vectors: pd.Series) -> np.ndarray:
+        matrix = np.stack(vectors.to_list())
+        length = np.linalg.norm(matrix, axis=1, keepdims=True)
+        return matrix / np.where(length == 0, 1.0, length)
+
+    def score(part: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        taken: list[tuple] = []
+        if len(part) and len(wanted):
+            names, scores = part["_d"].tolist(), np.round(unit(wanted["_v"]) @ unit(part["_v"]).T, digits)
+            for query, line in zip(wanted["_q"].tolist(), scores):
+                at = np.arange(len(line)) if len(line) <= k else np.flatnonzero(line >= np.partition(line, len(line) - k)[len(line) - k])
+                taken += [(query, names[i], line[i]) for i in sorted(at.tolist(), key=lambda i: (-line[i], names[i]))[:k]]
+        return pd.DataFrame(taken, columns=result.names)
+
+    keys = ["_n", "_rows", "_block"]
+    candidates = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInPandas(score, result)
     best = top_k_per_group(candidates, [query_id], [F.desc("score"), F.asc(doc_id)], k)
-    if not metadata:
-        return best
-    found_rows = F.broadcast(best) if total * k <= SMALL_ROWS else best
-    return docs.select(doc_id, *metadata).join(found_rows, doc_id)
-
-
-def _candidates(docs: DataFrame, rows: Sequence[Row], k: int, doc_id: str, vector: str,
-                result: T.StructType, digits: int) -> DataFrame:
-    schema = to_arrow_schema(result)
-    ids = [r[0] for r in rows]
-    wanted = np.array([r[1] for r in rows], dtype="float64")
-    if len(rows):
-        length = np.linalg.norm(wanted, axis=1, keepdims=True)
-        wanted = wanted / np.where(length == 0, 1.0, length)
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows == 0 or not ids:
-                continue
-            flat = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype("float64")
-            matrix = flat.reshape(batch.num_rows, -1)
-            length = np.linalg.norm(matrix, axis=1)
-            scores = np.round((matrix @ wanted.T) / np.where(length == 0, 1.0, length)[:, None], digits)
-            names = batch.column(0).to_numpy(zero_copy_only=False)
-            take_ids, take_docs, take_scores = [], [], []
-            for q, query in enumerate(ids):
-                column = scores[:, q]
-                rows_ = np.arange(len(column))
-                if len(column) > k:
-                    cut = np.partition(column, len(column) - k)[len(column) - k]
-                    rows_ = np.flatnonzero(column >= cut)
-                rows_ = rows_[np.lexsort((names[rows_], -column[rows_]))][:k]
-                take_ids.extend([query] * len(rows_))
-                take_docs.extend(names[rows_].tolist())
-                take_scores.extend(column[rows_].tolist())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, f.type) for x, f in zip((take_ids, take_docs, take_scores), schema)], schema=schema)
-
-    prepared = docs.select(doc_id, vector).filter(F.col(vector).isNotNull())
-    return prepared.mapInArrow(score, result)
+    return docs.select(doc_id, *metadata).join(best, doc_id) if metadata else best
 
 
 def text_vectors(fit_on: DataFrame, tables: Sequence[DataFrame], text: str, vector: str = "embedding",

@@ -44,14 +44,15 @@ def latest_answers(submissions: DataFrame, by: Sequence[str] = ("team", "questio
 
 def check_answers(submissions: DataFrame, key: DataFrame, tolerance: float = 0.5,
                   strict: bool = False) -> DataFrame:
-    """Adds ``expected`` and the three-valued ``verdict``.
+    """Adds ``expected``, the key's ``question`` text if it has one, and the three-valued ``verdict``.
 
     The key (question_id, answer) is broadcast if it is small; a question that draws a
     third of the submissions then costs nothing extra. Expected answers are normalised
     and split into numbers once per question, given ones once per row.
     """
     wanted = normalize(F.col("answer"))
-    expected = key.select("question_id", F.col("answer").alias("expected"), wanted.alias("_wanted"),
+    text = [c for c in ("question",) if c in key.columns]
+    expected = key.select("question_id", *text, F.col("answer").alias("expected"), wanted.alias("_wanted"),
                           numeric_tokens(wanted).alias("_wanted_numbers"))
     rows = submissions.withColumn("_given", normalize(F.col("answer")))
     rows = rows.withColumn("_given_numbers", numeric_tokens(F.col("_given")))
@@ -62,21 +63,23 @@ def check_answers(submissions: DataFrame, key: DataFrame, tolerance: float = 0.5
 
 def judge_prompt(question: Column, expected: Column, answer: Column) -> Column:
     """Text put to the second judge."""
-    return F.concat(F.lit("Question: "), question, F.lit("\nExpected answer: "), expected,
-                    F.lit("\nStudent answer: "), answer,
-                    F.lit("\nReply with one word, CORRECT or WRONG."))
+    return F.concat(F.lit("Does the given answer say the same as the reference?\nAsked: "), question,
+                    F.lit("\nReference: "), expected, F.lit("\nGiven: "), answer,
+                    F.lit("\nAnswer CORRECT if it does and WRONG if not."))
 
 
 def judge_unknown(checked: DataFrame, client: Callable[[list[str]], list[str]]) -> DataFrame:
-    """Send only undecided rows to a second judge; its CORRECT makes them true.
+    """Send only undecided rows to a second judge.
 
-    Adds ``judge`` ('rule' or 'model'). A failed call leaves the answer wrong.
+    Its reply counts by the first word: CORRECT makes the answer right, any other wrong. A
+    failed call leaves the verdict unknown (NULL). Adds ``judge`` ('rule' or 'model'). The
+    question's text is put to the judge where the key has one (``question``), else its id.
     """
+    asked = F.coalesce("question", "question_id") if "question" in checked.columns else F.col("question_id")
     decided = checked.filter(F.col("verdict").isNotNull()).withColumn("judge", F.lit("rule"))
-    unknown = checked.filter(F.col("verdict").isNull()).withColumn(
-        "_prompt", judge_prompt(F.col("question_id"), F.col("expected"), F.col("answer")))
-    judged = score_rows(unknown, "_prompt", client, output="_reply").withColumn(
-        "verdict", F.coalesce(F.upper("_reply").contains("CORRECT"), F.lit(False)))
+    unknown = checked.filter(F.col("verdict").isNull()).withColumn("_prompt", judge_prompt(asked, F.col("expected"), F.col("answer")))
+    first_word = F.upper(F.regexp_extract("_reply", r"^\W*(\w+)", 1))
+    judged = score_rows(unknown, "_prompt", client, output="_reply").withColumn("verdict", first_word == "CORRECT")
     return decided.unionByName(judged.select(*checked.columns, F.lit("model").alias("judge")))
 
 

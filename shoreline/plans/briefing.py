@@ -48,7 +48,7 @@ def cohort_prompt(role: str, **measures: Column) -> Column:
 
 def risk_prompt(age: Column, chol: Column, bp: Column, hr: Column) -> Column:
     """Prompt that states one row's measures for a risk classifier."""
-    return F.concat(
-        F.lit("Classify the risk as LOW, MEDIUM or HIGH. Age="), age.cast("string"),
-        F.lit(", Cholesterol="), chol.cast("string"), F.lit(", Resting BP="), bp.cast("string"),
-        F.lit(", Max Heart Rate="), hr.cast("string"))
+    parts = [F.lit("Give one of LOW, MEDIUM, HIGH for these readings:")]
+    for name, value in (("age", age), ("chol", chol), ("bp", bp), ("pulse", hr)):
+        parts += [F.lit(f" {name}="), value.cast("string"), F.lit(";")]
+    return F.concat(*parts)

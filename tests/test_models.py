@@ -52,6 +52,20 @@ def test_failed_batches_are_retried_then_reported(spark):
     assert got == [("bad", None, "RuntimeError: down"), ("good", "good", None), ("short", None, "0 answers to 1 prompts")]
 
 
+def test_one_bad_prompt_loses_one_answer(spark):
+    def client(prompts):
+        if "p77" in prompts:
+            raise RuntimeError("bad prompt")
+        return [p.upper() for p in prompts]
+
+    df = spark.range(201).select(F.concat(F.lit("p"), "id").alias("p"))
+    got = score_rows(df, "p", client, error="why", batch=64, attempts=1, tasks=2)
+    assert rows_of(got.filter("response IS NULL"), "p", "why") == [("p77", "RuntimeError: bad prompt")]
+    assert got.filter("response = upper(p)").count() == 200
+    with pytest.raises(Exception, match="no answer to a prompt"):
+        score_rows(df, "p", client, attempts=1, strict=True)
+
+
 def test_rule_client_reads_prompts(spark):
     df = spark.createDataFrame([(62.0, 280.0, 155.0, 140.0), (52.0, 230.0, 138.0, 90.0), (30.0, 300.0, 170.0, 150.0)],
                                "age double, chol double, bp double, hr double")
@@ -66,11 +80,17 @@ def test_prompt_choice_ignores_case_and_blanks(spark):
 
 
 def test_judge_sees_only_unknown_rows(spark):
-    df = spark.createDataFrame([("Q1", "a", "b", True), ("Q1", "a", "c", None), ("Q2", "a", "d", None), ("Q1", "a", "e", False)],
-                               "question_id string, expected string, answer string, verdict boolean")
-    judged = judge_unknown(df, lambda ps: ["correct." if "Student answer: c" in p else "WRONG" for p in ps])
+    def judge(prompts):
+        if any("Given: f" in p for p in prompts):
+            raise RuntimeError("down")
+        return ["correct." if "Given: c" in p and "how many?" in p else "INCORRECT" for p in prompts]
+
+    df = spark.createDataFrame([("Q1", "how many?", "a", "b", True), ("Q1", "how many?", "a", "c", None), ("Q2", None, "a", "d", None),
+                                ("Q1", "how many?", "a", "e", False), ("Q1", "how many?", "a", "f", None)],
+                               "question_id string, question string, expected string, answer string, verdict boolean")
+    judged = judge_unknown(df, judge)
     assert rows_of(judged, "answer", "verdict", "judge") == [
-        ("b", True, "rule"), ("c", True, "model"), ("d", False, "model"), ("e", False, "rule")]
+        ("b", True, "rule"), ("c", True, "model"), ("d", False, "model"), ("e", False, "rule"), ("f", None, "model")]
 
 
 @pytest.fixture(scope="module")
@@ -128,7 +148,7 @@ def test_logistic_regression_scores_in_a_session_that_observed(spark, points):
 
 def test_cross_validation(spark, points):
     results = cross_validate(random_forest(["a", "b"], "y", trees=5, depth=3), points, "y", ["id"], folds=3).cache()
-    assert [r["fold"] for r in results.orderBy("fold").collect()] == [0, 1, 2]
+    assert [r["fold"] for r in results.orderBy("fold").collect()] == [1, 2, 3]
     scores = [r["f1_score"] for r in results.collect()]
     summary = fold_summary(results).collect()[0]
     assert summary["mean_f1"] == pytest.approx(sum(scores) / 3) and summary["std_f1"] >= 0
@@ -145,7 +165,7 @@ def test_metrics_by_hand(spark):
 
 
 def test_run_log(spark):
-    runs = run_row(spark, "a", "t1", "lr", {"c": 1}, 0.5, 0.6, 0.7).unionByName(run_row(spark, "b", "t1", "rf", {}, 0.9, 0.6, 0.7))
+    runs = run_row(spark, "a", "t1", "lr", {"c": 1}, 0.5, 0.6, 0.7, 3).unionByName(run_row(spark, "b", "t1", "rf", {}, 0.9, 0.6, 0.7, 3))
     best = best_run(runs)
     assert rows_of(best, "run_id") == [("b",)]
     reported = spark.createDataFrame([("t1", 0.95), ("t2", 0.1)], "team string, f1_score double")

@@ -18,7 +18,7 @@ from shoreline.operators.leaderboard import completion_rate, event_dimension, le
 from shoreline.operators.quality import Rule, apply_rules, domain_report, rule_metrics
 from shoreline.operators.ranking import (fixed_size_sample, gap_to_leader, global_rank, medal, rank_in_hash_order, top_k_per_group)
 from shoreline.operators.reshape import align_schema, flatten_result, select_existing, wide_to_long
-from shoreline.operators.retrieval import nearest, text_vectors
+from shoreline.operators.retrieval import nearest, text_vectors, unusable_vectors
 from shoreline.operators.routing import first_topic, topic_by_score, topic_sections
 from shoreline.operators.scoring import first_correct, validate_submissions
 from shoreline.plans.medallion import CleanSpec, RULES_FIRST, build_layers, clean, CohortSpec
@@ -119,9 +119,9 @@ def test_top_k_per_group_gap_and_medals(spark):
 @pytest.mark.parametrize("chunk", [1000, 3])
 def test_grid_small_and_chunked(spark, chunk):
     rows = spark.range(20).withColumnRenamed("id", "team")
-    dimension = spark.range(10).select(F.concat(F.lit("e"), "id").alias("event"))
+    dimension = spark.range(10).select(F.when(F.col("id") > 0, F.concat(F.lit("e"), "id")).alias("event"))
     cells = rows_of(grid(rows, dimension.union(dimension), "event", chunk), "team", "event")
-    assert cells == sorted(((t, f"e{e}") for t in range(20) for e in range(10)), key=repr)
+    assert cells == sorted(((t, f"e{e}" if e else None) for t in range(20) for e in range(10)), key=repr)
 
 
 def test_broadcast_only_when_small(spark):
@@ -212,6 +212,24 @@ def test_topics(spark):
         ("the weather", "help"), ("heart", "heart")], key=repr)
 
 
+def test_nearest_leaves_out_broken_vectors(spark):
+    d = spark.createDataFrame([(1, [1.0, 0.0]), (2, [None, 1.0]), (3, [float("nan"), 1.0]), (4, [1.0, 0.0, 0.0]), (5, None), (6, [0.9, 0.1])],
+                              "id int, v array<double>")
+    q = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [float("nan"), 0.0]), ("c", None)], "qid string, v array<double>")
+    assert rows_of(nearest(d, q, 5, "id", "v", "qid"), "qid", "id") == [("a", 1), ("a", 6)]
+    assert rows_of(unusable_vectors(d, "v"), "id") == [(2,), (3,), (5,)]
+
+
+def test_nearest_with_many_queries(spark):
+    rng = np.random.default_rng(5)
+    docs, queries = rng.normal(size=(300, 6)), rng.normal(size=(2000, 6))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(docs)], "id int, v array<double>")
+    q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "qid int, v array<double>")
+    got = {r["qid"]: r["id"] for r in nearest(d, q, 1, "id", "v", "qid", digits=12, rows=64).collect()}
+    unit = docs / np.linalg.norm(docs, axis=1, keepdims=True)
+    assert [got[i] for i in range(2000)] == np.argmax(queries @ unit.T, axis=1).tolist()
+
+
 @pytest.mark.parametrize("block", [512, 2])
 def test_nearest_equals_brute_force(spark, block):
     rng = np.random.default_rng(3)
