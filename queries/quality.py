@@ -1,5 +1,6 @@
 """Data quality and governance."""
 
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from queries.base import query, table
@@ -23,10 +24,14 @@ def drop_rules(spark, sf):
     return apply_rules(intake_raw(spark, sf), INTAKE_RULES)
 
 
-@query("dq_02_warn_rules", with_views("intake_raw", "SELECT COUNT(*) AS n_rows FROM intake_raw"))
+@query("dq_02_warn_rules", with_views("intake_raw", """
+    SELECT COUNT(*) AS n_rows, COUNT(*) FILTER (WHERE value IS NULL) AS has_value,
+           COUNT(*) FILTER (WHERE value IS NULL OR NOT value BETWEEN 0 AND 500) AS valid_value FROM intake_raw"""))
 def warn_rules(spark, sf):
-    warned = [Rule(r.name, r.constraint, "warn") for r in INTAKE_RULES]
-    return apply_rules(intake_raw(spark, sf), warned).agg(F.count("*").alias("n_rows"))
+    warned, seen = [Rule(r.name, r.constraint, "warn") for r in INTAKE_RULES], Observation()
+    n_rows = apply_rules(intake_raw(spark, sf), warned, seen).count()
+    counts = seen.get
+    return spark.createDataFrame([(n_rows, counts["has_value"], counts["valid_value"])], "n_rows long, has_value long, valid_value long")
 
 
 @query("dq_03_rule_metrics", with_views("intake_raw", """
@@ -96,11 +101,11 @@ def domain(spark, sf):
 
 
 @query("dq_09_threshold_tiers", with_views("totals", """
-    SELECT team, total_points, CASE WHEN total_points >= 9000 THEN 15 WHEN total_points >= 8000 THEN 12
-           WHEN total_points >= 7000 THEN 10 WHEN total_points >= 5000 THEN 7 ELSE 4 END AS tier_points FROM totals"""))
+    SELECT team, total_points, CASE WHEN total_points >= 2200 THEN 15 WHEN total_points >= 1900 THEN 12
+           WHEN total_points >= 1700 THEN 10 WHEN total_points >= 1500 THEN 7 ELSE 4 END AS tier_points FROM totals"""))
 def tiers(spark, sf):
     totals = team_totals(event_totals(best_scores(score_log(spark, sf))), 6)
-    points = tier_points(F.col("total_points"), [(9000, 15), (8000, 12), (7000, 10), (5000, 7)], otherwise=4)
+    points = tier_points(F.col("total_points"), [(2200, 15), (1900, 12), (1700, 10), (1500, 7)], otherwise=4)
     return totals.select("team", "total_points", points.alias("tier_points"))
 
 

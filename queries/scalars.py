@@ -98,12 +98,12 @@ def length_tiers(spark, sf):
 
 
 @query("sca_11_text_tests", """
-    SELECT conv_id, turn, LOWER(text) LIKE '%the%' OR LOWER(text) LIKE '%eau%' AS has_word,
-           text LIKE 'The%' OR text LIKE 'La%' AS has_prefix, REGEXP_MATCHES(text, '[0-9]') AS has_digit FROM conversations""")
+    SELECT doc_id, LOWER(text) LIKE '%the%' OR LOWER(text) LIKE '%eau%' AS has_word,
+           text LIKE 'The%' OR text LIKE 'La%' AS has_prefix, REGEXP_MATCHES(text, '[0-9]') AS has_digit FROM documents""")
 def text_tests(spark, sf):
     text = F.col("text")
-    return table(spark, sf, "conversations").select(
-        "conv_id", "turn", contains_any(text, ["the", "eau"]).alias("has_word"),
+    return table(spark, sf, "documents").select(
+        "doc_id", contains_any(text, ["the", "eau"]).alias("has_word"),
         starts_with_any(text, ["The", "La"]).alias("has_prefix"), has_digit(text).alias("has_digit"))
 
 

@@ -112,9 +112,9 @@ def guarded(spark, sf):
 
 @query("txt_07_evaluation", """
     SELECT CASE WHEN REGEXP_MATCHES(text, '[0-9]') THEN 'PASS' ELSE 'WEAK' END AS evaluation, COUNT(*) AS "rows"
-    FROM conversations GROUP BY 1""")
+    FROM documents GROUP BY 1""")
 def evaluation(spark, sf):
-    return evaluation_counts(table(spark, sf, "conversations"), "text")
+    return evaluation_counts(table(spark, sf, "documents"), "text")
 
 
 def centroids(spark, sf):
