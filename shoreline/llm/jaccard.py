@@ -321,14 +321,14 @@ def remaining_pairs(index: DataFrame, labels: DataFrame, tested: DataFrame, copi
     pair out without a test. So do parity sketches of the sets: places whose parity differs are
     no more than the shingles that differ, of which a linked pair has few.
     """
-    label = labels.select(F.col("node").alias("doc"), "label")
+    label = broadcast_if_small(labels.select(F.col("node").alias("doc"), "label"), max_rows=SMALL_IDS)
     placed = index.join(label, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
     member = F.xxhash64("doc", F.lit(1)), F.xxhash64("doc", F.lit(2))
     groups = placed.groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"),
         *[F.bit_xor(m).alias(f"m{i}") for i, m in enumerate(member)]).filter("low <> high AND members > 2")
     looked_at = groups.groupBy("members", "m0", "m1").agg(F.min("key").alias("key")).select("key")
-    first = copies.select(F.col("b").alias("doc"), F.col("a").alias("_first"))
+    first = broadcast_if_small(copies.select(F.col("b").alias("doc"), F.col("a").alias("_first")), max_rows=SMALL_IDS)
     inside = placed.join(looked_at, "key", "left_semi").join(first, "doc", "left").withColumn("doc", F.coalesce("_first", "doc")).drop("_first")
     inside = inside.join(first.withColumnRenamed("doc", "center"), "center", "left").withColumn("center", F.coalesce("_first", "center"))
     apart = tested.select(F.col("a").alias("center"), F.col("b").alias("doc"), "distance")
