@@ -1,20 +1,23 @@
 """Versioned tables on plain parquet.
 
-Each write is a complete snapshot folder ``v=N`` plus one line in the commit log. The line
-is written last, so a job that dies leaves a folder no reader looks at. One writer at a
-time is assumed.
+Each write is a complete snapshot in a folder of its own plus one commit file, named by its
+version. The file is created last and never overwritten: a job that dies leaves a folder no
+reader looks at, and of two writers that want the same version the slower takes the next.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.operators.joins import absent_keys, require_unique
-from shoreline.session import read_json_log
+from shoreline.operators.joins import require_unique
+from shoreline.session import read_json_log, shared_folder
 
 COMMIT_SCHEMA = "version int, committed_at timestamp, operation string, rows long, path string"
 
@@ -40,19 +43,34 @@ class VersionedTable:
 
     def write(self, df: DataFrame, operation: str = "WRITE") -> int:
         """Store the rows as the next version."""
-        version = self._last() + 1
-        path = os.path.join(self.root, f"v={version}")
-        df.write.mode("overwrite").parquet(path)
-        rows = self.spark.read.parquet(path).count()
-        line = self.spark.range(1).select(
-            F.lit(version).alias("version"), F.current_timestamp().alias("committed_at"),
-            F.lit(operation).alias("operation"), F.lit(rows).alias("rows"), F.lit(path).alias("path"))
-        line.coalesce(1).write.mode("append").json(self._log)
-        return version
+        path = os.path.join(self.root, f"data-{uuid.uuid4().hex}")
+        df.write.parquet(path)
+        return self._commit(operation, self.spark.read.parquet(path).count(), path)
 
     def restore(self, version: int) -> int:
-        """Make an old version the newest again, as a version of its own."""
-        return self.write(self.read(version), f"RESTORE {version}")
+        """Make an old version the newest again, as a version of its own; nothing is copied."""
+        found = self.history().filter(F.col("version") == version).collect()
+        if not found:
+            raise ValueError(f"no version {version} in {self.root}")
+        return self._commit(f"RESTORE {version}", found[0]["rows"], found[0]["path"])
+
+    def _commit(self, operation: str, rows: int, path: str) -> int:
+        jvm = self.spark._jvm
+        while True:
+            version = self._last() + 1
+            file = jvm.org.apache.hadoop.fs.Path(os.path.join(self._log, f"{version:010d}.json"))
+            system = file.getFileSystem(self.spark._jsc.hadoopConfiguration())
+            now = self.spark.range(1).select(F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSXXX")).collect()[0][0]
+            line = {"version": version, "committed_at": now, "operation": operation, "rows": rows, "path": path}
+            try:
+                out = system.create(file, False)
+            except Py4JJavaError as problem:
+                if not system.exists(file):
+                    raise problem
+                continue
+            out.write(bytearray(json.dumps(line).encode() + b"\n"))
+            out.close()
+            return version
 
     def upsert(self, source: DataFrame, key: Sequence[str]) -> int:
         """Replace rows with a matching key and insert the others."""
@@ -72,9 +90,15 @@ class VersionedTable:
 
 
 def upserted(target: DataFrame, source: DataFrame, key: Sequence[str]) -> DataFrame:
-    """Target with the source merged in; a repeated source key is an error, as in MERGE."""
+    """Target with the source merged in; a repeated source key is an error, as in MERGE.
+
+    The source is computed once, into the shared folder, and checked there.
+    """
+    path = shared_folder(source.sparkSession, "upsert")
+    source.select(*target.columns).write.parquet(path)
+    source = source.sparkSession.read.parquet(path)
     require_unique(source, key, "upsert source")
-    return source.select(*target.columns).unionByName(absent_keys(target, source, key))
+    return source.unionByName(target.join(source.select(*key), list(key), "left_anti"))
 
 
 def updated(df: DataFrame, where: Column, values: Mapping[str, Column]) -> DataFrame:

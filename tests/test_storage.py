@@ -106,6 +106,18 @@ def test_table_writes(spark):
     assert spark.table(name).columns == ["id"] and spark.table(name).count() == 3
 
 
+def test_two_writers_get_two_versions_and_restore_copies_nothing(spark):
+    root = shared_folder(spark, "versions")
+    first, second = VersionedTable(spark, root), VersionedTable(spark, root)
+    assert first.write(spark.range(3)) == 0
+    seen = iter([-1, 0])  # the second writer looked before the first had committed
+    second._last = lambda: next(seen)
+    assert second.write(spark.range(5)) == 1
+    assert (first.read(0).count(), first.read(1).count(), first.restore(0)) == (3, 5, 2)
+    paths = {r["version"]: r["path"] for r in first.history().collect()}
+    assert paths[2] == paths[0] and first.read().count() == 3
+
+
 def test_versions(spark):
     table = VersionedTable(spark, shared_folder(spark, "versions"))
     assert table.history().count() == 0
