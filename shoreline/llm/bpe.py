@@ -85,21 +85,29 @@ class Codec:
                 merged.append([text, ids])
         for part, ids in zip([p for p in merged if p[1] is None], self.encode([p[0] for p in merged if p[1] is None])):
             part[1] = ids
+        edges = [(split_words(a[0])[-1:], split_words(b[0])[:1]) for a, b in zip(merged, merged[1:])]
+        edges = [a + b for a, b in edges if a and b]
+        apart = self.encode([w for edge in edges for w in edge])
+        together = self.encode_whole([a + b for a, b in edges])
+        if any(apart[2 * i] + apart[2 * i + 1] != ids for i, ids in enumerate(together)):
+            self.repair(merged)
+        return b"".join(ids for _, ids in merged)
+
+    def encode_whole(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of every text, encoded in one piece."""
+        return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
+
+    def repair(self, merged: list[list]) -> None:
+        """Join the parts that disagree, and test the joins around them in turn."""
         at = 1
         while at < len(merged):
             (left, _), (right, _) = merged[at - 1], merged[at]
             before, after = split_words(left)[-1:], split_words(right)[:1]
-            if before and after:
-                apart = b"".join(self.encode([before[0], after[0]]))
-                together = np.array(self.tokenizer.encode(before[0] + after[0], add_special_tokens=False).ids, self.dtype).tobytes()
-                if apart != together:
-                    whole = left + right
-                    ids = np.array(self.tokenizer.encode(whole, add_special_tokens=False).ids, self.dtype).tobytes()
-                    merged[at - 1:at + 1] = [[whole, ids]]
-                    at = max(1, at - 1)
-                    continue
-            at += 1
-        return b"".join(ids for _, ids in merged)
+            if before and after and b"".join(self.encode([before[0], after[0]])) != self.encode_whole([before[0] + after[0]])[0]:
+                merged[at - 1:at + 1] = [[left + right, self.encode_whole([left + right])[0]]]
+                at = max(1, at - 1)
+            else:
+                at += 1
 
 
 @lru_cache(maxsize=2)
