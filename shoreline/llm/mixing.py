@@ -48,7 +48,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 12, t
 
     ``targets`` gives for each margin its values and shares (of any sum); values without a
     target keep no weight, values without tokens are passed over. Every margin is a small
-    aggregate joined back; each round is written to the shared folder. Rounds end when no
+    aggregate joined back, and written to the shared folder. Rounds end when no
     factor is further from one than ``tolerance``, or after ``rounds``: targets that no
     weights can meet then remain nearly met.
     """
@@ -57,17 +57,16 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 12, t
         kept = shares.join(cells.filter("tokens > 0").select(margin).distinct(), margin)
         total = kept.agg(F.sum("share").alias("_sum"))
         present[margin] = stored(kept.withColumn("_share", F.col("share") / total.scalar()).select(margin, "_share"), "mix-target")
+    total = float(cells.agg(F.sum("tokens")).collect()[0][0] or 0)
     weighted = cells.withColumn("weight", F.col("tokens").cast("double"))
     for _ in range(rounds):
-        moved = F.lit(0.0)
+        weighted = weighted.withColumn("_moved", F.lit(0.0))
         for margin, shares in present.items():
-            sums = weighted.groupBy(margin).agg(F.sum("weight").alias("_now"))
-            everything = weighted.agg(F.sum("weight")).scalar()
-            factors = sums.join(shares, margin, "left").select(
-                margin, F.when(F.col("_now") > 0, F.coalesce("_share", F.lit(0.0)) * everything / F.col("_now")).otherwise(1.0).alias(f"_f_{margin}"))
-            weighted = weighted.join(factors, margin).withColumn("weight", F.col("weight") * F.col(f"_f_{margin}"))
-            moved = F.greatest(moved, F.abs(F.col(f"_f_{margin}") - 1))
-        weighted = stored(weighted.withColumn("_moved", moved).select(*cells.columns, "weight", "_moved"), "mix-round")
+            factors = weighted.groupBy(margin).agg(F.sum("weight").alias("_now")).join(shares, margin, "left").select(
+                margin, F.when(F.col("_now") > 0, F.coalesce("_share", F.lit(0.0)) * total / F.col("_now")).otherwise(1.0).alias("_factor"))
+            weighted = stored(weighted.join(factors, margin).select(
+                *cells.columns, (F.col("weight") * F.col("_factor")).alias("weight"),
+                F.greatest("_moved", F.abs(F.col("_factor") - 1)).alias("_moved")), "mix-round")
         furthest = weighted.agg(F.max("_moved")).collect()[0][0]
         weighted = weighted.drop("_moved")
         if furthest is None or furthest < tolerance:
