@@ -94,7 +94,8 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
-@query("op7_warc_revisits", r"""
+#: Each revisit of the archive made of `pages`, with its response and status.
+REVISIT_PAIRS = r"""
     WITH page AS (SELECT page_id, coalesce(url, '') AS url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS digest,
                          1600000000 + page_id * 60 AS ts FROM pages),
     record AS (SELECT page_id * 3 AS record_id, 'response' AS kind, url, ts, digest, '"' || digest[:12] || '"' AS etag,
@@ -115,7 +116,37 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     SELECT record_id, canonical, response_id,
            CASE WHEN response_id IS NULL THEN 'missing' WHEN coalesce(digest = digest_r, etag = etag_r) THEN 'resolved'
                 ELSE 'mismatch' END AS status
-    FROM pair WHERE no = 1""")
+    FROM pair WHERE no = 1"""
+
+
+@query("op7_warc_revisit_records", f"""
+    WITH pair AS ({REVISIT_PAIRS}),
+    tagged AS (SELECT page_id, 1600000000 + page_id * 60 AS ts, '"' || sha1(coalesce(html, ''))[:12] || '"' AS etag,
+                      length(coalesce(html, ''))::VARCHAR AS size FROM pages),
+    timed AS (SELECT page_id * 3 AS id, 'response' AS form, make_timestamp(ts * 1000000) AS moment, etag, size FROM tagged
+              UNION ALL SELECT page_id * 3 + 1, 'soon', make_timestamp((ts + 30) * 1000000), 'W/' || etag, size FROM tagged
+              UNION ALL SELECT page_id * 3 + 2, 'later', make_timestamp((ts + 2592000) * 1000000),
+                     CASE WHEN page_id % 3 = 0 THEN '"stale"' ELSE etag END, size FROM tagged),
+    head AS (SELECT id, moment, list_concat([{{'k': 'etag', 'v': etag}}, {{'k': 'date', 'v': moment::VARCHAR}}],
+                    CASE form WHEN 'response' THEN [{{'k': 'content-type', 'v': 'text/html'}}, {{'k': 'content-length', 'v': size}}]
+                              WHEN 'soon' THEN [{{'k': 'set-cookie', 'v': 'a=1'}}]
+                              ELSE [{{'k': 'cache-control', 'v': 'max-age=60'}}] END) AS h FROM timed),
+    met AS (SELECT pair.*, v.moment, v.h AS own, r.h AS base,
+                   [x FOR x IN v.h IF x.k IN ('age', 'cache-control', 'date', 'expires', 'last-modified', 'vary', 'warning')] AS news
+            FROM pair JOIN head v ON v.id = record_id LEFT JOIN head r ON r.id = response_id)
+    SELECT record_id, canonical, moment AS "at", response_id, status,
+           array_to_string(list_sort([x.k || '=' || x.v FOR x IN
+               CASE WHEN status IN ('resolved', 'unchecked')
+                    THEN list_concat([x FOR x IN base IF NOT list_contains([n.k FOR n IN news], x.k)], news)
+                    ELSE own END]), chr(10)) AS headers
+    FROM met""")
+def warc_revisit_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = warc.resolve_revisits(warc.captures(table(spark, sf_dir, "pages")))
+    return found.select("record_id", "canonical", F.col("at").cast("timestamp_ntz").alias("at"), "response_id", "status",
+                        warc.header_lines(F.col("headers")).alias("headers"))
+
+
+@query("op7_warc_revisits", REVISIT_PAIRS)
 def warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = warc.resolve_revisits(warc.captures(table(spark, sf_dir, "pages")))
     return found.select("record_id", "canonical", "response_id", "status")

@@ -93,6 +93,12 @@ def resolve_revisits(records: DataFrame, slices: int = 64) -> DataFrame:
         F.when(F.col("_status").isin("resolved", "unchecked"), merged).otherwise(own).alias("headers"))
 
 
+def header_lines(headers: Column) -> Column:
+    """Headers as sorted ``name=value`` lines; a name with a null value stands alone."""
+    lines = F.transform(F.map_entries(headers), lambda e: F.coalesce(F.concat(e["key"], F.lit("="), e["value"]), e["key"]))
+    return F.array_join(F.array_sort(lines), "\n")
+
+
 def captures(pages: DataFrame) -> DataFrame:
     """Archive records made of a table of pages (page_id, url, html).
 

@@ -1,5 +1,6 @@
 """Learned operators, mixing, search, archives and the pipeline on small tables."""
 
+import hashlib
 import itertools
 import math
 import random
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from shoreline.llm import mixing, quality, topk, toxicity, warc
 from shoreline.llm.base import table
+from shoreline.llm.queries import QUERIES
 
 LABELS = "doc_id long, quality int, toxic int, score double"
 
@@ -191,6 +193,20 @@ def test_revisits_against_plain_python(spark):
     assert warc.resolve_revisits(given.limit(0)).collect() == []
 
 
+def test_registered_revisits_return_merged_headers(spark, tmp_path):
+    spark.createDataFrame([(1, "http://a.com/x", "<p>é"), (3, "http://b.com/", None)], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r.record_id: r for r in QUERIES["op7_warc_revisit_records"](spark, str(tmp_path)).collect()}
+    etag = ['"' + hashlib.sha1(t.encode()).hexdigest()[:12] + '"' for t in ("<p>é", "")]
+    assert {i: r.status for i, r in got.items()} == {4: "resolved", 5: "resolved", 10: "resolved", 11: "mismatch"}
+    assert got[4].headers == f"content-length=4\ncontent-type=text/html\ndate=2020-09-13 12:28:10\netag={etag[0]}"
+    assert got[5].headers == f"cache-control=max-age=60\ncontent-length=4\ncontent-type=text/html\ndate=2020-10-13 12:27:40\netag={etag[0]}"
+    assert got[10].headers == f"content-length=0\ncontent-type=text/html\ndate=2020-09-13 12:30:10\netag={etag[1]}"
+    assert got[11].headers == 'cache-control=max-age=60\ndate=2020-10-13 12:29:40\netag="stale"'
+    assert str(got[5].at) == "2020-10-13 12:27:40"
+    lines = spark.createDataFrame([({"b": "2", "a": None},), ({},)], "h map<string,string>").select(warc.header_lines(F.col("h")))
+    assert [r[0] for r in lines.collect()] == ["a\nb=2", ""]
+
+
 def test_pipeline_stages(spark, documents, tmp_path, monkeypatch):
     rows, labels = corpus(n=240)
     rng = random.Random(9)
