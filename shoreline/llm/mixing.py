@@ -18,8 +18,6 @@ from shoreline.operators.joins import broadcast_if_small
 MARGINS = ("source", "lang", "topic")
 #: Exponents that flatten the present shares into targets.
 TEMPERATURES = {"source": 0.7, "lang": 0.7, "topic": 0.8}
-#: A cell's ratio stays within this factor of the mean, so that one rare cell does not shrink the sample.
-SPREAD = 4.0
 
 
 def token_count(text: Column) -> Column:
@@ -74,11 +72,15 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 12, t
     return weighted
 
 
-def sampling_rates(cells: DataFrame, temperatures: Mapping[str, float] = TEMPERATURES, spread: float = SPREAD) -> DataFrame:
-    """Cells with ``probability``: their ratio of raked to present weight, the largest being one."""
+def sampling_rates(cells: DataFrame, temperatures: Mapping[str, float] = TEMPERATURES) -> DataFrame:
+    """Cells with ``probability``: their ratio of raked to present weight, the largest being one.
+
+    No ratio is bounded, so expected margins of the sample are those that raking met. The cell
+    that must gain most is kept whole, and sets how much of the others is kept.
+    """
     raked = rake(cells, {m: tempered(cells, m, t) for m, t in temperatures.items()})
     mean = raked.agg(F.sum("weight") / F.sum("tokens")).scalar()
-    ratio = F.when(F.col("tokens") > 0, F.least(F.col("weight") / F.col("tokens"), spread * mean)).otherwise(mean)
+    ratio = F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(mean)
     rated = raked.withColumn("_ratio", ratio)
     return rated.withColumn("probability", F.col("_ratio") / rated.agg(F.max("_ratio")).scalar()).drop("_ratio", "weight")
 

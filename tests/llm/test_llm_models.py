@@ -115,6 +115,24 @@ def test_raking_meets_targets_against_plain_python(spark):
     assert all(abs(got[k] - w) < 1e-6 for k, w in weight.items())
 
 
+@pytest.mark.parametrize("lang", ["en", "zz"])
+def test_sampling_rates_meet_targets_of_a_rare_cell(spark, lang):
+    rng = random.Random(8)
+    cells = [(f"s{i}", l, t, (333_300 if i == 0 else 37_030) * (3 if l == "en" else 1) * (4 if t == "p" else 1) // 20)
+             for i in range(19) for l in ("en", "fr") for t in ("p", "q")]
+    cells += [("rare", lang, "p", 100), ("s0", "zz", "p", 400), ("s1", "zz", "q", 300)]
+    rng.shuffle(cells)
+    rated = mixing.sampling_rates(spark.createDataFrame(cells, "source string, lang string, topic string, tokens long")).collect()
+    assert len(rated) == len(cells) and max(r.probability for r in rated) == 1
+    kept = sum(r.tokens * r.probability for r in rated)
+    for margin, exponent in mixing.TEMPERATURES.items():
+        values = {r[margin] for r in rated}
+        present = {v: sum(r.tokens for r in rated if r[margin] == v) ** exponent for v in values}
+        for v in values:
+            share = sum(r.tokens * r.probability for r in rated if r[margin] == v) / kept
+            assert share == pytest.approx(present[v] / sum(present.values()), rel=2e-3), (margin, v)
+
+
 def test_mixing_keeps_rows_and_selects_alike(documents, messy_rows):
     rows = [(i, f"word{i} " * (5 + i % 7), "en" if i % 4 else "fr", f"s{0 if i % 3 else i % 5}") for i in range(400)] + messy_rows
     got = mixing.mix(documents(rows), [F.col("doc_id"), F.col("topic")]).collect()
