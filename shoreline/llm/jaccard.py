@@ -316,18 +316,20 @@ def remaining_pairs(index: DataFrame, labels: DataFrame, tested: DataFrame, copi
     """Pairs of documents that share an index key but neither a component nor a test so far.
 
     Only keys with three or more members of at least two components have any; of keys with the
-    same members one is looked at. Both members' distances to the key's center are known, and
+    same members one is looked at. Members are told apart by sums of hashes, where those of a
+    repeated row do not cancel each other. Both members' distances to the key's center are known, and
     one less similarity is a metric, so distances that differ by more than a link's rule a
     pair out without a test. So do parity sketches of the sets: places whose parity differs are
     no more than the shingles that differ, of which a linked pair has few.
     """
     label = broadcast_if_small(labels.select(F.col("node").alias("doc"), "label"), max_rows=SMALL_IDS)
     placed = index.join(label, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    member = F.xxhash64("doc", F.lit(1)), F.xxhash64("doc", F.lit(2))
+    hashes = F.xxhash64("doc", F.lit(1)), F.xxhash64("doc", F.lit(2))
+    member = [half for h in hashes for half in (F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
     groups = placed.groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"),
-        *[F.bit_xor(m).alias(f"m{i}") for i, m in enumerate(member)]).filter("low <> high AND members > 2")
-    looked_at = groups.groupBy("members", "m0", "m1").agg(F.min("key").alias("key")).select("key")
+        *[F.sum(m).alias(f"m{i}") for i, m in enumerate(member)]).filter("low <> high AND members > 2")
+    looked_at = groups.groupBy("members", *[f"m{i}" for i in range(len(member))]).agg(F.min("key").alias("key")).select("key")
     first = broadcast_if_small(copies.select(F.col("b").alias("doc"), F.col("a").alias("_first")), max_rows=SMALL_IDS)
     inside = placed.join(looked_at, "key", "left_semi").join(first, "doc", "left").withColumn("doc", F.coalesce("_first", "doc")).drop("_first")
     inside = inside.join(first.withColumnRenamed("doc", "center"), "center", "left").withColumn("center", F.coalesce("_first", "center"))

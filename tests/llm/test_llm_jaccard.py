@@ -95,3 +95,15 @@ def test_chains_of_links_reach_their_smallest_member(spark):
     chain = spark.createDataFrame([(i, i + 1) for i in range(1, 200)] + [(500, 501)], "a long, b long")
     got = {r.node: r.label for r in jaccard.smallest_reachable(chain).collect()}
     assert got == {**{i: 1 for i in range(1, 201)}, 500: 500, 501: 500}
+
+
+def test_keys_with_repeated_members_are_told_apart(spark):
+    center, x, y, z = 1, 2, 3, 4
+    index = spark.createDataFrame([(key, center, d, 20) for key, docs in ((10, (center, x, x, y)), (20, (center, z, z, y))) for d in docs],
+                                  "key long, center long, doc long, n int")
+    labels = spark.createDataFrame([(d, d) for d in (center, x, y, z)], "node long, label long")
+    tested = spark.createDataFrame([(center, d, 0.3) for d in (x, y, z)], "a long, b long, distance double")
+    texts = spark.createDataFrame([(d, " ".join(f"w{i}" for i in range(24))) for d in (center, x, y, z)], "doc_id long, text string")
+    copies = spark.createDataFrame([], "a long, b long")
+    got = jaccard.remaining_pairs(index, labels, tested, copies, texts).collect()
+    assert sorted((r.a, r.b) for r in got) == [(x, y), (y, z)]
