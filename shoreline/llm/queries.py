@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.llm import bpe, chat, jaccard, licenses, mixing, quality, rules, topk, toxicity, warc
+from shoreline.llm import bpe, chat, collocations, jaccard, licenses, mixing, negatives, quality, rules, token_counts, topk, toxicity, warc
 from shoreline.llm.base import LOWER, ORACLES, QUERIES, UPPER, query, table
+from shoreline.session import shared_folder
 
-TOKENIZER = "word_bpe_49k.json"
+TOKENIZER, COUNTED_TOKENIZER = "word_bpe_49k.json", "piece_bpe_32k.model"
 
 __all__ = ["ORACLES", "QUERIES"]
 
@@ -166,3 +167,53 @@ def co_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_toxic_spans")
 def toxic_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op11_phrase_collocations", f"""
+    WITH piece AS (
+        SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'),
+               '[.,;:!?\\x0A-\\x0D]')) AS p FROM documents),
+    split AS (SELECT lang, regexp_extract_all(p, '[^\\x20\\x09]+') AS w FROM piece),
+    gram AS (SELECT lang, width, unnest([array_to_string(w[i:i + width - 1], ' ') FOR i IN range(1, len(w) - width + 2)]) AS phrase
+             FROM split, range(1, 5) AS t(width)),
+    f AS (SELECT lang, width, phrase, count(*) AS a FROM gram GROUP BY ALL HAVING count(*) >= 30),
+    total AS (SELECT lang, count(*) AS n FROM gram WHERE width = 1 GROUP BY lang),
+    cut AS (SELECT lang, width, phrase, a, string_split(phrase, ' ') AS w, unnest(range(1, width)) AS k FROM f WHERE width > 1),
+    scored AS (SELECT c.lang, c.phrase, c.a, k, x.a AS l, y.a AS r, ((2000000::HUGEINT * c.a) // (x.a + y.a))::BIGINT AS score
+               FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+                          JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')),
+    least AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    inner_phrase AS (SELECT c.lang, array_to_string(w[i:i + size - 1], ' ') AS phrase, max(c.a) AS longer
+                     FROM (SELECT lang, width, phrase, a, string_split(phrase, ' ') AS w FROM f WHERE width > 2) c,
+                          range(2, 4) AS s(size), range(1, 4) AS p(i) WHERE size < width AND i + size - 1 <= width GROUP BY ALL),
+    kept AS (SELECT s.* FROM least s LEFT JOIN inner_phrase i ON i.lang = s.lang AND i.phrase = s.phrase
+             WHERE i.longer IS NULL OR 100 * i.longer < 80 * s.a),
+    ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM kept)
+    SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000""")
+def phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_hard_negatives", """
+    WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                      [floor(256 * x::DOUBLE)::BIGINT FOR x IN embedding] AS q FROM embeddings
+               WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_sum([x[1] * x[2] FOR x IN list_zip(a.q, b.q)])::BIGINT AS score
+          FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+                 row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id)::INT AS positive_rank FROM s WHERE same),
+    m AS (SELECT p.*, s.vec_id AS negative_id, s.score AS negative_score,
+                 row_number() OVER (PARTITION BY p.anchor_id, positive_rank ORDER BY s.score DESC, s.vec_id)::INT AS rank
+          FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 30 * positive_score <= 100 * s.score AND 100 * s.score <= 90 * positive_score
+          WHERE positive_rank <= 5)
+    SELECT anchor_id, positive_id, positive_rank, rank, negative_id, positive_score, negative_score FROM m WHERE rank <= 10""")
+def hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return negatives.mine_hard_negatives(moved, F.col("vec_id") % 100 == 0)
+
+
+@query("op13_token_counts")
+def token_counts_of_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own, which is empty at the start."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(COUNTED_TOKENIZER), shared_folder(spark, "token-cache"))
