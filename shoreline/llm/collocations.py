@@ -4,8 +4,8 @@ Every word opens a suffix of at most four words that ends with its piece. A suff
 hold frequent phrases as far as its words and word pairs are frequent, so words and pairs are
 counted first and suffixes are cut where one is not. The rest of the suffix tree is cut by
 word prefixes: a prefix with more leaves than the memory budget is extended by a word, and
-prefixes are packed into groups of about that many leaves. Each group's subtrees are built on
-their own; a node's count is the total of the leaves below it.
+whole prefixes are packed into groups of about that many leaves. Each group's subtrees are
+built on their own; a node's count is the total of the leaves below it.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from shoreline.operators.joins import broadcast_if_small
 DEPTH, LEAST = 4, 30
 #: Bytes of text that a task holds as words before it passes its counts on.
 HELD_BYTES = 1 << 25
-#: Leaves of a group of subtrees, in rows; prefixes of one bucket are packed one after another.
-BUDGET, BUCKET_PREFIXES = 1 << 20, 2_000
+#: Leaves of a group of subtrees, in rows.
+BUDGET = 1 << 20
 MAP_BITS, SPREAD = 24, 0x9E3779
 
 #: Bytes as words and pieces see them: A-Z in lower case, tabs as spaces, every piece end as a line feed.
@@ -44,17 +44,19 @@ _COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.i
 _COUNTED_DDL = "lang string, phrase string, n long"
 
 
-def _rows(lang: str, phrases: pa.Array, counts: np.ndarray, step: int = 1 << 16) -> Iterator[pa.RecordBatch]:
-    for at in range(0, len(phrases), step):
-        part = phrases[at:at + step]
-        yield pa.record_batch([pa.array([lang] * len(part)), part.cast(pa.string()), pa.array(counts[at:at + step], pa.int64())], schema=_COUNTED)
+def _rows(lang: str, words: pa.Array, numbers: list[np.ndarray], counts: np.ndarray, step: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Phrases from the numbers of their words, some at a time."""
+    for at in range(0, len(counts), step):
+        columns = [words.take(pa.array(n[at:at + step])) for n in numbers]
+        phrases = pc.binary_join_element_wise(*columns, b" ") if len(columns) > 1 else columns[0]
+        yield pa.record_batch([pa.array([lang] * len(phrases)), phrases.cast(pa.string()), pa.array(counts[at:at + step], pa.int64())], schema=_COUNTED)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of words per language, combined over many documents of the task."""
     def flushed() -> Iterator[pa.RecordBatch]:
         for lang, count in counts.items():
-            yield from _rows(lang, pa.array(list(count), pa.binary()), np.fromiter(count.values(), np.int64, len(count)))
+            yield from _rows(lang, pa.array(list(count), pa.binary()), [np.arange(len(count))], np.fromiter(count.values(), np.int64, len(count)))
         counts.clear()
 
     counts: dict[str, Counter] = {}
@@ -143,8 +145,7 @@ def _pair_counts(frequent_words: np.ndarray):
         good = maybe[order]
         at = np.flatnonzero(good[:-1] & good[1:])
         pairs, counts = np.unique(order[at].astype(np.int64) << 32 | order[at + 1], return_counts=True)
-        phrases = pc.binary_join_element_wise(words.take(pa.array(pairs >> 32)), words.take(pa.array(pairs & 0xFFFFFFFF)), b" ")
-        yield from _rows(lang, phrases, counts)
+        yield from _rows(lang, words, [pairs >> 32, pairs & 0xFFFFFFFF], counts)
     return _over_held_words(counted)
 
 
@@ -163,8 +164,7 @@ def _leaves(frequent_words: np.ndarray, frequent_pairs: np.ndarray):
         for starts, width in ((first[four], 4), (first[~four], 3)):
             codes = pair[starts] * max(1, len(pairs)) + pair[starts + width - 2]
             _, place, counts = np.unique(codes, return_index=True, return_counts=True)
-            columns = [words.take(pa.array(order[starts[place] + k])) for k in range(width)]
-            yield from _rows(lang, pc.binary_join_element_wise(*columns, b" "), counts)
+            yield from _rows(lang, words, [order[starts[place] + k] for k in range(width)], counts)
     return _over_held_words(counted)
 
 
@@ -173,28 +173,47 @@ def prefix(words: int) -> Column:
 
 
 def vertical_partition(leaves: DataFrame, work: Workspace, budget: int) -> DataFrame:
-    """Leaves with the group that their prefix was packed into.
+    """Leaves with their prefix and its depth.
 
     A prefix starts as one word. Where more leaves than the budget share it, it is extended by
     a word, until it is the whole suffix: of such prefixes there are never more than leaves
-    over budget. In every bucket of prefixes a running total is cut at multiples of the budget,
-    so a group holds less than twice the budget, unless equal suffixes alone are more.
+    over budget.
     """
-    open_leaves = leaves.withColumn("prefix", prefix(1)).withColumn("depth", F.lit(1))
+    parted = leaves.withColumn("prefix", prefix(1)).withColumn("depth", F.lit(1))
     for width in range(2, DEPTH + 1):
-        heavy = work.put(f"heavy-{width}", open_leaves.groupBy("lang", "prefix").agg(F.count("*").alias("_heavy")).filter(F.col("_heavy") > budget))
+        heavy = work.put(f"heavy-{width}", parted.groupBy("lang", "prefix").agg(F.count("*").alias("_heavy")).filter(F.col("_heavy") > budget))
         if heavy.isEmpty():
             break
         extended = F.col("_heavy").isNotNull()
-        open_leaves = open_leaves.join(broadcast_if_small(heavy), ["lang", "prefix"], "left").withColumns({
+        parted = parted.join(broadcast_if_small(heavy), ["lang", "prefix"], "left").withColumns({
             "prefix": F.when(extended, prefix(width)).otherwise(F.col("prefix")),
             "depth": F.when(extended, width).otherwise(F.col("depth"))}).drop("_heavy")
-    weights = work.put("prefixes", open_leaves.groupBy("lang", "prefix").agg(F.count("*").alias("leaves")))
-    buckets = weights.count() // BUCKET_PREFIXES + 1
-    running = Window.partitionBy("_bucket").orderBy("lang", "prefix").rowsBetween(Window.unboundedPreceding, -1)
-    packed = weights.withColumn("_bucket", F.pmod(F.xxhash64("lang", "prefix"), F.lit(buckets))).withColumn(
-        "group", F.col("_bucket") + buckets * F.floor(F.coalesce(F.sum("leaves").over(running), F.lit(0)) / budget))
-    return open_leaves.join(packed.select("lang", "prefix", "group"), ["lang", "prefix"]).select("group", "depth", "lang", "phrase", "n")
+    return parted.select("lang", "prefix", "depth", "phrase", "n")
+
+
+def packed_groups(batches: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.Table]:
+    """Sorted leaves cut into groups of whole prefixes, with less than twice the budget of leaves each.
+
+    Only equal suffixes, which cannot be parted, may be more.
+    """
+    held: list[pa.RecordBatch] = []
+    size, full = 0, budget
+    for batch in batches:
+        for at in range(0, batch.num_rows, budget):
+            held.append(batch.slice(at, budget))
+            size += held[-1].num_rows
+            if size < full:
+                continue
+            table = pa.Table.from_batches(held).combine_chunks()
+            last = pc.and_(pc.equal(table["prefix"], table["prefix"][-1]), pc.equal(table["lang"], table["lang"][-1]))
+            end = size - pc.sum(last).as_py()
+            if end:
+                yield table.slice(0, end)
+            held = table.slice(end).to_batches()
+            size -= end
+            full = budget if end else 2 * size
+    if size:
+        yield pa.Table.from_batches(held)
 
 
 _NODES = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("n", pa.int64())])
@@ -234,6 +253,13 @@ def subtree_counts(leaves: pa.Table) -> pa.Table:
     return pa.concat_tables(out) if out else _NODES.empty_table()
 
 
+def _subtrees(budget: int):
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in packed_groups(batches, budget):
+            yield from subtree_counts(group).to_batches()
+    return rows
+
+
 def count_phrases(documents: DataFrame, work: Workspace, budget: int = BUDGET) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, n, width) of every phrase of one to four words met LEAST times or more, and (lang, n) of all words."""
     given = documents.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
@@ -244,12 +270,12 @@ def count_phrases(documents: DataFrame, work: Workspace, budget: int = BUDGET) -
     pairs = work.put("pairs", given.mapInArrow(_pair_counts(word_map), _COUNTED_DDL).groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST))
     pair_map = bitmap_of(pairs.select(pair_bit(prefix(1), prefix(-1)).alias("bit")), MAP_BITS)
     leaves = work.put("leaves", given.mapInArrow(_leaves(word_map, pair_map), _COUNTED_DDL))
-    grouped = vertical_partition(leaves, work, budget)
-    nodes = grouped.groupBy("group").applyInArrow(subtree_counts, _COUNTED_DDL)
+    parted = vertical_partition(leaves, work, budget).repartition("lang", "prefix").sortWithinPartitions("lang", "prefix")
+    nodes = parted.mapInArrow(_subtrees(budget), _COUNTED_DDL)
     longer = nodes.groupBy("lang", "phrase").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST)
     counted = words.unionByName(pairs).unionByName(longer).withColumn("width", F.size(F.split("phrase", " ")))
     phrases = work.put("phrases", counted)
-    work.drop("words", "pairs", "leaves", "prefixes", *[f"heavy-{width}" for width in range(2, DEPTH + 1)])
+    work.drop("words", "pairs", "leaves", *[f"heavy-{width}" for width in range(2, DEPTH + 1)])
     return phrases, sizes
 
 

@@ -14,6 +14,7 @@ by one still meets. Candidates are then verified exactly.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoreline.llm.base import ensure_checkpoints, stored
+from shoreline.llm.base import Workspace, ensure_checkpoints
 from shoreline.llm.shingles import mixed, shingle_set
 from shoreline.operators.joins import broadcast_if_small
 
@@ -29,6 +30,8 @@ WIDTH = 5
 #: Similarity 3/4: linked when 4 * intersection >= 3 * union.
 SMALL_SET = 64
 SMALL_IDS = 2_000_000
+#: Members of a key that are held until the key ends; member sets that a task remembers; pairs of one document that one task tests.
+HELD_MEMBERS, REMEMBERED_SETS, PAIRS_A_TASK = 1 << 16, 1 << 20, 1_000
 #: Places of the parity sketch of a set.
 SKETCH_BITS = 1024
 SKETCH = [f"s{i}" for i in range(SKETCH_BITS // 64)]
@@ -162,64 +165,99 @@ def _index_rows(common: np.ndarray):
 
 
 def _shared_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by (key, tag, doc): index rows whose key occurs again, with the run's
-    first document as center; and every document row with its copies' first document (key null).
-    Only one row is held between batches.
+    """Of rows sorted by (key, tag, doc): the members of every index key with two or more, with
+    the first as center; and every document row with its copies' first document (key null).
+
+    Keys with the same members are shown once per task: in place of the key stands a hash of
+    its members, so that tasks' rows for the same members are equal. At most HELD_MEMBERS rows
+    wait for the end of their key; the members of longer keys are shown under the key itself.
     """
-    key = tag = center = None
-    waiting = None
-    for batch in batches:
-        keys, docs, tags, sizes = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
-        if not len(keys):
-            continue
-        new = np.r_[keys[0] != key or tags[0] != tag, (keys[1:] != keys[:-1]) | (tags[1:] != tags[:-1])]
+    seen: set[int] = set()
+    held, center = None, None
+
+    def shown(keys, docs, tags, sizes, first=None) -> pa.RecordBatch:
+        """Whole runs; with ``first``, part of one long run that this document opened."""
+        new = np.r_[True, (keys[1:] != keys[:-1]) | (tags[1:] != tags[:-1])]
         run = np.cumsum(new) - 1
-        heads = docs[new]
-        centers = heads[run] if new[0] else np.r_[[center], heads][run + 1]
-        ends = np.r_[new[1:], False]
-        alone = new & ends
-        alone[-1] = False
-        out = (tags != 0) | ~alone
-        held = waiting if waiting is not None and not new[0] else None
-        waiting = None
-        if new[-1] and tags[-1] == 0:
-            out[-1] = False
-            waiting = (keys[-1], docs[-1], docs[-1], sizes[-1])
-        shown = [keys[out], centers[out], docs[out], sizes[out]]
-        none = tags[out] != 0
+        centers = docs[new][run] if first is None else np.full(len(docs), first)
+        fresh = (tags == 0) & np.r_[True, ~((keys[1:] == keys[:-1]) & (docs[1:] == docs[:-1]) & (tags[1:] == tags[:-1]))]
+        names = keys
+        if first is None:
+            members = np.bincount(run[fresh], minlength=run[-1] + 1)
+            sums = np.zeros(run[-1] + 1, np.uint64)
+            np.add.at(sums, run[fresh], mixed(docs[fresh]))
+            named = mixed(sums + members.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)).view(np.int64)
+            _, at = np.unique(named, return_index=True)
+            kept = np.zeros(len(named), bool)
+            kept[[i for i in at if members[i] > 1 and int(named[i]) not in seen]] = True
+            if len(seen) > REMEMBERED_SETS:
+                seen.clear()
+            seen.update(named[kept].tolist())
+            fresh &= kept[run]
+            names = named[run]
+        out = fresh | (tags != 0)
+        return pa.record_batch([pa.array(names[out], mask=tags[out] != 0), pa.array(centers[out]), pa.array(docs[out]), pa.array(sizes[out])], schema=_GROUPED)
+
+    for batch in batches:
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
         if held is not None:
-            shown = [np.r_[[h], s].astype(s.dtype) for h, s in zip(held, shown)]
-            none = np.r_[[False], none]
-        if len(none):
-            yield pa.record_batch([pa.array(shown[0], mask=none), *map(pa.array, shown[1:])], schema=_GROUPED)
-        key, tag, center = keys[-1], tags[-1], centers[-1]
+            rows = [np.r_[h, r] for h, r in zip(held, rows)]
+        if not len(rows[0]):
+            continue
+        keys, _, tags, _ = rows
+        ends = np.flatnonzero((keys[1:] != keys[:-1]) | (tags[1:] != tags[:-1]))
+        last = ends[-1] + 1 if len(ends) else 0
+        if center is not None and len(ends):
+            yield shown(*[r[:ends[0] + 1] for r in rows], first=center)
+            rows, last, center = [r[ends[0] + 1:] for r in rows], last - ends[0] - 1, None
+        if last:
+            yield shown(*[r[:last] for r in rows])
+        held = [r[last:] for r in rows]
+        if len(held[0]) > HELD_MEMBERS:
+            center = held[1][0] if center is None else center
+            # the last row stays, to tell where the next batch goes on
+            yield shown(*[h[:-1] for h in held], first=center)
+            held = [h[-1:] for h in held]
+    if held is not None and len(held[0]):
+        yield shown(*held, first=center)
 
 
 _CHECKED = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("linked", pa.bool_()), ("distance", pa.float64())])
 
 
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Exact test of candidate pairs from their whole texts; the last left set is kept."""
-    seen, left = None, None
+    """Exact test of texts sorted by (a, salt, doc differs from a): the sets of a are held, the others compared with them."""
+    center, held = None, {}
     for batch in batches:
-        linked, apart = [], []
-        for a, one, other in zip(batch.column(0).to_pylist(), batch.column(2), batch.column(3)):
-            one = one.as_py()
-            if seen != one or left is None:
-                seen, left = one, shingle_set(one, WIDTH)
-            right = shingle_set(other.as_py(), WIDTH)
-            both = len(np.intersect1d(left, right, assume_unique=True))
-            either = len(left) + len(right) - both
-            linked.append(100 * both >= 75 * either > 0)
-            apart.append(1 - both / max(either, 1))
-        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(linked, pa.bool_()), pa.array(apart)], schema=_CHECKED)
-
-
-def verify(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Test candidate pairs (a, b): a, b, linked, distance (one less similarity). Each text moves once per pair it is in."""
-    right = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("_right")), "b")
-    both = right.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("_left")), "a")
-    return both.select("a", "b", "_left", "_right").mapInArrow(_verified, "a long, b long, linked boolean, distance double")
+        out = []
+        for a, doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            if a != center:
+                center, held = a, {}
+            own = shingle_set(text.as_py(), WIDTH)
+            if doc == a:
+                held[own.tobytes()] = own
+                continue
+            for other in held.values():
+                both = len(np.intersect1d(own, other, assume_unique=True))
+                either = len(own) + len(other) - both
+                out.append((a, doc, 100 * both >= 75 * either > 0, 1 - both / max(either, 1)))
+        if out:
+            yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out), _CHECKED)], schema=_CHECKED)
+
+
+def verify(pairs: DataFrame, given: DataFrame) -> DataFrame:
+    """Test candidate pairs (a, b): a, b, linked, distance (one less similarity).
+
+    A text moves once for each a that it is compared with, and the text of a once for every
+    PAIRS_A_TASK of its pairs, which are dealt to that many places.
+    """
+    many = pairs.groupBy("a").agg((F.count("*") / PAIRS_A_TASK).cast("int").alias("_more")).filter(F.col("_more") > 0)
+    dealt = pairs.join(broadcast_if_small(many, max_rows=SMALL_IDS), "a", "left").withColumn(
+        "_salt", F.pmod(F.xxhash64("b"), F.coalesce("_more", F.lit(0)) + 1))
+    wanted = dealt.select("a", "_salt", F.col("b").alias("doc_id")).unionByName(dealt.select("a", "_salt", F.col("a").alias("doc_id")).distinct())
+    texts = given.join(broadcast_if_small(wanted, max_rows=SMALL_IDS), "doc_id").select("a", "doc_id", "text", "_salt")
+    sorted_ = texts.repartition("a", "_salt").sortWithinPartitions("a", "_salt", F.col("doc_id") != F.col("a"))
+    return sorted_.select("a", "doc_id", "text").mapInArrow(_verified, "a long, b long, linked boolean, distance double")
 
 
 def smallest_reachable(links: DataFrame, rounds: int = 60) -> DataFrame:
@@ -261,13 +299,14 @@ def linked_groups(documents: DataFrame) -> DataFrame:
     per member. Where a key's members then still lie in different components, its remaining
     pairs across components are compared too. No link between different texts is lost.
     """
-    given = documents.select("doc_id", "text")
+    given, work = documents.select("doc_id", "text"), Workspace(documents.sparkSession, "jaccard")
     known = given.filter(F.col("doc_id").isNotNull())
     indexed = known.mapInArrow(_index_rows(common_tokens(known)), "key long, doc long, tag long, n int")
-    grouped = stored(indexed.repartition("key").sortWithinPartitions("key", "tag", "doc").mapInArrow(
-        _shared_runs, "key long, center long, doc long, n int"), "jaccard-index")
-    sets = grouped.filter(F.col("key").isNull()).select(F.col("doc").alias("doc_id"), F.col("center").alias("copy_of"), "n")
-    index = grouped.filter(F.col("key").isNotNull())
+    grouped = work.put("groups", indexed.repartition("key").sortWithinPartitions("key", "tag", "doc").mapInArrow(
+        _shared_runs, "key long, center long, doc long, n int"))
+    sets = work.put("sets", grouped.filter(F.col("key").isNull()).select(F.col("doc").alias("doc_id"), F.col("center").alias("copy_of"), "n"))
+    index = work.put("index", grouped.filter(F.col("key").isNotNull()).distinct())
+    work.drop("groups")
     copies = sets.filter((F.col("n") > 0) & (F.col("copy_of") != F.col("doc_id"))).select(
         F.col("copy_of").alias("a"), F.col("doc_id").alias("b")).distinct()
 
@@ -278,17 +317,15 @@ def linked_groups(documents: DataFrame) -> DataFrame:
             pairs = pairs.join(first, side, "left").withColumn(side, F.coalesce("_first", side)).drop("_first")
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
-    members = index.select("doc").distinct().join(copies.select(F.col("b").alias("doc"), "a"), "doc", "left").select(
-        F.coalesce("a", "doc").alias("doc_id")).distinct()
-    texts = stored(given.join(broadcast_if_small(members, max_rows=SMALL_IDS), "doc_id", "left_semi"), "jaccard-texts")
-    tested = stored(verify(one_per_set(index.filter("center <> doc").select(
-        F.col("center").alias("a"), F.col("doc").alias("b")).distinct()), texts), "jaccard-links")
-    links = stored(copies.unionByName(tested.filter("linked").select("a", "b")), "jaccard-edges")
+    star = work.put("star", one_per_set(index.filter("center <> doc").select(F.col("center").alias("a"), F.col("doc").alias("b")).distinct()))
+    tested = work.put("tested", verify(star, known))
+    links = work.put("links", copies.unionByName(tested.filter("linked").select("a", "b")))
     labels = smallest_reachable(links)
 
-    rest = stored(remaining_pairs(index, labels, tested, copies, texts), "jaccard-rest")
+    rest = work.put("rest", remaining_pairs(index, labels, tested, copies, known, work))
+    work.drop("index", "star", "tested", "mixed", "sketches")
     if not rest.isEmpty():
-        more = stored(verify(rest, texts).filter("linked").select("a", "b"), "jaccard-more")
+        more = work.put("more", verify(rest, known).filter("linked").select("a", "b"))
         if not more.isEmpty():
             labels = smallest_reachable(links.unionByName(more))
     named = sets.select("doc_id", "n").join(labels.select(F.col("node").alias("doc_id"), "label"), "doc_id", "left").select(
@@ -312,38 +349,37 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.record_batch([batch.column(0), *map(pa.array, np.ascontiguousarray(np.array(sketches).T))], ["doc", *SKETCH])
 
 
-def remaining_pairs(index: DataFrame, labels: DataFrame, tested: DataFrame, copies: DataFrame, texts: DataFrame) -> DataFrame:
+def remaining_pairs(index: DataFrame, labels: DataFrame, tested: DataFrame, copies: DataFrame, given: DataFrame, work: Workspace) -> DataFrame:
     """Pairs of documents that share an index key but neither a component nor a test so far.
 
-    Only keys with three or more members of at least two components have any; of keys with the
-    same members one is looked at. Members are told apart by sums of hashes, where those of a
-    repeated row do not cancel each other. Both members' distances to the key's center are known, and
-    one less similarity is a metric, so distances that differ by more than a link's rule a
-    pair out without a test. So do parity sketches of the sets: places whose parity differs are
-    no more than the shingles that differ, of which a linked pair has few.
+    Only keys with three or more members of at least two components have any. Members meet in
+    bands of set sizes, as linked sets differ in size by a third at most. Both members'
+    distances to the key's center are known, and one less similarity is a metric, so distances
+    that differ by more than a link's rule a pair out without a test. So do parity sketches of
+    the sets: places whose parity differs are no more than the shingles that differ, of which a
+    linked pair has few.
     """
     label = broadcast_if_small(labels.select(F.col("node").alias("doc"), "label"), max_rows=SMALL_IDS)
     placed = index.join(label, "doc", "left").withColumn("label", F.coalesce("label", "doc"))
-    hashes = F.xxhash64("doc", F.lit(1)), F.xxhash64("doc", F.lit(2))
-    member = [half for h in hashes for half in (F.shiftright(h, 32), h.bitwiseAND(F.lit(0xFFFFFFFF)))]
-    groups = placed.groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members"),
-        *[F.sum(m).alias(f"m{i}") for i, m in enumerate(member)]).filter("low <> high AND members > 2")
-    looked_at = groups.groupBy("members", *[f"m{i}" for i in range(len(member))]).agg(F.min("key").alias("key")).select("key")
+    looked_at = placed.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("members")).filter(
+        "low <> high AND members > 2").select("key")
     first = broadcast_if_small(copies.select(F.col("b").alias("doc"), F.col("a").alias("_first")), max_rows=SMALL_IDS)
     inside = placed.join(looked_at, "key", "left_semi").join(first, "doc", "left").withColumn("doc", F.coalesce("_first", "doc")).drop("_first")
     inside = inside.join(first.withColumnRenamed("doc", "center"), "center", "left").withColumn("center", F.coalesce("_first", "center"))
     apart = tested.select(F.col("a").alias("center"), F.col("b").alias("doc"), "distance")
-    both = stored(inside.select("key", "center", "doc", "n", "label").distinct().join(
-        apart.unionByName(apart.select(F.col("doc").alias("center"), F.col("center").alias("doc"), "distance")), ["center", "doc"]), "jaccard-mixed")
-    sketches = stored(texts.select("doc_id", "text").join(both.select(F.col("doc").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
-        _sketch_rows, "doc long, " + ", ".join(f"{c} long" for c in SKETCH)), "jaccard-sketches")
+    either_way = apart.unionByName(apart.select(F.col("doc").alias("center"), F.col("center").alias("doc"), "distance"))
+    band = F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(4 / 3)) + 1e-9).cast("int")
+    both = work.put("mixed", inside.select("key", "center", "doc", "n", "label").distinct().join(either_way, ["center", "doc"]).withColumn("band", band))
+    sketches = work.put("sketches", given.join(broadcast_if_small(both.select(F.col("doc").alias("doc_id")).distinct(), max_rows=SMALL_IDS), "doc_id", "left_semi").mapInArrow(
+        _sketch_rows, "doc long, " + ", ".join(f"{c} long" for c in SKETCH)))
     both = both.join(sketches, "doc")
-    other = both.select("key", F.col("doc").alias("b"), *[F.col(c).alias(f"_{c}") for c in ("n", "label", "distance", *SKETCH)])
+    other = both.select("key", F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"), F.col("doc").alias("b"),
+                        F.col("band").alias("_band"), *[F.col(c).alias(f"_{c}") for c in ("n", "label", "distance", *SKETCH)])
     differing = sum((F.bit_count(F.col(c).bitwiseXOR(F.col(f"_{c}"))) for c in SKETCH), F.lit(0))
-    pairs = both.withColumnRenamed("doc", "a").join(other, "key").filter(
-        (F.col("a") < F.col("b")) & (F.col("label") != F.col("_label"))
+    # every pair of one band meets twice and counts where a is the smaller, a pair of two bands meets once
+    pairs = both.withColumnRenamed("doc", "a").join(other, ["key", "band"]).filter(
+        ((F.col("band") != F.col("_band")) | (F.col("a") < F.col("b"))) & (F.col("a") != F.col("b")) & (F.col("label") != F.col("_label"))
         & (4 * F.least("n", "_n") >= 3 * F.greatest("n", "_n"))
         & (F.abs(F.col("distance") - F.col("_distance")) < 0.25 + 1e-9)
-        & (7 * differing <= F.col("n") + F.col("_n"))).select("a", "b").distinct()
+        & (7 * differing <= F.col("n") + F.col("_n"))).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     return pairs.join(tested.select("a", "b"), ["a", "b"], "left_anti")

@@ -22,12 +22,18 @@ class Logistic:
         return ((features - self.mean) / self.scale) @ self.weights + self.intercept
 
     def column(self, features: str) -> Column:
-        """The same log odds as an expression over an array column."""
+        """The same log odds as an expression over an array column; the weights enter the plan as one literal."""
         slopes = self.weights / self.scale
-        total = F.lit(float(self.intercept - self.mean @ slopes))
-        for i, slope in enumerate(slopes):
-            total = total + F.get(F.col(features), F.lit(i)) * float(slope)
-        return total
+        return weighted_sum(F.col(features), slopes, float(self.intercept - self.mean @ slopes))
+
+
+def weighted_sum(values: Column, weights: np.ndarray, base: float) -> Column:
+    """base plus the inner product of an array with weights.
+
+    The weights are one array literal, so plans with other weights compile to the same code.
+    """
+    products = F.zip_with(values, F.lit([float(w) for w in weights]), lambda x, w: x * w)
+    return F.aggregate(products, F.lit(base), lambda total, x: total + x)
 
 
 def fit_logistic(features: np.ndarray, labels: np.ndarray, weights: np.ndarray | None = None, l2: float = 1.0,

@@ -11,17 +11,20 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoreline.llm.base import stored, text_or_empty
+from shoreline.llm.base import Workspace, text_or_empty
 from shoreline.llm.logistic import Logistic, fit_logistic, log_odds
 
 SOURCE_BUCKETS, LANGUAGE_BUCKETS = 32, 8
-#: At most so many labelled rows are fitted on, the first by a hash of their id.
+#: About so many labelled rows are fitted on, those whose id has the smallest hash.
 LABELLED_ROWS = 20_000
 ROUNDS, GIVEN_PER_ROUND, GUESS_WEIGHT = 3, 500, 0.2
 HELD_OUT = 4
+#: Guesses are ranked by bins of their log odds: bins in one unit, log odds of the outermost ones, least for a guess.
+BINS, OUTERMOST, CONFIDENT = 20, 40, 2
 
 
 def text_view(text: Column) -> Column:
@@ -76,23 +79,61 @@ class CoTrained:
         return 1 / (1 + F.exp(-total))
 
 
+def _array(rows: pa.Table, column: str) -> np.ndarray:
+    """A column of arrays of one length as a matrix."""
+    return rows[column].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(len(rows), VIEWS[column])
+
+
+def _share(hashed: Column, share: float) -> Column:
+    """Whether a 63-bit hash lies in the first share of its range."""
+    return hashed <= F.lit(min(int(min(share, 1.0) * (1 << 63)), (1 << 63) - 1))
+
+
+def confident(pool: DataFrame, logit: Column, view: str, wanted: int = GIVEN_PER_ROUND) -> tuple[np.ndarray, np.ndarray]:
+    """About ``wanted`` rows with the highest and with the lowest log odds: their view and guessed label.
+
+    Rows are counted by bins of log odds, of which there is a fixed number. The outermost bins
+    are taken whole as long as they fit, and the share of the next one that is still wanted, by
+    hash. So tasks pass on only what is used, at most twice what is wanted of each class.
+    """
+    placed = pool.withColumn("_bin", F.floor(F.greatest(F.least(logit, F.lit(float(OUTERMOST))), F.lit(-float(OUTERMOST))) * BINS))
+    sizes = {r["_bin"]: r["count"] for r in placed.groupBy("_bin").count().collect() if r["_bin"] is not None}
+    taken = []
+    for sign, label in ((1, 1.0), (-1, 0.0)):
+        left, test = wanted, F.lit(False)
+        for place in sorted((b for b in sizes if (b >= CONFIDENT * BINS if sign > 0 else b < -CONFIDENT * BINS)), key=lambda b: -b * sign):
+            own = F.col("_bin") == place
+            test = test | (own if sizes[place] <= left else own & _share(F.col("_pick"), left / sizes[place]))
+            left -= sizes[place]
+            if left <= 0:
+                break
+        taken.append(placed.filter(test).select("_pick", view, F.lit(label).alias("_guess")).limit(2 * wanted))
+    found = taken[0].unionAll(taken[1]).toArrow().sort_by([("_pick", "ascending"), ("_guess", "ascending")])
+    return _array(found, view), found["_guess"].to_numpy()
+
+
 def co_train(rows: DataFrame) -> CoTrained | None:
     """Fit on a table of doc_id, _label (0, 1 or null) and both views; None without both classes.
 
-    Fits see at most LABELLED_ROWS labelled rows and, per round and view, GIVEN_PER_ROUND
-    guesses of each class; every unlabelled row is a candidate for being guessed.
+    Fits see about LABELLED_ROWS labelled rows and, per round and view, about GIVEN_PER_ROUND
+    guesses of each class. Every round draws from its own part of the unlabelled rows, by
+    hash, so no row is guessed twice and all are candidates. Where the labelled rows that are
+    held out for calibration lack a class, none are held out and the training rows calibrate.
     """
-    order = F.xxhash64("doc_id")
-    labelled = rows.filter(F.col("_label").isNotNull()).select("doc_id", order.alias("_order"), "_label", *VIEWS).orderBy("_order", "doc_id").limit(LABELLED_ROWS).collect()
-    y = np.array([r["_label"] for r in labelled], float)
+    hashed = F.shiftrightunsigned(F.xxhash64("doc_id"), 1)
+    rows = rows.withColumn("_pick", F.shiftrightunsigned(F.xxhash64("doc_id", *VIEWS), 1)).withColumn("_order", hashed)
+    known = rows.filter(F.col("_label").isNotNull())
+    share = LABELLED_ROWS / max(1, known.count())
+    labelled = known.filter(_share(F.col("_order"), share)).select("_order", "_pick", "_label", *VIEWS).limit(2 * LABELLED_ROWS).toArrow().sort_by(
+        [("_order", "ascending"), ("_pick", "ascending")])
+    y = labelled["_label"].to_numpy().astype(float)
     if not len(y) or y.min() == y.max():
         return None
-    held = np.array([(r["_order"] >> 8) % HELD_OUT == 0 for r in labelled])
+    held = (labelled["_order"].to_numpy() >> 7) % HELD_OUT == 0
     if len(set(y[held])) < 2 or len(set(y[~held])) < 2:
         held = np.zeros(len(y), bool)
-    seen = {v: np.array([r[v] for r in labelled], float) for v in VIEWS}
+    seen = {v: _array(labelled, v) for v in VIEWS}
     guessed = {v: (np.empty((0, width)), np.empty(0)) for v, width in VIEWS.items()}
-    taken: dict[str, list] = {v: [] for v in VIEWS}
 
     def fitted(v: str) -> Logistic:
         x, t = guessed[v]
@@ -100,20 +141,12 @@ def co_train(rows: DataFrame) -> CoTrained | None:
         weights = np.r_[np.ones(own), np.full(len(t), GUESS_WEIGHT)]
         return fit_logistic(np.r_[seen[v][~held], x], np.r_[y[~held], t], weights)
 
-    pool = rows.filter(F.col("_label").isNull())
-    for _ in range(ROUNDS):
+    unlabelled = rows.filter(F.col("_label").isNull())
+    for i in range(ROUNDS):
+        pool = unlabelled.filter(F.pmod(F.col("_pick"), F.lit(ROUNDS)) == i)
         for giver, taker in (tuple(VIEWS), tuple(VIEWS)[::-1]):
-            logit = fitted(giver).column(giver)
-            open_rows = pool.select("doc_id", F.col(taker).alias("_x"), logit.alias("_logit")).filter(
-                ~F.coalesce(F.col("doc_id").isin(taken[taker]), F.lit(False))) if taken[taker] else pool.select("doc_id", F.col(taker).alias("_x"), logit.alias("_logit"))
-            ends = [(open_rows.filter("_logit > 2").orderBy(F.desc("_logit"), order).limit(GIVEN_PER_ROUND), 1.0),
-                    (open_rows.filter("_logit < -2").orderBy("_logit", order).limit(GIVEN_PER_ROUND), 0.0)]
-            for frame, label in ends:
-                found = frame.collect()
-                taken[taker] += [r["doc_id"] for r in found if r["doc_id"] is not None]
-                x, t = guessed[taker]
-                if found:
-                    guessed[taker] = (np.r_[x, np.array([r["_x"] for r in found], float)], np.r_[t, np.full(len(found), label)])
+            x, t = confident(pool, fitted(giver).column(giver), taker)
+            guessed[taker] = (np.r_[guessed[taker][0], x], np.r_[guessed[taker][1], t])
     part = held if held.any() else ~held
     views = {}
     for v in VIEWS:
@@ -132,15 +165,16 @@ def classify(documents: DataFrame, labels: DataFrame, carry: list[Column], thres
     Without labels of both classes the score is 0.5 and everything is kept. An empty table
     gives an empty one.
 
-    Both views of every row are computed once and written to the shared folder with the
-    carried columns.
+    Training reads the views of every row from the shared folder, without texts; scoring
+    computes them again beside the carried columns, so no text is written or moved.
     """
+    def viewed(*columns: Column) -> DataFrame:
+        return documents.select(*columns, text_view(text_or_empty()).alias("_text_view"),
+                                metadata_view(F.col("lang"), F.col("source"), F.col("n_chars")).alias("_meta_view"))
+
+    work = Workspace(documents.sparkSession, "quality")
     marks = labels.filter(F.col("quality").isin(0, 1)).groupBy("doc_id").agg(F.min("quality").alias("_label"))
-    viewed = documents.select(*carry, F.col("doc_id").alias("_id"), text_view(text_or_empty()).alias("_text_view"),
-                              metadata_view(F.col("lang"), F.col("source"), F.col("n_chars")).alias("_meta_view"))
-    rows = stored(viewed, "quality-views")
-    ids = rows.select(F.col("_id").alias("doc_id"), *VIEWS)
-    model = co_train(ids.join(marks, "doc_id", "left"))
-    score = F.lit(0.5) if model is None else model.score()
-    judged = rows.withColumn("score", score)
-    return judged.withColumn("kept", F.col("score") >= threshold).drop("_id", *VIEWS)
+    model = co_train(work.put("views", viewed(F.col("doc_id")).join(marks, "doc_id", "left")))
+    work.drop("views")
+    judged = viewed(*carry).withColumn("score", F.lit(0.5) if model is None else model.score())
+    return judged.withColumn("kept", F.col("score") >= threshold).drop(*VIEWS)

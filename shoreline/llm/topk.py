@@ -131,25 +131,29 @@ def exact_top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 2
     floor(scale * x) of both sides, an exact integer (components must stay below 2^24 after
     scaling). Ties go to the smaller vec_id. Vectors that are null, or hold a null or
     non-finite component, and rows without vec_id take no part. Only vectors of equal length
-    meet. A vec_id that repeats is a candidate once per different vector and asks once per
-    different vector; none of its rows answers itself. An empty table gives an empty one.
+    meet. Repeated rows are candidates each, up to the k that can be returned. A vec_id asks
+    once per different vector, and the k best over these are its answer; none of its rows
+    answers itself. An empty table gives an empty one.
 
     Queries and vectors are cut into blocks by a hash of the row, and every block of queries
     meets every block of vectors in one task of bounded size. Each passes on k rows per query.
     """
+    copies = Window.partitionBy("vec_id", "_v").orderBy("_asks")
     rows = stored(vectors.select("vec_id", quantised(F.col("embedding"), scale).alias("_v"))
                   .filter(F.col("_v").isNotNull() & F.col("vec_id").isNotNull())
-                  .withColumn("_asks", F.coalesce(is_query, F.lit(False))).distinct(), "vectors")
-    counted = rows.agg(F.count("*"), F.count_if("_asks")).collect()[0]
+                  .withColumn("_asks", F.coalesce(is_query, F.lit(False)))
+                  .withColumn("_copy", F.row_number().over(copies)).filter(F.col("_copy") <= k), "vectors")
+    asks = F.col("_asks") & (F.col("_copy") == 1)
+    counted = rows.agg(F.count("*"), F.count_if(asks)).collect()[0]
     row_blocks, query_blocks = (max(1, math.ceil(n / size)) for n, size in zip(counted, (block_rows, block_queries)))
 
     def beside(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
 
-    hashed = F.xxhash64("vec_id", "_v")
+    hashed = F.xxhash64("vec_id", "_v", "_copy")
     dim = F.size("_v").alias("_dim")
     left = rows.select("vec_id", "_v", dim, F.pmod(hashed, F.lit(row_blocks)).cast("int").alias("_rb"), beside(query_blocks).alias("_qb"))
-    right = rows.filter("_asks").select("vec_id", "_v", dim, F.pmod(hashed, F.lit(query_blocks)).cast("int").alias("_qb"), beside(row_blocks).alias("_rb"))
+    right = rows.filter(asks).select("vec_id", "_v", dim, F.pmod(hashed, F.lit(query_blocks)).cast("int").alias("_qb"), beside(row_blocks).alias("_rb"))
 
     def meet(block: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
         if not len(block) or not len(asked):

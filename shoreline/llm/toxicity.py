@@ -26,8 +26,8 @@ from shoreline.llm.shingles import shingle_set
 
 WORD = re.compile(r"[^\W\d_]+")
 FEATURE_BITS = 18
-#: Bounds of the fit: documents of each class, windows of each kind, tokens per window.
-TRAINING_DOCS, TRAINING_WINDOWS, WINDOW = 2_000, 4_000, 32
+#: Bounds of the fit: documents of each class, windows of each kind, words per window, windows of one document.
+TRAINING_DOCS, TRAINING_WINDOWS, WINDOW, DOCUMENT_WINDOWS = 2_000, 4_000, 32, 512
 #: A form is toxic if chance would put it into toxic documents alone once in exp(SURPRISE) forms.
 SURPRISE, PURITY = 13.8, 0.95
 #: Words whose emission a worker remembers.
@@ -155,46 +155,73 @@ def _expected_steps(emissions: np.ndarray, follows: np.ndarray, transitions: np.
     return pair[follows.T].sum(0)
 
 
-def without_copies(rows: list[tuple[str, int]]) -> list[tuple[str, int]]:
-    """Training rows without most copies: one per smallest shingle hash.
+def window_rank(doc: int | None, number: int) -> int:
+    """Order in which windows are chosen: by a hash of document and window number."""
+    return zlib.crc32(f"{doc} {number}".encode())
 
-    Many near copies of one toxic document would make each of its words look toxic.
+
+_SAMPLED = pa.schema([("doc_id", pa.int64()), ("toxic", pa.int32()), ("copy", pa.int64()), ("words", pa.list_(pa.string()))])
+
+
+def _sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words of training documents, of very long ones DOCUMENT_WINDOWS windows in text order; copies share a number."""
+    for batch in batches:
+        for doc, toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
+            text = text.as_py()
+            words = WORD.findall(text.lower())
+            count = -(-len(words) // WINDOW)
+            if count > DOCUMENT_WINDOWS:
+                numbers = sorted(sorted(range(count), key=lambda n: window_rank(doc, n))[:DOCUMENT_WINDOWS])
+                words = [w for n in numbers for w in words[n * WINDOW:(n + 1) * WINDOW]]
+            smallest = int(shingle_set(text)[:1].view(np.int64)[0]) if words else 0
+            yield pa.record_batch([pa.array([x], f.type) for x, f in zip((doc, toxic, smallest, words), _SAMPLED)], schema=_SAMPLED)
+
+
+def training_windows(documents: list[tuple[int, list[str], list[int]]]) -> dict[bool, list[tuple[int, int]]]:
+    """Windows (document, start) with and without a toxic word, at most TRAINING_WINDOWS of each kind.
+
+    Every document gives its windows in the order of their rank, first one each, then a second
+    one, and so on, so that no long text takes the place of others.
     """
-    kept: dict[tuple[int, ...], tuple[str, int]] = {}
-    for text, label in rows:
-        kept.setdefault(tuple(shingle_set(text)[:1].tolist()), (text, label))
-    return list(kept.values())
+    turns: dict[bool, list[tuple[int, int, int, int]]] = {True: [], False: []}
+    for i, (doc, words, marks) in enumerate(documents):
+        own: dict[bool, list[tuple[int, int]]] = {True: [], False: []}
+        for at in range(0, len(words), WINDOW):
+            own[any(marks[at:at + WINDOW])].append((window_rank(doc, at // WINDOW), at))
+        for kind, found in own.items():
+            turns[kind] += [(turn, rank, i, at) for turn, (rank, at) in enumerate(sorted(found))]
+    return {kind: [(i, at) for _, _, i, at in sorted(t)[:TRAINING_WINDOWS]] for kind, t in turns.items()}
 
 
 def train(documents: DataFrame, marks: DataFrame) -> ChainField:
     """Fit on a bounded sample of the labelled documents (doc_id, text) with ``marks`` (doc_id, toxic).
 
     At most TRAINING_DOCS ids of each class are taken, the first by a hash of the id; they are
-    chosen from the labels alone, and so few can be broadcast to fetch their texts. Without
-    labels of both classes the field knows no toxic form, and every score is the same.
+    chosen from the labels alone, and so few can be broadcast to fetch their texts. Very long
+    texts send DOCUMENT_WINDOWS windows, chosen by hash. Of copies with one label, which would
+    make each of their words look toxic, one is used, and one row of each id. Without labels of
+    both classes the field knows no toxic form, and every score is the same.
     """
     order = F.xxhash64("doc_id")
     chosen_ids = [marks.filter(F.col("toxic") == label).orderBy(order, "doc_id").limit(TRAINING_DOCS) for label in (0, 1)]
-    found = documents.join(F.broadcast(chosen_ids[0].unionByName(chosen_ids[1])), "doc_id").select("doc_id", "toxic", text_or_empty().alias("text")).collect()
-    rows = [(r["text"], r["toxic"]) for r in sorted(found, key=lambda r: (r["toxic"], r["doc_id"], r["text"]))]
-    rows = without_copies(rows)
-    documents, labels = [WORD.findall(t.lower()) for t, _ in rows], [y for _, y in rows]
+    texts = documents.join(F.broadcast(chosen_ids[0].unionByName(chosen_ids[1])), "doc_id").groupBy("doc_id", "toxic").agg(F.min(text_or_empty()).alias("text"))
+    found = texts.mapInArrow(_sampled, "doc_id long, toxic int, copy long, words array<string>").collect()
+    singles: dict[tuple[int, int], tuple[int, list[str], int]] = {}
+    for r in sorted(found, key=lambda r: (r["toxic"], r["doc_id"])):
+        singles.setdefault((r["copy"], r["toxic"]), (r["doc_id"], r["words"], r["toxic"]))
+    rows = list(singles.values())
+    documents, labels = [words for _, words, _ in rows], [y for _, _, y in rows]
     toxic = toxic_forms(documents, labels) if 0 < sum(labels) < len(labels) else set()
+    bad: dict[str, bool] = {}
     numbers: dict[str, int] = {}
-    bad: list[bool] = []
-    chosen: dict[bool, list[tuple[list[int], list[int]]]] = {True: [], False: []}
-    for words, label in zip(documents, labels):
-        for at in range(0, len(words), WINDOW):
-            part = []
-            for w in words[at:at + WINDOW]:
-                if w not in numbers:
-                    numbers[w] = len(numbers)
-                    bad.append(not toxic.isdisjoint(forms(w)))
-                part.append(numbers[w])
-            marks = [int(label and bad[i]) for i in part]
-            kept = chosen[any(marks)]
-            if len(kept) < TRAINING_WINDOWS:
-                kept.append((part, marks))
+    for words in documents:
+        for w in words:
+            if w not in bad:
+                numbers[w] = len(numbers)
+                bad[w] = not toxic.isdisjoint(forms(w))
+    marked = [(doc, words, [int(label and bad[w]) for w in words]) for doc, words, label in rows]
+    chosen = {kind: [([numbers[w] for w in marked[i][1][at:at + WINDOW]], marked[i][2][at:at + WINDOW]) for i, at in places]
+              for kind, places in training_windows(marked).items()}
     windows = chosen[True] + chosen[False]
     if not chosen[True]:
         return ChainField(np.zeros(1 << FEATURE_BITS), -5.0, np.zeros((2, 2)), fit_logistic(np.zeros((0, 1)), np.zeros(0)))

@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from shoreline.llm import jaccard
+from shoreline.llm.base import Workspace
 from shoreline.llm.shingles import shingle_set
 
 
@@ -105,5 +106,52 @@ def test_keys_with_repeated_members_are_told_apart(spark):
     tested = spark.createDataFrame([(center, d, 0.3) for d in (x, y, z)], "a long, b long, distance double")
     texts = spark.createDataFrame([(d, " ".join(f"w{i}" for i in range(24))) for d in (center, x, y, z)], "doc_id long, text string")
     copies = spark.createDataFrame([], "a long, b long")
-    got = jaccard.remaining_pairs(index, labels, tested, copies, texts).collect()
+    got = jaccard.remaining_pairs(index, labels, tested, copies, texts, Workspace(spark, "test-pairs")).collect()
     assert sorted((r.a, r.b) for r in got) == [(x, y), (y, z)]
+
+
+@pytest.mark.parametrize("held", [1, 3, 1 << 16])
+def test_runs_show_each_member_set_once(monkeypatch, held):
+    import pyarrow as pa
+    monkeypatch.setattr(jaccard, "HELD_MEMBERS", held)
+    rng = random.Random(held)
+    members = {key: sorted(rng.sample(range(9), rng.randrange(1, 7))) for key in range(60)}
+    rows = sorted([(key, d, 0, 20) for key, docs in members.items() for d in docs + docs[:1]] + [(5, d, 77, 20) for d in (3, 4)], key=lambda r: (r[0], r[2], r[1]))
+    for size in (1, 4, 1000):
+        batches = [pa.record_batch([pa.array(c, t) for c, t in zip(zip(*rows[i:i + size]), (pa.int64(), pa.int64(), pa.int64(), pa.int32()))], ["key", "doc", "tag", "n"])
+                   for i in range(0, len(rows), size)]
+        got = [r for b in jaccard._shared_runs(iter(batches)) for r in b.to_pylist()]
+        groups = {}
+        for r in got:
+            if r["key"] is not None:
+                groups.setdefault(r["key"], set()).add((r["center"], r["doc"]))
+        shown = {frozenset(d for _, d in g) for g in groups.values()}
+        assert {frozenset(m) for m in members.values() if len(m) > 1} <= shown
+        assert all({c for c, _ in g} == {min(d for _, d in g)} for g in groups.values())
+        if held > 10:
+            assert len(groups) == len(shown)
+        assert sorted((r["center"], r["doc"]) for r in got if r["key"] is None) == [(3, 3), (3, 4)]
+
+
+def test_pairs_of_a_busy_document_are_dealt_to_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "PAIRS_A_TASK", 3)
+    base = [f"w{i}" for i in range(30)]
+    texts = {i: " ".join(base if i % 2 else base[:10] + [f"x{i}"] + base[10:]) for i in range(40)}
+    given = spark.createDataFrame(list(texts.items()) + [(0, "other words here in this one")], "doc_id long, text string")
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 40)], "a long, b long")
+    got = {}
+    for r in jaccard.verify(pairs, given).collect():
+        got.setdefault(r.b, []).append((r.linked, round(r.distance, 9)))
+
+    def test_of(x, y):
+        both, either = len(plain_set(x) & plain_set(y)), len(plain_set(x) | plain_set(y))
+        return 100 * both >= 75 * either, round(1 - both / either, 9)
+    assert {b: sorted(t) for b, t in got.items()} == {b: sorted([test_of(texts[0], texts[b]), test_of("other words here in this one", texts[b])]) for b in range(1, 40)}
+
+
+def test_one_key_with_many_unlinked_members(documents):
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i, passage + " " + " ".join(f"own{i}x{j}" for j in range(30 + i % 9))) for i in range(300)]
+    rows += [(1000 + i, rows[i][1] + " end") for i in range(40)]
+    got = {r.doc_id: r.component_id for r in jaccard.linked_groups(documents(rows)).collect()}
+    assert got == {**{i: i for i in range(300)}, **{1000 + i: i for i in range(40)}}

@@ -253,3 +253,94 @@ def test_pipeline_of_an_empty_table(spark, documents, tmp_path):
     documents([]).write.parquet(str(tmp_path / "documents.parquet"))
     assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
     assert table(spark, str(tmp_path), "documents").count() == 0
+
+
+CELLS = "source string, lang string, topic string, tokens long"
+
+
+@pytest.mark.parametrize("keep", [0.1, 0.5, 0.9, 1.0])
+def test_the_share_asked_for_is_kept_with_a_very_rare_cell(spark, keep):
+    cells = [(f"s{i}", l, t, 100_000 * (i + 1)) for i in range(10) for l in ("en", "fr") for t in ("p", "q")] + [("rare", "en", "p", 30), ("s0", "zz", "q", 0)]
+    rates = mixing.sampling_rates(spark.createDataFrame(cells, CELLS), keep=keep)
+    rated = rates.collect()
+    assert len(rated) == len(cells) and all(0 <= r.probability <= 1 for r in rated)
+    assert sum(r.tokens * r.probability for r in rated) / sum(r.tokens for r in rated) == pytest.approx(keep, rel=2e-3)
+    assert next(r.probability for r in rated if r.source == "rare") == 1
+    report = {(r.margin, r.value): r for r in mixing.margins(rates).collect()}
+    assert report["source", "rare"].expected <= report["source", "rare"].target + 1e-9
+    if keep == 0.1:
+        rest = [r for k, r in report.items() if k[1] not in ("rare", "zz")]
+        assert all(r.expected == pytest.approx(r.target, rel=0.05) for r in rest)
+
+
+def test_given_targets_are_met(spark):
+    cells = [(s, l, t, 1000 * (i + 1)) for i, (s, l, t) in enumerate(itertools.product(("a", "b"), ("en", "fr"), ("p", "q")))]
+    given = {"source": {"a": 3.0, "b": 1.0}, "lang": {"en": 0.5, "fr": 0.5}, "topic": {"p": 0.2, "q": 0.8}}
+    rates = mixing.sampling_rates(spark.createDataFrame(cells, CELLS), targets=given)
+    for r in mixing.margins(rates).collect():
+        goal = given[r.margin][r.value] / sum(given[r.margin].values())
+        assert r.target == pytest.approx(goal, rel=2e-3) and r.expected == pytest.approx(goal, rel=2e-3)
+
+
+def test_mix_of_messy_rows_and_nothing(spark, documents, messy_rows):
+    got = mixing.mix(documents(messy_rows), [F.col("doc_id")], keep=0.5).collect()
+    assert len(got) == len(messy_rows) and all(0 <= r._mix_probability <= 1 for r in got)
+    assert mixing.mix(documents([]), [F.col("doc_id")], keep=0.5).collect() == []
+    assert mixing.mix(documents([(1, None), (2, "")]), [F.col("doc_id")], keep=0.5).count() == 2
+
+
+def view_rows(count, seed=4):
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(count):
+        good = int(rng.random() < 0.6)
+        rows.append((i, good if i % 3 == 0 else None, [float(x) for x in rng.normal(size=15) + good], [float(x) for x in rng.normal(size=43) + 0.7 * good]))
+    return rows
+
+
+def test_confident_guesses_against_sorting(spark):
+    rows = view_rows(900)
+    table_ = spark.createDataFrame([(d, v, float(sum(v)), d * 7919) for d, _, v, _ in rows], "doc_id long, _text_view array<double>, s double, _pick long").repartition(4)
+    for wanted in (40, 100_000):
+        found, guess = quality.confident(table_, F.col("s"), "_text_view", wanted)
+        score = found.sum(1)
+        ranked = sorted(sum(v) for _, _, v, _ in rows)
+        high, low = [x for x in ranked if x >= quality.CONFIDENT], [x for x in ranked if x < -quality.CONFIDENT]
+        if wanted > 900:
+            assert sorted(score[guess == 1]) == pytest.approx(high) and sorted(score[guess == 0]) == pytest.approx(low)
+        else:
+            edge = ranked[-wanted]
+            assert all(x >= edge - 1 / quality.BINS - 1e-9 for x in score[guess == 1]) and wanted / 2 <= (guess == 1).sum() <= 2 * wanted
+            above = [x for x in ranked if x > edge + 1 / quality.BINS]
+            assert sum(x > edge + 1 / quality.BINS for x in score[guess == 1]) == len(above)
+
+
+def test_co_training_against_plain_python(spark):
+    """The whole of co-training again in numpy, with one guess batch that takes every confident row."""
+    rows = view_rows(600)
+    table_ = spark.createDataFrame(rows, "doc_id long, _label int, _text_view array<double>, _meta_view array<double>").repartition(3)
+    model = quality.co_train(table_)
+    keyed = table_.select("doc_id", F.shiftrightunsigned(F.xxhash64("doc_id", *quality.VIEWS), 1).alias("p"), F.shiftrightunsigned(F.xxhash64("doc_id"), 1).alias("o")).collect()
+    pick, order = {r.doc_id: r.p for r in keyed}, {r.doc_id: r.o for r in keyed}
+    labelled = [r for r in rows if r[1] is not None]
+    held = np.array([(order[r[0]] >> 7) % quality.HELD_OUT == 0 for r in labelled])
+    y = np.array([r[1] for r in labelled], float)
+    x = {v: np.array([r[2 + i] for r in labelled]) for i, v in enumerate(quality.VIEWS)}
+    added = {v: [] for v in quality.VIEWS}
+
+    def fit(v):
+        own = [(a, b) for a, b in added[v]]
+        features = np.r_[x[v][~held], np.array([a for a, _ in own]).reshape(-1, x[v].shape[1])]
+        return quality.fit_logistic(features, np.r_[y[~held], [b for _, b in own]], np.r_[np.ones((~held).sum()), np.full(len(own), quality.GUESS_WEIGHT)])
+    for i in range(quality.ROUNDS):
+        pool = [r for r in rows if r[1] is None and pick[r[0]] % quality.ROUNDS == i]
+        for giver, taker in ((0, 1), (1, 0)):
+            names = tuple(quality.VIEWS)
+            logits = fit(names[giver]).logits(np.array([r[2 + giver] for r in pool]))
+            added[names[taker]] += [(r[2 + taker], float(z > 0)) for r, z in zip(pool, logits) if z >= 2 or z < -2]
+    for v in quality.VIEWS:
+        mine, got = fit(v), model.views[v][0]
+        assert np.allclose(mine.weights, got.weights, atol=1e-6) and abs(mine.intercept - got.intercept) < 1e-6
+    scored = table_.select("doc_id", model.score().alias("score")).collect()
+    right = np.mean([(r.score > 0.5) == (np.mean(rows[r.doc_id][2]) > 0.5) for r in scored])
+    assert right > 0.9

@@ -79,7 +79,7 @@ def test_rule_measures_against_plain_python(documents, messy_rows):
 def test_expectation_maximisation_against_plain_python(spark):
     names = ["p", "q", "r"]
     counts = {(1, 1, 1): 800, (1, 1, 0): 60, (-1, 1, 1): 10, (-1, -1, 0): 70, (-1, -1, -1): 40, (0, -1, 1): 5}
-    table = spark.createDataFrame([(*k, n) for k, n in counts.items()], "p int, q int, r int, rows long")
+    table = spark.createDataFrame([(list(k), n) for k, n in counts.items()], "votes array<int>, rows long")
     prior, fitted = rules.fit_accuracies(table, names, rounds=5, tolerance=0)
     mine, mine_prior = {n: (0.95, 0.5) for n in names}, 0.8
 
@@ -105,14 +105,29 @@ def test_expectation_maximisation_against_plain_python(spark):
 
 
 def test_rules_reject_junk_and_keep_prose(documents):
-    def name(i, j):
-        return "".join("abcdefghij"[int(d)] for d in f"{i}{j}")
-    prose = [(i, "The cat of the house sat in the garden. " + " ".join(f"The {name(i, j)} is in the garden of {name(j, i)}." for j in range(12))) for i in range(60)]
+    def name(*parts):
+        return "".join("abcdefghij"[int(d)] for part in parts for d in str(part))
+    prose = [(i, " ".join(f"The {name(i, j)} of {name(j, 1, i)} and the {name(j, 2, i)} is in {name(j, 3, i)}." for j in range(12))) for i in range(60)]
     junk = [(100 + i, " ".join(f"X{i}Y{j}*** ZZ{j}$$$" for j in range(60))) for i in range(6)]
+    assert all(measures(t)[4] == 0 for _, t in prose)
     got = {r.doc_id: r.kept for r in rules.judge_quality(documents(prose + junk), [F.col("doc_id")]).collect()}
     assert all(got[i] for i, _ in prose) and not any(got[i] for i, _ in junk)
 
 
+def test_a_rule_that_is_often_wrong_on_good_text_loses_weight(spark):
+    names = ["p", "q", "r"]
+    counts = {(1, 1, -1): 500, (1, 1, 1): 500, (-1, -1, -1): 100}
+    table = spark.createDataFrame([(list(k), n) for k, n in counts.items()], "votes array<int>, rows long")
+    _, fitted = rules.fit_accuracies(table, names)
+    assert fitted["r"][0] < 0.6 and fitted["p"][0] > 0.99
+
+
+def test_verdicts_are_not_repeated_by_a_filter(documents):
+    plan = rules.judge_quality(documents([(1, "a b")]), [F.struct("doc_id", "text").alias("_row")]).filter("kept").select("_row.*")
+    shown = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert shown.count("xxhash64") == 1
+
+
 def test_rules_on_nothing(documents):
     assert rules.judge_quality(documents([]), [F.col("doc_id")]).collect() == []
 
