@@ -15,6 +15,8 @@ from shoreline.llm.base import stored, table
 from shoreline.session import shared_folder
 
 TOKENIZER = "word_bpe_49k.json"
+#: Share of tokens that mixing keeps.
+MIXED_SHARE = 0.5
 
 
 def whole_row(docs: DataFrame) -> list:
@@ -50,7 +52,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled so that sources, languages and topics meet their target weights."""
-    return mixing.mix(docs, whole_row(docs)).filter("_mix_selected").select("_row.*")
+    return mixing.mix(docs, whole_row(docs), keep=MIXED_SHARE).filter("_mix_selected").select("_row.*")
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
