@@ -9,14 +9,14 @@ from shoreline.ml.metrics import class_report, classification_metrics, roc_auc
 from shoreline.ml.models import (BOOSTED, FOREST, LOGISTIC, cross_validate, fit, gradient_boosting, importances,
                                  logistic_regression, permutation_importances, random_forest, scored, soft_vote)
 from shoreline.ml.registry import best_run, final_metric, load_model, register_model, registered_models
+from shoreline.ml.shapley import shapley_values
 from shoreline.ml.split import mark_split, stratified_folds
+from shoreline.ml.trees import importances_by_nodes, node_table, score_by_nodes
 from shoreline.operators.joins import feature_lookup
 from shoreline.plans.learning import train_and_register
 from shoreline.session import shared_folder
 
 FEATURES = ["n_chars", "blanks", "lines", "chars_per_word", "lines_per_word", "is_long", "word_lines"]
-#: Any fit worth the name beats this on the test rows.
-F1_FLOOR = 0.5
 TEST_ROWS = "(SELECT SUM(n - CAST(CEIL(n * 0.8::DOUBLE) AS BIGINT))::BIGINT AS n FROM (SELECT quality, COUNT(*) AS n FROM labels GROUP BY quality))"
 
 
@@ -97,31 +97,62 @@ def outside(*probabilities):
     return F.count_if(bad).alias("out_of_range")
 
 
-def model_row(spark, sf, name):
-    models, test = fitted(spark, sf, (name,))
-    rows = scored(models[name], test, ["doc_id", "quality"])
-    f1 = classification_metrics(rows, "quality", "prediction").select("f1_score").scalar()
-    area = roc_auc(rows, "quality", "probability")
-    return rows.agg(F.count("*").alias("n_rows"), outside("probability"), (f1 > F1_FLOOR).alias("f1_above_floor"),
-                    F.lit(0 <= area <= 1).alias("area_in_range"))
+def single_feature_auc(rows):
+    """The best AUC that one feature reaches alone, whichever way it points."""
+    areas = [roc_auc(rows.select(F.col("quality"), F.col(f).cast("double").alias("probability")), "quality", "probability") for f in FEATURES]
+    return max(max(a, 1 - a) for a in areas)
 
 
-MODEL_SQL = f"SELECT n AS n_rows, 0::BIGINT AS out_of_range, TRUE AS f1_above_floor, TRUE AS area_in_range FROM {TEST_ROWS}"
+def stationary(model, train):
+    """Whether the gradient of the penalised loss is near zero at the fitted weights, computed from the rows."""
+    scaler, logit = model.stages[-2], model.stages[-1]
+    weights, size = [float(w) for w in logit.coefficients], train.count()
+    z = [(F.col(f).cast("double") - float(m)) / float(s or 1.0) for f, m, s in zip(FEATURES, scaler.mean, scaler.std)]
+    total = F.lit(float(logit.intercept))
+    for w, x in zip(weights, z):
+        total = total + w * x
+    error = 1 / (1 + F.exp(-total)) - F.col("quality")
+    slopes = train.agg(F.avg(error), *[F.avg(error * x) for x in z]).collect()[0]
+    penalty = logit.getRegParam()
+    return abs(slopes[0]) < 1e-4 and all(abs(g + penalty * w) < 1e-4 for g, w in zip(slopes[1:], weights)) and size > 0
 
 
-@query("ml_03_logistic_regression", MODEL_SQL)
+@query("ml_03_logistic_regression", f"SELECT n AS n_rows, 0::BIGINT AS out_of_range, TRUE AS stationary, TRUE AS better_than_none FROM {TEST_ROWS}")
 def logistic(spark, sf):
-    return model_row(spark, sf, LOGISTIC)
+    """The optimum has no slope, and a smaller loss than the best constant."""
+    models, test = fitted(spark, sf, (LOGISTIC,))
+    train, _ = split_once(spark, sf)
+    p, y = F.col("probability"), F.col("quality")
+    loss = F.avg(-F.log(F.when(y == 1, p).otherwise(1 - p)))
+    share = F.avg(y.cast("double"))
+    known = scored(models[LOGISTIC], train, ["quality"]).agg(loss.alias("l"), (-share * F.log(share) - (1 - share) * F.log(1 - share)).alias("c")).collect()[0]
+    return scored(models[LOGISTIC], test, ["doc_id"]).agg(F.count("*").alias("n_rows"), outside("probability"), F.lit(stationary(models[LOGISTIC], train)).alias("stationary"),
+                                                         F.lit(known["l"] < known["c"] - 0.01).alias("better_than_none"))
+
+
+TREE_SQL = f"SELECT n AS n_rows, 0::BIGINT AS off_the_nodes, TRUE AS above_single_features FROM {TEST_ROWS}"
+
+
+def tree_row(spark, sf, name, depth):
+    """Test rows scored again from the stored nodes, and the fit's AUC on its own rows beside single features."""
+    models, test = fitted(spark, sf, (name,))
+    train, _ = split_once(spark, sf)
+    nodes = node_table(spark, models[name])
+    again = score_by_nodes(test, nodes, FEATURES, ["doc_id"], depth, boosted=name == BOOSTED)
+    both = scored(models[name], test, ["doc_id"]).join(again, "doc_id", "left")
+    off = F.count_if(~F.coalesce(F.abs(F.col("probability") - F.col("by_nodes")) < 1e-9, F.lit(False)))
+    area = roc_auc(scored(models[name], train, ["quality"]), "quality", "probability")
+    return both.agg(F.count("*").alias("n_rows"), off.alias("off_the_nodes"), F.lit(area > single_feature_auc(train)).alias("above_single_features"))
 
 
-@query("ml_04_random_forest", MODEL_SQL)
+@query("ml_04_random_forest", TREE_SQL)
 def forest(spark, sf):
-    return model_row(spark, sf, FOREST)
+    return tree_row(spark, sf, FOREST, 10)
 
 
-@query("ml_05_gradient_boosting", MODEL_SQL)
+@query("ml_05_gradient_boosting", TREE_SQL)
 def boosting(spark, sf):
-    return model_row(spark, sf, BOOSTED)
+    return tree_row(spark, sf, BOOSTED, 5)
 
 
 def fitted(spark, sf, names=(LOGISTIC, FOREST, BOOSTED)):
@@ -144,11 +175,15 @@ def vote(spark, sf):
                     F.count_if((F.col("probability") >= 0.5).cast("int") != F.col("prediction")).alias("off_the_cut"))
 
 
-@query("ml_07_cross_validation", "SELECT CAST(f.fold AS INT) AS fold, TRUE AS in_range FROM (VALUES (1), (2), (3), (4), (5)) AS f(fold)")
+@query("ml_07_cross_validation", """
+    SELECT CAST(f.fold AS INT) AS fold, SUM((CAST(CEIL(n * 0.8::DOUBLE) AS BIGINT) + 5 - f.fold) // 5)::BIGINT AS n_rows, TRUE AS better_than_chance
+    FROM (SELECT quality, COUNT(*) AS n FROM labels GROUP BY quality), (VALUES (1), (2), (3), (4), (5)) AS f(fold) GROUP BY f.fold""")
 def folds(spark, sf):
+    """Rows tested per fold; over all folds, rows are ranked better than by chance by models that have not seen them."""
     train, _ = split_once(spark, sf)
     lines = cross_validate(random_forest(FEATURES, "quality"), train, "quality", ["doc_id"])
-    return lines.select("fold", F.col("f1_score").between(0, 1).alias("in_range"))
+    chance = lines.agg(F.sum(F.col("roc_auc") * F.col("rows")) / F.sum("rows")).scalar()
+    return lines.select("fold", F.col("rows").alias("n_rows"), (chance > 0.6).alias("better_than_chance"))
 
 
 @query("ml_07_stratified_folds", """
@@ -196,18 +231,38 @@ def report(spark, sf):
     return lines.select("class", "support", *[F.round(c, 6).alias(c) for c in ("precision", "recall", "f1_score")])
 
 
-@query("ml_09_feature_importance", "SELECT 7::BIGINT AS features, 1.0::DOUBLE AS total, 0::BIGINT AS negative")
+@query("ml_09_feature_importance", "SELECT 7::BIGINT AS features, 0::BIGINT AS off_the_nodes, 1.0::DOUBLE AS total")
 def importance(spark, sf):
+    """Importances beside those that follow from the stored nodes of both ensembles."""
     models, test = fitted(spark, sf, (FOREST, BOOSTED))
-    return importances(models, FEATURES, test).agg(
-        F.count("*").alias("features"), F.round(F.sum("importance"), 6).alias("total"), F.count_if(F.col("importance") < 0).alias("negative"))
+    names = F.array(*[F.lit(f) for f in FEATURES])
+    parts = [importances_by_nodes(node_table(spark, models[n])) for n in (FOREST, BOOSTED)]
+    mean = parts[0].unionByName(parts[1]).groupBy(F.get(names, F.col("feature")).alias("feature")).agg((F.sum("importance") / 2).alias("by_nodes"))
+    both = importances(models, FEATURES, test).join(mean, "feature", "left")
+    off = F.abs(F.col("importance") - F.coalesce("by_nodes", F.lit(0.0))) > 1e-6
+    return both.agg(F.count("*").alias("features"), F.count_if(off).alias("off_the_nodes"), F.round(F.sum("by_nodes"), 6).alias("total"))
 
 
-@query("ml_09_permutation_importance", "SELECT 7::BIGINT AS features, 0::BIGINT AS out_of_range")
+@query("ml_09_permutation_importance", "SELECT 7::BIGINT AS features, TRUE AS best_counts, TRUE AS worst_is_small")
 def shuffled_importance(spark, sf):
-    models, test = fitted(spark, sf, (LOGISTIC,))
-    lines = permutation_importances(models[LOGISTIC], test, FEATURES, "quality", ["doc_id"])
-    return lines.agg(F.count("*").alias("features"), F.count_if(~F.col("importance").between(-1, 1)).alias("out_of_range"))
+    """Shuffling the best feature costs ranking quality; the least used one costs next to none."""
+    models, _ = fitted(spark, sf, (FOREST,))
+    train, _ = split_once(spark, sf)
+    lines = permutation_importances(models[FOREST], train, FEATURES, "quality", ["doc_id"])
+    return lines.agg(F.count("*").alias("features"), (F.max("importance") > 0.005).alias("best_counts"),
+                     (F.min("importance") < F.max("importance") / 2).alias("worst_is_small"))
+
+
+@query("ml_09_shapley", f"SELECT n AS n_rows, 7::BIGINT AS features, 0::BIGINT AS off_the_sum, TRUE AS some_feature_counts FROM {TEST_ROWS}")
+def shapley(spark, sf):
+    """Every row's values add up to its probability less the base; together they are not nothing."""
+    models, test = fitted(spark, sf, (FOREST,))
+    train, _ = split_once(spark, sf)
+    values = shapley_values(models[FOREST], test, train, FEATURES, ["doc_id"])
+    rows = values.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("value").alias("sum"), F.avg("prediction").alias("p"), F.avg("base").alias("b"), F.max(F.abs("value")).alias("top"))
+    known = rows.join(scored(models[FOREST], test, ["doc_id"]), "doc_id")
+    off = (F.abs(F.col("sum") - (F.col("p") - F.col("b"))) > 1e-6) | (F.abs(F.col("p") - F.col("probability")) > 1e-6)
+    return known.agg(F.count("*").alias("n_rows"), F.max("n").alias("features"), F.count_if(off).alias("off_the_sum"), (F.max("top") > 0.01).alias("some_feature_counts"))
 
 
 def runs(spark, sf):

@@ -104,7 +104,7 @@ def changed_customers(spark, sf):
     UNION ALL
     SELECT -c_custkey - 1, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer WHERE c_mktsegment = 'BUILDING'""")
 def upsert(spark, sf):
-    versions = VersionedTable(spark, shared_folder(spark, "upsert"))
+    versions = VersionedTable(spark, shared_folder(spark, "upsert"), ["c_custkey"])
     versions.write(table(spark, sf, "customer"))
     versions.upsert(changed_customers(spark, sf), ["c_custkey"])
     return versions.read()
@@ -114,7 +114,7 @@ def upsert(spark, sf):
     SELECT o_orderkey, CASE WHEN o_totalprice > 250000 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_totalprice
     FROM orders WHERE NOT (o_orderpriority = '5-LOW')""")
 def update_delete(spark, sf):
-    versions = VersionedTable(spark, shared_folder(spark, "update"))
+    versions = VersionedTable(spark, shared_folder(spark, "update"), ["o_orderkey"])
     versions.write(table(spark, sf, "orders"))
     versions.update(F.col("o_totalprice") > 250000, {"o_orderstatus": F.lit("X")})
     versions.delete(F.col("o_orderpriority") == "5-LOW")
@@ -123,7 +123,7 @@ def update_delete(spark, sf):
 
 def three_versions(spark, sf):
     customer = table(spark, sf, "customer")
-    versions = VersionedTable(spark, shared_folder(spark, "versions"))
+    versions = VersionedTable(spark, shared_folder(spark, "versions"), ["c_custkey"])
     versions.write(customer)
     versions.delete(F.col("c_acctbal") < 0)
     versions.update(F.lit(True), {"c_acctbal": F.col("c_acctbal") + 1})

@@ -6,8 +6,8 @@ from queries.base import query, table
 from queries.fixtures import CLEAN, COHORT, TOPICS, intake_raw, with_views
 from queries.sinks import fresh_name
 from shoreline.functions.risk import risk_level
-from shoreline.operators.model_calls import choose_prompt, rule_client, score_rows
-from shoreline.operators.retrieval import nearest, text_vectors
+from shoreline.operators.model_calls import choose_demonstrations, choose_prompt, rule_client, score_rows
+from shoreline.operators.retrieval import nearest, nearest_pruned, text_vectors
 from shoreline.operators.routing import (FIRST_MATCH_TOPICS, SCORED_TOPICS, answer_from_metrics, audit_rows, evaluation_counts,
                                          first_topic, guard, mentions_of_top, topic_by_score, topic_sections)
 from shoreline.plans.briefing import cohort_prompt, executive_briefing, metric_answers, risk_prompt
@@ -137,6 +137,18 @@ def nearest_vectors(spark, sf):
     return nearest(table(spark, sf, "embeddings"), centroids(spark, sf), 3, "vec_id", "embedding", "query_label", ["label"])
 
 
+@query("txt_08_pruned_search", """
+    WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+         scored AS (SELECT a.vec_id AS query_vec, b.vec_id, ROUND(LIST_COSINE_SIMILARITY(a.v, b.v), 6) AS score FROM v a, v b),
+         top AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY query_vec ORDER BY score DESC, vec_id) AS rank FROM scored)
+    SELECT query_vec, vec_id, score, CAST(rank AS INT) AS rank, TRUE AS looked_at_no_more_than_all FROM top WHERE rank <= 3""")
+def pruned_search(spark, sf):
+    """Every vector asks; clusters that cannot hold a result are skipped."""
+    vectors = table(spark, sf, "embeddings")
+    found = nearest_pruned(vectors, vectors.withColumnRenamed("vec_id", "query_vec"), 3, "vec_id", "embedding", "query_vec")
+    return found.select("query_vec", "vec_id", "score", "rank", (F.col("looked_at") <= vectors.agg(F.count("*")).scalar()).alias("looked_at_no_more_than_all"))
+
+
 @query("txt_08_text_search", """
     SELECT item_id, 3::BIGINT AS hits, TRUE AS ranked, TRUE AS scores_in_range FROM benchmark""")
 def text_search(spark, sf):
@@ -197,8 +209,8 @@ def briefing(spark, sf):
 @query("txt_13_choose_prompt", f"""
     WITH v AS (SELECT *, {RISK_SQL} AS label FROM ({VITALS_SQL})),
          w AS (SELECT label, {RISK_SQL} AS reply FROM (SELECT label, age, chol, hr, -1.0 AS bp FROM v))
-    SELECT 'full' AS candidate, COUNT(*) AS examples, 1.0::DOUBLE AS accuracy FROM v
-    UNION ALL SELECT 'without_bp', COUNT(*), ROUND(AVG(CASE WHEN label = reply THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) FROM w""")
+    SELECT 'full' AS candidate, COUNT(*) AS examples, 0::BIGINT AS failed, 1.0::DOUBLE AS accuracy FROM v
+    UNION ALL SELECT 'without_bp', COUNT(*), 0, ROUND(AVG(CASE WHEN label = reply THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END), 6) FROM w""")
 def prompt_choice(spark, sf):
     age, chol, bp, hr = (F.col(c) for c in ("age", "chol", "bp", "hr"))
     rows = vitals(spark, sf).withColumn("label", F.concat(F.lit(" "), F.lower(risk_level(age, chol, bp, hr))))
@@ -206,6 +218,39 @@ def prompt_choice(spark, sf):
                          "label", rule_client()).withColumn("accuracy", F.round("accuracy", 6))
 
 
+def nearest_shot_client(prompts):
+    """A model that goes by the demonstration with the nearest number; without any it knows the outer ranges only."""
+    answers = []
+    for p in prompts:
+        *shown, asked = p.split("\n")
+        value = float(asked.split()[0])
+        pairs = [(abs(float(line.split()[0]) - value), line.split()[2]) for line in shown]
+        answers.append(min(pairs)[1] if pairs else "high" if value > 40 else "low")
+    return answers
+
+
+@query("txt_13_demonstrations", """
+    SELECT 6::BIGINT AS candidates, TRUE AS demonstrations_are_right, TRUE AS winner_is_best, TRUE AS better_than_none FROM (SELECT 1)
+    WHERE (SELECT COUNT(*) FROM lineitem) > 0""")
+def demonstrations(spark, sf):
+    """The winner of the early-stopped comparison beside every set's accuracy on all rows."""
+    rows = table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_quantity").cast("string").alias("size"),
+                                               F.when(F.col("l_quantity") > 25, "high").otherwise("low").alias("label"))
+    chosen = choose_demonstrations(rows, "size", "label", "id", lambda shots: F.concat(
+        F.lit("".join(f"{q} -> {a}\n" for q, a in shots)), F.col("size"), F.lit(" -> ")), nearest_shot_client).collect()
+    values = {r["id"]: (float(r["size"]), r["label"]) for r in rows.filter(F.col("id").isin([k for c in chosen for k in c["keys"]])).collect()}
+
+    def answer(keys):
+        value, shown = F.col("size").cast("double"), [values[k] for k in keys]
+        if not shown:
+            return F.when(value > 40, "high").otherwise("low")
+        return F.array_min(F.array(*[F.struct(F.abs(value - v).alias("apart"), F.lit(a).alias("label")) for v, a in shown]))["label"]
+    right = rows.agg(*[F.avg((answer(c["keys"]) == F.col("label")).cast("double")) for c in chosen]).collect()[0]
+    return rows.limit(1).select(
+        F.lit(len(chosen)).cast("long").alias("candidates"), F.lit(all(a == ("high" if v > 40 else "low") for v, a in values.values())).alias("demonstrations_are_right"),
+        F.lit(right[0] >= max(right) - 0.01).alias("winner_is_best"), F.lit(right[0] >= right[[c["shots"] for c in chosen].index(0)]).alias("better_than_none"))
+
+
 @query("txt_14_mentions_of_top", """
     WITH top AS (SELECT lang FROM documents GROUP BY lang ORDER BY COUNT(*) DESC, lang LIMIT 1)
     SELECT source, lang AS mentioned, COUNT(*) AS documents FROM (SELECT d.source, d.text, top.lang FROM documents d, top)

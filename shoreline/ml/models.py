@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoreline.ml.metrics import classification_metrics
+from shoreline.ml.metrics import classification_metrics, roc_auc
 from shoreline.ml.split import stratified_folds
 from shoreline.operators.ranking import rank_in_hash_order
 from shoreline.session import checkpoint_root, shared_folder
@@ -99,7 +99,7 @@ def soft_vote(models: Mapping[str, Model], df: DataFrame, cut: float = 0.5) -> D
 
 def cross_validate(estimator: Pipeline, df: DataFrame, label: str, key: Sequence[str], folds: int = 5,
                    seed: int = 42) -> DataFrame:
-    """(fold, f1_score), folds from 1: one fit per stratified fold of the given (training) rows."""
+    """(fold, rows, f1_score, roc_auc), folds from 1: one fit per stratified fold of the given (training) rows."""
     checkpoint_root(df.sparkSession)
     marked = stratified_folds(df, label, key, folds, seed).persist()
     try:
@@ -107,11 +107,11 @@ def cross_validate(estimator: Pipeline, df: DataFrame, label: str, key: Sequence
         for fold in range(folds):
             model = without_summary(estimator.fit(marked.filter(F.col("fold") != fold)))
             tested = scored(model, marked.filter(F.col("fold") == fold), [label])
-            f1 = classification_metrics(tested, label, "prediction").select("f1_score").collect()[0][0]
-            lines.append((fold + 1, f1))
+            f1, rows = classification_metrics(tested, label, "prediction").select("f1_score", F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp")).collect()[0]
+            lines.append((fold + 1, rows, f1, roc_auc(tested, label, "probability")))
     finally:
         marked.unpersist()
-    return df.sparkSession.createDataFrame(lines, "fold int, f1_score double")
+    return df.sparkSession.createDataFrame(lines, "fold int, rows long, f1_score double, roc_auc double")
 
 
 def fold_summary(results: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def importances(models: Mapping[str, PipelineModel], features: Sequence[str], df
 
 def permutation_importances(model: PipelineModel, df: DataFrame, features: Sequence[str], label: str, key: Sequence[str],
                             seed: int = 42) -> DataFrame:
-    """(feature, importance) of any model: the accuracy it loses when one feature is shuffled.
+    """(feature, importance) of any model: the AUC it loses when one feature is shuffled.
 
     A feature is shuffled by giving each row the value of the row at its place in another
     hash order; both places come from ``rank_in_hash_order``, so a rerun shuffles alike.
@@ -143,11 +143,11 @@ def permutation_importances(model: PipelineModel, df: DataFrame, features: Seque
         F.col("_rank").alias("_place"), F.struct(*features).alias("_other"))
     both = base.join(other, "_place").drop("_place", "_all").persist()
     try:
-        def accuracy(rows: DataFrame) -> float:
-            return classification_metrics(scored(model, rows, [label]), label, "prediction").select("accuracy").collect()[0][0]
+        def area(rows: DataFrame) -> float:
+            return roc_auc(scored(model, rows, [label]), label, "probability")
 
-        whole = accuracy(both)
-        lines = [(f, float(whole - accuracy(both.withColumn(f, F.col("_other")[f])))) for f in features]
+        whole = area(both)
+        lines = [(f, float(whole - area(both.withColumn(f, F.col("_other")[f])))) for f in features]
     finally:
         both.unpersist()
     return df.sparkSession.createDataFrame(lines, "feature string, importance double").orderBy(F.desc("importance"), "feature")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 
 from shoreline.operators.ranking import top_k_per_group
 from shoreline.session import read_json_log
+from shoreline.sinks.commits import commit_file
 
 RUN_COLUMNS = {"run_id": "string", "team": "string", "model_type": "string",
                "params": "map<string,string>", "f1_score": "double", "roc_auc": "double",
@@ -44,13 +47,19 @@ def final_metric(best: DataFrame, reported: DataFrame, by: Sequence[str] = ("tea
 
 
 def register_model(spark: SparkSession, model: PipelineModel, root: str, name: str, run_id: str) -> int:
-    """Save a model as the next version of a name; the registry line is written last."""
+    """Save a model as the next version of a name.
+
+    The model goes to a folder of its own first; then the registry line takes the next free
+    version in one step. Of two writers each gets a version, and neither replaces the other's model.
+    """
+    path = os.path.join(root, name, uuid.uuid4().hex)
+    model.write().save(path)
     version = (registered_models(spark, root).filter(F.col("name") == name).agg(F.max("version")).collect()[0][0] or 0) + 1
-    path = os.path.join(root, name, f"v{version}")
-    model.write().overwrite().save(path)
-    spark.createDataFrame([(name, version, run_id, path)], REGISTRY_SCHEMA).coalesce(1).write.mode("append").json(
-        os.path.join(root, "registry"))
-    return version
+    while True:
+        line = json.dumps({"name": name, "version": version, "run_id": run_id, "path": path}) + "\n"
+        if commit_file(spark, os.path.join(root, "registry", f"{name}-v{version}.json"), line):
+            return version
+        version += 1
 
 
 def registered_models(spark: SparkSession, root: str) -> DataFrame:

@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import math
 import re
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoreline.functions.risk import RiskLimits
-from shoreline.session import checkpoint_root
+from shoreline.session import checkpoint_root, shared_folder
 
 Client = Callable[[list[str]], list[str]]
 
@@ -34,7 +35,8 @@ def score_rows(df: DataFrame, prompt: str, client: Client, output: str = "respon
     hashes = {"_h1": F.xxhash64(prompt), "_h2": F.xxhash64(F.lit(1), F.col(prompt))}
     count = tasks or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     asked = df.filter(F.col(prompt).isNotNull()).select(F.col(prompt).alias("_asked"), *[h.alias(n) for n, h in hashes.items()])
-    asked = asked.repartition(count, *hashes).dropDuplicates(list(hashes))
+    # repeats go away in every task before prompts move, so a prompt of many rows moves once per task
+    asked = asked.dropDuplicates(list(hashes)).repartition(count, *hashes)
 
     def call(texts: list[str]) -> list[tuple[str | None, str | None]]:
         failure = ""
@@ -97,13 +99,64 @@ def choose_prompt(examples: DataFrame, candidates: dict[str, Column], label: str
 
     ``candidates`` maps a name to the prompt column it builds. Each example carries its
     candidates as an array, so no candidate table is joined. Labels are compared trimmed
-    and upper-cased.
+    and upper-cased. Calls that failed count in ``failed`` and not in the accuracy.
     """
     prompts = F.array(*[F.struct(F.lit(n).alias("candidate"), c.alias("_prompt"))
                         for n, c in candidates.items()])
     asked = examples.select(F.col(label).alias("_label"), F.inline(prompts))
-    scored = score_rows(asked, "_prompt", client, output="_reply")
-    right = F.coalesce(F.upper(F.trim("_reply")) == F.upper(F.trim("_label")), F.lit(False))
+    scored = score_rows(asked, "_prompt", client, output="_reply", error="_failure")
+    return accuracies(scored, "_reply", "_label", "_failure").orderBy(F.desc_nulls_last("accuracy"), F.asc("candidate"))
+
+
+def accuracies(scored: DataFrame, reply: str, label: str, failure: str) -> DataFrame:
+    """(candidate, examples, failed, accuracy); failed calls and missing prompts are no answers."""
+    right = F.coalesce(F.upper(F.trim(reply)) == F.upper(F.trim(label)), F.lit(False))
+    answered = F.col(failure).isNull()
     return scored.groupBy("candidate").agg(
-        F.count("*").alias("examples"), F.avg(right.cast("double")).alias("accuracy")
-    ).orderBy(F.desc("accuracy"), F.asc("candidate"))
+        F.count("*").alias("examples"), F.count_if(~answered).alias("failed"), F.avg(F.when(answered, right.cast("double"))).alias("accuracy"))
+
+
+def choose_demonstrations(examples: DataFrame, question: str, label: str, key: str, prompt: Callable[[Sequence[tuple[str, str]]], Column],
+                          client: Client, candidates: int = 6, shots: int = 3, seed: int = 42, steps: int = 4, confidence: float = 0.05) -> DataFrame:
+    """Few-shot prompts from examples that the model gets right, scored on the others, best first.
+
+    Without demonstrations, every example is asked once; those answered rightly are what
+    demonstrations are drawn from: up to ``shots`` for each of ``candidates`` sets, by a hash of
+    the key, and set 0 is empty. ``prompt`` builds the prompt column from a set's (question,
+    label) pairs. The sets are scored on the examples that stand in none of them, in
+    ``steps`` growing parts; after each part a set is stopped whose upper confidence bound (Hoeffding,
+    at ``confidence`` over all sets and steps) lies below another's lower bound.
+
+    Returns candidate, shots, keys (of the demonstrations), examples, failed, accuracy and
+    stopped. Only the drawn demonstrations, at most ``candidates`` times ``shots``, and the
+    counts pass through the driver. Ties go to the smaller set number.
+    """
+    spark = examples.sparkSession
+    asked = examples.select(F.col(key).alias("_key"), F.col(question).alias(question), F.col(label).alias("_label"))
+    path = shared_folder(spark, "bootstrap")
+    score_rows(asked.withColumn("_prompt", prompt([])), "_prompt", client, output="_reply").drop("_prompt").write.parquet(path)
+    first = spark.read.parquet(path)
+    right = first.filter(F.upper(F.trim("_reply")) == F.upper(F.trim("_label")))
+    drawn = right.orderBy(F.xxhash64("_key", F.lit(seed)), "_key").select("_key", question, "_label").limit(candidates * shots).collect()
+    sets = [[]] + [part for i in range(candidates - 1) if (part := drawn[i * shots:(i + 1) * shots])]
+    used = [r["_key"] for part in sets for r in part]
+    left = asked.filter(~F.col("_key").isin(used)) if used else asked
+    left = left.withColumn("_part", F.pmod(F.xxhash64("_key", F.lit(seed + 1)), F.lit(steps)))
+    live, seen, stopped = list(range(len(sets))), {i: [0, 0, 0.0] for i in range(len(sets))}, set()
+    for step in range(steps):
+        prompts = F.array(*[F.struct(F.lit(i).alias("candidate"), prompt([(r[question], r["_label"]) for r in sets[i]]).alias("_prompt")) for i in live])
+        scored = score_rows(left.filter(F.col("_part") == step).select("_label", F.inline(prompts)), "_prompt", client, output="_reply", error="_failure")
+        for r in accuracies(scored, "_reply", "_label", "_failure").collect():
+            counts = seen[r["candidate"]]
+            counts[0] += r["examples"]
+            counts[1] += r["failed"]
+            counts[2] += (r["accuracy"] or 0.0) * (r["examples"] - r["failed"])
+        answered = {i: max(1, seen[i][0] - seen[i][1]) for i in live}
+        slack = {i: math.sqrt(math.log(2 * len(sets) * steps / confidence) / (2 * answered[i])) for i in live}
+        floor = max(seen[i][2] / answered[i] - slack[i] for i in live)
+        stopped |= {i for i in live if seen[i][2] / answered[i] + slack[i] < floor}
+        live = [i for i in live if i not in stopped]
+    lines = [(i, len(part), [str(r["_key"]) for r in part], seen[i][0], seen[i][1],
+              seen[i][2] / (seen[i][0] - seen[i][1]) if seen[i][0] > seen[i][1] else None, i in stopped) for i, part in enumerate(sets)]
+    result = spark.createDataFrame(lines, "candidate int, shots int, keys array<string>, examples long, failed long, accuracy double, stopped boolean")
+    return result.orderBy("stopped", F.desc_nulls_last("accuracy"), "candidate")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoreline.operators.ranking import top_k_per_group
+from shoreline.session import shared_folder
 
-QUERY_BLOCK, ROW_BLOCK = 512, 16_384
+QUERY_BLOCK, ROW_BLOCK, LEAST_BLOCK = 512, 16_384, 1_024
+#: Pivots of a pruned search, documents of a cluster that one task scores.
+PIVOTS, CLUSTER_BLOCK = 256, 4_096
 
 
 def _usable(vector: str) -> Column:
@@ -35,13 +38,15 @@ def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: st
     Queries and documents are cut into blocks by a hash of their ids. Every block of queries
     meets every block of documents in one task of bounded size, which scores them with one
     matrix product and passes on k rows per query; nothing goes through the driver but two
-    counts. Scores are rounded before ranking and equal ones rank by document id. A zero
+    counts, which read no vectors. Small tables are cut so that all cores have work. Scores are rounded before ranking and equal ones rank by document id. A zero
     vector has score 0. Vectors that are NULL or hold a NULL or NaN take no part (see
     ``unusable_vectors``), and only vectors of one length meet.
     """
     asked = queries.filter(_usable(vector)).select(F.col(query_id).alias("_q"), F.col(vector).cast("array<double>").alias("_v"))
     given = docs.filter(_usable(vector)).select(F.col(doc_id).alias("_d"), F.col(vector).cast("array<double>").alias("_v"))
-    query_blocks, row_blocks = -(-asked.count() // block) or 1, -(-given.count() // rows) or 1
+    query_blocks, count = -(-queries.count() // block) or 1, docs.count()
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    row_blocks = max(-(-count // rows), min(-(-cores // query_blocks), -(-count // LEAST_BLOCK)), 1)
 
     def beside(count: int) -> Column:
         return F.explode(F.sequence(F.lit(0), F.lit(count - 1)))
@@ -72,6 +77,118 @@ def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: st
     return docs.select(doc_id, *metadata).join(best, doc_id) if metadata else best
 
 
+def _units(vectors: pd.Series) -> np.ndarray:
+    matrix = np.stack(vectors.to_list()) if len(vectors) else np.zeros((0, 1))
+    length = np.linalg.norm(matrix, axis=1, keepdims=True)
+    return matrix / np.where(length == 0, 1.0, length)
+
+
+def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: str, query_id: str, digits: int = 6,
+                   pivots: int = PIVOTS, block: int = CLUSTER_BLOCK) -> DataFrame:
+    """As ``nearest``, for many queries: clusters that cannot hold a result are skipped.
+
+    Every document belongs to the nearest of a bounded number of pivots (documents chosen by
+    hash), and each cluster knows the widest angle to its pivot. A query first searches its
+    nearest clusters until they hold k documents, which gives it a k-th score. Of the other
+    clusters, only those are searched whose nearest possible document, by the angle to the
+    pivot less the cluster's, could score as much. The result is exact. ``looked_at`` is the
+    number of documents a query was scored against.
+
+    Ids are unique, vectors of one length; unusable vectors take no part. A zero vector has
+    score 0 with everything, and its documents form a cluster that is never skipped. Large
+    clusters are cut into blocks, one task each; a task's queries come in parts.
+    """
+    spark = docs.sparkSession
+    given = docs.filter(_usable(vector)).select(F.col(doc_id).alias("_d"), F.col(vector).cast("array<double>").alias("_v"))
+    asked = queries.filter(_usable(vector)).select(F.col(query_id).alias("_q"), F.col(vector).cast("array<double>").alias("_v"))
+    chosen = given.filter(F.exists("_v", lambda x: x != 0)).orderBy(F.xxhash64("_d"), "_d").limit(pivots).select("_v").toPandas()
+    if not len(chosen):
+        chosen = pd.DataFrame({"_v": given.select("_v").limit(1).toPandas()["_v"]})
+    centers = _units(chosen["_v"])
+    kinds = T.StructType([T.StructField("_d", docs.schema[doc_id].dataType), T.StructField("_v", T.ArrayType(T.DoubleType())),
+                          T.StructField("cluster", T.IntegerType()), T.StructField("angle", T.DoubleType())])
+    everything = np.pi
+
+    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            unit = _units(frame["_v"])
+            if len(unit):
+                cosines = np.clip(unit @ centers.T, -1, 1)
+                cluster = cosines.argmax(1)
+                zero = ~unit.any(1)
+                yield pd.DataFrame({"_d": frame["_d"], "_v": list(unit), "cluster": np.where(zero, -1, cluster).astype(np.int32),
+                                    "angle": np.where(zero, everything, np.arccos(cosines[np.arange(len(unit)), cluster]))})
+
+    path = shared_folder(spark, "nearest")
+    given.mapInPandas(placed, kinds).write.parquet(f"{path}/docs")
+    clustered = spark.read.schema(kinds).parquet(f"{path}/docs")
+    known = clustered.groupBy("cluster").agg(F.max("angle").alias("radius"), F.count("*").alias("size")).orderBy("cluster").toPandas()
+    numbers, radius, size = (known[c].to_numpy() for c in ("cluster", "radius", "size"))
+    places = np.where(numbers >= 0, numbers, 0)
+
+    def bounds(unit: np.ndarray) -> np.ndarray:
+        """Best possible cosine of each query with each cluster; 1 for documents without direction."""
+        apart = np.arccos(np.clip(unit @ centers.T, -1, 1))[:, places] - radius
+        best = np.cos(np.clip(apart, 0, np.pi))
+        best[:, numbers < 0] = 1.0
+        best[~unit.any(1)] = 1.0
+        return best
+
+    wanted = T.StructType([T.StructField("_q", queries.schema[query_id].dataType), T.StructField("_v", T.ArrayType(T.DoubleType())),
+                           T.StructField("cluster", T.IntegerType()), T.StructField("size", T.LongType())])
+
+    def plan(first: bool):
+        def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for frame in frames:
+                unit = _units(frame["_v"])
+                if not len(unit):
+                    continue
+                best = bounds(unit)
+                order = np.argsort(-best, axis=1, kind="stable")
+                held = np.cumsum(size[order], axis=1) - size[order]
+                near = np.zeros(best.shape, bool)
+                np.put_along_axis(near, order, held < k, axis=1)
+                take = near if first else ~near & (best >= frame["_least"].to_numpy()[:, None])
+                q, c = np.nonzero(take)
+                yield pd.DataFrame({"_q": frame["_q"].to_numpy()[q], "_v": list(unit[q]), "cluster": numbers[c].astype(np.int32), "size": size[c]})
+        return rows
+
+    found = T.StructType([T.StructField(query_id, wanted["_q"].dataType), T.StructField(doc_id, kinds["_d"].dataType), T.StructField("score", T.DoubleType())])
+
+    def score(part: pd.DataFrame, needed: pd.DataFrame) -> pd.DataFrame:
+        taken: list[tuple] = []
+        if len(part) and len(needed):
+            names, matrix = part["_d"].tolist(), np.stack(part["_v"].to_list())
+            for at in range(0, len(needed), QUERY_BLOCK):
+                own = needed.iloc[at:at + QUERY_BLOCK]
+                for query, line in zip(own["_q"].tolist(), np.round(np.stack(own["_v"].to_list()) @ matrix.T, digits)):
+                    top = np.arange(len(line)) if len(line) <= k else np.flatnonzero(line >= np.partition(line, len(line) - k)[len(line) - k])
+                    taken += [(query, names[i], line[i]) for i in sorted(top.tolist(), key=lambda i: (-line[i], names[i]))[:k]]
+        return pd.DataFrame(taken, columns=found.names)
+
+    blocks = {int(n): int(-(-s // block)) for n, s in zip(numbers, size)}
+    listed = F.create_map(*[x for n, b in blocks.items() for x in (F.lit(n), F.lit(b))]) if blocks else F.create_map(F.lit(0), F.lit(1))
+    cut = clustered.withColumn("_block", F.pmod(F.xxhash64("_d"), listed[F.col("cluster")]).cast("int"))
+
+    def search(needed: DataFrame) -> DataFrame:
+        spread = needed.withColumn("_block", F.explode(F.sequence(F.lit(0), listed[F.col("cluster")] - 1)))
+        met = cut.groupBy("cluster", "_block").cogroup(spread.groupBy("cluster", "_block")).applyInPandas(score, found)
+        return top_k_per_group(met, [query_id], [F.desc("score"), F.asc(doc_id)], k)
+
+    asked.mapInPandas(plan(True), wanted).write.parquet(f"{path}/first")
+    first = spark.read.schema(wanted).parquet(f"{path}/first")
+    search(first).write.parquet(f"{path}/near")
+    near = spark.read.schema(found).parquet(f"{path}/near")
+    # a rounded score may lie half a unit above the exact one
+    least = near.groupBy(F.col(query_id).alias("_q")).agg(F.count("*").alias("_n"), (F.min("score") - 10.0**-digits).alias("_least"))
+    open_queries = asked.join(least, "_q", "left").withColumn("_least", F.when(F.col("_n") >= k, F.col("_least")).otherwise(-2.0)).select("_q", "_v", "_least")
+    open_queries.mapInPandas(plan(False), wanted).write.parquet(f"{path}/more")
+    more = spark.read.schema(wanted).parquet(f"{path}/more")
+    best = top_k_per_group(near.unionByName(search(more)), [query_id], [F.desc("score"), F.asc(doc_id)], k)
+    looked_at = first.select("_q", "size").unionByName(more.select("_q", "size")).groupBy(F.col("_q").alias(query_id)).agg(F.sum("size").alias("looked_at"))
+    return best.join(looked_at, query_id)
+
+
 def text_vectors(fit_on: DataFrame, tables: Sequence[DataFrame], text: str, vector: str = "embedding",
                  dimensions: int = 1024) -> list[DataFrame]:
     """Hashed TF-IDF unit vectors for the text column of each table.

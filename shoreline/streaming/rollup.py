@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shoreline.streaming.ingest import start
 from shoreline.streaming.silver import BATCH
+from shoreline.streaming.states import StateFolder
 
 
 def activity(stream: DataFrame, time: str, width: str = "1 minute", delay: str | None = None) -> DataFrame:
@@ -27,24 +28,50 @@ def activity(stream: DataFrame, time: str, width: str = "1 minute", delay: str |
 
 def keep_current(aggregate: DataFrame, path: str, checkpoint: str, drain: bool = True,
                  state_partitions: int | None = None) -> StreamingQuery:
-    """Store the complete state of a streaming aggregate after each micro-batch.
+    """Store the complete state of a streaming aggregate after each micro-batch; two states stay.
 
     Every micro-batch has a folder of its own, so a reader never meets a half-written one
     and a retried batch replaces only itself.
     """
-    def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(os.path.join(path, f"{BATCH}={batch_id}"))
-
-    writer = (aggregate.writeStream.outputMode("complete").foreachBatch(write)
-              .option("checkpointLocation", checkpoint))
+    states = StateFolder(aggregate.sparkSession, path)
+    writer = aggregate.writeStream.outputMode("complete").foreachBatch(states.put).option("checkpointLocation", checkpoint)
     return start(aggregate.sparkSession, writer, drain, state_partitions=state_partitions)
 
 
 def read_current(spark: SparkSession, path: str) -> DataFrame:
-    """The state after the newest micro-batch."""
-    states = spark.read.parquet(path)
-    newest = states.agg(F.max(BATCH)).scalar()
-    return states.filter(F.col(BATCH) == newest).drop(BATCH)
+    """The state after the newest micro-batch, found by its name."""
+    return StateFolder(spark, path).current()
+
+
+def keep_live(aggregate: DataFrame, path: str, checkpoint: str, bucket: str, settle_after: str, drain: bool = True,
+              state_partitions: int | None = None) -> StreamingQuery:
+    """Keep windows current from the ones that changed, and settle those that cannot change any more.
+
+    ``aggregate`` counts windows of a watermarked stream. Each micro-batch brings the windows
+    that changed; they take the place of their old versions in the open state. Windows whose
+    start lies ``settle_after`` (the window's width plus the watermark's delay) or more before
+    the newest window are behind the watermark: they leave the state for a folder of settled
+    windows that only grows. So a micro-batch costs the open windows, whatever the age of the stream.
+    """
+    spark = aggregate.sparkSession
+    states = StateFolder(spark, os.path.join(path, "open"))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        before = states.before(batch_id)
+        merged = batch if before is None else batch.unionByName(before.join(batch.select(bucket), bucket, "left_anti"))
+        newest = merged.agg(F.max(bucket)).collect()[0][0]
+        done = F.col(bucket) <= F.lit(newest) - F.expr(f"INTERVAL {settle_after}") if newest is not None else F.lit(False)
+        merged.filter(done).write.mode("overwrite").parquet(os.path.join(path, "settled", f"{BATCH}={batch_id}"))
+        states.put(merged.filter(~done), batch_id)
+
+    writer = aggregate.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint)
+    return start(spark, writer, drain, state_partitions=state_partitions)
+
+
+def read_live(spark: SparkSession, path: str) -> DataFrame:
+    """Settled and open windows."""
+    settled = spark.read.parquet(os.path.join(path, "settled")).drop(BATCH)
+    return settled.unionByName(StateFolder(spark, os.path.join(path, "open")).current())
 
 
 def refresh_on_batch(stream: DataFrame, refresh: Callable[[], None], checkpoint: str,

@@ -13,7 +13,7 @@ from shoreline.operators.quality import artifact_report, column_report
 from shoreline.session import checkpoint_root, shared_folder
 from shoreline.sinks.tables import (append_rows, create_table_if_absent, insert_overwrite, overwrite_table, register_missing,
                                     write_bucketed, write_clustered, write_csv)
-from shoreline.sinks.versions import VersionedTable
+from shoreline.sinks.versions import ConcurrentChange, VersionedTable
 from shoreline.sources.files import file_inventory, read_corpus, read_csv, read_json_array, read_ndjson, rows_per_file
 from shoreline.sources.generate import Choice, DoubleRange, IntRange, RiskFlag, generate_table
 
@@ -110,14 +110,101 @@ def test_two_writers_get_two_versions_and_restore_copies_nothing(spark):
     root = shared_folder(spark, "versions")
     first, second = VersionedTable(spark, root), VersionedTable(spark, root)
     assert first.write(spark.range(3)) == 0
-    seen = iter([-1, 0])  # the second writer looked before the first had committed
+    seen = iter([-1, -1])  # the second writer looked before the first had committed
     second._last = lambda: next(seen)
     assert second.write(spark.range(5)) == 1
     assert (first.read(0).count(), first.read(1).count(), first.restore(0)) == (3, 5, 2)
-    paths = {r["version"]: r["path"] for r in first.history().collect()}
+    paths = {r["version"]: [p["path"] for p in r["parts"]] for r in first.history().collect()}
     assert paths[2] == paths[0] and first.read().count() == 3
 
 
+def keyed_table(spark, rows=200, buckets=8):
+    table = VersionedTable(spark, shared_folder(spark, "versions"), ["k"], buckets)
+    table.write(spark.range(rows).select(F.col("id").alias("k"), F.lit(0).alias("x")))
+    return table
+
+
+def parts_of(table, version):
+    return {p["bucket"]: p["path"] for p in table._commit_of(version)["parts"]}
+
+
+def test_a_change_writes_only_the_buckets_it_touches(spark):
+    table = keyed_table(spark)
+    assert len(parts_of(table, 0)) == 8
+    table.upsert(spark.createDataFrame([(3, 7)], "k int, x int"), ["k"])
+    table.delete(F.col("k") == 5)
+    table.update(F.col("k") == 9, {"x": F.lit(1)})
+    table.delete(F.col("k") > 1000)
+    for version in (1, 2, 3):
+        before, after = parts_of(table, version - 1), parts_of(table, version)
+        assert sum(before.get(b) != after.get(b) for b in range(8)) == 1
+    assert parts_of(table, 4) == parts_of(table, 3)
+    assert rows_of(table.read().filter("x > 0"), "k", "x") == [(3, 7), (9, 1)] and table.read().count() == 199
+    assert table.history().filter("version = 4").collect()[0]["rows"] == 199
+
+
+@pytest.mark.parametrize("second_key", [1, 2, 3, 4, 5])
+def test_no_upsert_from_one_base_is_lost(spark, second_key):
+    table = keyed_table(spark, 20, 4)
+    other = VersionedTable(spark, table.root)
+    tries = []
+    store = table._store
+
+    def overtaken(*args):
+        parts = store(*args)
+        if not tries:
+            other.upsert(spark.createDataFrame([(second_key, 9)], "k long, x int"), ["k"])
+        tries.append(1)
+        return parts
+    table._store = overtaken
+    assert table.upsert(spark.createDataFrame([(1, 5)], "k long, x int"), ["k"]) == 2
+    expected = [(1, 5)] if second_key == 1 else [(1, 5), (second_key, 9)]
+    assert rows_of(table.read().filter("x > 0"), "k", "x") == expected
+    same = spark.range(1, 2).select(F.pmod(F.xxhash64(F.lit(1).cast("long")), F.lit(4)) == F.pmod(F.xxhash64(F.lit(second_key).cast("long")), F.lit(4))).collect()[0][0]
+    assert len(tries) == (2 if same else 1)
+
+
+def test_a_delete_sees_rows_that_came_in_between_or_gives_up(spark):
+    table = keyed_table(spark, 20, 4)
+    other = VersionedTable(spark, table.root)
+    store, tries = table._store, []
+
+    def overtaken(*args):
+        parts = store(*args)
+        tries.append(1)
+        if len(tries) <= limit:
+            other.upsert(spark.createDataFrame([(100 + len(tries), 0)], "k long, x int"), ["k"])
+        return parts
+    table._store, limit = overtaken, 1
+    table.delete(F.col("x") == 0)
+    assert table.read().count() == 0
+    table.write(spark.createDataFrame([(1, 0)], "k long, x int"))
+    tries.clear()
+    limit = 99
+    with pytest.raises(ConcurrentChange):
+        table.delete(F.col("x") == 0, attempts=2)
+
+
+def test_half_made_commits_block_nobody(spark):
+    table = keyed_table(spark, 10, 2)
+    open(f"{table._log.removeprefix('file:')}/_0123456789abcdef", "w").close()
+    assert table.upsert(spark.createDataFrame([(1, 5)], "k long, x int"), ["k"]) == 1
+    assert table.history().count() == 2 and table.read().filter("x = 5").count() == 1
+
+
+def test_moving_a_key_and_emptying_a_table(spark):
+    table = keyed_table(spark, 10, 4)
+    table.update(F.lit(True), {"k": F.col("k") + 100})
+    assert rows_of(table.read(), "k") == [(100 + i,) for i in range(10)]
+    table.upsert(spark.createDataFrame([(100, 1)], "k long, x int"), ["k"])
+    assert table.read().count() == 10 and table.read().filter("x = 1").count() == 1
+    table.delete(F.lit(True))
+    assert table.read().count() == 0 and table.read().columns == ["k", "x"]
+    table.upsert(spark.createDataFrame([(None, 1)], "k long, x int"), ["k"])
+    table.upsert(spark.createDataFrame([(None, 2)], "k long, x int"), ["k"])
+    assert rows_of(table.read(), "k", "x") == [(None, 1), (None, 2)]
+
+
 def test_versions(spark):
     table = VersionedTable(spark, shared_folder(spark, "versions"))
     assert table.history().count() == 0
