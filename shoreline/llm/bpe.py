@@ -17,20 +17,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoreline.llm.base import stored
+from shoreline.llm.base import Workspace, bitmap_of, in_bitmap
 from shoreline.llm.shingles import byte_sums, mixed
 
 #: Bytes of the rolling window; spaces between cuts on average; bits of the map of shared chunks.
 WINDOW, SPACING, SHARED_BITS = 24, 64, 24
-#: Encoded words that a worker remembers, and texts whose words it holds at a time.
-REMEMBERED_WORDS, TEXTS_AT_ONCE = 400_000, 128
+#: Encoded words and tested joins that a worker remembers, and texts whose words it holds at a time.
+REMEMBERED_WORDS, REMEMBERED_JOINS, TEXTS_AT_ONCE = 500_000, 200_000, 128
+#: Words that one call of the tokenizer encodes, apart by a special token.
+WORDS_A_CALL = 1024
 
 
 class Codec:
     """A tokenizer file with a memory of the words it has encoded.
 
     Words begin with the space before them. The file's pre-tokenizer must split at spaces, as
-    is checked by ``joined`` wherever encoded parts meet.
+    is checked by ``joined`` wherever encoded parts meet. Many words are encoded in one call,
+    with a special token between them that the library cuts out before anything else.
     """
 
     def __init__(self, path: str):
@@ -42,18 +45,33 @@ class Codec:
         self.tokens = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
         self.words: dict[str, bytes] = {}
+        self.joins: dict[tuple[str, str], bool] = {}
+        added = [(i, t) for i, t in sorted(self.tokenizer.get_added_tokens_decoder().items())
+                 if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
+        self.between = (added[0][0], added[0][1].content) if added else None
 
     def encode_words(self, words: list[str]) -> dict[str, bytes]:
         """Packed ids of each distinct word."""
         new = [w for w in dict.fromkeys(words) if w not in self.words]
-        found = {w: np.array(e.ids, self.dtype).tobytes()
-                 for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False))} if new else {}
+        found = dict(zip(new, self.encode_apart(new)))
         for word, ids in found.items():
             if len(self.words) >= REMEMBERED_WORDS:
                 break
             self.words[word] = ids
         return found
 
+    def encode_apart(self, texts: list[str]) -> list[bytes]:
+        """Packed ids of every text, each on its own, many in one call where a special token can part them."""
+        if self.between is None or any(self.between[1] in t for t in texts):
+            return self.encode_whole(texts)
+        number, mark = self.between
+        calls = [texts[i:i + WORDS_A_CALL] for i in range(0, len(texts), WORDS_A_CALL)]
+        out: list[bytes] = []
+        for packed in self.encode_whole([mark.join(c) for c in calls]):
+            ends = np.flatnonzero(np.frombuffer(packed, self.dtype) == number) * self.dtype.itemsize
+            out += [packed[a:b] for a, b in zip([0, *(ends + self.dtype.itemsize).tolist()], [*ends.tolist(), len(packed)])]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of every text, word by word; each distinct word is encoded once."""
         split = [split_words(t) for t in texts]
@@ -85,14 +103,23 @@ class Codec:
                 merged.append([text, ids])
         for part, ids in zip([p for p in merged if p[1] is None], self.encode([p[0] for p in merged if p[1] is None])):
             part[1] = ids
-        edges = [(split_words(a[0])[-1:], split_words(b[0])[:1]) for a, b in zip(merged, merged[1:])]
-        edges = [a + b for a, b in edges if a and b]
-        apart = self.encode([w for edge in edges for w in edge])
-        together = self.encode_whole([a + b for a, b in edges])
-        if any(apart[2 * i] + apart[2 * i + 1] != ids for i, ids in enumerate(together)):
+        edges = [(last_word(a[0]), first_word(b[0])) for a, b in zip(merged, merged[1:])]
+        if not all(self.agree([edge for edge in edges if edge[0] and edge[1]])):
             self.repair(merged)
         return b"".join(ids for _, ids in merged)
 
+    def agree(self, edges: list[tuple[str, str]]) -> list[bool]:
+        """Whether two words have the same ids together as apart, for each pair."""
+        new = [e for e in dict.fromkeys(edges) if e not in self.joins]
+        found = {}
+        if new:
+            apart = self.encode_apart([w for edge in new for w in edge])
+            together = self.encode_apart([a + b for a, b in new])
+            found = {e: apart[2 * i] + apart[2 * i + 1] == together[i] for i, e in enumerate(new)}
+            if len(self.joins) + len(found) <= REMEMBERED_JOINS:
+                self.joins.update(found)
+        return [self.joins[e] if e in self.joins else found[e] for e in edges]
+
     def encode_whole(self, texts: list[str]) -> list[bytes]:
         """Packed ids of every text, encoded in one piece."""
         return [np.array(e.ids, self.dtype).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)] if texts else []
@@ -102,8 +129,8 @@ class Codec:
         at = 1
         while at < len(merged):
             (left, _), (right, _) = merged[at - 1], merged[at]
-            before, after = split_words(left)[-1:], split_words(right)[:1]
-            if before and after and b"".join(self.encode([before[0], after[0]])) != self.encode_whole([before[0] + after[0]])[0]:
+            before, after = last_word(left), first_word(right)
+            if before and after and not self.agree([(before, after)])[0]:
                 merged[at - 1:at + 1] = [[left + right, self.encode_whole([left + right])[0]]]
                 at = max(1, at - 1)
             else:
@@ -122,6 +149,17 @@ def split_words(text: str) -> list[str]:
     return ([first] if first else []) + [" " + w for w in rest]
 
 
+def last_word(text: str) -> str:
+    """What follows the last space, with it."""
+    return text[max(text.rfind(" "), 0):]
+
+
+def first_word(text: str) -> str:
+    """What precedes the first space that does not begin the text."""
+    end = text.find(" ", 1)
+    return text if end < 0 else text[:end]
+
+
 def chunk_ends(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ends of a text's content-defined chunks, in bytes, and a 64-bit hash of each chunk.
 
@@ -156,20 +194,14 @@ def shared_chunks(given: DataFrame) -> np.ndarray:
 
     It decides only what is encoded apart; a fuller map at a larger corpus changes no result.
     """
-    bit = F.shiftrightunsigned("hash", 64 - SHARED_BITS)
-    again = given.mapInArrow(_chunk_hashes, "hash long").groupBy("hash").count().filter("count > 1").select(
-        F.shiftright(bit, 15).alias("part"), bit.bitwiseAND(32767).alias("bit"))
-    bitmap = np.zeros(1 << (SHARED_BITS - 3), np.uint8)
-    for row in again.groupBy("part").agg(F.bitmap_construct_agg("bit").alias("bits")).collect():
-        bitmap[row["part"] * 4096:(row["part"] + 1) * 4096] = np.frombuffer(row["bits"], np.uint8)
-    return bitmap
+    again = given.mapInArrow(_chunk_hashes, "hash long").groupBy("hash").count().filter("count > 1")
+    return bitmap_of(again.select(F.shiftrightunsigned("hash", 64 - SHARED_BITS).alias("bit")), SHARED_BITS)
 
 
 def _marked(data: bytes, shared: np.ndarray) -> tuple[list[tuple[int, int]], np.ndarray]:
     """Spans of a text's chunks and which of them are marked as shared."""
     ends, hashes = chunk_ends(np.frombuffer(data, np.uint8))
-    bit = (hashes >> np.uint64(64 - SHARED_BITS)).astype(np.int64)
-    return list(zip([0, *ends[:-1].tolist()], ends.tolist())), (shared[bit >> 3] >> (bit & 7)) & 1 == 1
+    return list(zip([0, *ends[:-1].tolist()], ends.tolist())), in_bitmap(shared, (hashes >> np.uint64(64 - SHARED_BITS)).astype(np.int64))
 
 
 _DIGESTS = [("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())]
@@ -218,18 +250,20 @@ def _encode_alone(path: str, shared: np.ndarray):
 
 
 def _shared_texts(shared: np.ndarray):
-    """Texts with shared chunks, once per task."""
+    """Texts with shared chunks and the ends of all their chunks, once per task."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
         for batch in batches:
-            keys, texts = [], []
+            keys, texts, ends = [], [], []
             for text in batch.column(1):
                 data = _bytes(text.as_py())
-                if _marked(data, shared)[1].any() and (key := hashlib.blake2b(data, digest_size=16).digest()) not in seen:
+                spans, marked = _marked(data, shared)
+                if marked.any() and (key := hashlib.blake2b(data, digest_size=16).digest()) not in seen:
                     seen.add(key)
                     keys.append(key)
                     texts.append(data.decode("utf-8"))
-            yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(texts, pa.string())], ["text_key", "text"])
+                    ends.append([end for _, end in spans])
+            yield pa.record_batch([pa.array(keys, pa.binary()), pa.array(texts, pa.string()), pa.array(ends, pa.list_(pa.int32()))], ["text_key", "text", "ends"])
     return rows
 
 
@@ -244,14 +278,13 @@ _JOINED = pa.schema([("text_key", pa.binary()), *_DIGESTS])
 
 
 def _assemble(path: str):
-    """Digests of texts (key, text, encoded chunks by place)."""
+    """Digests of texts (key, text, ends of its chunks, encoded chunks by place)."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = codec(path)
         for batch in _parts(batches):
             out = []
-            for key, text, chunks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                data = _bytes(text.as_py())
-                ends = chunk_ends(np.frombuffer(data, np.uint8))[0].tolist()
+            for key, text, cuts, chunks in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2), batch.column(3)):
+                data, ends = _bytes(text.as_py()), cuts.as_py()
                 ids = {c["place"]: c["ids"] for c in chunks.as_py()}
                 parts = [(data[a:b].decode("utf-8"), ids.get(i)) for i, (a, b) in enumerate(zip([0, *ends[:-1]], ends))]
                 out.append((key, *_digests(coder, coder.joined(parts))))
@@ -272,23 +305,26 @@ def encode_documents(documents: DataFrame, path: str) -> DataFrame:
     tokens. Every row gives one row; equal texts, null and repeated ids are allowed. An empty
     table gives an empty one.
 
-    Texts without shared chunks never move. The others move once, with the ids of their
-    shared chunks; a chunk moves once per task that met it, to be encoded. Tasks hold one
-    batch of texts and the keys of the chunks of their own input.
+    Texts without shared chunks never move. The others move once per task that met them, with
+    the ids of their shared chunks, and equal ones are put together once; a chunk moves once per
+    task that met it, to be encoded. Tasks hold one batch of texts and the keys of the chunks
+    of their own input. What comes back to the rows is stored, so that a text of many rows
+    meets them in a join whose large parts Spark can split.
     """
-    spark = documents.sparkSession
+    work = Workspace(documents.sparkSession, "bpe")
     given = documents.select("doc_id", "text")
     shared = shared_chunks(given)
     digests = "n_tokens long, ids_sha256 string, decoded_sha256 string"
-    first = stored(given.mapInArrow(_encode_alone(path, shared), f"doc_id long, text_key binary, {digests}, place int, chunk_key binary, chunk string"), "bpe-first")
+    first = work.put("first", given.mapInArrow(_encode_alone(path, shared), f"doc_id long, text_key binary, {digests}, place int, chunk_key binary, chunk string"))
     columns = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
     alone = first.filter("text_key IS NULL").select(*columns)
     chunks = first.filter("chunk IS NOT NULL").groupBy("chunk_key").agg(F.min("chunk").alias("chunk"))
-    encoded = stored(chunks.mapInArrow(_encode_chunks(path), "chunk_key binary, ids binary"), "bpe-chunks")
+    encoded = work.put("chunks", chunks.mapInArrow(_encode_chunks(path), "chunk_key binary, ids binary"))
     places = first.filter("chunk_key IS NOT NULL").select("text_key", "place", "chunk_key").distinct()
     gathered = places.join(encoded, "chunk_key").groupBy("text_key").agg(F.collect_list(F.struct("place", "ids")).alias("chunks"))
-    texts = given.mapInArrow(_shared_texts(shared), "text_key binary, text string")
-    whole = texts.join(gathered, "text_key").select("text_key", "text", "chunks").mapInArrow(_assemble(path), f"text_key binary, {digests}")
-    results = stored(whole, "bpe-joined").groupBy("text_key").agg(*[F.first(c).alias(c) for c in columns[1:]])
+    texts = given.mapInArrow(_shared_texts(shared), "text_key binary, text string, ends array<int>").groupBy("text_key").agg(
+        F.first("text").alias("text"), F.first("ends").alias("ends"))
+    results = work.put("joined", texts.join(gathered, "text_key").select("text_key", "text", "ends", "chunks").mapInArrow(_assemble(path), f"text_key binary, {digests}"))
+    work.drop("chunks")
     rest = first.filter("text_key IS NOT NULL AND place IS NULL").select("doc_id", "text_key").join(results, "text_key").select(*columns)
     return alone.unionByName(rest)

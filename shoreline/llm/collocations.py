@@ -26,9 +26,9 @@ from shoreline.operators.joins import broadcast_if_small
 #: Words of the longest phrase, rows of the least frequent one.
 DEPTH, LEAST = 4, 30
 #: Bytes of text that a task holds as words before it passes its counts on.
-HELD_BYTES = 1 << 25
+HELD_BYTES = 1 << 24
 #: Leaves of a group of subtrees, in rows.
-BUDGET = 1 << 20
+BUDGET = 1 << 18
 MAP_BITS, SPREAD = 24, 0x9E3779
 
 #: Bytes as words and pieces see them: A-Z in lower case, tabs as spaces, every piece end as a line feed.
@@ -99,7 +99,9 @@ class _Held:
         words = pa.array(list(self.numbers), pa.binary())
         maybe = in_bitmap(bitmap, _word_bits(sums, zlib.crc32(lang.encode())))
         maybe[0] = False
-        return words, np.concatenate(self.parts) if self.parts else np.empty(0, np.int32), sums, maybe
+        order = np.concatenate(self.parts) if self.parts else np.empty(0, np.int32)
+        self.numbers, self.parts = _Numbers(), []
+        return words, order, sums, maybe
 
 
 def _word_bits(sums: np.ndarray, lang: int) -> np.ndarray:
@@ -156,9 +158,11 @@ def _leaves(frequent_words: np.ndarray, frequent_pairs: np.ndarray):
         good = maybe[order]
         at = np.flatnonzero(good[:-1] & good[1:])
         pairs, which = np.unique(order[at].astype(np.int64) << 32 | order[at + 1], return_inverse=True)
+        del good
         kept = in_bitmap(frequent_pairs, _pair_bits(sums[pairs >> 32], sums[pairs & 0xFFFFFFFF], zlib.crc32(lang.encode())))
         pair = np.full(len(order) + DEPTH, -1, np.int64)
         pair[at] = np.where(kept[which], which, -1)
+        del at, which
         first = np.flatnonzero((pair[:-1] >= 0) & (pair[1:] >= 0))
         four = pair[first + 2] >= 0
         for starts, width in ((first[four], 4), (first[~four], 3)):
