@@ -236,7 +236,7 @@ def importance(spark, sf):
     """Importances beside those that follow from the stored nodes of both ensembles."""
     models, test = fitted(spark, sf, (FOREST, BOOSTED))
     names = F.array(*[F.lit(f) for f in FEATURES])
-    parts = [importances_by_nodes(node_table(spark, models[n])) for n in (FOREST, BOOSTED)]
+    parts = [importances_by_nodes(node_table(spark, models[n]), n == BOOSTED) for n in (FOREST, BOOSTED)]
     mean = parts[0].unionByName(parts[1]).groupBy(F.get(names, F.col("feature")).alias("feature")).agg((F.sum("importance") / 2).alias("by_nodes"))
     both = importances(models, FEATURES, test).join(mean, "feature", "left")
     off = F.abs(F.col("importance") - F.coalesce("by_nodes", F.lit(0.0))) > 1e-6

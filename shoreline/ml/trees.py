@@ -19,7 +19,8 @@ def node_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
     """
     path = shared_folder(spark, "nodes")
     model.stages[-1].write().save(path)
-    nodes, trees = spark.read.parquet(f"{path}/data"), spark.read.parquet(f"{path}/treesMetadata")
+    nodes = spark.read.parquet(f"{path}/data").toDF("treeID", "nodeData")
+    trees = spark.read.parquet(f"{path}/treesMetadata").toDF("tree", "metadata", "weight").select("tree", "weight")
     n = F.col("nodeData")
     counts = n["impurityStats"]
     listed = nodes.select(
@@ -27,7 +28,7 @@ def node_table(spark: SparkSession, model: PipelineModel) -> DataFrame:
         F.get(n["split"]["leftCategoriesOrThreshold"], F.lit(0)).alias("threshold"), n["leftChild"].alias("left"), n["rightChild"].alias("right"),
         n["gain"].alias("gain"), n["rawCount"].alias("rows"), n["prediction"].alias("value"),
         F.try_divide(F.get(counts, F.lit(1)), F.aggregate(counts, F.lit(0.0), lambda a, b: a + b)).alias("share"))
-    return listed.join(trees.select(F.col("treeID").alias("tree"), F.col("weights").alias("weight")), "tree")
+    return listed.join(trees, "tree")
 
 
 def score_by_nodes(df: DataFrame, nodes: DataFrame, features: Sequence[str], key: Sequence[str], depth: int, boosted: bool) -> DataFrame:
@@ -44,10 +45,11 @@ def score_by_nodes(df: DataFrame, nodes: DataFrame, features: Sequence[str], key
     return ends.groupBy(*key).agg(F.avg("share").alias("by_nodes"))
 
 
-def importances_by_nodes(nodes: DataFrame) -> DataFrame:
-    """(feature index, importance): gains times rows, shared out within each tree and then over all trees."""
-    inner = nodes.filter(~F.col("leaf"))
-    gains = inner.groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("rows")).alias("gain"))
-    whole = gains.groupBy("tree").agg(F.sum("gain").alias("_tree"))
-    shares = gains.join(whole, "tree").groupBy("feature").agg(F.sum(F.try_divide("gain", "_tree")).alias("share"))
+def importances_by_nodes(nodes: DataFrame, boosted: bool) -> DataFrame:
+    """(feature index, importance): gains times rows, shared out over all trees; a forest's trees count alike."""
+    gains = nodes.filter(~F.col("leaf")).groupBy("tree", "feature").agg(F.sum(F.col("gain") * F.col("rows")).alias("share"))
+    if not boosted:
+        whole = gains.groupBy("tree").agg(F.sum("share").alias("_tree"))
+        gains = gains.join(whole, "tree").withColumn("share", F.try_divide("share", "_tree"))
+    shares = gains.groupBy("feature").agg(F.sum("share").alias("share"))
     return shares.withColumn("importance", F.col("share") / shares.agg(F.sum("share")).scalar()).select("feature", "importance")

@@ -150,6 +150,8 @@ def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vec
                 np.put_along_axis(near, order, held < k, axis=1)
                 take = near if first else ~near & (best >= frame["_least"].to_numpy()[:, None])
                 q, c = np.nonzero(take)
+                if not len(q):
+                    continue
                 yield pd.DataFrame({"_q": frame["_q"].to_numpy()[q], "_v": list(unit[q]), "cluster": numbers[c].astype(np.int32), "size": size[c]})
         return rows
 
@@ -177,14 +179,14 @@ def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vec
 
     asked.mapInPandas(plan(True), wanted).write.parquet(f"{path}/first")
     first = spark.read.schema(wanted).parquet(f"{path}/first")
-    search(first).write.parquet(f"{path}/near")
+    search(first).select(query_id, doc_id, "score").write.parquet(f"{path}/near")
     near = spark.read.schema(found).parquet(f"{path}/near")
     # a rounded score may lie half a unit above the exact one
     least = near.groupBy(F.col(query_id).alias("_q")).agg(F.count("*").alias("_n"), (F.min("score") - 10.0**-digits).alias("_least"))
     open_queries = asked.join(least, "_q", "left").withColumn("_least", F.when(F.col("_n") >= k, F.col("_least")).otherwise(-2.0)).select("_q", "_v", "_least")
     open_queries.mapInPandas(plan(False), wanted).write.parquet(f"{path}/more")
     more = spark.read.schema(wanted).parquet(f"{path}/more")
-    best = top_k_per_group(near.unionByName(search(more)), [query_id], [F.desc("score"), F.asc(doc_id)], k)
+    best = top_k_per_group(near.unionByName(search(more).select(*near.columns)), [query_id], [F.desc("score"), F.asc(doc_id)], k)
     looked_at = first.select("_q", "size").unionByName(more.select("_q", "size")).groupBy(F.col("_q").alias(query_id)).agg(F.sum("size").alias("looked_at"))
     return best.join(looked_at, query_id)
 

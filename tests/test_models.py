@@ -3,6 +3,7 @@
 import glob
 import os
 
+import numpy as np
 import pytest
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
@@ -12,8 +13,10 @@ from shoreline.ml.metrics import class_report, classification_metrics, roc_auc
 from shoreline.ml.models import (cross_validate, fit, fold_summary, gradient_boosting, importances, logistic_regression, random_forest,
                                  scored, soft_vote)
 from shoreline.ml.registry import best_run, final_metric, load_model, register_model, registered_models, run_row
+from shoreline.ml.shapley import shapley_importances, shapley_values
 from shoreline.ml.split import stratified_folds, stratified_split
-from shoreline.operators.model_calls import choose_prompt, rule_client, score_rows
+from shoreline.ml.trees import importances_by_nodes, node_table, score_by_nodes
+from shoreline.operators.model_calls import choose_demonstrations, choose_prompt, rule_client, score_rows
 from shoreline.operators.scoring import judge_unknown
 from shoreline.plans.briefing import risk_prompt
 from shoreline.session import shared_folder
@@ -76,7 +79,78 @@ def test_rule_client_reads_prompts(spark):
 def test_prompt_choice_ignores_case_and_blanks(spark):
     df = spark.createDataFrame([("yes", "x"), (" NO ", "y")], "label string, q string")
     got = choose_prompt(df, {"good": F.col("q"), "bad": F.lit("x")}, "label", lambda ps: ["Yes" if p == "x" else "no" for p in ps])
-    assert [tuple(r) for r in got.collect()] == [("good", 2, 1.0), ("bad", 2, 0.5)]
+    assert [tuple(r) for r in got.collect()] == [("good", 2, 0, 1.0), ("bad", 2, 0, 0.5)]
+
+
+def test_failed_calls_are_no_wrong_answers(spark):
+    def client(prompts):
+        if any(p.startswith("x3") for p in prompts):
+            raise RuntimeError("down")
+        return ["yes"] * len(prompts)
+    df = spark.createDataFrame([("yes", f"x{i}") for i in range(4)], "label string, q string")
+    got = choose_prompt(df, {"plain": F.col("q"), "other": F.concat(F.col("q"), F.lit("!"))}, "label", client).collect()
+    assert [(r.examples, r.failed, r.accuracy) for r in got] == [(4, 1, 1.0)] * 2
+
+
+def test_a_hot_prompt_moves_once_per_task(spark):
+    df = spark.range(4000).select(F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("p"), F.col("id").cast("string"))).alias("p")).repartition(4)
+    seen = score_rows(df, "p", lambda ps: ps)
+    assert seen.filter("response <> p OR response IS NULL").count() == 0
+    asked = df.select(F.col("p").alias("_asked"), F.xxhash64("p").alias("_h1")).dropDuplicates(["_h1"])
+    assert "partial_first" in asked._jdf.queryExecution().executedPlan().toString()
+
+
+def test_demonstrations_have_the_winner_of_full_scoring(spark):
+    def client(prompts):
+        out = []
+        for p in prompts:
+            *shown, asked = p.split("\n")
+            pairs = [(abs(int(x.split(":")[0]) - int(asked)), x.split(":")[1]) for x in shown]
+            if asked == "13" and shown:
+                raise RuntimeError("down")
+            out.append(min(pairs)[1] if pairs else "b" if int(asked) > 90 else "a")
+        return out
+    df = spark.createDataFrame([(i, str(i), "b" if i > 60 else "a") for i in range(120)], "k long, q string, label string")
+    got = choose_demonstrations(df, "q", "label", "k", lambda shots: F.concat(F.lit("".join(f"{q}:{a}\n" for q, a in shots)), F.col("q")), client,
+                                candidates=5, confidence=0.5).collect()
+    assert len(got) == 5 and sum(r.shots == 0 for r in got) == 1 and all(r.shots <= 3 for r in got)
+    used = {int(k) for r in got for k in r["keys"]}
+    left = [i for i in range(120) if i not in used and i != 13]
+
+    def full(keys):
+        shown = [(int(k), "b" if int(k) > 60 else "a") for k in keys]
+        return np.mean([(min((abs(v - i), a) for v, a in shown)[1] if shown else "b" if i > 90 else "a") == ("b" if i > 60 else "a") for i in left])
+    scores = [full(r["keys"]) for r in got]
+    assert scores[0] == max(scores) and got[0].accuracy == pytest.approx(scores[0])
+    assert all(r.failed == (1 if r.shots and not r.stopped and 13 not in used else r.failed) for r in got)
+
+
+def tree_case(spark):
+    rng = np.random.default_rng(1)
+    rows = [(i, float(a), float(b), int(a + 0.3 * n > 0)) for i, (a, b, n) in enumerate(rng.normal(size=(300, 3)))]
+    return spark.createDataFrame(rows, "id long, a double, b double, y int")
+
+
+@pytest.mark.parametrize("boosted", [False, True])
+def test_nodes_give_the_models_own_scores_and_importances(spark, boosted):
+    df = tree_case(spark)
+    model = fit(gradient_boosting(["a", "b"], "y", rounds=5, depth=3) if boosted else random_forest(["a", "b"], "y", trees=7, depth=4), df)
+    nodes = node_table(spark, model)
+    both = scored(model, df, ["id"]).join(score_by_nodes(df, nodes, ["a", "b"], ["id"], 4, boosted), "id")
+    assert both.count() == 300 and both.filter("abs(probability - by_nodes) > 1e-9").count() == 0
+    got = {r.feature: r.importance for r in importances_by_nodes(nodes, boosted).collect()}
+    assert all(abs(got.get(i, 0.0) - v) < 1e-6 for i, v in enumerate(model.stages[-1].featureImportances.toArray()))
+
+
+def test_shapley_values_add_up_and_rank_features(spark):
+    df = tree_case(spark)
+    model = fit(random_forest(["a", "b"], "y", trees=10, depth=4), df)
+    values = shapley_values(model, df, df, ["a", "b"], ["id"], samples=6)
+    rows = values.groupBy("id").agg(F.sum("value").alias("s"), F.avg("prediction").alias("p"), F.avg("base").alias("b"))
+    assert rows.filter("abs(s - (p - b)) > 1e-9").count() == 0
+    assert [r.feature for r in shapley_importances(values).collect()] == ["a", "b"]
+    alone = values.filter("feature = 'b'").count()
+    assert alone == 300
 
 
 def test_judge_sees_only_unknown_rows(spark):

@@ -18,7 +18,7 @@ from shoreline.operators.leaderboard import completion_rate, event_dimension, le
 from shoreline.operators.quality import Rule, apply_rules, domain_report, rule_metrics
 from shoreline.operators.ranking import (fixed_size_sample, gap_to_leader, global_rank, medal, rank_in_hash_order, top_k_per_group)
 from shoreline.operators.reshape import align_schema, flatten_result, select_existing, wide_to_long
-from shoreline.operators.retrieval import nearest, text_vectors, unusable_vectors
+from shoreline.operators.retrieval import nearest, nearest_pruned, text_vectors, unusable_vectors
 from shoreline.operators.routing import first_topic, topic_by_score, topic_sections
 from shoreline.operators.scoring import first_correct, validate_submissions
 from shoreline.plans.medallion import CleanSpec, RULES_FIRST, build_layers, clean, CohortSpec
@@ -286,3 +286,19 @@ def test_leaderboard_details(spark):
     configured = spark.createDataFrame([("e3",)], "event string")
     assert rows_of(completion_rate(log, teams, event_dimension(log, configured)), "event", "teams_submitted", "completion_pct") == [
         ("e1", 2, 67.0), ("e2", 1, 33.0), ("e3", 0, 0.0)]
+
+
+@pytest.mark.parametrize("pivots", [1, 4, 64])
+def test_pruned_search_equals_brute_force_and_skips(spark, pivots):
+    import numpy as np
+    rng = np.random.default_rng(pivots)
+    centers = rng.normal(size=(8, 12)) * 6
+    vectors = np.r_[np.concatenate([c + rng.normal(size=(40, 12)) for c in centers]), np.zeros((2, 12))]
+    vectors[5] = vectors[6]
+    docs = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(900, None), (901, [float("nan")] * 12)], "id long, v array<double>")
+    asked = docs.withColumnRenamed("id", "qid")
+    got = nearest_pruned(docs, asked, 3, "id", "v", "qid", pivots=pivots, block=30)
+    exact = nearest(docs, asked, 3, "id", "v", "qid")
+    assert rows_of(got, "qid", "id", "score", "rank") == rows_of(exact, "qid", "id", "score", "rank")
+    looked = got.agg(F.avg("looked_at")).collect()[0][0]
+    assert looked <= 322 and (pivots < 64 or looked < 200)
