@@ -140,8 +140,8 @@ def described_tables(spark, sf):
     set_table_comment(spark, gold, "Event metrics by value group, for the dashboards' tiles")
     skipped = set_column_comments(spark, {silver: {
         "event_id": "Unique event identifier", "value": "Measured value (validated 0-500)", "absent": "no such column"}})
-    set_tags(spark, silver, {"layer": "silver", "domain": "events"})
-    set_tags(spark, gold, {"layer": "gold"})
+    set_tags(spark, silver, {"layer": "silver", "domain": "events", "rows": str(spark.table(silver).count())})
+    set_tags(spark, gold, {"layer": "gold", "rows": str(spark.table(gold).count())})
     return silver, gold, skipped
 
 
@@ -165,20 +165,24 @@ def column_comments(spark, sf):
         F.lit(len(skipped)).alias("skipped"), F.lit(commented).alias("commented"), "n_rows")
 
 
-@query("gov_03_tags", """
+@query("gov_03_tags", with_views("gold", """
     SELECT 'silver' AS layer, 'layer' AS tag, 'silver' AS value UNION ALL SELECT 'silver', 'domain', 'events'
-    UNION ALL SELECT 'gold', 'layer', 'gold'""")
+    UNION ALL SELECT 'silver', 'rows', COUNT(*)::VARCHAR FROM silver
+    UNION ALL SELECT 'gold', 'layer', 'gold' UNION ALL SELECT 'gold', 'rows', COUNT(*)::VARCHAR FROM gold"""))
 def tags(spark, sf):
     silver, gold, _ = described_tables(spark, sf)
     layer = F.when(F.col("table_name") == silver, "silver").otherwise("gold")
     return tag_report(spark, [silver, gold]).select(layer.alias("layer"), "tag", "value")
 
 
-@query("gov_04_metadata_coverage", """
-    SELECT 'silver' AS layer, TRUE AS has_comment, 5 AS columns, 2 AS commented_columns
-    UNION ALL SELECT 'gold', TRUE, 5, 0""")
+@query("gov_04_metadata_coverage", with_views("gold", """
+    SELECT 'silver' AS layer, TRUE AS has_comment, 5 AS columns, 2 AS commented_columns,
+           COUNT(event_id) + COUNT(ts) + COUNT(user_id) + COUNT(event_type) + COUNT(value) AS filled_cells FROM silver
+    UNION ALL SELECT 'gold', TRUE, 5, 0, COUNT(value_group) + COUNT(outcome) + COUNT(event_count) + COUNT(avg_value) + COUNT(avg_user) FROM gold"""))
 def coverage(spark, sf):
     silver, gold, _ = described_tables(spark, sf)
     layer = F.when(F.col("table_name") == silver, "silver").otherwise("gold")
-    return metadata_report(spark, [silver, gold]).select(
-        layer.alias("layer"), "has_comment", "columns", "commented_columns")
+    lines = [spark.table(t).agg(sum((F.count(c) for c in spark.table(t).columns), F.lit(0)).alias("filled_cells")).withColumn("table_name", F.lit(t))
+             for t in (silver, gold)]
+    return metadata_report(spark, [silver, gold]).join(lines[0].unionByName(lines[1]), "table_name").select(
+        layer.alias("layer"), "has_comment", "columns", "commented_columns", "filled_cells")

@@ -11,7 +11,7 @@ from shoreline.plans.medallion import clean, rollup
 from shoreline.session import shared_folder
 from shoreline.sinks.tables import (append_rows, create_table_as, create_table_if_absent, define_view,
                                     insert_overwrite, overwrite_table, refresh_materialized, register_missing,
-                                    write_clustered, write_csv)
+                                    write_clustered, write_csv, write_zordered)
 from shoreline.sinks.versions import VersionedTable
 from shoreline.streaming.ingest import land, stream_files
 
@@ -211,3 +211,18 @@ def clustered_layout(spark, sf):
     previous = F.lag("high").over(Window.orderBy("low"))
     return ranges.withColumn("overlaps", F.coalesce(previous >= F.col("low"), F.lit(False))).agg(
         F.sum("n").alias("n_rows"), F.count_if("overlaps").alias("overlapping_files"))
+
+
+@query("snk_15_z_order", "SELECT COUNT(*) AS n_rows, TRUE AS second_column_skips_files FROM lineitem")
+def z_ordered_layout(spark, sf):
+    """Files that a filter on the second column alone must read, beside a layout sorted by both."""
+    lines, keys, files = table(spark, sf, "lineitem"), ["l_shipdate", "l_extendedprice"], 32
+    folders = [shared_folder(spark, n) for n in ("zordered", "clustered")]
+    write_zordered(lines, folders[0], keys, files=files)
+    write_clustered(lines, folders[1], keys, files=files)
+    limit = lines.agg(F.percentile_approx("l_extendedprice", 0.05)).scalar()
+    touched = []
+    for folder in folders:
+        ranges = spark.read.parquet(folder).groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min("l_extendedprice").alias("low"))
+        touched.append(ranges.filter(F.col("low") <= limit).agg(F.count("*")).scalar())
+    return spark.read.parquet(folders[0]).agg(F.count("*").alias("n_rows")).withColumn("second_column_skips_files", touched[0] * 2 <= touched[1])

@@ -12,7 +12,7 @@ from shoreline.operators.governance import metadata_report, set_column_comments,
 from shoreline.operators.quality import artifact_report, column_report
 from shoreline.session import checkpoint_root, shared_folder
 from shoreline.sinks.tables import (append_rows, create_table_if_absent, insert_overwrite, overwrite_table, register_missing,
-                                    write_bucketed, write_clustered, write_csv)
+                                    write_bucketed, write_clustered, write_csv, write_zordered)
 from shoreline.sinks.versions import ConcurrentChange, VersionedTable
 from shoreline.sources.files import file_inventory, read_corpus, read_csv, read_json_array, read_ndjson, rows_per_file
 from shoreline.sources.generate import Choice, DoubleRange, IntRange, RiskFlag, generate_table
@@ -237,6 +237,35 @@ def test_clustered_files_do_not_overlap(spark):
     assert len(ranges) == 4 and all(x[1] <= y[0] for x, y in zip(ranges, ranges[1:]))
 
 
+def test_z_order_skips_files_for_every_column(spark):
+    path = shared_folder(spark, "z")
+    rows = spark.range(4096).select((F.col("id") % 64).alias("a"), F.concat(F.lit("k"), F.lpad((F.col("id") / 64).cast("int").cast("string"), 3, "0")).alias("b"),
+                                    F.when(F.col("id") % 7 > 0, F.col("id")).alias("c"))
+    write_zordered(rows, path, ["a", "b"], files=16)
+    ranges = spark.read.parquet(path).groupBy(F.input_file_name().alias("f")).agg(*[f(c).alias(f"{n}_{c}") for c in "ab" for n, f in (("lo", F.min), ("hi", F.max))]).collect()
+    assert len(ranges) == 16
+    for c, value in (("a", 5), ("b", "k005")):
+        assert sum(r[f"lo_{c}"] <= value <= r[f"hi_{c}"] for r in ranges) <= 8
+    write_zordered(rows, path, ["c", "a"], file_bytes=2_000, packing=1)
+    assert spark.read.parquet(path).count() == 4096 and len(spark.read.parquet(path).inputFiles()) > 16
+    write_zordered(rows.limit(0), path, ["a", "b"])
+    assert spark.read.parquet(path).count() == 0
+
+
+def test_insert_overwrite_switches_folders_and_keeps_the_old_on_failure(spark):
+    path = shared_folder(spark, "swap")
+    name = name_for(path)
+    create_table_if_absent(spark, name, {"k": "long", "v": "string"}, path)
+    append_rows(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), name)
+    with pytest.raises(Exception):
+        insert_overwrite(spark.table(name).withColumn("k", F.raise_error(F.lit("no")).cast("long")), name)
+    assert rows_of(spark.table(name), "k") == [(1,), (2,)]
+    insert_overwrite(spark.createDataFrame([("c", 3)], "v string, k int"), name)
+    assert rows_of(spark.table(name), "k", "v") == [(3, "c")] and not os.path.exists(path.removeprefix("file:"))
+    insert_overwrite(spark.table(name).filter("k > 5"), name)
+    assert spark.table(name).count() == 0
+
+
 def test_bucketed_join_needs_no_shuffle(spark):
     names = []
     for i in range(2):
