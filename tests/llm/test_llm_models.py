@@ -344,3 +344,41 @@ def test_co_training_against_plain_python(spark):
     scored = table_.select("doc_id", model.score().alias("score")).collect()
     right = np.mean([(r.score > 0.5) == (np.mean(rows[r.doc_id][2]) > 0.5) for r in scored])
     assert right > 0.9
+
+
+def test_top_k_takes_repeated_rows_one_by_one(spark):
+    rows = [(50, [1.0, 0.0]), (1, [1.0, 0.0]), (1, [1.0, 0.0]), (2, [0.5, 0.0]), (2, [0.25, 0.0])] + [(3, [0.1, 0.0])] * 9 + [(50, [1.0, 0.0])]
+    given = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.exact_top_k(given, F.col("vec_id") % 50 == 0, block_rows=2).collect()
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [
+        (50, 1, 1, 65536), (50, 2, 1, 65536), (50, 3, 2, 32768), (50, 4, 2, 16384), (50, 5, 3, 25 * 256)]
+
+
+def test_no_long_text_takes_all_training_windows(monkeypatch):
+    monkeypatch.setattr(toxicity, "TRAINING_WINDOWS", 60)
+    long = (1, ["w"] * 50_000, [1] * 50_000)
+    short = [(i, ["w"] * 40, [int(i % 2)] * 40) for i in range(2, 102)]
+    chosen = toxicity.training_windows([long, *short])
+    assert {k: len(v) for k, v in chosen.items()} == {True: 60, False: 60}
+    assert sum(i == 0 for i, _ in chosen[True]) <= 2
+    assert len({i for i, _ in chosen[False]}) == 50
+    again = toxicity.training_windows([long, *short])
+    assert chosen == again
+
+
+def test_long_training_texts_send_a_sample_of_their_windows():
+    import pyarrow as pa
+    batch = pa.record_batch([[1, 2, 3], [1, 0, 1], [" ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}" for i in range(40_000)), "", "One two"]], ["doc_id", "toxic", "text"])
+    long, empty, short = [b.to_pylist()[0] for b in toxicity._sampled(iter([batch]))]
+    assert len(long["words"]) == toxicity.DOCUMENT_WINDOWS * toxicity.WINDOW and empty["words"] == [] and short["words"] == ["one", "two"]
+
+
+def test_a_clean_and_a_toxic_text_with_one_beginning_are_both_learnt_from(spark):
+    rng = random.Random(6)
+    bases = [" ".join("".join(rng.choice("abcdefg") for _ in range(5)) for _ in range(14)) for _ in range(100)]
+    rows = [(i, bases[i // 2] + (" vilething" if i % 2 else " calm")) for i in range(200)]
+    given = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    field = toxicity.train(given.withColumn("held_out", F.lit(False)), marks)
+    scores = [toxicity.strength(p) for p in toxicity.tag(field, [["calm", "vilething"], ["calm", "words"]], {})]
+    assert scores[0] > 0 > scores[1]
