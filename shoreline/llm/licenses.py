@@ -1,10 +1,10 @@
 """License scan with a positional rare-token index, in SQL functions only.
 
-A license is a short word sequence (template) with mandatory key phrases in it. Its index
-entry is one word of a key phrase, the one rarest in the whole corpus: every place of the
-template holds that word at a known distance, so looking up only the rare words of a file
-finds every place. Where several template words stand at the same relative position, the
-candidate's overlap is counted, and the key phrases are verified word by word.
+A license is a word sequence (template) with mandatory key phrases in it. Its postings are the
+two key words rarest in the corpus, each with its place in the template. The scan looks up the
+places of these words in a file, turns each into the place where the template would start, and
+intersects the starts of the two words: what both agree on is a candidate. A candidate's key
+phrases are then verified word by word and its overlap with the whole template is counted.
 """
 
 from __future__ import annotations
@@ -35,12 +35,17 @@ class Template:
         for phrase in phrases or (text,):
             part = tuple(phrase.split())
             keys.append((next(i for i in range(len(words)) if words[i:i + len(part)] == part), len(part)))
-        return Template(label, words, tuple(keys), base)
+        return Template(label, words, tuple(sorted(keys)), base)
 
     def key_words(self) -> list[tuple[int, str]]:
         """The mandatory words with their places in the template."""
         return sorted({(i, self.words[i]) for start, size in self.keys for i in range(start, start + size)})
 
+    def rarest(self, idf: dict[str, float], count: int = 2) -> list[tuple[int, str]]:
+        """Up to ``count`` different key words of highest IDF, each with its first place."""
+        first = {w: i for i, w in reversed(self.key_words())}
+        return [(first[w], w) for w in sorted(first, key=lambda w: (-idf[w], w))[:count]]
+
 
 #: The phrases of the contract.
 BASE = (
@@ -64,6 +69,57 @@ NOTICES = (
                 "free and unencumbered software"),
     Template.of("cc", "licensed under a creative commons attribution license", "creative commons attribution"),
 )
+#: Whole texts of short licenses and whole notices of long ones, without names and years.
+TEXTS = (
+    Template.of("mit-text", """
+        permission is hereby granted free of charge to any person obtaining a copy of this software and associated
+        documentation files the software to deal in the software without restriction including without limitation
+        the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to
+        permit persons to whom the software is furnished to do so subject to the following conditions the above
+        copyright notice and this permission notice shall be included in all copies or substantial portions of the
+        software the software is provided as is without warranty of any kind express or implied including but not
+        limited to the warranties of merchantability fitness for a particular purpose and noninfringement in no
+        event shall the authors or copyright holders be liable for any claim damages or other liability whether in
+        an action of contract tort or otherwise arising from out of or in connection with the software or the use
+        or other dealings in the software""",
+                "free of charge to any person obtaining a copy",
+                "this permission notice shall be included in all copies or substantial portions"),
+    Template.of("isc-text", """
+        permission to use copy modify and or distribute this software for any purpose with or without fee is hereby
+        granted provided that the above copyright notice and this permission notice appear in all copies the
+        software is provided as is and the author disclaims all warranties with regard to this software including
+        all implied warranties of merchantability and fitness in no event shall the author be liable for any
+        special direct indirect or consequential damages or any damages whatsoever resulting from loss of use data
+        or profits whether in an action of contract negligence or other tortious action arising out of or in
+        connection with the use or performance of this software""",
+                "use copy modify and or distribute this software", "this permission notice appear in all copies"),
+    Template.of("bsd-text", """
+        redistribution and use in source and binary forms with or without modification are permitted provided that
+        the following conditions are met 1 redistributions of source code must retain the above copyright notice
+        this list of conditions and the following disclaimer 2 redistributions in binary form must reproduce the
+        above copyright notice this list of conditions and the following disclaimer in the documentation and or
+        other materials provided with the distribution""",
+                "redistribution and use in source and binary forms", "redistributions of source code must retain"),
+    Template.of("apache-notice", """
+        licensed under the apache license version 2 0 the license you may not use this file except in compliance
+        with the license you may obtain a copy of the license at http www apache org licenses license 2 0 unless
+        required by applicable law or agreed to in writing software distributed under the license is distributed
+        on an as is basis without warranties or conditions of any kind either express or implied see the license
+        for the specific language governing permissions and limitations under the license""",
+                "apache license version 2 0", "you may not use this file except in compliance with the license"),
+    Template.of("gpl-notice", """
+        this program is free software you can redistribute it and or modify it under the terms of the gnu general
+        public license as published by the free software foundation either version 2 of the license or at your
+        option any later version this program is distributed in the hope that it will be useful but without any
+        warranty without even the implied warranty of merchantability or fitness for a particular purpose see the
+        gnu general public license for more details""",
+                "you can redistribute it and or modify it under the terms of the gnu general public license"),
+    Template.of("unlicense-text", """
+        this is free and unencumbered software released into the public domain anyone is free to copy modify
+        publish use compile sell or distribute this software either in source code form or as a compiled binary
+        for any purpose commercial or non commercial and by any means""",
+                "free and unencumbered software", "anyone is free to copy modify publish use compile sell or distribute"),
+)
 
 
 def words_of(text: Column) -> Column:
@@ -83,54 +139,61 @@ def word_idf(documents: DataFrame, vocabulary: Sequence[str]) -> dict[str, float
     return {w: -math.log(counts.get(w, 0) + 1) for w in vocabulary}
 
 
-def scan_licenses(documents: DataFrame, templates: Sequence[Template] = BASE + NOTICES, coverage: float = 0.5) -> DataFrame:
+def scan_licenses(documents: DataFrame, templates: Sequence[Template] = BASE + NOTICES + TEXTS, coverage: float = 0.5) -> DataFrame:
     """License places of every document.
 
     Takes doc_id and text; other columns are ignored. Returns doc_id, n_words and places: an
-    array of (label, base, start, coverage) sorted by start and label, with one entry per
+    array of (start, label, base, coverage) sorted by start and label, with one entry per
     place where all mandatory phrases of a template stand at their relative positions and at
     least ``coverage`` of its words do. Starts count words from 0; a template cut off at the
     beginning of a file has its first word that can be there as start.
 
-    Null and empty texts have no words and no places. Repeated rows give repeated results.
-    Which word of a phrase is looked up depends on the corpus and only changes the cost,
-    never the places. No row moves but the word counts of the first pass.
+    A file in which a template can stand has all its key words, so the file's rarest words of
+    that template are the template's rarest key words. They depend on the corpus and only
+    change the cost, never the places. Null and empty texts have no words and no places.
+    Repeated rows give repeated results. No row moves but the word counts of the first pass.
     """
-    vocabulary = sorted({w for t in templates for _, w in t.key_words()})
-    idf = word_idf(documents, vocabulary)
-    anchors: dict[str, list[tuple[int, int]]] = {}
-    for number, t in enumerate(templates):
-        place, word = max(t.key_words(), key=lambda k: (idf[k[1]], k[1], -k[0]))
-        anchors.setdefault(word, []).append((number, place))
+    idf = word_idf(documents, sorted({w for t in templates for _, w in t.key_words()}))
+    looked_up = [t.rarest(idf) for t in templates]
     split = documents.select("doc_id", words_of(text_or_empty()).alias("_words"))
-    rare = F.create_map(*[x for w, posts in sorted(anchors.items()) for x in (F.lit(w), F.array(*[
-        F.struct(F.lit(t).alias("t"), F.lit(p).alias("p")) for t, p in posts]))])
-    positions = F.filter(F.transform("_words", lambda w, i: F.when(w.isin(*sorted(anchors)), i)), lambda i: i.isNotNull())
-    hits = split.select("doc_id", F.col("_words"), F.size("_words").cast("long").alias("n_words"), positions.alias("_at"))
-    postings = F.flatten(F.transform("_at", lambda i: F.transform(
-        rare[F.get("_words", i)], lambda x: F.struct(x["t"].alias("t"), (i - x["p"]).alias("from")))))
-    candidates = hits.select("doc_id", "_words", "n_words", F.array_distinct(postings).alias("_found"))
-
-    def judged(x: Column) -> Column:
-        """Overlap of a candidate's template at its place; zero where a key phrase is broken."""
-        branch = F.lit(0.0)
-        for number, t in enumerate(templates):
-            def same(i, w):
-                return F.coalesce(F.get("_words", x["from"] + i) == w, F.lit(False))
-            keys = F.lit(True)
-            for i, w in t.key_words():
-                keys = keys & same(i, w)
-            total = sum((same(i, w).cast("int") for i, w in enumerate(t.words)), F.lit(0))
-            branch = F.when(x["t"] == number, F.when(keys, total / F.lit(float(len(t.words)))).otherwise(0.0)).otherwise(branch)
-        return branch
-
-    labels = F.array(*[F.lit(t.label) for t in templates])
-    bases = F.array(*[F.lit(t.base) for t in templates])
-    places = F.transform("_found", lambda x: F.struct(
-        F.greatest(x["from"], F.lit(0)).cast("long").alias("start"), F.get(labels, x["t"]).alias("label"),
-        F.get(bases, x["t"]).alias("base"), judged(x).alias("coverage")))
-    return candidates.select("doc_id", "n_words", F.when(F.size("_found") > 0, F.sort_array(F.filter(places, lambda p: (p["coverage"] >= coverage) & (p["coverage"] > 0))))
-                             .otherwise(F.array().cast("array<struct<start:bigint,label:string,base:boolean,coverage:double>>")).alias("places"))
+    at = F.transform("_words", lambda w, i: F.when(
+        w.isin(*sorted({w for pair in looked_up for _, w in pair})), F.struct(w.alias("w"), i.alias("i"))))
+    hits = split.select("doc_id", "_words", F.size("_words").cast("long").alias("n_words"),
+                        F.filter(at, lambda x: x.isNotNull()).alias("_at"))
+
+    def starts(place: int, word: str) -> Column:
+        """Where the template would start, by every place of one of its words."""
+        return F.transform(F.filter("_at", lambda x: x["w"] == word), lambda x: x["i"] - place)
+
+    def agreed(number: int, pair: list[tuple[int, str]]) -> Column:
+        """Where both words say that the template starts."""
+        common = F.array_intersect(*[starts(i, w) for i, w in pair]) if len(pair) > 1 else starts(*pair[0])
+        return F.transform(common, lambda s: F.struct(F.lit(number).alias("t"), s.alias("from")))
+
+    candidates = hits.select("doc_id", "_words", "n_words", F.when(
+        F.size("_at") > 0, F.concat(*[agreed(n, pair) for n, pair in enumerate(looked_up)])).alias("_found"))
+
+    index = F.array(*[F.struct(
+        F.lit(t.label).alias("label"), F.lit(t.base).alias("base"), F.array(*map(F.lit, t.words)).alias("words"),
+        F.array(*[F.struct(F.lit(i).alias("i"), F.lit(w).alias("w")) for i, w in t.key_words()]).alias("keys")) for t in templates])
+
+    def there(x: Column, i: Column, w: Column) -> Column:
+        return F.coalesce(F.get("_words", x["from"] + i) == w, F.lit(False))
+
+    def intact(x: Column) -> Column:
+        keys = F.get(index, x["t"])["keys"]
+        return F.forall(keys, lambda k: there(x, k["i"], k["w"]))
+
+    def overlap(x: Column) -> Column:
+        words = F.get(index, x["t"])["words"]
+        return F.size(F.filter(words, lambda w, i: there(x, i, w))) / F.size(words).cast("double")
+
+    places = F.transform(F.filter("_found", intact), lambda x: F.struct(
+        F.greatest(x["from"], F.lit(0)).cast("long").alias("start"), F.get(index, x["t"])["label"].alias("label"),
+        F.get(index, x["t"])["base"].alias("base"), overlap(x).alias("coverage")))
+    none = F.array().cast("array<struct<start:bigint,label:string,base:boolean,coverage:double>>")
+    return candidates.select("doc_id", "n_words", F.when(
+        F.size("_found") > 0, F.sort_array(F.filter(places, lambda p: (p["coverage"] >= coverage) & (p["coverage"] > 0)))).otherwise(none).alias("places"))
 
 
 def license_summary(scanned: DataFrame) -> DataFrame:

@@ -18,7 +18,7 @@ __all__ = ["ORACLES", "QUERIES"]
 def license_sql() -> str:
     """The license scan as one SELECT: every start is tried for every template."""
     parts = []
-    for t in licenses.BASE + licenses.NOTICES:
+    for t in licenses.BASE + licenses.NOTICES + licenses.TEXTS:
         first = min(start for start, _ in t.keys)
 
         def same(i: int, w: str) -> str:

@@ -3,6 +3,7 @@
 import hashlib
 import re
 from collections import Counter
+from random import Random
 
 from pyspark.sql import functions as F
 
@@ -40,6 +41,51 @@ def test_license_places_against_every_start(documents, messy_rows):
     assert 0.5 <= found[26].score < 1
 
 
+def every_place(words, templates, coverage=0.5):
+    """Places by trying every start of every template."""
+    found = []
+    for t in templates:
+        for start in range(-len(t.words), len(words)):
+            same = [0 <= start + i < len(words) and words[start + i] == w for i, w in enumerate(t.words)]
+            if all(same[i] for i, _ in t.key_words()) and sum(same) >= coverage * len(t.words):
+                found.append((max(start, 0), t.label, t.base, sum(same) / len(t.words)))
+    return sorted(found)
+
+
+def test_license_places_of_whole_texts_and_word_salad(documents):
+    templates = licenses.BASE + licenses.NOTICES + licenses.TEXTS
+    random = Random(5)
+    rows = []
+    for n, t in enumerate(templates):
+        whole = list(t.words)
+        broken = [w for i, w in enumerate(whole) if i != t.keys[-1][0]]
+        rows += [(n, " ".join(whole)), (100 + n, " ".join(["start"] + whole * 2)), (200 + n, " ".join(broken)),
+                 (300 + n, " ".join(reversed(whole))), (400 + n, " ".join(whole[t.keys[0][0]:]))]
+        # the two looked up words stand at a right distance, the key phrase between them does not
+        rows.append((500 + n, " ".join(w if i in (0, len(whole) - 1) else random.choice(whole) for i, w in enumerate(whole))))
+    salad = sorted({w for t in templates for _, w in t.key_words()})
+    rows += [(600 + n, " ".join(random.choice([random.choice(salad), *random.choice(templates).words[:1],
+                                               "public license", "license license", "mit license"]) for _ in range(400))) for n in range(20)]
+    got = {r.doc_id: [tuple(p) for p in r.places] for r in licenses.scan_licenses(documents(rows)).collect()}
+    for doc, text in rows:
+        assert got[doc] == every_place(text.split(), templates), doc
+    whole_text = next(n for n, t in enumerate(templates) if t.label == "mit-text")
+    assert {p[1] for p in got[whole_text]} == {"mit", "mit-text"} and got[200 + whole_text] == [p for p in got[200 + whole_text] if p[1] == "mit"]
+
+
+def test_license_lookup_takes_the_rarest_words():
+    t = licenses.Template.of("x", "a rare b common rare", "rare b common rare")
+    assert t.rarest({"rare": -1.0, "b": -2.0, "common": -9.0}) == [(1, "rare"), (2, "b")]
+    assert licenses.Template.of("y", "one", "one").rarest({"one": 0.0}) == [(0, "one")]
+
+
+def test_license_of_one_word(documents):
+    one = [licenses.Template.of("gpl", "gplv3"), licenses.Template.of("twice", "la la la", "la la")]
+    got = licenses.scan_licenses(documents([(1, "GPLv3 and gplv3"), (2, "la la la la"), (3, None)]), one)
+    assert {r.doc_id: [tuple(p)[:2] for p in r.places] for r in got.collect()} == {
+        1: [(0, "gpl"), (2, "gpl")], 2: [(0, "twice"), (1, "twice"), (2, "twice")], 3: []}
+
+
 def test_license_scan_of_nothing(documents):
     assert licenses.license_summary(licenses.scan_licenses(documents([]))).collect() == []
 
