@@ -4,11 +4,16 @@ For every key the state holds the earliest row seen so far. A row that comes lat
 earlier in event time takes its place, and the change table says so: the old row with sign -1
 and the new one with sign +1. Whatever is mergeable can be kept up to date from these changes
 alone. With a delay, a key is forgotten once the watermark has passed its last row by as much.
+
+Calling Python once per key costs milliseconds a key, so keys share states by hash: a state is
+the packed table of its keys, and a micro-batch reads and writes each one it touches once.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import zlib
 from collections.abc import Iterator, Sequence
 
 import pandas as pd
@@ -23,7 +28,9 @@ from shoreline.streaming.ingest import start
 from shoreline.streaming.silver import BATCH
 
 SIGN = "change_sign"
-_ROW, _KEY, _AT = "_row", "_key", "_at"
+_ROW, _KEY, _AT, _BUCKET = "_row", "_key", "_at", "_bucket"
+#: States that the keys of a stream share by hash.
+BUCKETS = 1_024
 #: Timestamps inside packed rows keep their microseconds.
 _PACKED = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 
@@ -48,15 +55,16 @@ def _ordered(column: str, kind: T.DataType) -> list[tuple[Column, str]]:
     return [(rank, "int"), (F.coalesce(value, F.lit(empty)), name)]
 
 
-def earliest_changes(stream: DataFrame, key: Sequence[str], time: str, tie_break: Sequence[str] = (), delay: str | None = None) -> DataFrame:
+def earliest_changes(stream: DataFrame, key: Sequence[str], time: str, tie_break: Sequence[str] = (), delay: str | None = None,
+                     buckets: int = BUCKETS) -> DataFrame:
     """Rows of the stream with ``change_sign``: +1 where a row became its key's earliest, -1 where it ceased to be.
 
     Times sort as in the batch operator, NULL first, then the tie-break, then the row itself.
     Each key's changes of a micro-batch come at once, at most one of each sign. Without
     ``delay`` keys are kept for ever. With it, ``time`` must be a timestamp; rows behind the
-    watermark are dropped and counted by ``late_rows``, and a key's state goes away when
+    watermark are dropped and counted by ``late_rows``, and a key goes from its state when
     the watermark is ``delay`` past its last row. So the result is exact while repeats of a key
-    come within ``delay`` of one another.
+    come within ``delay`` of one another. Keys are spread over ``buckets`` states.
     """
     schema = stream.schema
     parts = [c for name in (time, *tie_break) for c in _ordered(name, schema[name].dataType)]
@@ -67,28 +75,41 @@ def earliest_changes(stream: DataFrame, key: Sequence[str], time: str, tie_break
     packed = seen.select(
         *event, F.to_json(F.struct(*[F.col(f"`{c}`") for c in key]), {**_PACKED, "ignoreNullFields": "false"}).alias(_KEY),
         *[c.alias(n) for (c, _), n in zip(parts, names)], F.to_json(F.struct("*"), _PACKED).alias(_ROW),
-        (F.unix_millis(F.col(f"`{time}`")) if delay else F.lit(0).cast("long")).alias(_AT))
+        (F.coalesce(F.unix_millis(F.col(f"`{time}`")), F.lit(0)) if delay else F.lit(0).cast("long")).alias(_AT))
 
     def changed(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
+        # key: its earliest row, the time of its last row and the watermark it is forgotten behind
+        held = json.loads(zlib.decompress(state.get[0])) if state.exists else {}
+        watermark = state.getCurrentWatermarkMs() if kept else 0
+        touched: dict[str, tuple] = {}
+        if not state.hasTimedOut:
+            for frame in frames:
+                for name, at, *row in zip(*[frame[c].tolist() for c in (_KEY, _AT, *names)]):
+                    best, last = touched.get(name) or (None, 0)
+                    touched[name] = (row if best is None or row < best else best, max(last, at))
+        signs = []
+        for name, (best, last) in touched.items():
+            before, earlier, _ = held.get(name, (None, 0, 0))
+            last = max(last, earlier)
+            if before is None or best < before:
+                if before is None or best[-1] != before[-1]:
+                    signs += [(1, best[-1])] + ([(-1, before[-1])] if before is not None else [])
+            else:
+                best = before
+            held[name] = (best, last, max(last + kept, watermark + 1) if kept else 0)
+        if kept:
+            held = {name: entry for name, entry in held.items() if name in touched or entry[2] >= watermark}
+        if held:
+            state.update((zlib.compress(json.dumps(held).encode(), 1),))
+            if kept:
+                state.setTimeoutTimestamp(max(min(entry[2] for entry in held.values()), watermark + 1))
+        else:
             state.remove()
-            return
-        held = tuple(state.get) if state.exists else None
-        before, last = (held[:-1], held[-1]) if held else (None, 0)
-        best = before
-        for frame in frames:
-            best = min(([best] if best else []) + list(frame[names].itertuples(index=False, name=None)))
-            last = max(last, int(frame[_AT].max()))
-        if before is None or best[-1] != before[-1]:
-            signs = [(1, best[-1])] + ([(-1, before[-1])] if before is not None else [])
+        if signs:
             yield pd.DataFrame(signs, columns=[SIGN, _ROW])
-        state.update((*best, last))
-        if kept:
-            state.setTimeoutTimestamp(max(last + kept, state.getCurrentWatermarkMs() + 1))
 
-    held_as = ", ".join(f"{n} {k}" for n, k in zip(names, [k for _, k in parts] + ["string"]))
-    changes = packed.groupBy(_KEY).applyInPandasWithState(
-        changed, f"{SIGN} int, {_ROW} string", f"{held_as}, last long", "append",
+    changes = packed.withColumn(_BUCKET, F.pmod(F.xxhash64(_KEY), F.lit(buckets))).groupBy(_BUCKET).applyInPandasWithState(
+        changed, f"{SIGN} int, {_ROW} string", "held binary", "append",
         GroupStateTimeout.EventTimeTimeout if kept else GroupStateTimeout.NoTimeout)
     return changes.select(F.from_json(_ROW, schema, _PACKED).alias("r"), SIGN).select("r.*", SIGN)
 

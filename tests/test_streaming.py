@@ -190,3 +190,17 @@ def test_live_windows_settle_and_two_states_stay(spark):
     assert got == expected
     states = StateFolder(spark, os.path.join(out, "open"))
     assert len(states.batches()) == 2 and {int(r["bucket"].timestamp() // 60) for r in states.current().collect()} == {90, 91}
+
+
+@pytest.mark.parametrize("delay", [None, "5 hours"])
+def test_many_keys_share_few_states(spark, delay):
+    landing, log, mark = (shared_folder(spark, n) for n in ("landing", "log", "mark"))
+    seen = []
+    for i in range(2):
+        rows = [(n % 90, 1000 + (n * 37 + i) % 50, float(n % 7), "x") for n in range(180)]
+        seen += rows
+        as_rows(spark, rows).coalesce(1).write.mode("append").json(landing)
+        query = log_changes(changes_of(spark, landing, delay=delay, buckets=4), log, mark)
+    assert max(o["numRowsTotal"] for p in query.recentProgress for o in p["stateOperators"]) <= 4
+    batch = clean(as_rows(spark, seen), CleanSpec(["id"], "ts", RULES, ["v", "kind"]))
+    assert rows_of(read_net(spark, log, ["id"], RULES), "id", "ts", "v", "kind") == rows_of(batch, "id", "ts", "v", "kind")
