@@ -16,9 +16,9 @@ from pyspark.sql import types as T
 from shoreline.operators.ranking import top_k_per_group
 from shoreline.session import shared_folder
 
-QUERY_BLOCK, ROW_BLOCK, LEAST_BLOCK = 512, 16_384, 1_024
-#: Pivots of a pruned search, documents of a cluster that one task scores.
-PIVOTS, CLUSTER_BLOCK = 256, 4_096
+QUERY_BLOCK, ROW_BLOCK, LEAST_BLOCK = 512, 4_096, 1_024
+#: Pivots of a pruned search, documents and queries that meet in one task.
+PIVOTS, CLUSTER_BLOCK, QUERY_PART = 256, 4_096, 16_384
 
 
 def _usable(vector: str) -> Column:
@@ -31,6 +31,20 @@ def unusable_vectors(df: DataFrame, vector: str) -> DataFrame:
     return df.filter(~_usable(vector))
 
 
+def _numbers(df: DataFrame, vector: str) -> Column:
+    """The vector as it travels: floats stay half as long as doubles and become those in the task."""
+    kind = df.schema[vector].dataType
+    return F.col(vector).cast("array<float>" if isinstance(kind.elementType, T.FloatType) else "array<double>")
+
+
+def _units(vectors: pd.Series) -> np.ndarray:
+    """Unit rows in doubles; a zero vector stays zero."""
+    matrix = np.stack(vectors.to_list()).astype(np.float64) if len(vectors) else np.zeros((0, 1))
+    length = np.linalg.norm(matrix, axis=1, keepdims=True)
+    matrix /= np.where(length == 0, 1.0, length)
+    return matrix
+
+
 def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: str, query_id: str,
             metadata: Sequence[str] = (), digits: int = 6, block: int = QUERY_BLOCK, rows: int = ROW_BLOCK) -> DataFrame:
     """The k documents nearest to each query by cosine: exact, no index.
@@ -42,8 +56,8 @@ def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: st
     vector has score 0. Vectors that are NULL or hold a NULL or NaN take no part (see
     ``unusable_vectors``), and only vectors of one length meet.
     """
-    asked = queries.filter(_usable(vector)).select(F.col(query_id).alias("_q"), F.col(vector).cast("array<double>").alias("_v"))
-    given = docs.filter(_usable(vector)).select(F.col(doc_id).alias("_d"), F.col(vector).cast("array<double>").alias("_v"))
+    asked = queries.filter(_usable(vector)).select(F.col(query_id).alias("_q"), _numbers(queries, vector).alias("_v"))
+    given = docs.filter(_usable(vector)).select(F.col(doc_id).alias("_d"), _numbers(docs, vector).alias("_v"))
     query_blocks, count = -(-queries.count() // block) or 1, docs.count()
     cores = docs.sparkSession.sparkContext.defaultParallelism
     row_blocks = max(-(-count // rows), min(-(-cores // query_blocks), -(-count // LEAST_BLOCK)), 1)
@@ -57,15 +71,10 @@ def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: st
     result = T.StructType([T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(doc_id, docs.schema[doc_id].dataType),
                            T.StructField("score", T.DoubleType())])
 
-    def unit(vectors: pd.Series) -> np.ndarray:
-        matrix = np.stack(vectors.to_list())
-        length = np.linalg.norm(matrix, axis=1, keepdims=True)
-        return matrix / np.where(length == 0, 1.0, length)
-
     def score(part: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
         taken: list[tuple] = []
         if len(part) and len(wanted):
-            names, scores = part["_d"].tolist(), np.round(unit(wanted["_v"]) @ unit(part["_v"]).T, digits)
+            names, scores = part["_d"].tolist(), np.round(_units(wanted["_v"]) @ _units(part["_v"]).T, digits)
             for query, line in zip(wanted["_q"].tolist(), scores):
                 at = np.arange(len(line)) if len(line) <= k else np.flatnonzero(line >= np.partition(line, len(line) - k)[len(line) - k])
                 taken += [(query, names[i], line[i]) for i in sorted(at.tolist(), key=lambda i: (-line[i], names[i]))[:k]]
@@ -77,12 +86,6 @@ def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: st
     return docs.select(doc_id, *metadata).join(best, doc_id) if metadata else best
 
 
-def _units(vectors: pd.Series) -> np.ndarray:
-    matrix = np.stack(vectors.to_list()) if len(vectors) else np.zeros((0, 1))
-    length = np.linalg.norm(matrix, axis=1, keepdims=True)
-    return matrix / np.where(length == 0, 1.0, length)
-
-
 def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: str, query_id: str, digits: int = 6,
                    pivots: int = PIVOTS, block: int = CLUSTER_BLOCK) -> DataFrame:
     """As ``nearest``, for many queries: clusters that cannot hold a result are skipped.
@@ -96,7 +99,8 @@ def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vec
 
     Ids are unique, vectors of one length; unusable vectors take no part. A zero vector has
     score 0 with everything, and its documents form a cluster that is never skipped. Large
-    clusters are cut into blocks, one task each; a task's queries come in parts.
+    clusters are cut into blocks and small ones share a block, so a query travels once to
+    each block it needs; a block meets the queries in parts of bounded size.
     """
     spark = docs.sparkSession
     given = docs.filter(_usable(vector)).select(F.col(doc_id).alias("_d"), F.col(vector).cast("array<double>").alias("_v"))
@@ -134,8 +138,13 @@ def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vec
         best[~unit.any(1)] = 1.0
         return best
 
+    # a pack is one large cluster, or as many small ones as fill a block
+    packs = np.zeros(len(numbers), np.int64)
+    for i in range(1, len(numbers)):
+        packs[i] = packs[i - 1] + (size[:i][packs[:i] == packs[i - 1]].sum() + size[i] > block)
+
     wanted = T.StructType([T.StructField("_q", queries.schema[query_id].dataType), T.StructField("_v", T.ArrayType(T.DoubleType())),
-                           T.StructField("cluster", T.IntegerType()), T.StructField("size", T.LongType())])
+                           T.StructField("_clusters", T.ArrayType(T.IntegerType())), T.StructField("_pack", T.IntegerType()), T.StructField("size", T.LongType())])
 
     def plan(first: bool):
         def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -149,10 +158,13 @@ def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vec
                 near = np.zeros(best.shape, bool)
                 np.put_along_axis(near, order, held < k, axis=1)
                 take = near if first else ~near & (best >= frame["_least"].to_numpy()[:, None])
-                q, c = np.nonzero(take)
-                if not len(q):
-                    continue
-                yield pd.DataFrame({"_q": frame["_q"].to_numpy()[q], "_v": list(unit[q]), "cluster": numbers[c].astype(np.int32), "size": size[c]})
+                for pack in np.unique(packs):
+                    inside = np.flatnonzero(packs == pack)
+                    part = take[:, inside]
+                    q = np.flatnonzero(part.any(1))
+                    if len(q):
+                        yield pd.DataFrame({"_q": frame["_q"].to_numpy()[q], "_v": list(unit[q]), "_clusters": [numbers[inside[p]].astype(np.int32) for p in part[q]],
+                                            "_pack": np.int32(pack), "size": part[q] @ size[inside]})
         return rows
 
     found = T.StructType([T.StructField(query_id, wanted["_q"].dataType), T.StructField(doc_id, kinds["_d"].dataType), T.StructField("score", T.DoubleType())])
@@ -161,20 +173,33 @@ def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vec
         taken: list[tuple] = []
         if len(part) and len(needed):
             names, matrix = part["_d"].tolist(), np.stack(part["_v"].to_list())
+            held, place = np.unique(part["cluster"].to_numpy(), return_inverse=True)
             for at in range(0, len(needed), QUERY_BLOCK):
                 own = needed.iloc[at:at + QUERY_BLOCK]
-                for query, line in zip(own["_q"].tolist(), np.round(np.stack(own["_v"].to_list()) @ matrix.T, digits)):
-                    top = np.arange(len(line)) if len(line) <= k else np.flatnonzero(line >= np.partition(line, len(line) - k)[len(line) - k])
+                scores = np.round(np.stack(own["_v"].to_list()) @ matrix.T, digits)
+                scores[~np.stack([np.isin(held, c) for c in own["_clusters"]])[:, place]] = -np.inf
+                least = np.partition(scores, len(names) - k, axis=1)[:, len(names) - k] if len(names) > k else np.full(len(own), -np.inf)
+                for query, line, low in zip(own["_q"].tolist(), scores, least):
+                    top = np.flatnonzero((line >= low) & (line > -np.inf))
                     taken += [(query, names[i], line[i]) for i in sorted(top.tolist(), key=lambda i: (-line[i], names[i]))[:k]]
         return pd.DataFrame(taken, columns=found.names)
 
-    blocks = {int(n): int(-(-s // block)) for n, s in zip(numbers, size)}
-    listed = F.create_map(*[x for n, b in blocks.items() for x in (F.lit(n), F.lit(b))]) if blocks else F.create_map(F.lit(0), F.lit(1))
-    cut = clustered.withColumn("_block", F.pmod(F.xxhash64("_d"), listed[F.col("cluster")]).cast("int"))
+    pack_of = {int(n): int(p) for n, p in zip(numbers, packs)}
+    blocks = {int(p): int(-(-size[packs == p].sum() // block)) for p in np.unique(packs)}
+    parts = -(-queries.count() // QUERY_PART) or 1
+
+    def listed(entries: dict[int, int]) -> Column:
+        return F.create_map(*[F.lit(x) for entry in (entries or {0: 1}).items() for x in entry])
+
+    cut = clustered.withColumn("_pack", listed(pack_of)[F.col("cluster")]).withColumn(
+        "_block", F.pmod(F.xxhash64("_d"), listed(blocks)[F.col("_pack")]).cast("int"))
 
     def search(needed: DataFrame) -> DataFrame:
-        spread = needed.withColumn("_block", F.explode(F.sequence(F.lit(0), listed[F.col("cluster")] - 1)))
-        met = cut.groupBy("cluster", "_block").cogroup(spread.groupBy("cluster", "_block")).applyInPandas(score, found)
+        keys = ["_pack", "_block", "_part"]
+        beside = cut.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        spread = needed.withColumn("_block", F.explode(F.sequence(F.lit(0), listed(blocks)[F.col("_pack")] - 1))).withColumn(
+            "_part", F.pmod(F.xxhash64("_q"), F.lit(parts)).cast("int"))
+        met = beside.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(score, found)
         return top_k_per_group(met, [query_id], [F.desc("score"), F.asc(doc_id)], k)
 
     asked.mapInPandas(plan(True), wanted).write.parquet(f"{path}/first")

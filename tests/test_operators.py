@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
+from shoreline.operators import retrieval
 from shoreline.operators.cohort import chi_squared, compare_metrics, distinct_joined, rate_by, share_of_total, top_value
 from shoreline.operators.dedup import distinct_complete_rows, keep_earliest, keep_latest
 from shoreline.operators.joins import (absent_keys, broadcast_if_small, feature_lookup, grid, left_with_defaults, require_unique,
@@ -302,3 +303,22 @@ def test_pruned_search_equals_brute_force_and_skips(spark, pivots):
     assert rows_of(got, "qid", "id", "score", "rank") == rows_of(exact, "qid", "id", "score", "rank")
     looked = got.agg(F.avg("looked_at")).collect()[0][0]
     assert looked <= 322 and (pivots < 64 or looked < 200)
+
+
+def test_pruned_search_sends_a_query_once_to_each_block(spark, monkeypatch):
+    rng = random.Random(5)
+    rows = [(i, [rng.gauss(0, 1) for _ in range(12)]) for i in range(240)]
+    docs, asked = spark.createDataFrame(rows, "id int, v array<double>"), spark.createDataFrame(rows, "qid int, v array<double>")
+    folder = shared_folder(spark, "pruned")
+    monkeypatch.setattr(retrieval, "shared_folder", lambda *_: folder)
+    got = nearest_pruned(docs, asked, 3, "id", "v", "qid", pivots=40, block=120)
+    columns = ("qid", "id", "score", "rank")
+    assert rows_of(got, *columns) == rows_of(nearest(docs, asked, 3, "id", "v", "qid"), *columns)
+    sent = spark.read.parquet(f"{folder}/first").count() + spark.read.parquet(f"{folder}/more").count()
+    assert sent <= 240 * 2 * 4 and spark.read.parquet(f"{folder}/docs").select("cluster").distinct().count() > 20
+
+
+def test_a_task_of_a_search_holds_few_bytes(spark):
+    assert retrieval.ROW_BLOCK * 1024 * 8 <= 32 << 20
+    narrow = spark.createDataFrame([(1, [0.5, 0.25])], "id int, v array<float>")
+    assert narrow.select(retrieval._numbers(narrow, "v")).schema[0].dataType.simpleString() == "array<float>"
