@@ -252,3 +252,17 @@ def test_clinical_features_and_unique_key(spark):
     assert got == [(10, 1, 1, 15000, 140 / 151), (15, 0, 1, 13750, None)]
     with pytest.raises(ValueError):
         store_features(df.union(df), "never_written", ["id"])
+
+
+def test_walking_rows_are_never_sent_through_the_driver(spark):
+    """Rows times trees grow with the table; only nodes may be broadcast."""
+    path = shared_folder(spark, "walk")
+    spark.range(400).select(F.col("id").alias("doc_id"), (F.col("id") % 7).alias("a"), (F.col("id") % 5).alias("b"), (F.col("id") % 3 % 2).cast("int").alias("y")).write.parquet(path)
+    rows = spark.read.parquet(path)
+    model = fit(random_forest(["a", "b"], "y", trees=3, depth=3), rows)
+    again = score_by_nodes(rows, node_table(spark, model), ["a", "b"], ["doc_id"], 3, False)
+    both = again.join(scored(model, rows, ["doc_id"]), "doc_id").filter(F.abs(F.col("probability") - F.col("by_nodes")) < 1e-9)
+    assert both.count() == 400 and again.count() == 400
+    plan = spark._jvm.PythonSQLUtils.explainString(again._jdf.queryExecution(), "simple")
+    below = [part.split("\n")[1:4] for part in plan.split("BroadcastExchange")[1:]]
+    assert below and not any("Generate" in line for lines in below for line in lines)
