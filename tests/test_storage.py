@@ -300,3 +300,13 @@ def test_reports_on_missing_things(spark):
     assert rows_of(artifact_report(spark, {"nine": 10, "gone": 1}), "table_name", "rows", "status") == [("gone", 0, "MISSING"), ("nine", 9, "OK")]
     assert rows_of(artifact_report(spark, {"nine": 11}), "status") == [("LOW",)]
     assert rows_of(column_report({"nine": spark.range(9)}, {"nine": ["id", "a"]}), "missing", "verdict") == [("a", "TOLERATED")]
+
+
+def test_z_order_counts_reached_cuts_in_compiled_comparisons(spark):
+    from shoreline.sinks import tables
+    df = spark.createDataFrame([(None,), (float("nan"),), (-5.0,), (0.0,), (1.0,), (2.5,), (9.0,)], "x double")
+    cuts, at = [0.0, 1.0, 1.0, 2.0, 3.0, 4.0, 5.0], [1, 3, 5]
+    reached = F.coalesce(F.size(F.filter(F.lit(cuts), lambda c: c <= F.col("x"))), F.lit(0))
+    moved = sum((F.shiftleft(F.shiftright(reached, b).bitwiseAND(1).cast("long"), p) for b, p in enumerate(at)), F.lit(0).cast("long"))
+    assert df.filter(tables._spread_range(F.col("x"), cuts, at) != moved).count() == 0
+    assert "lambda" not in str(tables.z_order(df.na.fill(0), ["x"]))
