@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 from shoreline.ml.features import clinical_features, store_features
 from shoreline.ml.metrics import class_report, classification_metrics, roc_auc
-from shoreline.ml.models import (cross_validate, fit, fold_summary, gradient_boosting, importances, logistic_regression, random_forest,
-                                 scored, soft_vote)
+from shoreline.ml.models import (ROWS_A_TASK, cross_validate, fit, fold_summary, gradient_boosting, importances, logistic_regression,
+                                 random_forest, scored, soft_vote, spread)
 from shoreline.ml.registry import best_run, final_metric, load_model, register_model, registered_models, run_row
 from shoreline.ml.shapley import shapley_importances, shapley_values
 from shoreline.ml.split import stratified_folds, stratified_split
@@ -266,3 +266,32 @@ def test_walking_rows_are_never_sent_through_the_driver(spark):
     plan = spark._jvm.PythonSQLUtils.explainString(again._jdf.queryExecution(), "simple")
     below = [part.split("\n")[1:4] for part in plan.split("BroadcastExchange")[1:]]
     assert below and not any("Generate" in line for lines in below for line in lines)
+
+
+class Watched:
+    """An estimator that notes how many tasks each fit reads its rows with."""
+
+    def __init__(self, estimator):
+        self.estimator, self.tasks = estimator, []
+
+    def fit(self, df):
+        self.tasks.append(df.rdd.getNumPartitions())
+        return self.estimator.fit(df)
+
+
+def test_fits_have_as_many_tasks_as_their_rows_need(spark):
+    estimator = Watched(logistic_regression(["a", "b"], "y", 300))
+    fit(estimator, tree_case(spark).repartition(40))
+    cross_validate(estimator, tree_case(spark).repartition(40), "y", ["id"])
+    assert estimator.tasks == [1] * 6
+    many = spark.range(3 * ROWS_A_TASK - 1, numPartitions=1)
+    assert spread(many).rdd.getNumPartitions() == 3 and spread(many, 100).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert rows_of(spread(many), "id") == rows_of(many, "id") and spread(many.limit(0)).count() == 0
+
+
+def test_a_forest_leaves_its_summary_without_being_stored(spark, monkeypatch):
+    def stored(*_):
+        raise AssertionError("a forest was stored")
+    monkeypatch.setattr("shoreline.ml.models.shared_folder", stored)
+    model = fit(random_forest(["a", "b"], "y", trees=3, depth=2), tree_case(spark))
+    assert not model.stages[-1].hasSummary and scored(model, tree_case(spark), ["id"]).count() == 300
