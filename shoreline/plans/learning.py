@@ -5,8 +5,10 @@ from __future__ import annotations
 import os
 import uuid
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -25,7 +27,8 @@ def train_and_register(examples: DataFrame, everything: DataFrame, features: Seq
     the test rows), folds (fold, f1_score on the training rows), result (one row: team,
     model_type, f1_score, roc_auc, accuracy, n_features, run_id, submitted_at) and scores of
     all rows of ``everything``. Returns their paths and the registered version. The split is
-    written once; every fit and test reads it.
+    written once; every fit and test reads it. Boosting is one long chain of short jobs, so the
+    other fits and the folds run beside it.
     """
     spark = examples.sparkSession
     paths = {n: os.path.join(root, n) for n in ("split", "runs", "votes", "folds", "result", "scores")}
@@ -34,9 +37,13 @@ def train_and_register(examples: DataFrame, everything: DataFrame, features: Seq
     train, test = marked.filter("is_train").drop("is_train"), marked.filter("NOT is_train").drop("is_train")
     made = {LOGISTIC: logistic_regression(features, label, train.count()), FOREST: random_forest(features, label),
             BOOSTED: gradient_boosting(features, label)}
-    models, lines = {}, []
-    for kind, estimator in made.items():
-        models[kind] = fit(estimator, train)
+    with ThreadPoolExecutor(1) as beside:
+        boosted = beside.submit(inheritable_thread_target(spark)(fit), made[BOOSTED], train)
+        models = {kind: fit(made[kind], train) for kind in (LOGISTIC, FOREST)}
+        cross_validate(made[FOREST], train, label, [key]).write.parquet(paths["folds"])
+        models[BOOSTED] = boosted.result()
+    lines = []
+    for kind in made:
         rows = scored(models[kind], test, [key, label])
         m = classification_metrics(rows, label, "prediction").collect()[0]
         lines.append(run_row(spark, uuid.uuid4().hex, team, kind, {"features": ",".join(features)}, m["f1_score"],
@@ -47,7 +54,6 @@ def train_and_register(examples: DataFrame, everything: DataFrame, features: Seq
                 F.current_timestamp().alias("submitted_at")).write.parquet(paths["result"])
     chosen = spark.read.parquet(paths["result"]).select("model_type", "run_id").collect()[0]
     soft_vote(models, test).select(key, label, "probability", "prediction").write.parquet(paths["votes"])
-    cross_validate(made[FOREST], train, label, [key]).write.parquet(paths["folds"])
     version = register_model(spark, models[chosen["model_type"]], root, name, chosen["run_id"])
     scored(models[chosen["model_type"]], everything, [key]).write.parquet(paths["scores"])
     return {**paths, "version": version}

@@ -2,6 +2,7 @@
 
 import glob
 import os
+import threading
 
 import numpy as np
 import pytest
@@ -18,6 +19,7 @@ from shoreline.ml.split import stratified_folds, stratified_split
 from shoreline.ml.trees import importances_by_nodes, node_table, score_by_nodes
 from shoreline.operators.model_calls import choose_demonstrations, choose_prompt, rule_client, score_rows
 from shoreline.operators.scoring import judge_unknown
+from shoreline.plans import learning
 from shoreline.plans.briefing import risk_prompt
 from shoreline.session import shared_folder
 
@@ -295,3 +297,22 @@ def test_a_forest_leaves_its_summary_without_being_stored(spark, monkeypatch):
     monkeypatch.setattr("shoreline.ml.models.shared_folder", stored)
     model = fit(random_forest(["a", "b"], "y", trees=3, depth=2), tree_case(spark))
     assert not model.stages[-1].hasSummary and scored(model, tree_case(spark), ["id"]).count() == 300
+
+def test_the_folds_do_not_wait_for_boosting(spark, monkeypatch):
+    tested = threading.Event()
+
+    def waiting(estimator, train):
+        assert not hasattr(estimator.getStages()[-1], "getStepSize") or tested.wait(120)
+        return fit(estimator, train)
+
+    def watched(*given):
+        lines = cross_validate(*given)
+        tested.set()
+        return lines
+    monkeypatch.setattr(learning, "random_forest", lambda f, y: random_forest(f, y, trees=3, depth=2))
+    monkeypatch.setattr(learning, "gradient_boosting", lambda f, y: gradient_boosting(f, y, rounds=2, depth=2))
+    monkeypatch.setattr(learning, "fit", waiting)
+    monkeypatch.setattr(learning, "cross_validate", watched)
+    df = tree_case(spark)
+    done = learning.train_and_register(df, df, ["a", "b"], "y", "id", "t", shared_folder(spark, "beside"))
+    assert spark.read.parquet(done["folds"]).count() == 5 and spark.read.parquet(done["runs"]).count() == 3
