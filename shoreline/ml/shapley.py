@@ -9,7 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoreline.ml.models import scored
+from shoreline.ml.models import scored, spread
 from shoreline.session import shared_folder
 
 
@@ -42,7 +42,8 @@ def shapley_values(model: PipelineModel, df: DataFrame, background: DataFrame, f
         """Entry (sample, i) of a small table."""
         return F.get(F.lit([row[i] for row in table]), F.col("_sample"))
 
-    coalitions = df.select(*key, *features).withColumn("_sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))).withColumn(
+    dealt = spread(df.select(*key, *features), samples * (count + 1))
+    coalitions = dealt.withColumn("_sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1)))).withColumn(
         "_taken", F.explode(F.sequence(F.lit(0), F.lit(count))))
     mixed = coalitions.select(*key, "_sample", "_taken", *[
         F.when(literal(places, i) < F.col("_taken"), F.col(f).cast("double")).otherwise(literal(others, i)).alias(f) for i, f in enumerate(features)])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from shoreline.ml.features import clinical_features, store_features
 from shoreline.ml.metrics import class_report, classification_metrics, roc_auc
+from shoreline.ml import shapley
 from shoreline.ml.models import (ROWS_A_TASK, cross_validate, fit, fold_summary, gradient_boosting, importances, logistic_regression,
                                  random_forest, scored, soft_vote, spread)
 from shoreline.ml.registry import best_run, final_metric, load_model, register_model, registered_models, run_row
@@ -298,6 +299,19 @@ def test_a_forest_leaves_its_summary_without_being_stored(spark, monkeypatch):
     model = fit(random_forest(["a", "b"], "y", trees=3, depth=2), tree_case(spark))
     assert not model.stages[-1].hasSummary and scored(model, tree_case(spark), ["id"]).count() == 300
 
+
+def test_shapley_coalitions_are_scored_by_several_tasks(spark, monkeypatch):
+    df, tasks = tree_case(spark).coalesce(1), []
+    model = fit(logistic_regression(["a", "b"], "y", 300), df)
+
+    def watched(model, rows, keep):
+        tasks.append(rows.rdd.getNumPartitions())
+        return scored(model, rows, keep)
+    monkeypatch.setattr(shapley, "scored", watched)
+    assert shapley_values(model, df, df, ["a", "b"], ["id"], samples=10).count() == 600
+    assert tasks == [3]
+
+
 def test_the_folds_do_not_wait_for_boosting(spark, monkeypatch):
     tested = threading.Event()
 
