@@ -9,6 +9,7 @@ encoded again, over more and more text, until both sides agree with it.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -37,6 +38,8 @@ class Codec:
     """
 
     def __init__(self, path: str):
+        # a task has one core; threads of the library would wait for each other on it
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
@@ -50,15 +53,14 @@ class Codec:
                  if not (t.lstrip or t.rstrip or t.single_word or t.normalized)]
         self.between = (added[0][0], added[0][1].content) if added else None
 
-    def encode_words(self, words: list[str]) -> dict[str, bytes]:
-        """Packed ids of each distinct word."""
-        new = [w for w in dict.fromkeys(words) if w not in self.words]
+    def encode_words(self, words: set[str]) -> dict[str, bytes]:
+        """Packed ids of the words that the memory has no room for; it then holds all others."""
+        new = list(words.difference(self.words))
         found = dict(zip(new, self.encode_apart(new)))
-        for word, ids in found.items():
-            if len(self.words) >= REMEMBERED_WORDS:
-                break
-            self.words[word] = ids
-        return found
+        if len(self.words) + len(found) > REMEMBERED_WORDS:
+            return found
+        self.words.update(found)
+        return {}
 
     def encode_apart(self, texts: list[str]) -> list[bytes]:
         """Packed ids of every text, each on its own, many in one call where a special token can part them."""
@@ -75,16 +77,16 @@ class Codec:
     def encode(self, texts: list[str]) -> list[bytes]:
         """Packed ids of every text, word by word; each distinct word is encoded once."""
         split = [split_words(t) for t in texts]
-        new = self.encode_words([w for words in split for w in words])
-        known = self.words
-        return [b"".join([known.get(w) or new.get(w, b"") for w in words]) for words in split]
+        new, known = self.encode_words(set().union(*split)), self.words
+        if new:
+            return [b"".join([new[w] if w in new else known[w] for w in words]) for words in split]
+        return [b"".join(map(known.__getitem__, words)) for words in split]
 
     def decode(self, packed: bytes) -> str:
         """As the tokenizer's decode with special tokens kept; without a decoder, tokens and spaces."""
         ids = np.frombuffer(packed, self.dtype).tolist()
         if self.tokenizer.decoder is None:
-            tokens = self.tokens
-            return " ".join([tokens[i] for i in ids])
+            return " ".join(map(self.tokens.__getitem__, ids))
         return self.tokenizer.decode(ids, skip_special_tokens=False)
 
     def joined(self, parts: list[tuple[str, bytes | None]]) -> bytes:
@@ -145,8 +147,11 @@ def codec(path: str) -> Codec:
 
 def split_words(text: str) -> list[str]:
     """The text cut before every space."""
-    first, *rest = text.split(" ")
-    return ([first] if first else []) + [" " + w for w in rest]
+    if "\0" in text:
+        first, *rest = text.split(" ")
+        return ([first] if first else []) + [" " + w for w in rest]
+    words = text.replace(" ", "\0 ").split("\0")
+    return words if words[0] else words[1:]
 
 
 def last_word(text: str) -> str:
@@ -168,8 +173,9 @@ def chunk_ends(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     sums, inverse = byte_sums(data)
     spaces = np.flatnonzero(data[WINDOW:] == 32) + WINDOW
     rolling = mixed((sums[spaces] - sums[spaces - WINDOW]) * inverse[spaces - WINDOW])
-    ends = np.r_[spaces[rolling % np.uint64(SPACING) == 0], len(data)] if len(data) else np.empty(0, np.int64)
-    starts = np.r_[0, ends[:-1]][:len(ends)].astype(np.int64)
+    ends = np.append(spaces[rolling % np.uint64(SPACING) == 0], len(data)) if len(data) else np.empty(0, np.int64)
+    starts = np.zeros(len(ends), np.int64)
+    starts[1:] = ends[:-1]
     return ends, mixed((sums[ends] - sums[starts]) * inverse[starts] + (ends - starts).astype(np.uint64))
 
 

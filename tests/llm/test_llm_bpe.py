@@ -54,3 +54,24 @@ def test_joins_are_repaired(cut):
     text = "unbelievable transformations everywhere again"
     parts = [(text[:cut], coder.encode([text[:cut]])[0]), (text[cut:], coder.encode([text[cut:]])[0])]
     assert np.frombuffer(coder.joined(parts), coder.dtype).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_words_are_cut_before_spaces_with_and_without_zero_characters():
+    for text in ("", " ", "a", " a", "a b", "a  b ", "\0", "a\0 b", " \0 a"):
+        words = bpe.split_words(text)
+        assert "".join(words) == text and all(words) and all(" " not in w[1:] for w in words)
+
+
+def test_a_full_memory_of_words_changes_no_ids(monkeypatch):
+    texts = ["one two three", "two four", "", "one  six \0 seven", "four one"]
+    want = bpe.Codec(PATH).encode_whole(texts)
+    monkeypatch.setattr(bpe, "REMEMBERED_WORDS", 3)
+    coder = bpe.Codec(PATH)
+    assert [coder.encode([t])[0] for t in texts] == want and coder.encode(texts) == want
+    assert len(coder.words) <= 3
+
+
+def test_the_library_starts_no_threads_of_its_own(monkeypatch):
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    bpe.Codec(PATH)
+    assert bpe.os.environ["TOKENIZERS_PARALLELISM"] == "false"
