@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoreline.llm.base import Workspace, ensure_checkpoints
-from shoreline.llm.shingles import mixed, shingle_set
+from shoreline.llm.shingles import mixed, run_starts, shingle_set
 from shoreline.operators.joins import broadcast_if_small
 
 WIDTH = 5
@@ -76,7 +76,7 @@ def _band_keys(tokens: np.ndarray, rare: np.ndarray, band: int) -> np.ndarray:
     segments = 16 * high if high <= SMALL_SET else high + 16
     place = ((tokens >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
     # tokens are sorted, and the place follows the high bits, so segments are runs
-    heads = np.flatnonzero(np.r_[True, place[1:] != place[:-1]])
+    heads = np.flatnonzero(run_starts(place))
     spread = mixed(tokens)
     sums, rares = np.add.reduceat(spread, heads), np.add.reduceat(rare, heads)
     salt = mixed(place[heads] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(band + 1))
@@ -154,9 +154,11 @@ def _index_rows(common: np.ndarray):
                 print_ = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
                 first, second = np.frombuffer(print_, np.int64)
                 own = segment_keys(tokens, common).view(np.int64) if len(tokens) and known.setdefault(print_, doc) == doc else np.empty(0, np.int64)
-                keys.append(np.r_[first, own])
+                keys.append(np.concatenate(([first], own)))
                 docs.append(np.full(len(own) + 1, doc))
-                tags.append(np.r_[second | 1, np.zeros(len(own), np.int64)])
+                tag = np.zeros(len(own) + 1, np.int64)
+                tag[0] = second | 1
+                tags.append(tag)
                 sizes.append(np.full(len(own) + 1, len(tokens), np.int32))
             if keys:
                 yield pa.record_batch([pa.array(np.concatenate(x)) for x in (keys, docs, tags, sizes)], schema=_KEYED)

@@ -59,10 +59,19 @@ def shingle_set(text: str | None, width: int = 5) -> np.ndarray:
     for at in range(0, len(words) - width + 1 if words else 0, _BLOCK_WORDS):
         block = words[at:at + _BLOCK_WORDS + width - 1]
         data = np.frombuffer(b" ".join(block), np.uint8)
-        sizes = np.fromiter(map(len, block), np.int64, len(block))
-        ends = np.cumsum(sizes + 1) - 1
-        starts = ends - sizes
+        spaces = np.flatnonzero(data == 32)
         sums, inverse = byte_sums(data)
-        first, last = starts[:len(block) - width + 1], ends[width - 1:]
+        first = np.concatenate(([0], spaces + 1))[:len(block) - width + 1]
+        last = np.concatenate((spaces, [len(data)]))[width - 1:]
         parts.append(mixed((sums[last] - sums[first]) * inverse[first] + (last - first).astype(np.uint64)))
-    return np.unique(np.concatenate(parts)) if parts else np.empty(0, np.uint64)
+    if not parts:
+        return np.empty(0, np.uint64)
+    tokens = np.sort(np.concatenate(parts))
+    return tokens[run_starts(tokens)]
+
+
+def run_starts(values: np.ndarray) -> np.ndarray:
+    """Whether each value differs from the one before it; the first does."""
+    starts = np.ones(len(values), bool)
+    np.not_equal(values[1:], values[:-1], out=starts[1:])
+    return starts

@@ -8,7 +8,7 @@ import pytest
 
 from shoreline.llm import jaccard
 from shoreline.llm.base import Workspace
-from shoreline.llm.shingles import shingle_set
+from shoreline.llm.shingles import run_starts, shingle_set
 
 
 def plain_set(text):
@@ -155,3 +155,16 @@ def test_one_key_with_many_unlinked_members(documents):
     rows += [(1000 + i, rows[i][1] + " end") for i in range(40)]
     got = {r.doc_id: r.component_id for r in jaccard.linked_groups(documents(rows)).collect()}
     assert got == {**{i: i for i in range(300)}, **{1000 + i: i for i in range(40)}}
+
+
+def test_run_starts_mark_every_first_value():
+    assert run_starts(np.array([3, 3, 5, 5, 3], np.uint64)).tolist() == [True, False, True, False, True]
+    assert run_starts(np.empty(0, np.uint64)).tolist() == []
+
+
+def test_sets_are_sorted_without_repeats_across_blocks(monkeypatch):
+    text = " ".join(f"w{i % 17}" for i in range(200)) + "\t\n x  y"
+    whole = shingle_set(text)
+    assert len(whole) == len(plain_set(text)) and (whole[1:] > whole[:-1]).all()
+    monkeypatch.setattr("shoreline.llm.shingles._BLOCK_WORDS", 7)
+    assert shingle_set(text).tolist() == whole.tolist()
