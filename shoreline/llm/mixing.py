@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoreline.llm.base import Workspace, text_or_empty
+from shoreline.llm.base import Workspace, stored, text_or_empty
 from shoreline.operators.joins import broadcast_if_small
 
 MARGINS = ("source", "lang", "topic")
@@ -54,38 +54,52 @@ def packed(cells: DataFrame, count: int) -> DataFrame:
     return cells.coalesce(1) if count <= CELLS_A_TASK else cells
 
 
+def scaled(weighted: DataFrame, margin: str, alone: bool) -> DataFrame:
+    """Cells whose weights of a margin's every value sum to ``_want_<margin>``; ``_moved`` notes the furthest factor.
+
+    The sums come from a window where all cells lie in one task, else from a join, which no frequent value slows down.
+    """
+    if alone:
+        summed = weighted.withColumn("_now", F.sum("weight").over(Window.partitionBy(margin)))
+    else:
+        summed = weighted.join(weighted.groupBy(margin).agg(F.sum("weight").alias("_now")), margin)
+    factor = F.when(F.col("_now") > 0, F.col(f"_want_{margin}") / F.col("_now")).otherwise(1.0)
+    return summed.withColumns({"weight": F.col("weight") * factor, "_moved": F.greatest("_moved", F.abs(factor - 1))}).select(*weighted.columns)
+
+
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], rounds: int = 12, tolerance: float = 1e-3) -> DataFrame:
     """Cells (the margins' columns, tokens) with ``weight``, whose margins meet the targets.
 
     ``targets`` gives for each margin its values and shares (of any sum); values without a
-    target keep no weight, values without tokens are passed over. Every margin is a small
-    aggregate joined back and written to the shared folder. Rounds end when no factor is
-    further from one than ``tolerance``, or after ``rounds``: targets that no weights can meet
-    then remain nearly met.
+    target keep no weight, values without tokens are passed over, cells with a null value are
+    left out. The cells are written beside what their margins shall have; few are raked in one
+    task and written once a round, many once a margin. Rounds end when no factor is further
+    from one than ``tolerance``, or after ``rounds``: targets that no weights can meet then
+    remain nearly met.
     """
     work = Workspace(cells.sparkSession, "raking")
     total, count = cells.agg(F.coalesce(F.sum("tokens"), F.lit(0)).cast("double"), F.count("*")).collect()[0]
-    present = {}
+    weighted = cells.dropna(subset=list(targets)).withColumn("weight", F.col("tokens").cast("double")).withColumn("_moved", F.lit(0.0))
     for margin, shares in targets.items():
         kept = shares.join(cells.filter("tokens > 0").select(margin).distinct(), margin)
         whole = kept.agg(F.sum("share").alias("_sum"))
-        present[margin] = work.put(f"target-{margin}", kept.withColumn("_share", F.col("share") / whole.scalar()).select(margin, "_share").coalesce(1))
-    before = "start"
-    weighted = packed(work.put(before, packed(cells.withColumn("weight", F.col("tokens").cast("double")).withColumn("_moved", F.lit(0.0)), count)), count)
+        wanted = work.put(f"target-{margin}", kept.select(margin, (F.col("share") / whole.scalar() * total).alias(f"_want_{margin}")).coalesce(1))
+        weighted = weighted.join(wanted, margin, "left").fillna(0.0, [f"_want_{margin}"])
+    before, alone = "start", count <= CELLS_A_TASK
+    weighted = packed(work.put(before, packed(weighted, count)), count)
     for i in range(rounds):
         weighted = weighted.withColumn("_moved", F.lit(0.0))
-        for margin, shares in present.items():
-            factors = weighted.groupBy(margin).agg(F.sum("weight").alias("_now")).join(packed(shares, count), margin, "left").select(
-                margin, F.when(F.col("_now") > 0, F.coalesce("_share", F.lit(0.0)) * total / F.col("_now")).otherwise(1.0).alias("_factor"))
-            weighted = packed(work.put(f"{margin}-{i}", weighted.join(factors, margin).select(
-                *cells.columns, (F.col("weight") * F.col("_factor")).alias("weight"),
-                F.greatest("_moved", F.abs(F.col("_factor") - 1)).alias("_moved"))), count)
+        for margin in targets:
+            weighted = scaled(weighted, margin, alone)
+            if alone and margin != list(targets)[-1]:
+                continue
+            weighted = packed(work.put(f"{margin}-{i}", weighted), count)
             work.drop(before)
             before = f"{margin}-{i}"
         furthest = weighted.agg(F.max("_moved")).collect()[0][0]
         if furthest is None or furthest < tolerance:
             break
-    return weighted.drop("_moved")
+    return weighted.select(*cells.columns, "weight")
 
 
 def factor_for(rated: DataFrame, keep: float, grid: int = 32, rounds: int = 4) -> float:
@@ -93,16 +107,19 @@ def factor_for(rated: DataFrame, keep: float, grid: int = 32, rounds: int = 4) -
 
     That sum rises with c. Each round tries a grid of factors in one aggregate and goes on
     between the two that enclose what is wanted. Where even keeping whole all that may be kept is too little, that is it.
+    The grid enters the plan as one array literal, so that all rounds compile to the same code.
     """
-    low, high, total = rated.agg(
-        F.try_divide(F.lit(1.0), F.max("_ratio")), 1 / F.min(F.when(F.col("_ratio") > 0, F.col("_ratio"))), F.sum("tokens")).collect()[0]
+    low, high, total, mean, count = rated.agg(
+        F.try_divide(F.lit(1.0), F.max("_ratio")), 1 / F.min(F.when(F.col("_ratio") > 0, F.col("_ratio"))), F.sum("tokens"),
+        F.try_divide(F.sum(F.col("tokens") * F.col("_ratio")), F.sum("tokens")), F.count("*")).collect()[0]
     if not total:
         return 1.0
-    low = min(low, keep / rated.agg(F.sum(F.col("tokens") * F.col("_ratio")) / F.sum("tokens")).collect()[0][0])
+    low = min(low, keep / mean)
     for _ in range(rounds):
         tried = [low * (high / low) ** (i / (grid - 1)) for i in range(grid)]
-        kept = rated.agg(*[F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("_ratio") * c)) for c in tried]).collect()[0]
-        above = next((i for i, k in enumerate(kept) if k >= keep * total), grid - 1)
+        each = packed(rated, count).select("tokens", "_ratio", F.posexplode(F.lit(tried)).alias("_place", "_c"))
+        sums = each.groupBy("_place").agg(F.sum(F.col("tokens") * F.least(F.lit(1.0), F.col("_ratio") * F.col("_c")))).collect()
+        above = min((place for place, kept in sums if kept >= keep * total), default=grid - 1)
         low, high = tried[max(0, above - 1)], tried[above]
     return high
 
@@ -120,7 +137,7 @@ def sampling_rates(cells: DataFrame, targets: Mapping[str, Mapping[str, float]]
     given = targets or {}
     raked = rake(cells, {m: given_shares(cells, m, given[m]) if m in given else tempered(cells, m, t) for m, t in temperatures.items()})
     mean = raked.agg(F.coalesce(F.try_divide(F.sum("weight"), F.sum("tokens")), F.lit(1.0))).scalar()
-    rated = raked.withColumn("_ratio", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(mean))
+    rated = stored(raked.withColumn("_ratio", F.when(F.col("tokens") > 0, F.col("weight") / F.col("tokens")).otherwise(mean)), "rated")
     if keep is None:
         return rated.withColumn("probability", F.col("_ratio") / rated.agg(F.max("_ratio")).scalar()).drop("_ratio")
     return rated.withColumn("probability", F.least(F.lit(1.0), F.col("_ratio") * factor_for(rated, keep))).drop("_ratio")

@@ -115,6 +115,25 @@ def test_raking_meets_targets_against_plain_python(spark):
     assert all(abs(got[k] - w) < 1e-6 for k, w in weight.items())
 
 
+def test_raking_of_few_and_of_many_cells_is_the_same_in_few_jobs(spark, monkeypatch):
+    cells = [(f"s{i % 7}", ("en", "fr", None)[i % 3], "pq"[i % 2], 10 * (i * i % 17)) for i in range(42)]
+    table_ = spark.createDataFrame(cells, CELLS)
+    context = spark.sparkContext
+
+    def raked():
+        targets = {m: mixing.tempered(table_, m, 0.5) for m in mixing.MARGINS}
+        context.setJobGroup(name := f"raking-{mixing.CELLS_A_TASK}", name)
+        got = {tuple(r)[:4]: r.weight for r in mixing.rake(table_, targets, rounds=4, tolerance=0).collect()}
+        context.setLocalProperty("spark.jobGroup.id", None)
+        return got, len(context.statusTracker().getJobIdsForGroup(name))
+
+    few, jobs = raked()
+    monkeypatch.setattr(mixing, "CELLS_A_TASK", 0)
+    many, _ = raked()
+    assert len(few) == 28 and few == pytest.approx(many, rel=1e-9)
+    assert jobs <= 40
+
+
 @pytest.mark.parametrize("lang", ["en", "zz"])
 def test_sampling_rates_meet_targets_of_a_rare_cell(spark, lang):
     rng = random.Random(8)
