@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from queries.base import query, table
 from queries.fixtures import EVENT_SCHEMA, intake_raw, waves, with_views
 from shoreline.session import shared_folder
-from shoreline.sources.files import file_inventory, read_corpus, read_csv, read_json_array, read_ndjson, rows_per_file
+from shoreline.sources.files import (CORPUS_FOLDER, file_inventory, read_corpus, read_csv, read_json_array, read_ndjson,
+                                     rows_per_file, write_corpus)
 from shoreline.sources.generate import Choice, DoubleRange, IntRange, RiskFlag, generate_over
 from shoreline.sources.tables import inline_rows, scan_table, stream_table
 from shoreline.streaming.ingest import land, stream_files
@@ -103,9 +104,11 @@ def inventory(spark, sf):
 @query("src_07_document_corpus", "SELECT doc_id, LENGTH(text) AS n_chars, MD5(text) AS digest FROM documents")
 def document_corpus(spark, sf):
     path = shared_folder(spark, "corpus")
-    table(spark, sf, "documents").select("doc_id", "text").write.partitionBy("doc_id").text(path)
-    docs = read_corpus(spark, path).withColumn("text", F.regexp_replace("text", r"\n\z", ""))
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
+    files = write_corpus(table(spark, sf, "documents"), path, "doc_id")
+    tasks = max(4 * spark.sparkContext.defaultParallelism, files // CORPUS_FOLDER)
+    docs = read_corpus(spark, path, tasks).withColumn("text", F.regexp_replace("text", r"\n\z", ""))
+    doc_id = F.nullif(F.substring_index("file_name", ".", 1), F.lit("null"))
+    return docs.select(doc_id.cast("long").alias("doc_id"),
                        F.length("text").cast("long").alias("n_chars"), F.md5("text").alias("digest"))
 
 

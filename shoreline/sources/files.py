@@ -4,12 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoreline.operators.ranking import global_rank
 
+#: Files in a folder of a corpus; Spark lists folders in parallel, the files of one in a row.
+CORPUS_FOLDER = 1000
+
 
 def read_ndjson(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
     """All JSON-lines files under the path or glob as one table."""
@@ -44,11 +50,50 @@ def read_json_array(spark: SparkSession, path: str, schema: T.StructType | str |
     return numbered.withColumn(id_column, F.format_string(id_format, F.col("_number"))).drop("_number")
 
 
-def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """One row per text file: its name and its whole content."""
-    return (spark.read.text(path, wholetext=True)
-            .withColumn("file_name", F.col("_metadata.file_name"))
-            .withColumnRenamed("value", "text"))
+def write_corpus(documents: DataFrame, path: str, name: str, text: str = "text") -> int:
+    """One text file ``<name>.txt`` per document, for ``read_corpus``; returns the number of files.
+
+    A text ends with a newline, and rows of one name follow one another in a task's file. The
+    tasks write through Arrow, as Hadoop's local file system starts a process for each file and
+    folder it makes. A file gets its name when it is whole, so a task may be tried again.
+    """
+    def write(batches):
+        task, (store, root) = TaskContext.get(), fs.FileSystem.from_uri(path)
+        files, last, out, hidden, final = 0, None, None, None, None
+        for batch in batches:
+            for key, body in zip(batch["name"].to_pylist(), batch["body"].to_pylist(), strict=True):
+                if key != last:
+                    if out is not None:
+                        out.close()
+                        store.move(hidden, final)
+                    folder = f"{root}/part={task.partitionId():05d}-{files // CORPUS_FOLDER:05d}"
+                    if files % CORPUS_FOLDER == 0:
+                        store.create_dir(folder)
+                    hidden, final = f"{folder}/.{key}.{task.taskAttemptId()}", f"{folder}/{key}.txt"
+                    out, last, files = store.open_output_stream(hidden), key, files + 1
+                out.write((body or b"") + b"\n")
+        if out is not None:
+            out.close()
+            store.move(hidden, final)
+        yield pa.RecordBatch.from_pydict({"files": [files]})
+
+    store, root = fs.FileSystem.from_uri(path)
+    store.create_dir(root)
+    rows = documents.sortWithinPartitions(name).select(
+        F.coalesce(F.col(name).cast("string"), F.lit("null")).alias("name"), F.col(text).cast("binary").alias("body"))
+    return rows.mapInArrow(write, "files long").agg(F.coalesce(F.sum("files"), F.lit(0))).first()[0]
+
+
+def read_corpus(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
+    """One row per text file: its name and its whole content.
+
+    Spark counts a file as 4 MB at least, so a task reads few of them; ``tasks`` is for many
+    small files and lets so many tasks read them all.
+    """
+    files = (spark.read.text(path, wholetext=True)
+             .withColumn("file_name", F.col("_metadata.file_name"))
+             .withColumnRenamed("value", "text"))
+    return files if tasks is None else files.coalesce(tasks)
 
 
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

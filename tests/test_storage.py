@@ -1,5 +1,6 @@
 """Sources and sinks: round trips, versions, upserts, layouts, governance."""
 
+import hashlib
 import os
 import subprocess
 import sys
@@ -8,13 +9,16 @@ import tempfile
 import pytest
 from pyspark.sql import functions as F
 
+from queries import sources
 from shoreline.operators.governance import metadata_report, set_column_comments, set_table_comment, set_tags, table_comment, tag_report
 from shoreline.operators.quality import artifact_report, column_report
 from shoreline.session import checkpoint_root, shared_folder
 from shoreline.sinks.tables import (append_rows, create_table_if_absent, insert_overwrite, overwrite_table, register_missing,
                                     write_bucketed, write_clustered, write_csv, write_zordered)
 from shoreline.sinks.versions import ConcurrentChange, VersionedTable
-from shoreline.sources.files import file_inventory, read_corpus, read_csv, read_json_array, read_ndjson, rows_per_file
+from shoreline.sources import files
+from shoreline.sources.files import (file_inventory, read_corpus, read_csv, read_json_array, read_ndjson, rows_per_file,
+                                     write_corpus)
 from shoreline.sources.generate import Choice, DoubleRange, IntRange, RiskFlag, generate_table
 
 
@@ -82,6 +86,38 @@ def test_corpus_and_inventory(spark):
     assert sizes == {"a.txt": 8}
 
 
+def files_below(path):
+    return sorted(os.path.join(at, name) for at, _, names in os.walk(path) for name in names)
+
+
+def test_document_corpus_makes_a_file_but_no_folder_per_document(spark, tmp_path, monkeypatch):
+    texts = {**{i: f"text {i}" for i in range(60)}, 60: "", 61: "\u00e9\r\n\n", -62: "\n"}
+    spark.createDataFrame(list(texts.items()), "doc_id long, text string").coalesce(2).write.parquet(f"{tmp_path}/documents.parquet")
+    corpus = f"{tmp_path}/corpus"
+    monkeypatch.setattr(sources, "shared_folder", lambda *_: corpus)
+    got = sources.document_corpus(spark, str(tmp_path))
+    assert {r["doc_id"]: (r["n_chars"], r["digest"]) for r in got.collect()} == {
+        i: (len(x), hashlib.md5(x.encode()).hexdigest()) for i, x in texts.items()}
+    written = [x for x in files_below(corpus) if x.endswith(".txt")]
+    assert len(written) == 63
+    assert len({os.path.dirname(x) for x in written}) <= 4
+
+
+def test_corpus_is_written_by_name_in_folders_of_bounded_size(spark, monkeypatch):
+    monkeypatch.setattr(files, "CORPUS_FOLDER", 2)
+    rows = [("c", "3"), ("a", "1"), ("b", None), ("a", "2"), (None, "none")]
+    path = shared_folder(spark, "corpus")
+    assert write_corpus(spark.createDataFrame(rows, "id string, text string").coalesce(1), path, "id") == 4
+    assert [os.path.relpath(x, path) for x in files_below(path)] == [
+        "part=00000-00000/a.txt", "part=00000-00000/null.txt", "part=00000-00001/b.txt", "part=00000-00001/c.txt"]
+    back = read_corpus(spark, path, 1)
+    assert back.rdd.getNumPartitions() == 1
+    assert rows_of(back, "file_name", "text") == [
+        ("a.txt", "1\n2\n"), ("b.txt", "\n"), ("c.txt", "3\n"), ("null.txt", "none\n")]
+    empty = shared_folder(spark, "corpus")
+    assert write_corpus(spark.createDataFrame([], "id string, text string"), empty, "id") == 0
+
+
 def test_generated_table_is_the_same_on_any_partitioning(spark):
     spec = {"age": IntRange(29, 78), "x": DoubleRange(0, 6.2), "kind": Choice(["a", "b"], [9, 1]),
             "risk": RiskFlag({"age": (50, 0.5), "x": (3.0, 0.3)})}
