@@ -6,18 +6,22 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyarrow import dataset, fs
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, IDF, Normalizer, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from shoreline.operators.ranking import top_k_per_group
 from shoreline.session import shared_folder
 
 QUERY_BLOCK, ROW_BLOCK, LEAST_BLOCK = 512, 4_096, 1_024
-#: Pivots of a pruned search, documents and queries that meet in one task.
+#: Pivots of a pruned search, documents of a block, most queries of a task.
 PIVOTS, CLUSTER_BLOCK, QUERY_PART = 256, 4_096, 16_384
 
 
@@ -39,7 +43,10 @@ def _numbers(df: DataFrame, vector: str) -> Column:
 
 def _units(vectors: pd.Series) -> np.ndarray:
     """Unit rows in doubles; a zero vector stays zero."""
-    matrix = np.stack(vectors.to_list()).astype(np.float64) if len(vectors) else np.zeros((0, 1))
+    return _unit_rows(np.stack(vectors.to_list()).astype(np.float64) if len(vectors) else np.zeros((0, 1)))
+
+
+def _unit_rows(matrix: np.ndarray) -> np.ndarray:
     length = np.linalg.norm(matrix, axis=1, keepdims=True)
     matrix /= np.where(length == 0, 1.0, length)
     return matrix
@@ -86,6 +93,35 @@ def nearest(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: st
     return docs.select(doc_id, *metadata).join(best, doc_id) if metadata else best
 
 
+def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Vectors of one length as rows in doubles."""
+    lengths = pc.unique(pc.list_value_length(vectors)).to_pylist()
+    if len(lengths) > 1:
+        raise ValueError(f"vectors of lengths {lengths} meet")
+    return pc.list_flatten(vectors).to_numpy().astype(np.float64).reshape(len(vectors), lengths[0] if lengths else 0)
+
+
+def _best(scores: np.ndarray, k: int) -> np.ndarray:
+    """The k best of each row, of equal ones those that stand first."""
+    if scores.shape[1] <= k:
+        return np.ones(scores.shape, bool)
+    last = np.partition(scores, scores.shape[1] - k, axis=1)[:, scores.shape[1] - k, None]
+    above, level = scores > last, scores == last
+    return above | level & (np.cumsum(level, axis=1) <= k - above.sum(1, keepdims=True))
+
+
+def _layout(counts: pd.DataFrame, block: int) -> dict[int, tuple[int, int]]:
+    """First block and number of blocks of each cluster: large ones are cut, small ones share a block."""
+    layout, free, room = {}, 0, 0
+    for cluster, count in zip(counts["cluster"].tolist(), counts["count"].tolist()):
+        if count <= room:
+            layout[cluster], room = (free - 1, 1), room - count
+        else:
+            needed = -(-count // block)
+            layout[cluster], free, room = (free, needed), free + needed, block - count if needed == 1 else 0
+    return layout
+
+
 def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vector: str, query_id: str, digits: int = 6,
                    pivots: int = PIVOTS, block: int = CLUSTER_BLOCK) -> DataFrame:
     """As ``nearest``, for many queries: clusters that cannot hold a result are skipped.
@@ -99,36 +135,62 @@ def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vec
 
     Ids are unique, vectors of one length; unusable vectors take no part. A zero vector has
     score 0 with everything, and its documents form a cluster that is never skipped. Large
-    clusters are cut into blocks and small ones share a block, so a query travels once to
-    each block it needs; a block meets the queries in parts of bounded size.
+    clusters are cut into blocks and small ones share a block. Documents and queries are each
+    written once to the shared folder, by block; a task takes a part of the queries and reads
+    the blocks they need from there one after another, so disk grows with the vectors and not
+    with the pairs that meet. A product in floats finds the pairs that may count, and these
+    are scored in doubles.
     """
     spark = docs.sparkSession
-    given = docs.filter(_usable(vector)).select(F.col(doc_id).alias("_d"), F.col(vector).cast("array<double>").alias("_v"))
-    asked = queries.filter(_usable(vector)).select(F.col(query_id).alias("_q"), F.col(vector).cast("array<double>").alias("_v"))
-    chosen = given.filter(F.exists("_v", lambda x: x != 0)).orderBy(F.xxhash64("_d"), "_d").limit(pivots).select("_v").toPandas()
+    given = docs.filter(_usable(vector)).select(F.col(doc_id).alias("_id"), _numbers(docs, vector).alias("_v"))
+    asked = queries.filter(_usable(vector)).select(F.col(query_id).alias("_id"), _numbers(queries, vector).alias("_v"))
+    chosen = given.filter(F.exists("_v", lambda x: x != 0)).orderBy(F.xxhash64("_id"), "_id").limit(pivots).select("_v").toPandas()
     if not len(chosen):
         chosen = pd.DataFrame({"_v": given.select("_v").limit(1).toPandas()["_v"]})
+    asked = asked if len(chosen) else asked.limit(0)
     centers = _units(chosen["_v"])
-    kinds = T.StructType([T.StructField("_d", docs.schema[doc_id].dataType), T.StructField("_v", T.ArrayType(T.DoubleType())),
-                          T.StructField("cluster", T.IntegerType()), T.StructField("angle", T.DoubleType())])
     everything = np.pi
-
-    def placed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            unit = _units(frame["_v"])
-            if len(unit):
-                cosines = np.clip(unit @ centers.T, -1, 1)
-                cluster = cosines.argmax(1)
-                zero = ~unit.any(1)
-                yield pd.DataFrame({"_d": frame["_d"], "_v": list(unit), "cluster": np.where(zero, -1, cluster).astype(np.int32),
-                                    "angle": np.where(zero, everything, np.arccos(cosines[np.arange(len(unit)), cluster]))})
-
     path = shared_folder(spark, "nearest")
-    given.mapInPandas(placed, kinds).write.parquet(f"{path}/docs")
-    clustered = spark.read.schema(kinds).parquet(f"{path}/docs")
-    known = clustered.groupBy("cluster").agg(F.max("angle").alias("radius"), F.count("*").alias("size")).orderBy("cluster").toPandas()
-    numbers, radius, size = (known[c].to_numpy() for c in ("cluster", "radius", "size"))
+
+    def placed(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        cosines = np.clip(unit @ centers.T, -1, 1)
+        cluster, zero = cosines.argmax(1), ~unit.any(1)
+        angle = np.arccos(cosines[np.arange(len(unit)), cluster])
+        return np.where(zero, -1, cluster).astype(np.int32), np.where(zero, everything, angle)
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if len(batch):
+                numbers, counts = np.unique(placed(_unit_rows(_matrix(batch["_v"])))[0], return_counts=True)
+                yield pa.RecordBatch.from_pydict({"cluster": numbers, "count": counts})
+
+    def laid_out(vectors: DataFrame, size: int, folder: str) -> DataFrame:
+        """The vectors by block; how they are cut steers only cost."""
+        counts = vectors.select("_v").mapInArrow(sizes, "cluster int, count long").groupBy("cluster").agg(F.sum("count").alias("count"))
+        layout = _layout(counts.orderBy("cluster").toPandas(), size)
+
+        def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if len(batch):
+                    cluster, angle = placed(_unit_rows(_matrix(batch["_v"])))
+                    first, blocks = np.array([layout.get(c, (0, 1)) for c in cluster.tolist()]).T
+                    at = (first + batch["_hash"].to_numpy() % blocks).astype(np.int32)
+                    yield pa.RecordBatch.from_arrays([batch["_id"], batch["_v"], *map(pa.array, (cluster, angle, at))], names=kinds.names)
+
+        kinds = T.StructType([*vectors.schema, T.StructField("cluster", T.IntegerType()), T.StructField("angle", T.DoubleType()),
+                              T.StructField("block", T.IntegerType())])
+        vectors.withColumn("_hash", F.xxhash64("_id", "_v")).mapInArrow(rows, kinds).repartition("block").write.partitionBy("block").parquet(f"{path}/{folder}")
+        return spark.read.schema(kinds).parquet(f"{path}/{folder}")
+
+    cores = spark.sparkContext.defaultParallelism
+    clustered = laid_out(given, block, "docs")
+    first = laid_out(asked, min(max(-(-queries.count() // (4 * cores)), QUERY_BLOCK), QUERY_PART), "first")
+    known = clustered.groupBy("block", "cluster").agg(F.max("angle").alias("radius"), F.count("*").alias("size")).orderBy("block", "cluster").toPandas()
+    clusters = known.groupby("cluster").agg({"radius": "max", "size": "sum"}).reset_index()
+    numbers, radius, size = (clusters[c].to_numpy() for c in ("cluster", "radius", "size"))
     places = np.where(numbers >= 0, numbers, 0)
+    held_by = {at: np.searchsorted(numbers, own) for at, own in known.groupby("block")["cluster"].agg(list).items()}
+    parts = [r["block"] for r in first.select("block").distinct().orderBy("block").collect()]
 
     def bounds(unit: np.ndarray) -> np.ndarray:
         """Best possible cosine of each query with each cluster; 1 for documents without direction."""
@@ -138,81 +200,130 @@ def nearest_pruned(docs: DataFrame, queries: DataFrame, k: int, doc_id: str, vec
         best[~unit.any(1)] = 1.0
         return best
 
-    # a pack is one large cluster, or as many small ones as fill a block
-    packs = np.zeros(len(numbers), np.int64)
-    for i in range(1, len(numbers)):
-        packs[i] = packs[i - 1] + (size[:i][packs[:i] == packs[i - 1]].sum() + size[i] > block)
-
-    wanted = T.StructType([T.StructField("_q", queries.schema[query_id].dataType), T.StructField("_v", T.ArrayType(T.DoubleType())),
-                           T.StructField("_clusters", T.ArrayType(T.IntegerType())), T.StructField("_pack", T.IntegerType()), T.StructField("size", T.LongType())])
-
-    def plan(first: bool):
-        def rows(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for frame in frames:
-                unit = _units(frame["_v"])
-                if not len(unit):
-                    continue
-                best = bounds(unit)
-                order = np.argsort(-best, axis=1, kind="stable")
-                held = np.cumsum(size[order], axis=1) - size[order]
-                near = np.zeros(best.shape, bool)
-                np.put_along_axis(near, order, held < k, axis=1)
-                take = near if first else ~near & (best >= frame["_least"].to_numpy()[:, None])
-                for pack in np.unique(packs):
-                    inside = np.flatnonzero(packs == pack)
-                    part = take[:, inside]
-                    q = np.flatnonzero(part.any(1))
-                    if len(q):
-                        yield pd.DataFrame({"_q": frame["_q"].to_numpy()[q], "_v": list(unit[q]), "_clusters": [numbers[inside[p]].astype(np.int32) for p in part[q]],
-                                            "_pack": np.int32(pack), "size": part[q] @ size[inside]})
-        return rows
-
-    found = T.StructType([T.StructField(query_id, wanted["_q"].dataType), T.StructField(doc_id, kinds["_d"].dataType), T.StructField("score", T.DoubleType())])
-
-    def score(part: pd.DataFrame, needed: pd.DataFrame) -> pd.DataFrame:
-        taken: list[tuple] = []
-        if len(part) and len(needed):
-            names, matrix = part["_d"].tolist(), np.stack(part["_v"].to_list())
-            held, place = np.unique(part["cluster"].to_numpy(), return_inverse=True)
-            for at in range(0, len(needed), QUERY_BLOCK):
-                own = needed.iloc[at:at + QUERY_BLOCK]
-                scores = np.round(np.stack(own["_v"].to_list()) @ matrix.T, digits)
-                scores[~np.stack([np.isin(held, c) for c in own["_clusters"]])[:, place]] = -np.inf
-                least = np.partition(scores, len(names) - k, axis=1)[:, len(names) - k] if len(names) > k else np.full(len(own), -np.inf)
-                for query, line, low in zip(own["_q"].tolist(), scores, least):
-                    top = np.flatnonzero((line >= low) & (line > -np.inf))
-                    taken += [(query, names[i], line[i]) for i in sorted(top.tolist(), key=lambda i: (-line[i], names[i]))[:k]]
-        return pd.DataFrame(taken, columns=found.names)
-
-    pack_of = {int(n): int(p) for n, p in zip(numbers, packs)}
-    blocks = {int(p): int(-(-size[packs == p].sum() // block)) for p in np.unique(packs)}
-    parts = -(-queries.count() // QUERY_PART) or 1
-
-    def listed(entries: dict[int, int]) -> Column:
-        return F.create_map(*[F.lit(x) for entry in (entries or {0: 1}).items() for x in entry])
-
-    cut = clustered.withColumn("_pack", listed(pack_of)[F.col("cluster")]).withColumn(
-        "_block", F.pmod(F.xxhash64("_d"), listed(blocks)[F.col("_pack")]).cast("int"))
-
-    def search(needed: DataFrame) -> DataFrame:
-        keys = ["_pack", "_block", "_part"]
-        beside = cut.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-        spread = needed.withColumn("_block", F.explode(F.sequence(F.lit(0), listed(blocks)[F.col("_pack")] - 1))).withColumn(
-            "_part", F.pmod(F.xxhash64("_q"), F.lit(parts)).cast("int"))
-        met = beside.groupBy(*keys).cogroup(spread.groupBy(*keys)).applyInPandas(score, found)
-        return top_k_per_group(met, [query_id], [F.desc("score"), F.asc(doc_id)], k)
-
-    asked.mapInPandas(plan(True), wanted).write.parquet(f"{path}/first")
-    first = spark.read.schema(wanted).parquet(f"{path}/first")
-    search(first).select(query_id, doc_id, "score").write.parquet(f"{path}/near")
-    near = spark.read.schema(found).parquet(f"{path}/near")
+    def plan(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bounds, and the nearest clusters of each query."""
+        best = bounds(unit)
+        order = np.argsort(-best, axis=1, kind="stable")
+        held = np.cumsum(size[order], axis=1) - size[order]
+        near = np.zeros(best.shape, bool)
+        np.put_along_axis(near, order, held < k, axis=1)
+        return best, near
+
+    def read(folder: str, at: int, columns: Sequence[str]) -> pa.Table:
+        store, root = fs.FileSystem.from_uri(path)
+        table = dataset.dataset(f"{root}/{folder}/block={at}", filesystem=store, format="parquet").to_table(columns=list(columns))
+        order = [(c, "ascending") for c in columns if c != "_v"]
+        return table.take(pc.sort_indices(table, sort_keys=order, null_placement="at_start"))
+
+    def scan(unit: np.ndarray, take: np.ndarray, least: np.ndarray, of: tuple[int, int]) -> pa.Table:
+        """Up to k documents (``_id``, ``score``) for each query ``q`` from the clusters to take; scores below its least one may be missing."""
+        rough, least, taken, count = unit.astype(np.float32), least.copy(), [], 0
+        # what rounding a score and a product in floats may hide
+        slack = 10.0**-digits + (unit.shape[1] + 8) * 2.0**-23
+
+        def cut() -> list[pa.Table]:
+            found = pa.concat_tables(taken)
+            found = found.take(pc.sort_indices(found, sort_keys=[("q", "ascending"), ("score", "descending"), ("_id", "ascending")], null_placement="at_start"))
+            q = found["q"].to_numpy()
+            place = np.arange(len(q)) - np.searchsorted(q, q)
+            last = place == k - 1
+            least[q[last]] = np.maximum(least[q[last]], found["score"].to_numpy()[last])
+            return [found.filter(pa.array(place < k))]
+
+        for at, inside in [*held_by.items()][of[0]::of[1]]:
+            if not take[:, inside].any():
+                continue
+            table = read("docs", at, ("cluster", "_id", "_v"))
+            own, matrix, ids = table["cluster"].to_numpy(), _unit_rows(_matrix(table["_v"])), table["_id"]
+            for c in inside:
+                start, end = np.searchsorted(own, numbers[c], "left"), np.searchsorted(own, numbers[c], "right")
+                part, asking = matrix[start:end], np.flatnonzero(take[:, c])
+                narrow = part.astype(np.float32).T
+                for q in np.split(asking, range(QUERY_BLOCK, len(asking), QUERY_BLOCK)):
+                    hit = rough[q] @ narrow >= (least[q] - slack).astype(np.float32)[:, None]
+                    some = np.flatnonzero(hit.any(1))
+                    if not len(some):
+                        continue
+                    hits = hit[some]
+                    full = hits.sum(1) > k
+                    line, d = np.nonzero(hits[~full])
+                    q1 = q[some[~full]][line]
+                    exact = np.round(np.einsum("ij,ij->i", unit[q1], part[d]), digits)
+                    fits = exact >= least[q1]
+                    q1, d, exact = q1[fits], d[fits], exact[fits]
+                    if full.any():
+                        whole = np.round(unit[q[some[full]]] @ part.T, digits)
+                        line, d2 = np.nonzero(_best(whole, k) & (whole >= least[q[some[full]]][:, None]))
+                        q1, d, exact = np.r_[q1, q[some[full]][line]], np.r_[d, d2], np.r_[exact, whole[line, d2]]
+                    if len(q1):
+                        taken.append(pa.table({"q": q1, "_id": ids.take(pa.array(start + d)), "score": exact}))
+                        count += len(q1)
+                if count > 2 * k * len(unit):
+                    taken = cut()
+                    count = len(taken[0])
+        return cut()[0] if taken else None
+
+    outcome = T.StructType([T.StructField("_part", T.IntegerType()), T.StructField("_row", T.IntegerType()), T.StructField(query_id, queries.schema[query_id].dataType),
+                            T.StructField(doc_id, docs.schema[doc_id].dataType), T.StructField("score", T.DoubleType()),
+                            T.StructField("_size", T.LongType()), T.StructField("_open", T.DoubleType())])
+
+    def outcomes(part: int, row: np.ndarray, ids: pa.ChunkedArray, sized: np.ndarray, still: np.ndarray, found: pa.Table | None) -> Iterator[pa.RecordBatch]:
+        """A row for each query asked, without a document, and one for each document found."""
+        def batches(at, names, score, size, open_):
+            columns = [pa.array(np.full(len(at), part, np.int32)), pa.array(row[at].astype(np.int32)), ids.take(pa.array(at)), names, score, size, open_]
+            return pa.table(columns, names=outcome.names).combine_chunks().to_batches()
+
+        kind = to_arrow_type(outcome[doc_id].dataType)
+        yield from batches(np.arange(len(row)), pa.nulls(len(row), kind), pa.nulls(len(row), pa.float64()), pa.array(sized.astype(np.int64)), pa.array(still))
+        if found is not None:
+            q = found["q"].to_numpy()
+            yield from batches(q, found["_id"], found["score"], pa.nulls(len(q), pa.int64()), pa.nulls(len(q), pa.float64()))
+
+    def plans(unit: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        parts = [plan(unit[at:at + QUERY_BLOCK]) for at in range(0, len(unit), QUERY_BLOCK)]
+        return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in (parts[i] for batch in batches for i in batch["id"].to_pylist()):
+            table = read("first", part, ("cluster", "_id", "_v"))
+            unit = _unit_rows(_matrix(table["_v"]))
+            best, near = plans(unit)
+            found = scan(unit, near, np.full(len(unit), -np.inf), (0, 1))
+            yield from outcomes(part, np.arange(len(unit)), table["_id"], near @ size, np.where(near, -np.inf, best).max(1), found)
+
+    def tasks(count: int) -> DataFrame:
+        return spark.range(0, count, 1, max(count, 1))
+
+    tasks(len(parts)).mapInArrow(begin, outcome).write.parquet(f"{path}/near")
+    near = spark.read.schema(outcome).parquet(f"{path}/near")
+    hit = F.col("score").isNotNull()
+    order = [F.desc("score"), F.asc(doc_id)]
     # a rounded score may lie half a unit above the exact one
-    least = near.groupBy(F.col(query_id).alias("_q")).agg(F.count("*").alias("_n"), (F.min("score") - 10.0**-digits).alias("_least"))
-    open_queries = asked.join(least, "_q", "left").withColumn("_least", F.when(F.col("_n") >= k, F.col("_least")).otherwise(-2.0)).select("_q", "_v", "_least")
-    open_queries.mapInPandas(plan(False), wanted).write.parquet(f"{path}/more")
-    more = spark.read.schema(wanted).parquet(f"{path}/more")
-    best = top_k_per_group(near.unionByName(search(more).select(*near.columns)), [query_id], [F.desc("score"), F.asc(doc_id)], k)
-    looked_at = first.select("_q", "size").unionByName(more.select("_q", "size")).groupBy(F.col("_q").alias(query_id)).agg(F.sum("size").alias("looked_at"))
+    least = (top_k_per_group(near.filter(hit).select(query_id, doc_id, "score"), [query_id], order, k)
+             .groupBy(F.col(query_id).alias("_q")).agg(F.count("*").alias("_n"), (F.min("score") - 10.0**-digits).alias("_least")))
+    waiting = near.filter(~hit).join(least, F.col(query_id) == F.col("_q"), "left").withColumn("_least", F.when(F.col("_n") >= k, F.col("_least")).otherwise(-2.0))
+    waiting.filter(F.col("_open") >= F.col("_least")).select("_part", "_row", "_least").write.parquet(f"{path}/more")
+    open_parts = [r["_part"] for r in spark.read.schema("_part int").parquet(f"{path}/more").distinct().orderBy("_part").collect()]
+    # few queries and many documents: some tasks share the blocks
+    slices = max(1, min(-(-cores // max(len(open_parts), 1)), len(held_by)))
+
+    def go_on(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, root = fs.FileSystem.from_uri(path)
+        for i in (i for batch in batches for i in batch["id"].to_pylist()):
+            part, own = open_parts[i // slices], i % slices
+            asked = dataset.dataset(f"{root}/more", filesystem=store, format="parquet").to_table(filter=dataset.field("_part") == part).sort_by("_row")
+            row, low = asked["_row"].to_numpy(), asked["_least"].to_numpy()
+            table = read("first", part, ("cluster", "_id", "_v")).take(pa.array(row))
+            unit = _unit_rows(_matrix(table["_v"]))
+            best, near = plans(unit)
+            take = ~near & (best >= low[:, None])
+            found = scan(unit, take, low, (own, slices))
+            yield from outcomes(part, row, table["_id"], take @ size * (own == 0), np.full(len(unit), -np.inf), found)
+
+    tasks(len(open_parts) * slices).mapInArrow(go_on, outcome).write.parquet(f"{path}/rest")
+    rows = near.unionByName(spark.read.schema(outcome).parquet(f"{path}/rest"))
+    best = top_k_per_group(rows.filter(hit).select(query_id, doc_id, "score"), [query_id], order, k)
+    looked_at = rows.groupBy(query_id).agg(F.sum("_size").alias("looked_at"))
     return best.join(looked_at, query_id)
 
 

@@ -318,6 +318,33 @@ def test_pruned_search_sends_a_query_once_to_each_block(spark, monkeypatch):
     assert sent <= 240 * 2 * 4 and spark.read.parquet(f"{folder}/docs").select("cluster").distinct().count() > 20
 
 
+def test_pruned_search_writes_a_query_twice_at_most(spark, monkeypatch):
+    rng = random.Random(7)
+    rows = [(f"v{i}", [rng.gauss(0, 1) for _ in range(12)]) for i in range(300)]
+    rows += [(f"w{i}", rows[0][1]) for i in range(30)]
+    docs, asked = spark.createDataFrame(rows, "id string, v array<float>"), spark.createDataFrame(rows, "qid string, v array<float>")
+    folder = shared_folder(spark, "pruned")
+    monkeypatch.setattr(retrieval, "shared_folder", lambda *_: folder)
+    monkeypatch.setattr(retrieval, "QUERY_BLOCK", 50)
+    got = nearest_pruned(docs, asked, 3, "id", "v", "qid", pivots=40, block=16)
+    columns = ("qid", "id", "score", "rank")
+    assert rows_of(got, *columns) == rows_of(nearest(docs, asked, 3, "id", "v", "qid"), *columns)
+    assert spark.read.parquet(f"{folder}/docs").select("block").distinct().count() >= 20
+    first, more = (spark.read.parquet(f"{folder}/{x}").count() for x in ("first", "more"))
+    assert first == 330 and 0 < more <= 330
+
+
+@pytest.mark.parametrize("n", [0, 1, 200])
+def test_pruned_search_with_few_queries_or_documents(spark, n):
+    rng = random.Random(n)
+    docs = spark.createDataFrame([(i, [rng.gauss(0, 1) for _ in range(5)]) for i in range(n)], "id int, v array<double>")
+    asked = spark.createDataFrame([(1, [0.5, 0.1, 0.0, 0.2, 1.0]), (2, [0.0] * 5), (3, None)], "qid int, v array<double>")
+    got = nearest_pruned(docs, asked, 3, "id", "v", "qid", pivots=2, block=10)
+    columns = ("qid", "id", "score", "rank")
+    assert rows_of(got, *columns) == rows_of(nearest(docs, asked, 3, "id", "v", "qid"), *columns)
+    assert got.count() == 2 * min(n, 3)
+
+
 def test_a_task_of_a_search_holds_few_bytes(spark):
     assert retrieval.ROW_BLOCK * 1024 * 8 <= 32 << 20
     narrow = spark.createDataFrame([(1, [0.5, 0.25])], "id int, v array<float>")
