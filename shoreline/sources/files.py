@@ -15,6 +15,8 @@ from shoreline.operators.ranking import global_rank
 
 #: Files in a folder of a corpus; Spark lists folders in parallel, the files of one in a row.
 CORPUS_FOLDER = 1000
+#: Bytes of text a task reads from a corpus before it passes them on.
+CORPUS_BATCH = 4 << 20
 
 
 def read_ndjson(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None) -> DataFrame:
@@ -87,13 +89,45 @@ def write_corpus(documents: DataFrame, path: str, name: str, text: str = "text")
 def read_corpus(spark: SparkSession, path: str, tasks: int | None = None) -> DataFrame:
     """One row per text file: its name and its whole content.
 
-    Spark counts a file as 4 MB at least, so a task reads few of them; ``tasks`` is for many
-    small files and lets so many tasks read them all.
+    Spark counts a file as 4 MB at least, so a task reads few of them, and the driver lists them
+    all; ``tasks`` is for many small files in folders, as ``write_corpus`` leaves them. At most so
+    many tasks list folders of their own, with all below, and read the files through Arrow; the
+    driver lists what lies in the path itself. Empty files and hidden ones are left out, as Spark does.
     """
-    files = (spark.read.text(path, wholetext=True)
-             .withColumn("file_name", F.col("_metadata.file_name"))
-             .withColumnRenamed("value", "text"))
-    return files if tasks is None else files.coalesce(tasks)
+    if tasks is None:
+        return (spark.read.text(path, wholetext=True)
+                .withColumn("file_name", F.col("_metadata.file_name"))
+                .withColumnRenamed("value", "text"))
+    store, root = fs.FileSystem.from_uri(path)
+    found = sorted(x.base_name + "/" * (x.type == fs.FileType.Directory) for x in store.get_file_info(fs.FileSelector(root))
+                   if not x.base_name.startswith((".", "_")))
+    tasks = max(min(tasks, len(found)), 1)
+
+    def listed(store, at):
+        if not at.endswith("/"):
+            return [store.get_file_info(at)]
+        inside = store.get_file_info(fs.FileSelector(at[:-1], recursive=True))
+        shown = (x for x in inside if not any(step.startswith((".", "_")) for step in x.path[len(at):].split("/")))
+        return sorted((x for x in shown if x.type == fs.FileType.File), key=lambda x: x.path)
+
+    def read(batches):
+        store, root = fs.FileSystem.from_uri(path)
+        texts, names, held = [], [], 0
+        for info in (x for batch in batches for i in batch["id"].to_pylist() for at in found[i::tasks] for x in listed(store, f"{root}/{at}")):
+            if info.size == 0:
+                continue
+            with store.open_input_stream(info.path) as stream:
+                texts.append(stream.read())
+            names.append(info.base_name)
+            held += len(texts[-1])
+            if held >= CORPUS_BATCH:
+                yield pa.RecordBatch.from_pydict({"text": texts, "file_name": names})
+                texts, names, held = [], [], 0
+        if names:
+            yield pa.RecordBatch.from_pydict({"text": texts, "file_name": names})
+
+    files = spark.range(0, tasks, 1, tasks).mapInArrow(read, "text binary, file_name string")
+    return files.withColumn("text", F.col("text").cast("string"))
 
 
 def file_inventory(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:

@@ -118,6 +118,27 @@ def test_corpus_is_written_by_name_in_folders_of_bounded_size(spark, monkeypatch
     assert write_corpus(spark.createDataFrame([], "id string, text string"), empty, "id") == 0
 
 
+def test_many_small_files_are_listed_and_read_by_the_tasks(spark, monkeypatch):
+    monkeypatch.setattr(files, "CORPUS_FOLDER", 3)
+    monkeypatch.setattr(files, "CORPUS_BATCH", 10)
+    rows = [(i, f"text {i}\r\n" + "\u00e9" * i) for i in range(20)]
+    path = shared_folder(spark, "corpus")
+    assert write_corpus(spark.createDataFrame(rows, "id int, text string").coalesce(1), path, "id") == 20
+    for name, body in ((".hidden.txt", b"no"), ("part=00000-00000/bytes.txt", b"\xff\xfe a"), ("part=00000-00000/empty.txt", b""),
+                       ("part=00000-00000/_begun", b"no")):
+        with open(f"{path}/{name}", "wb") as f:
+            f.write(body)
+    all_files, back = read_corpus(spark, path), read_corpus(spark, path, 4)
+    assert back.rdd.getNumPartitions() == 4 and back.inputFiles() == [] != all_files.inputFiles()
+    as_bytes = [F.col("file_name"), F.col("text").cast("binary").alias("body")]
+    got = {r["file_name"]: bytes(r["body"]) for r in back.select(*as_bytes).collect()}
+    assert got == {r["file_name"]: bytes(r["body"]) for r in all_files.select(*as_bytes).collect()}
+    assert got == {f"{i}.txt": f"{x}\n".encode() for i, x in rows} | {"bytes.txt": b"\xff\xfe a"}
+    assert read_corpus(spark, path, 100).rdd.getNumPartitions() == 7
+    flat = read_corpus(spark, f"{path}/part=00000-00001", 2)
+    assert rows_of(flat, "file_name") == rows_of(read_corpus(spark, f"{path}/part=00000-00001"), "file_name") and flat.count() == 3
+
+
 def test_generated_table_is_the_same_on_any_partitioning(spark):
     spec = {"age": IntRange(29, 78), "x": DoubleRange(0, 6.2), "kind": Choice(["a", "b"], [9, 1]),
             "risk": RiskFlag({"age": (50, 0.5), "x": (3.0, 0.3)})}
