@@ -234,7 +234,7 @@ def nearest_shot_client(prompts):
     WHERE (SELECT COUNT(*) FROM lineitem) > 0""")
 def demonstrations(spark, sf):
     """The winner of the early-stopped comparison beside every set's accuracy on all rows."""
-    rows = table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("id"), F.col("l_quantity").cast("string").alias("size"),
+    rows = table(spark, sf, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_quantity").alias("id"), F.col("l_quantity").cast("string").alias("size"),
                                                F.when(F.col("l_quantity") > 25, "high").otherwise("low").alias("label"))
     chosen = choose_demonstrations(rows, "size", "label", "id", lambda shots: F.concat(
         F.lit("".join(f"{q} -> {a}\n" for q, a in shots)), F.col("size"), F.lit(" -> ")), nearest_shot_client).collect()
